@@ -103,10 +103,8 @@ def paired_tests(cov: DataFrame, comparisons: DataFrame) -> DataFrame:
         .join(side["a"], "model_a").join(side["b"], "model_b")
     )
     delta = F.col("auc_a") - F.col("auc_b")
-    # One rounding step below the smallest real variance: identical models must give exactly zero.
     variance = F.col("var_a") + F.col("var_b") - 2 * F.col("cov")
-    floor = (F.col("var_a") + F.col("var_b")) * 1e-12
-    se = F.sqrt(F.when(variance > floor, variance).otherwise(0.0))
+    se = F.sqrt(F.greatest(variance, F.lit(0.0)))
     tested = joined.withColumn("delta_auc", delta).withColumn("se_delta", se).withColumn(
         "z", F.when(F.col("se_delta") > 0, F.col("delta_auc") / F.col("se_delta")).otherwise(0.0)
     )
