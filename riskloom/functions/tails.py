@@ -7,6 +7,7 @@ import math
 import numpy as np
 import pandas as pd
 from pyspark.sql.functions import pandas_udf
+from pyspark.sql.types import DoubleType
 
 
 def normal_two_sided(z: float) -> float:
@@ -62,19 +63,19 @@ def _map(fn, *series: pd.Series) -> pd.Series:
     return pd.Series(out, dtype="float64")
 
 
-@pandas_udf("double")
+@pandas_udf(DoubleType())
 def normal_p(z: pd.Series) -> pd.Series:
     """Two-sided p-value of a standard normal statistic."""
     return _map(normal_two_sided, z)
 
 
-@pandas_udf("double")
+@pandas_udf(DoubleType())
 def chi2_p(x: pd.Series, dof: pd.Series) -> pd.Series:
     """Upper-tail p-value of a chi-square statistic."""
     return _map(chi2_upper, x, dof)
 
 
-@pandas_udf("double")
+@pandas_udf(DoubleType())
 def mcnemar_p(b: pd.Series, c: pd.Series, statistic: pd.Series, exact: pd.Series) -> pd.Series:
     """Exact binomial p-value where ``exact`` holds, otherwise chi-square with one degree."""
     return _map(

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
-from riskloom.functions.hashing import hash_key, uniform_from_key
+from riskloom.functions.hashing import hash_key
 from riskloom.operators.metrics import error_class
 from riskloom.operators.quantiles import quantile_columns
 from riskloom.operators.sampling import pick_per_class, stratified_sample
@@ -73,55 +73,46 @@ def perturb(instances: DataFrame, statistics: DataFrame, id_col: str, samples: i
             seed: int = 42) -> DataFrame:
     """``id, sample, values, same``: perturbed copies; sample 0 is the row itself.
 
-    The slot statistics (slots x at most four bins) ride along as one array, so every copy is
-    made by array expressions on its own row.
+    The slot statistics (slots x at most four bins) are fitted state and go to the tasks once.
     """
-    bins = statistics.groupBy("idx", "kind", *QUARTILES).agg(
-        F.array_sort(F.collect_list(F.struct("bin", "freq", "mean", "sd", "low", "high")))
-        .alias("bins")
-    )
-    table = bins.agg(
-        F.array_sort(F.collect_list(F.struct("idx", "kind", *QUARTILES, "bins"))).alias("_slots")
-    ).scalar()
+    layout = _Layout(statistics.orderBy("idx", "bin").collect())
     draws = instances.select(
         id_col, "values", F.explode(F.sequence(F.lit(0), F.lit(samples - 1))).alias("sample")
-    ).withColumn("_slots", table)
-    key = hash_key(seed, id_col, "sample")
+    )
 
     @pandas_udf("values array<double>, same array<double>")
-    def draw(keys: pd.Series, rows: pd.Series, first: pd.Series, slots: pd.Series) -> pd.DataFrame:
-        values, same = [], []
-        layout = None
-        for k, row, is_first, slot in zip(keys, rows, first, slots):
-            if layout is None:
-                layout = _Layout(slot)
-            out, stay = layout.draw(int(k[:16], 16), np.asarray(row, dtype=float), is_first)
-            values.append(out)
-            same.append(stay)
-        return pd.DataFrame({"values": values, "same": same})
+    def draw(keys: pd.Series, rows: pd.Series, first: pd.Series) -> pd.DataFrame:
+        drawn = [
+            layout.draw(int(k[:16], 16), np.asarray(row, dtype=float), is_first)
+            for k, row, is_first in zip(keys, rows, first)
+        ]
+        return pd.DataFrame({"values": [v for v, _ in drawn], "same": [s for _, s in drawn]})
 
     made = draws.select(
-        id_col, "sample", draw(key, "values", F.col("sample") == 0, "_slots").alias("_d")
+        id_col, "sample",
+        draw(hash_key(seed, id_col, "sample"), F.col("values"), F.col("sample") == 0).alias("_d"),
     )
     return made.select(id_col, "sample", "_d.values", "_d.same")
 
 
 class _Layout:
-    """Slot statistics as arrays, for one batch of copies."""
+    """Slot statistics as arrays."""
 
-    def __init__(self, slots):
+    def __init__(self, rows):
+        slots = sorted({r["idx"] for r in rows})
+        at = {idx: i for i, idx in enumerate(slots)}
         k = len(slots)
-        self.numeric = np.array([s["kind"] == "numeric" for s in slots])
-        self.quartiles = np.array([[s["q1"], s["q2"], s["q3"]] for s in slots], dtype=float)
-        self.freq = np.zeros((k, 4))
-        self.mean, self.sd = np.zeros((k, 4)), np.zeros((k, 4))
+        self.numeric = np.zeros(k, dtype=bool)
+        self.quartiles = np.zeros((k, 3))
+        self.freq, self.mean, self.sd = np.zeros((k, 4)), np.zeros((k, 4)), np.zeros((k, 4))
         self.low, self.high = np.zeros((k, 4)), np.zeros((k, 4))
-        for i, s in enumerate(slots):
-            for b in s["bins"]:
-                j = min(max(int(b["bin"]), 0), 3)
-                self.freq[i, j] += b["freq"]
-                self.mean[i, j], self.sd[i, j] = b["mean"], b["sd"]
-                self.low[i, j], self.high[i, j] = b["low"], b["high"]
+        for r in rows:
+            i, j = at[r["idx"]], min(max(int(r["bin"]), 0), 3)
+            self.numeric[i] = r["kind"] == "numeric"
+            self.quartiles[i] = r["q1"], r["q2"], r["q3"]
+            self.freq[i, j] += r["freq"]
+            self.mean[i, j], self.sd[i, j] = r["mean"], r["sd"]
+            self.low[i, j], self.high[i, j] = r["low"], r["high"]
         self.cumulative = np.cumsum(self.freq, axis=1)
         self.cumulative /= self.cumulative[:, -1:]
 
@@ -232,8 +223,3 @@ def quality_by_class(fits: DataFrame, instances: DataFrame, id_col: str) -> Data
         F.count("*").alias("n"), F.avg("r2").alias("mean_r2")
     )
 
-
-__all__ = [
-    "background", "choose_instances", "local_fits", "perturb", "quality_by_class",
-    "score_copies", "slot_statistics", "slot_values", "top_features", "uniform_from_key",
-]

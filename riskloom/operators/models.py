@@ -21,9 +21,7 @@ from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskloom.operators.metrics import (
-    as_dict, auc, classification_metrics, confusion, long_scores,
-)
+from riskloom.operators.metrics import auc, classification_metrics, confusion, long_scores
 from riskloom.operators.sampling import stratified_folds
 
 SEED = 42
@@ -198,9 +196,3 @@ def top_models(results: DataFrame, run: str, n: int = 2) -> list[str]:
     )
     return [r["model"] for r in rows]
 
-
-__all__ = [
-    "FAMILIES", "Family", "Tuned", "as_dict", "champion", "coefficient_report", "evaluate",
-    "load_model", "named_coefficients", "natural_cuts", "param_grid", "refit", "save_model",
-    "score_all", "score_of", "scores_long", "top_models", "tune",
-]

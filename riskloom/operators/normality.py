@@ -9,6 +9,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
+from pyspark.sql.types import DoubleType
 
 from riskloom.functions.tails import normal_p
 from riskloom.operators.profile import tall_numeric
@@ -24,7 +25,7 @@ LARGE_LOG_SD = (-0.4803, -0.082676, 0.0030302)
 SMALL_GAMMA = (-2.273, 0.459)
 
 
-@pandas_udf("double")
+@pandas_udf(DoubleType())
 def normal_quantile(p: pd.Series) -> pd.Series:
     inverse = NormalDist().inv_cdf
     return p.map(inverse)
