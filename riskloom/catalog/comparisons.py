@@ -76,7 +76,9 @@ def _(spark, d):
   auc_a, auc_b FROM cov WHERE list_position({MODELS}, model_a) <= list_position({MODELS}, model_b)""",
        "cov auc_a auc_b", 8)
 def _(spark, d):
-    return covariance(spark, d).withColumn("cov", F.col("cov") * 1e6)
+    return covariance(spark, d).select(
+        "model_a", "model_b", (F.col("cov") * 1e6).alias("cov"), "auc_a", "auc_b"
+    )
 
 
 @query("t12_single_auc_variance", f"""WITH {v.DELONG} SELECT model_a AS model, auc_a AS auc,
@@ -143,9 +145,7 @@ def _(spark, d):
        "delta_auc p_holm")
 def _(spark, d):
     m = families(spark, d).where(F.col("family") == "within_a")
-    delta = association.mirrored(m, "model_a", "model_b", "delta_auc", sign=-1)
-    p = association.mirrored(m, "model_a", "model_b", "p_holm")
-    return delta.join(p, ["model_a", "model_b"])
+    return association.mirrored(m, "model_a", "model_b", {"delta_auc": -1, "p_holm": 1})
 
 
 @query("r12_delta_intervals", f"""WITH {TESTS} SELECT substr(model_a, 3) AS kind, delta_auc,

@@ -1 +1,267 @@
-"""x"""
+"""Feature preparation and classifier families."""
+
+from __future__ import annotations
+
+from pyspark.ml.evaluation import BinaryClassificationEvaluator
+from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
+from pyspark.ml.functions import vector_to_array
+from pyspark.sql import functions as F
+
+from riskloom.catalog import views as v
+from riskloom.catalog.columns import SPLIT
+from riskloom.catalog.describing import COUNTS
+from riskloom.catalog.ordering import AREAS
+from riskloom.catalog.registry import query
+from riskloom.operators import features, models, sampling
+from riskloom.session import materialize
+
+TRAIN = f"""{SPLIT}, train AS (SELECT loan.* FROM loan JOIN split USING (id)
+  WHERE split.split = 'train')"""
+
+
+def split_loan(spark, d):
+    df = v.loan(spark, d)
+    return df.join(sampling.stratified_split(df, "id", "y"), "id")
+
+
+def fitted(spark, d):
+    rows = materialize(split_loan(spark, d))
+    train = rows.where(F.col("split") == "train")
+    return rows, features.feature_pipeline(v.LOAN_ROLES).fit(train)
+
+
+@query("f02_median_imputer", f"""WITH {v.LINES}, m AS (SELECT
+    quantile_cont(l_tax, 0.5) AS tax, quantile_cont(l_extendedprice, 0.5) AS price FROM lines)
+  SELECT l_returnflag, count(*) AS n, sum(coalesce(l_tax, tax)) AS sum_tax,
+    sum(coalesce(l_extendedprice, price)) / 1e6 AS sum_price FROM lines, m
+  GROUP BY l_returnflag""", "sum_tax sum_price", 5)
+def _(spark, d):
+    lines = v.lines(spark, d)
+    full = features.impute_exact(lines, lines, ["l_tax", "l_extendedprice"])
+    return full.groupBy("l_returnflag").agg(
+        F.count("*").alias("n"), F.sum("l_tax").alias("sum_tax"),
+        (F.sum("l_extendedprice") / 1e6).alias("sum_price"),
+    )
+
+
+INDEX = f"""{COUNTS}, ix AS (SELECT variable, value,
+  CAST(row_number() OVER (PARTITION BY variable ORDER BY n DESC, value) - 1 AS INTEGER) AS idx
+  FROM vc WHERE value IS NOT NULL AND variable IN ('status', 'segment', 'nation'))"""
+
+
+@query("f03_category_index", f"WITH {INDEX} SELECT * FROM ix")
+def _(spark, d):
+    return features.category_index(v.loan(spark, d), list(v.LOAN_ROLES.categorical))
+
+
+@query("f04_one_hot_slot", f"""WITH {INDEX} SELECT id, s.idx AS status_slot, g.idx AS segment_slot
+  FROM loan JOIN ix s ON s.variable = 'status' AND s.value = status
+  JOIN ix g ON g.variable = 'segment' AND g.value = segment""")
+def _(spark, d):
+    df = v.loan(spark, d)
+    names, slots = ["status", "segment"], ["status_ohe", "segment_ohe"]
+    indexed = StringIndexer(
+        inputCols=names, outputCols=["status_idx", "segment_idx"], handleInvalid="keep"
+    ).fit(df).transform(df)
+    encoded = OneHotEncoder(
+        inputCols=["status_idx", "segment_idx"], outputCols=slots
+    ).fit(indexed).transform(indexed)
+    return encoded.select("id", *[
+        (F.array_position(vector_to_array(s), 1.0) - 1).cast("int").alias(f"{n}_slot")
+        for n, s in zip(names, slots)
+    ])
+
+
+@query("f05_numeric_assembler", f"WITH {v.LOAN} SELECT id, price AS slot_0, bal AS slot_1 FROM loan",
+       "slot_0 slot_1", 4)
+def _(spark, d):
+    vectors = VectorAssembler(inputCols=["price", "bal"], outputCol="v").transform(v.loan(spark, d))
+    a = vector_to_array("v")
+    return vectors.select("id", a[0].alias("slot_0"), a[1].alias("slot_1"))
+
+
+@query("f06_scaler_statistics", f"""WITH {v.LOAN} SELECT 'price' AS variable, avg(price) AS mean,
+  stddev_samp(price) AS sd FROM loan UNION ALL SELECT 'bal', avg(bal), stddev_samp(bal)
+  FROM loan""", "mean sd", 4)
+def _(spark, d):
+    return features.scaler_statistics(v.loan(spark, d), ["price", "bal"])
+
+
+@query("f07_final_vector", f"""WITH {INDEX} SELECT id,
+  CAST(2 + (SELECT count(*) FROM ix) AS INTEGER) AS n_slots, CAST(3 AS BIGINT) AS n_hot
+  FROM loan""")
+def _(spark, d):
+    rows, model = fitted(spark, d)
+    a = vector_to_array("features")
+    return features.prepared(model, rows, v.LOAN_ROLES).select(
+        "id", F.size(a).alias("n_slots"),
+        F.size(F.filter(F.slice(a, 3, 10000), lambda x: x == 1.0)).cast("long").alias("n_hot"),
+    )
+
+
+@query("f08_fitted_on_train", f"""WITH {TRAIN}, st AS (SELECT avg(price) AS mp,
+    stddev_samp(price) AS sp, avg(bal) AS mb, stddev_samp(bal) AS sb FROM train)
+  SELECT id, y, split.split, (price - mp) / sp AS slot_0, (bal - mb) / sb AS slot_1
+  FROM loan JOIN split USING (id, y), st""", "slot_0 slot_1")
+def _(spark, d):
+    rows, model = fitted(spark, d)
+    a = vector_to_array("features")
+    return features.prepared(model, rows, v.LOAN_ROLES, ["split"]).select(
+        "id", "y", "split", a[0].alias("slot_0"), a[1].alias("slot_1")
+    )
+
+
+SLOTS = f"""{TRAIN}, tc AS (SELECT variable, value, count(*) AS n FROM train
+    UNPIVOT (value FOR variable IN (status, segment, nation)) GROUP BY variable, value),
+  named AS (SELECT 'price' AS name, 'numeric' AS kind, 0 AS part, 0 AS place UNION ALL
+    SELECT 'bal', 'numeric', 0, 1 UNION ALL
+    SELECT variable || '_' || value, 'binary', list_position(['status', 'segment', 'nation'],
+      variable), row_number() OVER (PARTITION BY variable ORDER BY n DESC, value) FROM tc)"""
+
+
+@query("f09_slot_names", f"""WITH {SLOTS} SELECT CAST(row_number() OVER (ORDER BY part, place) - 1
+  AS INTEGER) AS idx, name, kind FROM named""")
+def _(spark, d):
+    rows, model = fitted(spark, d)
+    return features.slot_names(features.prepared(model, rows, v.LOAN_ROLES), v.LOAN_ROLES)
+
+
+@query("q06_slots_named", f"""WITH {SLOTS} SELECT 'slots_named' AS check,
+  count(*) FILTER (name IS NULL) AS n_bad, count(*) FILTER (name IS NULL) = 0 AS passed
+  FROM named""")
+def _(spark, d):
+    from riskloom.operators.quality import slots_named
+
+    rows, model = fitted(spark, d)
+    prepared = features.prepared(model, rows, v.LOAN_ROLES)
+    return slots_named(features.slot_names(prepared, v.LOAN_ROLES))
+
+
+@query("f10_fitted_medians", f"""WITH {v.LINES_TALL} SELECT variable, quantile_cont(value, 0.5)
+  AS median FROM lt WHERE value IS NOT NULL GROUP BY variable""", "median", 5)
+def _(spark, d):
+    return features.exact_medians(v.lines(spark, d), v.NUMERIC)
+
+
+@query("e01_evaluator_auc", f"""WITH {AREAS} SELECT model, auc FROM areas
+  WHERE model IN ('a_mix', 'a_bal')""", "auc", 9)
+def _(spark, d):
+    wide = v.scores(spark, d)
+    rows = [
+        (m, BinaryClassificationEvaluator(
+            labelCol="y", rawPredictionCol=m, metricName="areaUnderROC", numBins=0
+        ).evaluate(wide))
+        for m in ("a_mix", "a_bal")
+    ]
+    return spark.createDataFrame(rows, "model string, auc double")
+
+
+def vector_sets(spark, d):
+    """Embeddings split into train and test, written to the checkpoint folder once."""
+    df = v.vectors(spark, d)
+    both = materialize(df.join(sampling.stratified_split(df, "id", "y"), "id"))
+    train = both.where(F.col("split") == "train").drop("split")
+    return train, both.where(F.col("split") == "test").drop("split")
+
+
+# Grids small enough to be run as a check; the full ones are the defaults of ``models.FAMILIES``.
+CHECK_GRIDS = {
+    "LogisticRegression": {"regParam": [1e-4, 1e-2]},
+    "DecisionTree": {"maxDepth": [3, 5]},
+    "RandomForest": {"numTrees": [10], "maxDepth": [3, 5]},
+    "GBT": {"maxIter": [5], "maxDepth": [2, 3]},
+    "LinearSVC": {"regParam": [1e-4, 1e-2]},
+    "NaiveBayes": {},
+}
+CHECK_PARAMS = {"LogisticRegression": {"maxIter": 20}, "LinearSVC": {"maxIter": 20}}
+
+
+def tuned_row(spark, d, name):
+    train, test = vector_sets(spark, d)
+    tuned = {name: models.tune(models.FAMILIES[name], train, "id", "y", CHECK_GRIDS[name],
+                               parallelism=4, **CHECK_PARAMS.get(name, {}))}
+    scored = models.score_all(test, tuned, ["id", "y"])
+    return models.evaluate(scored, "id", "y", tuned)
+
+
+for number, family in enumerate(models.FAMILIES, start=1):
+    query(f"m{number:02d}_{family.lower()}")(
+        lambda spark, d, family=family: tuned_row(spark, d, family)
+    )
+
+
+def refitted(spark, d, names=("LogisticRegression", "DecisionTree", "NaiveBayes")):
+    params = {"LogisticRegression": {"regParam": 1e-4}, "DecisionTree": {"maxDepth": 5},
+              "NaiveBayes": {}}
+    train, test = vector_sets(spark, d)
+    return {
+        n: models.refit(models.FAMILIES[n], train, "y", params[n]) for n in names
+    }, train, test
+
+
+@query("m08_stratified_folds", f"""WITH {v.LOAN}, r AS (SELECT id, y,
+    row_number() OVER (PARTITION BY y ORDER BY md5('fold42:' || id)) AS pos,
+    count(*) OVER (PARTITION BY y) AS n FROM loan)
+  SELECT id, CAST((pos > n // 3)::INTEGER + (pos > (2 * n) // 3)::INTEGER AS INTEGER) AS fold
+  FROM r""")
+def _(spark, d):
+    return sampling.stratified_folds(v.loan(spark, d), "id", "y").select("id", "fold")
+
+
+@query("m10_refit_once")
+def _(spark, d):
+    tuned, _, test = refitted(spark, d, ("LogisticRegression",))
+    return models.evaluate(models.score_all(test, tuned, ["id", "y"]), "id", "y", tuned)
+
+
+@query("m11_scores_of_all_models")
+def _(spark, d):
+    tuned, _, test = refitted(spark, d)
+    return models.score_all(test, tuned, ["id", "y"])
+
+
+@query("m12_champion")
+def _(spark, d):
+    tuned, _, test = refitted(spark, d)
+    scored = models.score_all(test, tuned, ["id", "y"])
+    return models.champion(models.evaluate(scored, "id", "y", tuned))
+
+
+@query("m13_model_report")
+def _(spark, d):
+    tuned, _, test = refitted(spark, d)
+    return models.evaluate(models.score_all(test, tuned, ["id", "y"]), "id", "y", tuned)
+
+
+@query("m14_coefficients")
+def _(spark, d):
+    tuned, _, _ = refitted(spark, d, ("LogisticRegression",))
+    return models.coefficient_report(tuned["LogisticRegression"], spark)
+
+
+@query("m15_retuned_model_replaced")
+def _(spark, d):
+    from riskloom.operators.quality import replace_column
+
+    tuned, train, test = refitted(spark, d)
+    stored = models.score_all(test, tuned, ["id", "y"])
+    new = {"DecisionTree": models.tune(models.FAMILIES["DecisionTree"], train, "id", "y",
+                                       CHECK_GRIDS["DecisionTree"], parallelism=4)}
+    return replace_column(
+        stored, models.score_all(test, new, ["id"]), "id", "score_DecisionTree"
+    )
+
+
+@query("a18_training_totals")
+def _(spark, d):
+    tuned, _, test = refitted(spark, d)
+    table = models.evaluate(models.score_all(test, tuned, ["id", "y"]), "id", "y", tuned)
+    return table.agg(F.sum("fit_seconds").alias("total_seconds"),
+                     (F.max("fit_seconds") / F.min("fit_seconds")).alias("slowest_to_fastest"))
+
+
+@query("r13_time_against_auc")
+def _(spark, d):
+    tuned, _, test = refitted(spark, d)
+    table = models.evaluate(models.score_all(test, tuned, ["id", "y"]), "id", "y", tuned)
+    return table.select("model", "fit_seconds", "test_auc").orderBy(F.desc("fit_seconds"))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from itertools import combinations
+
 from pyspark.sql import functions as F
 
 from riskloom.catalog import views as v
@@ -139,15 +141,23 @@ def _(spark, d):
     return pearson(spark, d)
 
 
-@query("t08_strong_pairs", f"WITH {PEARSON} SELECT * FROM pairs WHERE abs(r) > 0.5", "r")
+STRONG = " UNION ALL ".join(
+    f"SELECT '{a}' AS var_a, '{b}' AS var_b, corr({a}, {b}) AS r FROM scores"
+    for a, b in combinations(sorted(v.MODELS), 2)
+)
+
+
+@query("t08_strong_pairs", f"""WITH {v.SCORES}, sp AS ({STRONG})
+  SELECT * FROM sp WHERE abs(r) > 0.7""", "r")
 def _(spark, d):
-    return pearson(spark, d).where(F.abs("r") > 0.5)
+    pairs = association.pearson_pairs(v.scores(spark, d), v.MODELS)
+    return pairs.where(F.abs("r") > 0.7)
 
 
 @query("r08_correlation_matrix", f"""WITH {PEARSON} SELECT * FROM pairs
   UNION ALL SELECT var_b, var_a, r FROM pairs""", "r")
 def _(spark, d):
-    return association.mirrored(pearson(spark, d), "var_a", "var_b", "r")
+    return association.mirrored(pearson(spark, d), "var_a", "var_b", {"r": 1})
 
 
 def gappy(spark, d):

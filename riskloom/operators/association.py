@@ -59,11 +59,15 @@ def pearson_pairs(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     ])))
 
 
-def mirrored(pairs: DataFrame, a: str, b: str, value: str, sign: int = 1) -> DataFrame:
-    """Both triangles of a matrix given its upper one; ``sign=-1`` for antisymmetric values."""
-    flipped = pairs.select(F.col(b).alias(a), F.col(a).alias(b),
-                           (F.col(value) * sign).alias(value))
-    return pairs.select(a, b, value).unionByName(flipped)
+def mirrored(pairs: DataFrame, a: str, b: str, values: dict[str, int]) -> DataFrame:
+    """Both triangles of a matrix given its upper one. ``values`` maps each value column to 1, or
+    to -1 where the lower triangle has the other sign."""
+    sides = F.array(
+        F.struct(F.col(a).alias(a), F.col(b).alias(b), *values),
+        F.struct(F.col(b).alias(a), F.col(a).alias(b),
+                 *[(F.col(v) * sign).alias(v) for v, sign in values.items()]),
+    )
+    return pairs.select(F.inline(sides))
 
 
 def nullity_correlation(df: DataFrame, columns: Sequence[str]) -> DataFrame:

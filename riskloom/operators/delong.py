@@ -47,10 +47,8 @@ def _pivoted(long: DataFrame, models: Sequence[str]) -> DataFrame:
 
 
 def covariance(long: DataFrame, models: Sequence[str]) -> DataFrame:
-    """``model_a, model_b, cov, auc_a, auc_b`` for all pairs a <= b, in the order of ``models``.
-
-    The areas are the class means of the same contributions, so one pass gives both.
-    """
+    """``model_a, model_b, cov, var_a, var_b, auc_a, auc_b`` for all pairs a <= b, in the order of
+    ``models``. One pass gives everything: the areas are class means of the same contributions."""
     pairs = list(combinations_with_replacement(range(len(models)), 2))
     per_class = _pivoted(long, models).groupBy("y").agg(
         F.count("*").alias("_n"),
@@ -59,13 +57,16 @@ def covariance(long: DataFrame, models: Sequence[str]) -> DataFrame:
     )
     tall = per_class.select("y", "_n", F.inline(F.array(*[
         F.struct(F.lit(models[i]).alias("model_a"), F.lit(models[j]).alias("model_b"),
-                 F.col(f"_c{i}_{j}").alias("_c"), F.col(f"_m{i}").alias("_ma"),
+                 F.col(f"_c{i}_{j}").alias("_c"), F.col(f"_c{i}_{i}").alias("_va"),
+                 F.col(f"_c{j}_{j}").alias("_vb"), F.col(f"_m{i}").alias("_ma"),
                  F.col(f"_m{j}").alias("_mb"))
         for i, j in pairs
     ])))
     positive = F.col("y") == 1
     return tall.groupBy("model_a", "model_b").agg(
         F.sum(F.col("_c") / F.col("_n")).alias("cov"),
+        F.sum(F.col("_va") / F.col("_n")).alias("var_a"),
+        F.sum(F.col("_vb") / F.col("_n")).alias("var_b"),
         F.max(F.when(positive, F.col("_ma"))).alias("auc_a"),
         F.max(F.when(positive, F.col("_mb"))).alias("auc_b"),
     )
@@ -73,7 +74,7 @@ def covariance(long: DataFrame, models: Sequence[str]) -> DataFrame:
 
 def auc_intervals(cov: DataFrame) -> DataFrame:
     """``model, auc, var, ci_low, ci_high`` from the diagonal."""
-    half = Z95 * F.sqrt(F.greatest(F.col("cov"), F.lit(0.0)))
+    half = Z95 * F.sqrt("cov")
     return cov.where(F.col("model_a") == F.col("model_b")).select(
         F.col("model_a").alias("model"), F.col("auc_a").alias("auc"), F.col("cov").alias("var"),
         (F.col("auc_a") - half).alias("ci_low"), (F.col("auc_a") + half).alias("ci_high"),
@@ -81,38 +82,30 @@ def auc_intervals(cov: DataFrame) -> DataFrame:
 
 
 def paired_tests(cov: DataFrame, comparisons: DataFrame) -> DataFrame:
-    """Difference, interval, z and p for each row of ``comparisons (family, model_a, model_b)``.
-
-    Works on result tables (models squared), whichever way round a pair is asked for.
-    """
-    upper = cov.select("model_a", "model_b", "cov")
-    full = upper.unionByName(
-        upper.where(F.col("model_a") != F.col("model_b"))
-        .select(F.col("model_b").alias("model_a"), F.col("model_a").alias("model_b"), "cov")
-    )
-    one = auc_intervals(cov)
-    side = {
-        s: one.select(
-            F.col("model").alias(f"model_{s}"), F.col("auc").alias(f"auc_{s}"),
-            F.col("var").alias(f"var_{s}"), F.col("ci_low").alias(f"auc_{s}_ci_low"),
-            F.col("ci_high").alias(f"auc_{s}_ci_high"))
-        for s in "ab"
-    }
-    joined = (
-        comparisons.join(full, ["model_a", "model_b"])
-        .join(side["a"], "model_a").join(side["b"], "model_b")
-    )
-    delta = F.col("auc_a") - F.col("auc_b")
+    """Difference, interval, z and p for each row of ``comparisons (family, model_a, model_b)``,
+    whichever way round a pair is asked for."""
+    swap = {"model_a": "model_b", "model_b": "model_a", "cov": "cov", "var_a": "var_b",
+            "var_b": "var_a", "auc_a": "auc_b", "auc_b": "auc_a"}
+    both = cov.where(F.col("model_a") != F.col("model_b")).select(F.inline(F.array(
+        F.struct(*swap), F.struct(*[F.col(c).alias(name) for name, c in swap.items()])
+    )))
     variance = F.col("var_a") + F.col("var_b") - 2 * F.col("cov")
-    se = F.sqrt(F.greatest(variance, F.lit(0.0)))
-    tested = joined.withColumn("delta_auc", delta).withColumn("se_delta", se).withColumn(
+    tested = comparisons.join(both, ["model_a", "model_b"]).withColumns({
+        "delta_auc": F.col("auc_a") - F.col("auc_b"),
+        "se_delta": F.sqrt(F.greatest(variance, F.lit(0.0))),
+        "_ha": Z95 * F.sqrt("var_a"), "_hb": Z95 * F.sqrt("var_b"),
+    }).withColumn(
         "z", F.when(F.col("se_delta") > 0, F.col("delta_auc") / F.col("se_delta")).otherwise(0.0)
     )
+    half = Z95 * F.col("se_delta")
     return tested.select(
-        *comparisons.columns, "auc_a", "auc_a_ci_low", "auc_a_ci_high",
-        "auc_b", "auc_b_ci_low", "auc_b_ci_high", "delta_auc",
-        (F.col("delta_auc") - Z95 * F.col("se_delta")).alias("delta_ci_low"),
-        (F.col("delta_auc") + Z95 * F.col("se_delta")).alias("delta_ci_high"),
+        *comparisons.columns,
+        "auc_a", (F.col("auc_a") - F.col("_ha")).alias("auc_a_ci_low"),
+        (F.col("auc_a") + F.col("_ha")).alias("auc_a_ci_high"),
+        "auc_b", (F.col("auc_b") - F.col("_hb")).alias("auc_b_ci_low"),
+        (F.col("auc_b") + F.col("_hb")).alias("auc_b_ci_high"),
+        "delta_auc", (F.col("delta_auc") - half).alias("delta_ci_low"),
+        (F.col("delta_auc") + half).alias("delta_ci_high"),
         "se_delta", "z", normal_p("z").alias("p_value"),
     )
 

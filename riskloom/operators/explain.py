@@ -19,7 +19,6 @@ from pyspark.sql.functions import pandas_udf
 
 from riskloom.functions.hashing import hash_key
 from riskloom.operators.metrics import error_class
-from riskloom.operators.quantiles import quantile_columns
 from riskloom.operators.sampling import pick_per_class, stratified_sample
 
 QUARTILES = {"q1": 0.25, "q2": 0.5, "q3": 0.75}
@@ -43,7 +42,10 @@ def slot_statistics(sample: DataFrame, slots: DataFrame) -> DataFrame:
     Bin of a number: how many quartiles lie strictly below it (0..3). Bin of a 0/1 slot: its value.
     """
     tall = slot_values(sample)
-    quart = quantile_columns(tall, ["idx"], "value", QUARTILES)
+    # The sample has a fixed size, so the built-in exact percentile is bounded here.
+    quart = tall.groupBy("idx").agg(*[
+        F.percentile("value", p).alias(q) for q, p in QUARTILES.items()
+    ])
     numeric = F.col("kind") == "numeric"
     by_quartile = sum(((F.col("value") > F.col(q)).cast("int") for q in QUARTILES), F.lit(0))
     binned = (

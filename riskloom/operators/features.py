@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from riskloom.operators.profile import tall_numeric
-from riskloom.operators.quantiles import exact_quantiles
+from riskloom.operators.quantiles import exact_quantiles, fitted_quantiles
 from riskloom.roles import Roles
 
 MEDIAN_ERROR = 1e-4
@@ -64,13 +64,11 @@ def exact_medians(train: DataFrame, columns: Sequence[str]) -> DataFrame:
     ).select("variable", F.col("quantile").alias("median"))
 
 
-def impute_exact(df: DataFrame, medians: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """``df`` with the missing numbers of ``columns`` replaced by the fitted medians."""
-    wide = medians.groupBy().agg(*[
-        F.max(F.when(F.col("variable") == c, F.col("median"))).alias(c) for c in columns
-    ])
+def impute_exact(train: DataFrame, df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """``df`` with the missing numbers of ``columns`` replaced by the exact medians of ``train``."""
+    medians = fitted_quantiles(train, columns, 0.5)
     return df.withColumns({
-        c: F.coalesce(F.col(c), wide.select(c).scalar()) for c in columns
+        c: F.coalesce(F.col(c).cast("double"), F.lit(m)) for c, m in medians.items()
     })
 
 

@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 
 from riskloom.operators.metrics import auc, classification_metrics, confusion, long_scores
 from riskloom.operators.sampling import stratified_folds
+from riskloom.session import materialize
 
 SEED = 42
 
@@ -81,7 +82,7 @@ def tune(family: Family, train: DataFrame, id_col: str, target: str,
          grid: Mapping[str, Sequence] | None = None, folds: int = 3, parallelism: int = 1,
          num_bins: int = 1000, **params) -> Tuned:
     """Grid search by cross-validated AUC on the family's own score column. Folds are stratified
-    by hash; ``parallelism`` fits run at once."""
+    by hash and written once; ``parallelism`` fits run at once."""
     estimator = family.estimator(target, **params)
     evaluator = BinaryClassificationEvaluator(
         labelCol=target, rawPredictionCol=family.score_source, metricName="areaUnderROC",
@@ -92,11 +93,11 @@ def tune(family: Family, train: DataFrame, id_col: str, target: str,
         evaluator=evaluator, numFolds=folds, foldCol="fold", parallelism=parallelism, seed=SEED,
     )
     start = time.perf_counter()
-    fitted = search.fit(stratified_folds(train, id_col, target, folds))
+    fitted = search.fit(materialize(stratified_folds(train, id_col, target, folds)))
     seconds = time.perf_counter() - start
     names = list(grid or family.grid)
     best = {p: fitted.bestModel.getOrDefault(fitted.bestModel.getParam(p)) for p in names}
-    return Tuned(family, fitted.bestModel, best, max(fitted.avgMetrics), seconds)
+    return Tuned(family, fitted.bestModel, best, float(max(fitted.avgMetrics)), seconds)
 
 
 def refit(family: Family, train: DataFrame, target: str, params: Mapping) -> Tuned:

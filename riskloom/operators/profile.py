@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from riskloom.operators.quantiles import quantile_columns
+from riskloom.operators.quantiles import fitted_quantiles, quantile_columns
 
 
 def tall_text(df: DataFrame, columns: Sequence[str], keep: Sequence[str] = ()) -> DataFrame:
@@ -204,13 +204,9 @@ def group_rare(df: DataFrame, keep: DataFrame, columns: Sequence[str], other: st
 
 def clip_at_quantile(df: DataFrame, columns: Sequence[str], prob: float = 0.99) -> DataFrame:
     """Every column cut off above at its own quantile."""
-    caps = quantile_columns(tall_numeric(df, columns), ["variable"], "value", {"cap": prob})
-    wide = caps.groupBy().agg(*[
-        F.max(F.when(F.col("variable") == c, F.col("cap"))).alias(c) for c in columns
-    ])
+    caps = fitted_quantiles(df, columns, prob)
     return df.withColumns({
-        c: F.when(F.col(c).isNotNull(), F.least(F.col(c), wide.select(c).scalar()))
-        for c in columns
+        c: F.when(F.col(c).isNotNull(), F.least(F.col(c), F.lit(cap))) for c, cap in caps.items()
     })
 
 

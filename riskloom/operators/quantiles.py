@@ -1,71 +1,88 @@
 """Exact quantiles with linear interpolation, for data of any size.
 
-The built-in exact ``percentile`` keeps every distinct value of a group in one task. Here the
-bucket that holds each wanted position is found first, and only the rows of those buckets are
-shuffled and ordered.
+The built-in exact ``percentile`` keeps every distinct value of a group in one task. Here rows are
+counted per bucket first, which tells the bucket that holds each wanted position; only the rows of
+those buckets are then shuffled and ordered.
 """
 
 from __future__ import annotations
 
+import math
+from collections import defaultdict
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import (
+    DoubleType, IntegerType, LongType, StructField, StructType,
+)
 
-from riskloom.operators.ranks import Buckets, bucket_offsets
+from riskloom.operators.ranks import Buckets
+
+
+def _positions(counts: list, n_by: int, probs: Sequence[float]) -> list[tuple]:
+    """Bucket and order of every wanted position, from (group..., bucket, n) rows."""
+    groups = defaultdict(list)
+    for row in counts:
+        groups[tuple(row[:n_by])].append((row[n_by], row[n_by + 1]))
+    wanted = []
+    for group, buckets in groups.items():
+        buckets.sort()
+        total = sum(n for _, n in buckets)
+        for prob in probs:
+            place = (total - 1) * prob
+            low = math.floor(place)
+            for side, at in ((0, low), (1, min(low + 1, total - 1))):
+                before = 0
+                for bucket, n in buckets:
+                    if at < before + n:
+                        wanted.append((*group, bucket, prob, side, at - before, place - low))
+                        break
+                    before += n
+    return wanted
 
 
 def exact_quantiles(long: DataFrame, by: Sequence[str], value: str, probs: Sequence[float],
                     n_buckets: int | None = None) -> DataFrame:
-    """One row per group and probability: ``by, prob, quantile``."""
+    """One row per group and probability: ``by, prob, quantile``.
+
+    The counts per bucket (groups x buckets numbers) are fitted on the driver; the rows are not.
+    """
     by = list(by)
     rows = long.where(F.col(value).isNotNull()).select(
-        *by, F.col(value).cast("double").alias("_v"), F.lit(1).cast("long").alias("n")
+        *by, F.col(value).cast("double").alias("_v")
     )
     placed = Buckets.fit(rows, by, "_v", n_buckets).place(rows)
-    positions = F.array(*[
-        F.struct(F.lit(float(p)).alias("prob"), F.lit(side).alias("side"))
-        for p in sorted(set(probs)) for side in (0, 1)
-    ])
-    last = F.col("n_total") - 1
-    at = F.least(F.floor(last * F.col("_p.prob")) + F.col("_p.side"), last)
-    wanted = (
-        bucket_offsets(placed, by, ["n"])
-        .withColumn("_p", F.explode(positions))
-        .select(*by, "_bucket", "n_in", "n_before", "n_total", "_p.prob", "_p.side",
-                at.alias("at"))
-        .where((F.col("at") >= F.col("n_before"))
-               & (F.col("at") < F.col("n_before") + F.col("n_in")))
-        .groupBy(*by, "_bucket", "n_before", "n_total")
-        .agg(F.collect_list(F.struct("prob", "side", "at")).alias("_wanted"))
+    counts = placed.groupBy(*by, "_bucket").agg(F.count("*")).collect()
+    probs = sorted({float(p) for p in probs})
+    schema = StructType(
+        [rows.schema[c] for c in by]
+        + [StructField("_bucket", IntegerType()), StructField("prob", DoubleType()),
+           StructField("_side", IntegerType()), StructField("_at", LongType()),
+           StructField("_part", DoubleType())]
     )
+    found = _positions(counts, len(by), probs)
+    wanted = long.sparkSession.createDataFrame(found, schema)
+    keys = [*by, "_bucket"]
     below = (
-        Window.partitionBy(*by, "_bucket").orderBy("_v")
-        .rowsBetween(Window.unboundedPreceding, -1)
+        Window.partitionBy(*keys).orderBy("_v").rowsBetween(Window.unboundedPreceding, -1)
     )
-    start = F.col("n_before") + F.coalesce(F.sum("n").over(below), F.lit(0))
-    # The filtering join sits under the aggregation: rows of other buckets are dropped map-side.
+    # The semi join sits under the aggregation: rows of other buckets are dropped map-side.
     kept = (
-        placed.join(F.broadcast(wanted.select(*by, "_bucket")), [*by, "_bucket"], "left_semi")
-        .groupBy(*by, "_bucket", "_v").agg(F.sum("n").alias("n"))
-        .join(F.broadcast(wanted), [*by, "_bucket"])
+        placed.join(F.broadcast(wanted.select(*keys).distinct()), keys, "left_semi")
+        .groupBy(*keys, "_v").agg(F.count("*").alias("_n"))
+        .withColumn("_start", F.coalesce(F.sum("_n").over(below), F.lit(0)))
     )
-    hits = (
-        kept.withColumn("_start", start)
-        .withColumn("_w", F.explode("_wanted"))
-        .where((F.col("_w.at") >= F.col("_start")) & (F.col("_w.at") < F.col("_start") + F.col("n")))
-        .groupBy(*by, F.col("_w.prob").alias("prob"))
-        .agg(
-            F.max(F.when(F.col("_w.side") == 0, F.col("_v"))).alias("_lo"),
-            F.max(F.when(F.col("_w.side") == 1, F.col("_v"))).alias("_hi"),
-            F.first("n_total").alias("n_total"),
-        )
+    ends = (
+        kept.join(F.broadcast(wanted), keys)
+        .where((F.col("_at") >= F.col("_start")) & (F.col("_at") < F.col("_start") + F.col("_n")))
+        .groupBy(*by, "prob", "_part")
+        .agg(F.max(F.when(F.col("_side") == 0, F.col("_v"))).alias("_lo"),
+             F.max(F.when(F.col("_side") == 1, F.col("_v"))).alias("_hi"))
     )
-    where = (F.col("n_total") - 1) * F.col("prob")
-    return hits.select(
+    return ends.select(
         *by, "prob",
-        (F.col("_lo") + (F.col("_hi") - F.col("_lo")) * (where - F.floor(where)))
-        .alias("quantile"),
+        (F.col("_lo") + (F.col("_hi") - F.col("_lo")) * F.col("_part")).alias("quantile"),
     )
 
 
@@ -77,3 +94,12 @@ def quantile_columns(long: DataFrame, by: Sequence[str], value: str,
         F.max(F.when(F.col("prob") == F.lit(float(p)), F.col("quantile"))).alias(name)
         for name, p in named.items()
     ])
+
+
+def fitted_quantiles(df: DataFrame, columns: Sequence[str], prob: float) -> dict[str, float]:
+    """One exact quantile per column, as fitted numbers. Columns without values are absent."""
+    long = df.select(*[F.col(c).cast("double").alias(c) for c in columns]).unpivot(
+        [], list(columns), "variable", "value"
+    )
+    rows = exact_quantiles(long, ["variable"], "value", [prob]).collect()
+    return {r["variable"]: r["quantile"] for r in rows}

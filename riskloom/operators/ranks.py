@@ -61,12 +61,10 @@ class Buckets:
         groups = list(self.cuts)
         inputs = [f"_in{i}" for i in range(len(groups))]
         outputs = [f"_out{i}" for i in range(len(groups))]
-        wide = df
-        for name, group in zip(inputs, groups):
-            mine = F.lit(True)
-            for column, level in zip(self.by, group):
-                mine = mine & (F.col(column) == F.lit(level))
-            wide = wide.withColumn(name, F.when(mine, F.col(self.value)).cast("double"))
+        wide = df.withColumns({
+            name: F.when(self._is(group), F.col(self.value)).cast("double")
+            for name, group in zip(inputs, groups)
+        })
         placed = Bucketizer(
             inputCols=inputs, outputCols=outputs, handleInvalid="keep",
             splitsArray=[[-INF, *self.cuts[g], INF] for g in groups],
@@ -74,6 +72,12 @@ class Buckets:
         bucket = F.coalesce(*[F.col(c) for c in outputs], F.lit(0.0)).cast("int")
         return placed.select(*df.columns, bucket.alias("_bucket"))
 
+    def _is(self, group: tuple) -> Column:
+        mine = F.lit(True)
+        for column, level in zip(self.by, group):
+            mine = mine & (F.col(column) == F.lit(level))
+        return mine
+
 
 def bucket_offsets(placed: DataFrame, by: Sequence[str], counters: Sequence[str]) -> DataFrame:
     """Per group and bucket: each counter in the bucket, before it and in the whole group."""
