@@ -49,7 +49,7 @@ class Buckets:
             .collect()
         )
         cuts = {
-            tuple(r[c] for c in by): tuple(sorted({v for v in r["_cuts"] if abs(v) < INF}))
+            tuple(r[c] for c in by): tuple(sorted({v + 0.0 for v in r["_cuts"] if abs(v) < INF}))
             for r in rows
         }
         return Buckets(tuple(by), value, {g: c for g, c in cuts.items() if c})
@@ -61,8 +61,10 @@ class Buckets:
         groups = list(self.cuts)
         inputs = [f"_in{i}" for i in range(len(groups))]
         outputs = [f"_out{i}" for i in range(len(groups))]
+        # Grouping takes -0.0 and 0.0 as one value, so their bucket must be the same too.
+        value = F.when(F.col(self.value) == 0, 0.0).otherwise(F.col(self.value).cast("double"))
         wide = df.withColumns({
-            name: F.when(self._is(group), F.col(self.value)).cast("double")
+            name: F.when(self._is(group), value)
             for name, group in zip(inputs, groups)
         })
         placed = Bucketizer(

@@ -1,6 +1,6 @@
 """Reading inputs and storing results."""
 
 from riskloom.sources.tables import (  # noqa: F401
-    ingest_csv, export_arrays, preview, read_csv_text, read_params_table, read_table,
+    export_arrays, ingest_csv, preview, read_csv_text, read_params_table, read_table,
     small_table, write_json, write_result_csv, write_table,
 )
