@@ -47,7 +47,7 @@ def write_table(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> D
 
 
 def write_result_csv(df: DataFrame, path: str) -> None:
-    df.write.mode("overwrite").option("header", True).csv(path)
+    df.write.mode("overwrite").option("header", True).option("escape", '"').csv(path)
 
 
 def write_json(df: DataFrame, path: str) -> None:
