@@ -9,7 +9,7 @@ from riskloom.catalog import views as v
 from riskloom.catalog.modelling import refitted
 from riskloom.catalog.registry import query
 from riskloom.operators import explain, metrics, models, sampling
-from riskloom.session import materialize
+from riskloom.session import materialize, small_table
 
 VEC = """vec AS (SELECT CAST(vec_id AS VARCHAR) AS id, CASE WHEN label = 0 THEN 1 ELSE 0 END AS y,
   embedding FROM embeddings)"""
@@ -26,8 +26,8 @@ def _(spark, d):
 
 
 def slots(spark, d, n=64):
-    return spark.createDataFrame(
-        [(i, f"e{i}", "numeric") for i in range(n)], "idx int, name string, kind string"
+    return small_table(
+        spark, [(i, f"e{i}", "numeric") for i in range(n)], "idx int, name string, kind string"
     )
 
 

@@ -13,7 +13,7 @@ from riskloom.catalog.describing import COUNTS
 from riskloom.catalog.ordering import AREAS
 from riskloom.catalog.registry import query
 from riskloom.operators import features, models, sampling
-from riskloom.session import materialize
+from riskloom.session import materialize, small_table
 
 TRAIN = f"""{SPLIT}, train AS (SELECT loan.* FROM loan JOIN split USING (id)
   WHERE split.split = 'train')"""
@@ -153,7 +153,7 @@ def _(spark, d):
         ).evaluate(wide))
         for m in ("a_mix", "a_bal")
     ]
-    return spark.createDataFrame(rows, "model string, auc double")
+    return small_table(spark, rows, "model string, auc double")
 
 
 def vector_sets(spark, d):

@@ -15,6 +15,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """A table that the scan reads as a single split (so at most one split in size) is dealt out
+    over all cores; a table with several splits is left as it is."""
+    if df.rdd.getNumPartitions() > 1:
+        return df
+    return df.repartition(df.sparkSession.sparkContext.defaultParallelism)
+
+
 def orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "orders").withColumn(
         "y", target_flag("o_orderpriority", ["1-URGENT"])
@@ -28,7 +36,7 @@ ORDERS = """o AS (SELECT *, CASE WHEN o_orderpriority = '1-URGENT' THEN 1 ELSE 0
 def loan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders as loans: a unique id, a target, two numbers, four categories."""
     return (
-        table(spark, sf_dir, "orders")
+        spread(table(spark, sf_dir, "orders"))
         .join(table(spark, sf_dir, "customer"), F.col("o_custkey") == F.col("c_custkey"))
         .join(table(spark, sf_dir, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
         .select(
@@ -138,7 +146,7 @@ MISSING = """missing AS (SELECT CAST(d.doc_id AS VARCHAR) AS id,
 
 def lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Line items with their zero tax read as not recorded."""
-    return table(spark, sf_dir, "lineitem").select(
+    return spread(table(spark, sf_dir, "lineitem")).select(
         F.when(F.col("l_returnflag") == "R", 1).otherwise(0).alias("y"),
         "l_quantity", "l_extendedprice", "l_discount",
         sentinel_to_null("l_tax", equals=[0.0]).alias("l_tax"),

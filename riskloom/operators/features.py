@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from riskloom.operators.profile import tall_numeric
 from riskloom.operators.quantiles import exact_quantiles, fitted_quantiles
 from riskloom.roles import Roles
+from riskloom.session import small_table
 
 MEDIAN_ERROR = 1e-4
 
@@ -81,7 +82,7 @@ def category_index(train: DataFrame, columns: Sequence[str]) -> DataFrame:
         (c, label, i)
         for c, labels in zip(columns, fitted.labelsArray) for i, label in enumerate(labels)
     ]
-    return train.sparkSession.createDataFrame(rows, "variable string, value string, idx int")
+    return small_table(train.sparkSession, rows, "variable string, value string, idx int")
 
 
 def scaler_statistics(train: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -91,7 +92,7 @@ def scaler_statistics(train: DataFrame, columns: Sequence[str]) -> DataFrame:
         vectors.transform(train)
     )
     rows = [(c, float(m), float(s)) for c, m, s in zip(columns, fitted.mean, fitted.std)]
-    return train.sparkSession.createDataFrame(rows, "variable string, mean double, sd double")
+    return small_table(train.sparkSession, rows, "variable string, mean double, sd double")
 
 
 def imputer_values(model: PipelineModel) -> DataFrame:
@@ -113,4 +114,4 @@ def slot_names(df: DataFrame, roles: Roles, vector: str = "features") -> DataFra
             elif name is not None:
                 name = name.replace("_ohe_", "_")
             rows.append((idx, name, kind))
-    return df.sparkSession.createDataFrame(sorted(rows), "idx int, name string, kind string")
+    return small_table(df.sparkSession, sorted(rows), "idx int, name string, kind string")

@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from riskloom.operators.metrics import auc, classification_metrics, confusion, long_scores
 from riskloom.operators.sampling import stratified_folds
-from riskloom.session import materialize
+from riskloom.session import materialize, small_table
 
 SEED = 42
 
@@ -136,7 +136,8 @@ def evaluate(scored: DataFrame, id_col: str, target: str,
     time. All models are evaluated together."""
     spark = scored.sparkSession
     long = scores_long(scored, id_col, target, list(tuned))
-    facts = spark.createDataFrame(
+    facts = small_table(
+        spark,
         [(n, json.dumps(t.params, sort_keys=True), t.cv_auc, t.family.cut, t.fit_seconds)
          for n, t in tuned.items()],
         "model string, best_params string, cv_auc double, threshold double, fit_seconds double",
@@ -169,7 +170,7 @@ def coefficient_report(tuned: Tuned, spark: SparkSession) -> DataFrame:
     values = [float(v) for v in model.coefficients.toArray()]
     summary = getattr(model, "summary", None) if getattr(model, "hasSummary", False) else None
     iterations = int(summary.totalIterations) if summary is not None else None
-    table = spark.createDataFrame([(v,) for v in values], "coefficient double")
+    table = small_table(spark, [(v,) for v in values], "coefficient double")
     c = F.col("coefficient")
     return table.agg(
         F.min(c).alias("min"), F.max(c).alias("max"), F.avg(c).alias("mean"),
@@ -182,7 +183,7 @@ def coefficient_report(tuned: Tuned, spark: SparkSession) -> DataFrame:
 
 def named_coefficients(tuned: Tuned, slots: DataFrame) -> DataFrame:
     values = [(i, float(v)) for i, v in enumerate(tuned.model.coefficients.toArray())]
-    table = slots.sparkSession.createDataFrame(values, "idx int, coefficient double")
+    table = small_table(slots.sparkSession, values, "idx int, coefficient double")
     return slots.join(table, "idx")
 
 

@@ -11,13 +11,14 @@ import math
 from collections import defaultdict
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import (
     DoubleType, IntegerType, LongType, StructField, StructType,
 )
 
 from riskloom.operators.ranks import Buckets
+from riskloom.session import small_table
 
 
 def _positions(counts: list, n_by: int, probs: Sequence[float]) -> list[tuple]:
@@ -42,6 +43,20 @@ def _positions(counts: list, n_by: int, probs: Sequence[float]) -> list[tuple]:
     return wanted
 
 
+def _in_buckets(by: Sequence[str], found: list[tuple]) -> Column:
+    """Rows of the buckets that hold a wanted position."""
+    buckets = defaultdict(set)
+    for row in found:
+        buckets[row[:len(by)]].add(row[len(by)])
+    keep = F.lit(False)
+    for group, numbers in buckets.items():
+        mine = F.col("_bucket").isin(sorted(numbers))
+        for column, level in zip(by, group):
+            mine = mine & (F.col(column) == F.lit(level))
+        keep = keep | mine
+    return keep
+
+
 def exact_quantiles(long: DataFrame, by: Sequence[str], value: str, probs: Sequence[float],
                     n_buckets: int | None = None) -> DataFrame:
     """One row per group and probability: ``by, prob, quantile``.
@@ -62,14 +77,14 @@ def exact_quantiles(long: DataFrame, by: Sequence[str], value: str, probs: Seque
            StructField("_part", DoubleType())]
     )
     found = _positions(counts, len(by), probs)
-    wanted = long.sparkSession.createDataFrame(found, schema)
+    wanted = small_table(long.sparkSession, found, schema)
     keys = [*by, "_bucket"]
     below = (
         Window.partitionBy(*keys).orderBy("_v").rowsBetween(Window.unboundedPreceding, -1)
     )
-    # The semi join sits under the aggregation: rows of other buckets are dropped map-side.
+    # Rows of other buckets are dropped before the shuffle.
     kept = (
-        placed.join(F.broadcast(wanted.select(*keys).distinct()), keys, "left_semi")
+        placed.where(_in_buckets(by, found))
         .groupBy(*keys, "_v").agg(F.count("*").alias("_n"))
         .withColumn("_start", F.coalesce(F.sum("_n").over(below), F.lit(0)))
     )

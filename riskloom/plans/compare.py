@@ -11,8 +11,7 @@ from pyspark.sql import functions as F
 from riskloom.operators import (
     agreement, bootstrap, delong, mcnemar, metrics, multiple, profile, quality, sampling,
 )
-from riskloom.session import materialize
-from riskloom.sources import small_table
+from riskloom.session import materialize, small_table
 
 
 @dataclass(frozen=True)

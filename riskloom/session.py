@@ -3,8 +3,11 @@
 from __future__ import annotations
 
 import tempfile
+from collections.abc import Sequence
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 
 def local_session(app: str = "riskloom", cores: str = "*", shuffle_partitions: int = 8,
@@ -47,6 +50,16 @@ def materialize(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def small_table(spark: SparkSession, rows: Sequence[tuple], schema: str | StructType) -> DataFrame:
+    """Fitted numbers, thresholds, names: a handful of rows that become part of the plan itself
+    (through Arrow), with no job to read them."""
+    if isinstance(schema, str):
+        schema = StructType.fromDDL(schema)
+    names = schema.fieldNames()
+    columns = [[r[i] for r in rows] for i in range(len(names))]
+    return spark.createDataFrame(pa.table(columns, names=names), schema)
+
+
 def shuffle_width(df: DataFrame) -> int:
     """Number of buckets for range-split work: the session's shuffle width, within bounds."""
     width = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))

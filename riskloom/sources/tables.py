@@ -61,11 +61,6 @@ def read_params_table(spark: SparkSession, path: str, schema: str,
     return df.withColumn(params, F.from_json(params, "map<string,string>"))
 
 
-def small_table(spark: SparkSession, rows: Sequence[tuple], schema: str) -> DataFrame:
-    """Thresholds, family names, grids: tables of a handful of rows."""
-    return spark.createDataFrame(list(rows), schema)
-
-
 def export_arrays(df: DataFrame, vector: str = "features", name: str = "features_arr") -> DataFrame:
     return df.withColumn(name, vector_to_array(vector)).drop(vector)
 
