@@ -220,10 +220,11 @@ def _(spark, d):
 
 
 @query("p13_threshold_label", f"""WITH {v.TALL} SELECT id, model, CASE WHEN score >= CASE WHEN model LIKE '%bal' THEN 8.0
-    ELSE 250000.0 END THEN 1 ELSE 0 END AS pred FROM tall WHERE model NOT LIKE '%mix'""")
+    WHEN model LIKE '%mix' THEN 420.0 ELSE 250000.0 END THEN 1 ELSE 0 END AS pred FROM tall""")
 def _(spark, d):
     cuts = sources.small_table(
-        spark, [("a_bal", 8.0), ("b_bal", 8.0), ("a_price", 250000.0), ("b_price", 250000.0)],
+        spark, [("a_bal", 8.0), ("b_bal", 8.0), ("a_price", 250000.0), ("b_price", 250000.0),
+                ("a_mix", 420.0), ("b_mix", 420.0)],
         "model string, threshold double",
     )
     return metrics.apply_thresholds(v.scores_tall(spark, d), cuts, ["model"]).select(

@@ -68,7 +68,7 @@ def _(spark, d):
     WHEN a.a_bal = b.a_bal THEN 0.5::DOUBLE ELSE 0.0::DOUBLE END) AS v
   FROM scores a JOIN scores b ON a.y <> b.y GROUP BY a.id, a.y""", "v", 8)
 def _(spark, d):
-    long = metrics.long_scores(v.scores(spark, d), "id", "y", {"a_bal": "a_bal"})
+    long = metrics.long_scores(v.stored_scores(spark, d), "id", "y", {"a_bal": "a_bal"})
     return delong.components(long).select("id", "y", "v")
 
 
@@ -86,7 +86,7 @@ def _(spark, d):
   auc_a + 1.96::DOUBLE * sqrt(cov) AS ci_high FROM cov
   WHERE model_a = model_b AND model_a = 'a_mix'""", "auc var ci_low ci_high", 9)
 def _(spark, d):
-    one = metrics.long_scores(v.scores(spark, d), "id", "y", {"a_mix": "a_mix"})
+    one = metrics.long_scores(v.stored_scores(spark, d), "id", "y", {"a_mix": "a_mix"})
     return delong.auc_intervals(delong.covariance(one, ["a_mix"]))
 
 
@@ -262,7 +262,7 @@ BOOT_CUTS = {"a_bal": 8.0, "b_bal": 8.0, "a_mix": 420.0, "a_price": 250000.0}
 
 def replicates(spark, d, cuts=None):
     return bootstrap.replicate_metrics(
-        v.scores(spark, d), "id", "y", cuts or BOOT_CUTS, REPLICATES
+        v.stored_scores(spark, d), "id", "y", cuts or BOOT_CUTS, REPLICATES
     )
 
 
@@ -327,7 +327,7 @@ def _(spark, d):
 @query("t19_variance_ratio")
 def _(spark, d):
     cuts = {"a_bal": 8.0, "a_mix": 420.0}
-    long = metrics.long_scores(v.scores(spark, d), "id", "y", {m: m for m in cuts})
+    long = metrics.long_scores(v.stored_scores(spark, d), "id", "y", {m: m for m in cuts})
     intervals = delong.auc_intervals(delong.covariance(long, list(cuts)))
     return bootstrap.variance_check(replicates(spark, d, cuts), intervals)
 

@@ -12,11 +12,10 @@ from riskloom.operators import metrics, profile, ranks, sampling
 
 @query("w01_midrank", f"""WITH {v.TALL} SELECT id, model,
   rank() OVER (PARTITION BY model ORDER BY score)
-  + (count(*) OVER (PARTITION BY model, score) - 1) / 2.0::DOUBLE AS midrank FROM tall
-  WHERE model IN ('a_price', 'a_bal')""", "midrank", 3)
+  + (count(*) OVER (PARTITION BY model, score) - 1) / 2.0::DOUBLE AS midrank FROM tall""",
+       "midrank", 3)
 def _(spark, d):
-    long = v.scores_tall(spark, d).where(F.col("model").isin("a_price", "a_bal"))
-    return ranks.midranks(long, ["model"], "score", "id").select("id", "model", "midrank")
+    return ranks.midranks(v.scores_tall(spark, d), ["model"], "score", "id").select("id", "model", "midrank")
 
 
 @query("w02_cumulative_counts", f"""WITH {v.POINTS} SELECT model, score AS threshold,
@@ -112,11 +111,10 @@ def _(spark, d):
 
 
 @query("o07_explicit_order", f"""WITH {v.SCORES} SELECT id, a_mix,
-  CAST(rank() OVER (ORDER BY CAST(id AS BIGINT)) - 1 AS BIGINT) AS row_order FROM scores
-  WHERE CAST(id AS BIGINT) < 500""", "a_mix")
+  CAST(rank() OVER (ORDER BY CAST(id AS BIGINT)) - 1 AS BIGINT) AS row_order FROM scores""",
+       "a_mix")
 def _(spark, d):
-    few = v.scores(spark, d).where(F.col("id").cast("long") < 500)
-    numbered = few.withColumn("k", F.col("id").cast("long"))
+    numbered = v.stored_scores(spark, d).withColumn("k", F.col("id").cast("long"))
     points = ranks.cumulative_counts(
         numbered.withColumn("g", F.lit(0)), ["g"], "k", {"n": F.lit(1).cast("long")}
     )

@@ -9,6 +9,7 @@ from riskloom.functions.clean import sentinel_to_null, target_flag
 from riskloom.functions.hashing import hash_uniform
 from riskloom.operators.metrics import long_scores
 from riskloom.roles import Roles
+from riskloom.session import materialize
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -67,6 +68,11 @@ def uniform_sql(seed: str, key: str = "id", block: str | None = None, slot: str
 MODELS = ("a_price", "a_bal", "a_mix", "b_price", "b_bal", "b_mix")
 
 
+def stored_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The score table written once, for questions that read it several times."""
+    return materialize(scores(spark, sf_dir))
+
+
 def scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Wide score table: three kinds of score in two runs, one of them heavily tied and one that
     carries signal. Run b is run a with hashed noise."""
@@ -95,7 +101,7 @@ SCORES = f"""{LOAN}, scores AS (SELECT id, y,
 
 
 def scores_tall(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return long_scores(scores(spark, sf_dir), "id", "y", {m: m for m in MODELS})
+    return long_scores(stored_scores(spark, sf_dir), "id", "y", {m: m for m in MODELS})
 
 
 TALL = f"""{SCORES}, tall AS (UNPIVOT scores ON {", ".join(MODELS)} INTO NAME model VALUE score)"""

@@ -18,7 +18,9 @@ from pyspark.sql.types import (
 )
 
 from riskloom.operators.ranks import Buckets
-from riskloom.session import small_table
+from riskloom.session import shuffle_width, small_table
+
+MIN_BUCKETS = 256
 
 
 def _positions(counts: list, n_by: int, probs: Sequence[float]) -> list[tuple]:
@@ -67,6 +69,8 @@ def exact_quantiles(long: DataFrame, by: Sequence[str], value: str, probs: Seque
     rows = long.where(F.col(value).isNotNull()).select(
         *by, F.col(value).cast("double").alias("_v")
     )
+    # Narrow buckets: only those with a wanted position are shuffled.
+    n_buckets = n_buckets or max(MIN_BUCKETS, shuffle_width(long))
     placed = Buckets.fit(rows, by, "_v", n_buckets).place(rows)
     counts = placed.groupBy(*by, "_bucket").agg(F.count("*")).collect()
     probs = sorted({float(p) for p in probs})

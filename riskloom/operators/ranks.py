@@ -20,7 +20,7 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from riskloom.session import shuffle_width
+from riskloom.session import shuffle_width, small_table
 
 SAMPLE_SHARE = 0.05
 INF = float("inf")
@@ -82,37 +82,46 @@ class Buckets:
 
 
 def bucket_offsets(placed: DataFrame, by: Sequence[str], counters: Sequence[str]) -> DataFrame:
-    """Per group and bucket: each counter in the bucket, before it and in the whole group."""
+    """Per group and bucket: each counter before the bucket and in the whole group."""
     by = list(by)
     running = Window.partitionBy(*by).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     whole = Window.partitionBy(*by)
     totals = placed.groupBy(*by, "_bucket").agg(*[F.sum(c).alias(c) for c in counters])
     return totals.select(
         *by, "_bucket",
-        *[F.col(c).alias(f"{c}_in") for c in counters],
         *[F.coalesce(F.sum(c).over(running), F.lit(0)).alias(f"{c}_before") for c in counters],
         *[F.sum(c).over(whole).alias(f"{c}_total") for c in counters],
     )
 
 
+def fitted_offsets(placed: DataFrame, by: Sequence[str], counters: Sequence[str]) -> DataFrame:
+    """The same table computed once and kept in the plan: groups x buckets rows, so that plans
+    which use the counts several times do not count again."""
+    offsets = bucket_offsets(placed, by, counters)
+    return small_table(placed.sparkSession, offsets.collect(), offsets.schema)
+
+
 def cumulative_counts(df: DataFrame, by: Sequence[str], value: str,
                       counters: Mapping[str, Column], buckets: Buckets | None = None,
                       n_buckets: int | None = None) -> DataFrame:
     """One row per group and distinct value, with for each counter its sum at the value
     (``c``), below the value (``c_below``) and over the group (``c_total``). Null values are
-    left out."""
+    left out.
+
+    Without ``buckets`` they are fitted here, for groups of a bounded number (models, variables).
+    With them, groups may be many (replicates) and nothing is collected.
+    """
     by = list(by)
     names = list(counters)
     rows = df.where(F.col(value).isNotNull()).select(
         *by, F.col(value).cast("double").alias(value), *[counters[c].alias(c) for c in names]
     )
-    fitted_here = buckets is None
-    if fitted_here:
-        buckets = Buckets.fit(rows, by, value, n_buckets)
-    placed = buckets.place(rows)
-    offsets = bucket_offsets(placed, by, names)
-    # Groups x buckets rows when the buckets were fitted per group; otherwise the planner decides.
-    offsets = F.broadcast(offsets) if fitted_here else offsets
+    if buckets is None:
+        placed = Buckets.fit(rows, by, value, n_buckets).place(rows)
+        offsets = F.broadcast(fitted_offsets(placed, by, names))
+    else:
+        placed = buckets.place(rows)
+        offsets = bucket_offsets(placed, by, names)
     points = placed.groupBy(*by, "_bucket", value).agg(*[F.sum(c).alias(c) for c in names])
     below = (
         Window.partitionBy(*by, "_bucket").orderBy(value)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 from collections.abc import Sequence
 
 import pyarrow as pa
@@ -44,10 +45,15 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 
 def materialize(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the checkpoint folder, so iterative work does not recompute its lineage
-    and survives the loss of executors."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Write ``df`` as a Parquet table in the checkpoint folder and read it back.
+
+    Work that needs several passes then neither recomputes the lineage nor loses it with an
+    executor, and each pass still reads only its own columns.
+    """
+    spark = df.sparkSession
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/riskloom-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def small_table(spark: SparkSession, rows: Sequence[tuple], schema: str | StructType) -> DataFrame:
