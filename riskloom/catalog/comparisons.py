@@ -212,12 +212,13 @@ def concordance_sql() -> str:
     return " UNION ALL ".join(rows)
 
 
-MCN = f"""{YOUDEN}, t AS ({concordance_sql()}), mcn AS (SELECT *,
+STATISTIC = """mcn AS (SELECT *,
   (n01 + n00) / (n11 + n10 + n01 + n00)::DOUBLE AS error_a,
   (n10 + n00) / (n11 + n10 + n01 + n00)::DOUBLE AS error_b,
   n10 + n01 AS discordant, n10 + n01 < 25 AS exact,
   CASE WHEN n10 + n01 < 25 THEN least(n10, n01)::DOUBLE
     ELSE pow(abs(n10 - n01) - 1, 2) / (n10 + n01)::DOUBLE END AS statistic FROM t)"""
+MCN = f"{YOUDEN}, t AS ({concordance_sql()}), {STATISTIC}"
 
 
 @query("a22_concordance_table", f"""WITH {MCN} SELECT kind, model_a, model_b, threshold_a,
@@ -234,14 +235,15 @@ def _(spark, d):
     return mcnemar.with_mcnemar_p(mcnemar.mcnemar(table))
 
 
-MCN_HOLM = f"""{MCN}, m1 AS (SELECT *, {chi2_p_sql("statistic", "1")} AS p_value FROM mcn),
+MCN_TAIL = f"""{STATISTIC}, m1 AS (SELECT *, {chi2_p_sql("statistic", "1")} AS p_value FROM mcn),
 m2 AS (SELECT *, row_number() OVER (ORDER BY p_value, model_a, model_b) AS pos FROM m1),
 m3 AS (SELECT *, least(1.0::DOUBLE, max((5 - pos + 1) * p_value) OVER (ORDER BY pos)) AS p_holm
   FROM m2)"""
+MCN_HOLM = f"{YOUDEN}, t AS ({concordance_sql()}), {MCN_TAIL}"
 
 
-def mcnemar_family(spark, d, cuts=None):
-    table = mcnemar.concordance(v.scores(spark, d), "y", cuts or youden(spark, d), PAIRS)
+def mcnemar_family(spark, d):
+    table = mcnemar.concordance(v.scores(spark, d), "y", youden(spark, d), PAIRS)
     tests = mcnemar.with_mcnemar_p(mcnemar.mcnemar(table)).withColumn("family", F.lit("all"))
     return multiple.holm(tests, ["family"], "p_value", ["model_a", "model_b"])
 
@@ -260,9 +262,9 @@ BOOT_PAIRS = [("across", "a_bal", "b_bal"), ("within_a", "a_mix", "a_price")]
 BOOT_CUTS = {"a_bal": 8.0, "b_bal": 8.0, "a_mix": 420.0, "a_price": 250000.0}
 
 
-def replicates(spark, d, cuts=None):
+def replicates(spark, d):
     return bootstrap.replicate_metrics(
-        v.stored_scores(spark, d), "id", "y", cuts or BOOT_CUTS, REPLICATES
+        v.stored_scores(spark, d), "id", "y", BOOT_CUTS, REPLICATES
     )
 
 
@@ -272,13 +274,17 @@ def poisson_sql(u: str) -> str:
     return " + ".join(f"CAST({u} >= {step!r}::DOUBLE AS INTEGER)" for step in POISSON_STEPS)
 
 
-BOOT = f"""{v.SCORES}, reps AS (SELECT unnest(range({REPLICATES})) AS rep),
+def boot_sql(cuts: dict[str, float]) -> str:
+    """CTEs from ``scores`` to ``bm``: the metrics of every replicate and model."""
+    names = ", ".join(cuts)
+    cut = " ".join(f"WHEN '{m}' THEN {t}" for m, t in cuts.items())
+    return f"""reps AS (SELECT unnest(range({REPLICATES})) AS rep),
 drawn AS (SELECT rep, id, {v.uniform_sql("42", block="(rep // 4)", slot="(rep % 4)")} AS u
   FROM scores, reps),
 weights AS (SELECT rep, id, {poisson_sql("u")} AS w FROM drawn
   UNION ALL SELECT -1, id, 1 FROM scores),
 bt AS (SELECT rep, model, score, sum(w * y) AS n_pos, sum(w * (1 - y)) AS n_neg
-  FROM (UNPIVOT (SELECT id, y, {", ".join(BOOT_CUTS)} FROM scores) ON {", ".join(BOOT_CUTS)}
+  FROM (UNPIVOT (SELECT id, y, {names} FROM scores) ON {names}
         INTO NAME model VALUE score) JOIN weights USING (id) WHERE w > 0 GROUP BY rep, model, score),
 bp AS (SELECT *, sum(n_pos) OVER (PARTITION BY rep, model) AS p,
     sum(n_neg) OVER (PARTITION BY rep, model) AS n,
@@ -290,8 +296,10 @@ bm AS (SELECT rep, model, CAST(sum(n_pos * (2 * neg_below + n_neg)) AS DOUBLE)
     AS average_precision,
   2.0::DOUBLE * sum(CASE WHEN score >= cut THEN n_pos ELSE 0 END) / (any_value(p)
     + sum(CASE WHEN score >= cut THEN n_pos + n_neg ELSE 0 END))::DOUBLE AS f1
-  FROM (SELECT *, CASE model WHEN 'a_mix' THEN 420.0 WHEN 'a_price' THEN 250000.0 ELSE 8.0 END
-    AS cut FROM bp) GROUP BY rep, model)"""
+  FROM (SELECT *, CASE model {cut} END AS cut FROM bp) GROUP BY rep, model)"""
+
+
+BOOT = f"{v.SCORES}, {boot_sql(BOOT_CUTS)}"
 
 
 @query("t18_bootstrap_replicates", f"""WITH {BOOT} SELECT CAST(rep AS INTEGER) AS rep, model, auc,
@@ -300,9 +308,9 @@ def _(spark, d):
     return replicates(spark, d)
 
 
-def boot_interval_sql() -> str:
+def boot_interval_sql(pairs) -> str:
     rows = []
-    for kind, a, b in BOOT_PAIRS:
+    for kind, a, b in pairs:
         parts = [f"'{kind}' AS kind, '{a}' AS model_a, '{b}' AS model_b"]
         for k in bootstrap.METRICS:
             gap = f"(x.{k} - z.{k})"
@@ -317,24 +325,63 @@ def boot_interval_sql() -> str:
     return " UNION ALL ".join(rows)
 
 
-@query("t18_paired_bootstrap", f"""WITH {BOOT}, bi AS ({boot_interval_sql()}) SELECT *, {", ".join(
+@query("t18_paired_bootstrap", f"""WITH {BOOT}, bi AS ({boot_interval_sql(BOOT_PAIRS)}) SELECT *, {", ".join(
     f"NOT ({k}_ci_low <= 0 AND {k}_ci_high >= 0) AS {k}_excludes_zero" for k in bootstrap.METRICS)}
   FROM bi""", " ".join(f"delta_{k} {k}_ci_low {k}_ci_high" for k in bootstrap.METRICS))
 def _(spark, d):
     return bootstrap.paired_intervals(replicates(spark, d), BOOT_PAIRS)
 
 
-@query("t19_variance_ratio")
+RATIO_CUTS = {"a_bal": 8.0, "a_mix": 420.0}
+
+
+@query("t19_variance_ratio", f"""WITH {v.DELONG}, {boot_sql(RATIO_CUTS)}
+  SELECT b.model, var_samp(b.auc) * 1e6 AS var_bootstrap, any_value(cov) * 1e6 AS var_analytic,
+    var_samp(b.auc) / any_value(cov) AS ratio
+  FROM bm b JOIN cov ON cov.model_a = b.model AND cov.model_b = b.model WHERE b.rep >= 0
+  GROUP BY b.model""", "var_bootstrap var_analytic ratio")
 def _(spark, d):
-    cuts = {"a_bal": 8.0, "a_mix": 420.0}
-    long = metrics.long_scores(v.stored_scores(spark, d), "id", "y", {m: m for m in cuts})
-    intervals = delong.auc_intervals(delong.covariance(long, list(cuts)))
-    return bootstrap.variance_check(replicates(spark, d, cuts), intervals)
+    wide = v.stored_scores(spark, d)
+    long = metrics.long_scores(wide, "id", "y", {m: m for m in RATIO_CUTS})
+    intervals = delong.auc_intervals(delong.covariance(long, list(RATIO_CUTS)))
+    reps = bootstrap.replicate_metrics(wide, "id", "y", RATIO_CUTS, REPLICATES)
+    return bootstrap.variance_check(reps, intervals).select(
+        "model", (F.col("var_bootstrap") * 1e6).alias("var_bootstrap"),
+        (F.col("var_analytic") * 1e6).alias("var_analytic"), "ratio",
+    )
 
 
-@query("t20_three_tests")
+FIXED_CUTS = {"a_price": 250000.0, "b_price": 250000.0, "a_bal": 8.0, "b_bal": 8.0,
+              "a_mix": 420.0, "b_mix": 420.0}
+THREE = f"""{TESTS}, {boot_sql(FIXED_CUTS)}, bi AS ({boot_interval_sql(PAIRS)}),
+cuts AS (SELECT * FROM (VALUES {", ".join(f"('{m}', {t}::DOUBLE)" for m, t in FIXED_CUTS.items())})
+  AS c(model, threshold)),
+t AS ({concordance_sql()}), {MCN_TAIL}"""
+
+
+@query("t20_three_tests", f"""WITH {THREE}
+  SELECT m.kind, m.model_a, m.model_b,
+    CASE WHEN t4.model_a = m.model_a THEN t4.delta_auc ELSE -t4.delta_auc END AS delong_delta_auc,
+    t4.p_holm < 0.05 AS delong_reject, abs(t4.delta_auc) >= 0.005 AS delong_practical,
+    m.p_holm < 0.05 AS mcnemar_reject, bi.delta_auc AS bootstrap_delta_auc,
+    printf('[%.4f, %.4f]', bi.auc_ci_low, bi.auc_ci_high) AS bootstrap_ci,
+    NOT (bi.auc_ci_low <= 0 AND bi.auc_ci_high >= 0) AS bootstrap_excludes_zero,
+    t4.p_holm < 0.05 AND m.p_holm < 0.05 AND NOT (bi.auc_ci_low <= 0 AND bi.auc_ci_high >= 0)
+      AS all_agree
+  FROM m3 m JOIN bi ON bi.model_a = m.model_a AND bi.model_b = m.model_b
+  JOIN t4 ON least(t4.model_a, t4.model_b) = least(m.model_a, m.model_b)
+    AND greatest(t4.model_a, t4.model_b) = greatest(m.model_a, m.model_b)""",
+       "delong_delta_auc bootstrap_delta_auc")
 def _(spark, d):
-    cuts = {"a_price": 250000.0, "b_price": 250000.0, "a_bal": 8.0, "b_bal": 8.0,
-            "a_mix": 420.0, "b_mix": 420.0}
-    boot = bootstrap.paired_intervals(replicates(spark, d, cuts), PAIRS)
-    return agreement.three_test_table(families(spark, d), mcnemar_family(spark, d, cuts), boot)
+    wide = v.stored_scores(spark, d)
+    long = metrics.long_scores(wide, "id", "y", {m: m for m in MODELS})
+    tests = delong.compare_families(
+        delong.covariance(long, MODELS), delong.comparison_table(model_table(spark))
+    )
+    counted = mcnemar.mcnemar(mcnemar.concordance(wide, "y", FIXED_CUTS, PAIRS))
+    adjusted = multiple.holm(
+        mcnemar.with_mcnemar_p(counted).withColumn("family", F.lit("all")),
+        ["family"], "p_value", ["model_a", "model_b"],
+    )
+    reps = bootstrap.replicate_metrics(wide, "id", "y", FIXED_CUTS, REPLICATES)
+    return agreement.three_test_table(tests, adjusted, bootstrap.paired_intervals(reps, PAIRS))

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from riskloom.functions.tails import normal_p
 from riskloom.operators.profile import tall_numeric
-from riskloom.operators.ranks import label_counts
+from riskloom.operators.ranks import label_counts, pair_sum
 
 
 def mann_whitney(df: DataFrame, columns: Sequence[str], target: str) -> DataFrame:
@@ -19,10 +19,10 @@ def mann_whitney(df: DataFrame, columns: Sequence[str], target: str) -> DataFram
     long = tall_numeric(df, columns, [target]).where(F.col(target).isNotNull())
     points = label_counts(long, ["variable"], "value", target)
     ties = (F.col("n_pos") + F.col("n_neg")).cast("double")
-    twice = F.col("n_neg") * (2 * F.col("n_pos_below") + F.col("n_pos")).cast("decimal(38,0)")
+    twice = pair_sum(F.col("n_neg"), 2 * F.col("n_pos_below") + F.col("n_pos"))
     sums = points.groupBy("variable").agg(
         F.first("n_neg_total").alias("n_0"), F.first("n_pos_total").alias("n_1"),
-        (F.sum(twice).cast("double") / 2).alias("u"),
+        (twice / 2).alias("u"),
         F.sum(ties * ties * ties - ties).alias("_t"),
     )
     n0, n1 = F.col("n_0").cast("double"), F.col("n_1").cast("double")

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from riskloom.functions.hashing import hash_key, poisson_one, uniform_from_key
 from riskloom.operators.metrics import ratio_or_zero
-from riskloom.operators.ranks import Buckets, cumulative_counts
+from riskloom.operators.ranks import Buckets, cumulative_counts, pair_sum
 
 DRAWS_PER_KEY = 4
 OBSERVED = -1
@@ -71,10 +71,9 @@ def replicate_metrics(wide: DataFrame, id_col: str, label: str, thresholds: Mapp
     called = F.col("score") >= cut
     tp_here = F.col("n_pos_total") - F.col("n_pos_below")
     fp_here = F.col("n_neg_total") - F.col("n_neg_below")
-    twice = F.col("n_pos") * (2 * F.col("n_neg_below") + F.col("n_neg")).cast("decimal(38,0)")
     sums = points.groupBy("rep", "model").agg(
         F.first("n_pos_total").alias("_p"), F.first("n_neg_total").alias("_n"),
-        F.sum(twice).cast("double").alias("_twice"),
+        pair_sum(F.col("n_pos"), 2 * F.col("n_neg_below") + F.col("n_neg")).alias("_twice"),
         F.sum(F.col("n_pos") / F.col("n_pos_total") * tp_here / (tp_here + fp_here))
         .alias("average_precision"),
         F.sum(F.when(called, F.col("n_pos")).otherwise(0)).alias("_tp"),

@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from riskloom.operators.ranks import label_counts
+from riskloom.operators.ranks import label_counts, pair_sum
 
 
 def long_scores(wide: DataFrame, id_col: str, label: str, scores: Mapping[str, str]) -> DataFrame:
@@ -94,10 +94,9 @@ def auc(long: DataFrame, by: Sequence[str]) -> DataFrame:
     Pairs are counted in integers, so the value is exact up to the last division. Null for one
     class only."""
     points = label_counts(long, by)
-    twice = _wide_int(F.col("n_pos")) * _wide_int(2 * F.col("n_neg_below") + F.col("n_neg"))
     sums = points.groupBy(*by).agg(
         F.first("n_pos_total").alias("n_pos"), F.first("n_neg_total").alias("n_neg"),
-        F.sum(twice).cast("double").alias("_twice"),
+        pair_sum(F.col("n_pos"), 2 * F.col("n_neg_below") + F.col("n_neg")).alias("_twice"),
     )
     pairs = 2.0 * F.col("n_pos") * F.col("n_neg")
     return sums.select(

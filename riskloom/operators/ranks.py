@@ -145,6 +145,20 @@ def label_counts(long: DataFrame, by: Sequence[str], score: str = "score", label
     return cumulative_counts(long, by, score, {"n_pos": y, "n_neg": 1 - y}, n_buckets=n_buckets)
 
 
+LOW_BITS = 20
+
+
+def pair_sum(weight: Column, count: Column) -> Column:
+    """Sum of ``weight * count`` as a double, from exact integer sums.
+
+    Pair counts of large tables pass 64 bits, so the high and low bits of ``count`` are summed
+    apart; both stay exact up to about 10^12 rows.
+    """
+    high = F.sum(weight * F.shiftright(count, LOW_BITS))
+    low = F.sum(weight * count.bitwiseAND(F.lit((1 << LOW_BITS) - 1).cast("long")))
+    return high.cast("double") * float(1 << LOW_BITS) + low.cast("double")
+
+
 HOT_SHARE = 256
 
 

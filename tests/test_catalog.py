@@ -11,7 +11,7 @@ import __spark_entry__ as entry
 from tools.check_oracle import KINDS, rows_of
 
 SF = "/root/testdata/sf0.001"
-SLOW = ("m0", "m15", "x0", "s07", "t20")
+SLOW = ("m0", "m15", "x0", "s07")
 
 
 @pytest.fixture(scope="module")
