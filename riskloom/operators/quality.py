@@ -12,13 +12,19 @@ def _verdict(df: DataFrame, check: str) -> DataFrame:
     return df.select(F.lit(check).alias("check"), "n_bad", (F.col("n_bad") == 0).alias("passed"))
 
 
+def _counted(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
+    """Rows per key on each side, in one shuffle: ``key, a, b``."""
+    both = left.select(key, F.lit(1).alias("_a"), F.lit(0).alias("_b")).unionByName(
+        right.select(key, F.lit(0).alias("_a"), F.lit(1).alias("_b"))
+    )
+    return both.groupBy(key).agg(F.sum("_a").alias("a"), F.sum("_b").alias("b"))
+
+
 def join_kept_rows(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
-    """Every row of both sides has its partner, and keys are unique."""
-    a = left.groupBy(key).agg(F.count("*").alias("_a"))
-    b = right.groupBy(key).agg(F.count("*").alias("_b"))
-    bad = F.coalesce(F.col("_a"), F.lit(0)) != 1
-    bad = bad | (F.coalesce(F.col("_b"), F.lit(0)) != 1)
-    return _verdict(a.join(b, key, "full").agg(F.count_if(bad).alias("n_bad")), "join_kept_rows")
+    """Every row of both sides has its partner, and keys are unique; counts the keys that fail."""
+    bad = (F.col("a") != 1) | (F.col("b") != 1)
+    row = _counted(left, right, key).agg(F.count_if(bad).alias("n_bad"))
+    return _verdict(row, "join_kept_rows")
 
 
 def labels_equal(left: DataFrame, right: DataFrame, key: str, label: str) -> DataFrame:
@@ -31,10 +37,9 @@ def labels_equal(left: DataFrame, right: DataFrame, key: str, label: str) -> Dat
 
 
 def same_keys(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
-    """Both sides hold the same keys, each as often."""
-    a, b = left.select(key), right.select(key)
-    odd = a.exceptAll(b).unionByName(b.exceptAll(a))
-    return _verdict(odd.agg(F.count("*").alias("n_bad")), "same_keys")
+    """Both sides hold the same keys, each as often; counts the rows without a partner."""
+    odd = F.coalesce(F.sum(F.abs(F.col("a") - F.col("b"))), F.lit(0))
+    return _verdict(_counted(left, right, key).agg(odd.alias("n_bad")), "same_keys")
 
 
 def scores_unchanged(old: DataFrame, new: DataFrame, key: str, score: str,

@@ -138,6 +138,24 @@ def cumulative_counts(df: DataFrame, by: Sequence[str], value: str,
     )
 
 
+def small_group_counts(df: DataFrame, by: Sequence[str], value: str,
+                       counters: Mapping[str, Column]) -> DataFrame:
+    """The same table for many groups of bounded size (replicates of a fixed-size sample): rows
+    are shuffled once, by group, and each group is ordered where it lies."""
+    by, names = list(by), list(counters)
+    rows = df.where(F.col(value).isNotNull()).select(
+        *by, F.col(value).cast("double").alias(value), *[counters[c].alias(c) for c in names]
+    )
+    points = rows.repartition(*by).groupBy(*by, value).agg(*[F.sum(c).alias(c) for c in names])
+    whole = Window.partitionBy(*by)
+    below = whole.orderBy(value).rowsBetween(Window.unboundedPreceding, -1)
+    return points.select(
+        *by, value, *names,
+        *[F.coalesce(F.sum(c).over(below), F.lit(0)).alias(f"{c}_below") for c in names],
+        *[F.sum(c).over(whole).alias(f"{c}_total") for c in names],
+    )
+
+
 def label_counts(long: DataFrame, by: Sequence[str], score: str = "score", label: str = "y",
                  n_buckets: int | None = None) -> DataFrame:
     """Positives and negatives at, below and in total, per distinct score of each group."""

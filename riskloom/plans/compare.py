@@ -14,6 +14,9 @@ from riskloom.operators import (
 from riskloom.session import materialize, small_table
 
 
+ONE_TASK_ROWS = 1_000_000
+
+
 @dataclass(frozen=True)
 class ScoreSet:
     """A stored run: wide score tables of both sets, and column name by model family."""
@@ -82,7 +85,9 @@ def compare_runs(a: ScoreSet, b: ScoreSet, id_col: str, label: str, replicates:
     ).drop("family")
 
     sample = materialize(sampling.stratified_sample(test, "id", "y", bootstrap_rows, seed))
-    reps = bootstrap.replicate_metrics(sample, "id", "y", thresholds, replicates, seed)
+    reps = bootstrap.replicate_metrics(
+        sample, "id", "y", thresholds, replicates, seed, bounded=bootstrap_rows <= ONE_TASK_ROWS
+    )
     intervals = materialize(bootstrap.paired_intervals(reps, pairs))
     return {
         "checks": checks,
