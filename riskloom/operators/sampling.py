@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from riskloom.functions.hashing import hash_key, hash_uniform
 
-BIN_DIGITS = 3
+BIN_DIGITS = 4
 
 
 def cut_keys(df: DataFrame, strata: Sequence[str], key: Column,
