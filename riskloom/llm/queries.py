@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from riskloom.llm import near_dedup
+from riskloom.llm import decontaminate, near_dedup
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -48,3 +49,43 @@ root AS (SELECT v, min(r) AS r FROM reach GROUP BY v)
 SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, root.r AS component_id, d.doc_id = root.r AS kept
 FROM documents d LEFT JOIN n ON n.doc_id = d.doc_id LEFT JOIN root ON root.v = d.doc_id
 """
+
+
+@_query
+def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.contaminated(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+    return found.select(
+        "doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.concat_ws(",", "items"), 256).alias("items_sha256"), is_contaminated().alias("contaminated"))
+
+
+def is_contaminated() -> Column:
+    return F.expr("n_hit > 0 AND 20 * n_hit >= n_words")
+
+
+ORACLE["op10_decontaminate"] = """
+WITH d AS (
+  SELECT doc_id, coalesce(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+'), []) AS w FROM documents),
+b AS (
+  SELECT item_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w FROM benchmark),
+win AS (
+  SELECT DISTINCT item_id, least(len(w), 13) AS n, array_to_string(w[p:p + least(len(w), 13) - 1], ' ') AS s
+  FROM (SELECT item_id, w, unnest(range(1, greatest(len(w) - 13, 0) + 2)) AS p FROM b WHERE len(w) > 0)),
+size AS (SELECT DISTINCT n FROM win),
+run AS (
+  SELECT doc_id, n, p, array_to_string(w[p:p + n - 1], ' ') AS s
+  FROM (SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS p FROM d CROSS JOIN size)),
+m AS (SELECT DISTINCT doc_id, item_id, run.n, p FROM run JOIN win ON run.n = win.n AND run.s = win.s),
+hit AS (
+  SELECT doc_id, count(DISTINCT q) AS n_hit
+  FROM (SELECT doc_id, unnest(range(p, p + n)) AS q FROM m) GROUP BY doc_id),
+item AS (
+  SELECT doc_id, count(*) AS n_items, string_agg(i, ',' ORDER BY i) AS items
+  FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS i FROM m) GROUP BY doc_id)
+SELECT d.doc_id, CAST(len(d.w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit,
+  coalesce(n_items, 0) AS n_items, sha256(coalesce(items, '')) AS items_sha256,
+  coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(d.w) AS contaminated
+FROM d LEFT JOIN hit USING (doc_id) LEFT JOIN item USING (doc_id)
+"""
