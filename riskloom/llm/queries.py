@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskloom.llm import decontaminate, near_dedup
+from riskloom.llm import decontaminate, near_dedup, repeats
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -22,6 +22,42 @@ def _query(fn: Callable[[SparkSession, str], DataFrame]):
     return fn
 
 
+@_query
+def op2_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = repeats.repeated_passages(_table(spark, sf_dir, "documents"))
+    covered = lambda c: F.aggregate(c, F.lit(0).cast("long"), lambda n, x: n + x[1] - x[0])
+    return found.select(
+        F.col("doc").alias("doc_id"), F.size("spans").cast("long").alias("n_spans"),
+        covered("spans").alias("n_repeated"), covered("later").alias("n_later"),
+        F.array_join(F.transform("spans", lambda x: F.concat_ws("-", x[0].cast("string"), x[1].cast("string"))),
+                     ",").alias("spans"))
+
+
+ORACLE["op2_repeated_passages"] = """
+WITH d AS (
+  SELECT doc_id, regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+') AS w FROM documents WHERE text IS NOT NULL),
+r AS (
+  SELECT doc_id, p - 1 AS p, md5(array_to_string(w[p:p + 49], ' ')) AS s
+  FROM (SELECT doc_id, w, unnest(range(1, len(w) - 48)) AS p FROM d)),
+f AS (
+  SELECT s, min({'d': doc_id, 'p': p}) AS first FROM r GROUP BY s HAVING count(DISTINCT doc_id) > 1),
+x AS (SELECT doc_id, p, {'d': doc_id, 'p': p} <> first AS later FROM r JOIN f USING (s)),
+e AS (
+  SELECT *, lag(p) OVER (PARTITION BY doc_id ORDER BY p) AS q,
+    lag(p) OVER (PARTITION BY doc_id, later ORDER BY p) AS ql FROM x),
+g AS (
+  SELECT *, sum(CASE WHEN p - q <= 50 THEN 0 ELSE 1 END) OVER (PARTITION BY doc_id ORDER BY p) AS k,
+    CASE WHEN ql IS NULL THEN 50 ELSE least(50, p - ql) END AS more FROM e),
+spans AS (
+  SELECT doc_id, k, min(p) AS a, max(p) + 50 AS b FROM g GROUP BY doc_id, k),
+total AS (
+  SELECT doc_id, CAST(sum(CASE WHEN later THEN more ELSE 0 END) AS BIGINT) AS n_later FROM g GROUP BY doc_id)
+SELECT doc_id, count(*) AS n_spans, CAST(sum(b - a) AS BIGINT) AS n_repeated, any_value(n_later) AS n_later,
+  string_agg(a || '-' || b, ',' ORDER BY a) AS spans
+FROM spans JOIN total USING (doc_id) GROUP BY doc_id
+"""
+
+
 @_query
 def op8_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(_table(spark, sf_dir, "documents"), shingle=4)

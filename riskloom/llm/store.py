@@ -30,3 +30,11 @@ class Scratch:
         for table in tables:
             path = jvm.org.apache.hadoop.fs.Path(table._scratch_path)
             path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def fresh(names: list[str], wanted: str) -> str:
+    """``wanted`` with as many leading underscores as it takes to differ from all ``names``."""
+    taken = {n.lower() for n in names}
+    while wanted.lower() in taken:
+        wanted = f"_{wanted}"
+    return wanted
