@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskloom.llm import decontaminate, near_dedup, repeats
+from riskloom.llm import decontaminate, near_dedup, pieces, repeats
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -22,6 +22,14 @@ def _query(fn: Callable[[SparkSession, str], DataFrame]):
     return fn
 
 
+@_query
+def op1_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = pieces.encode(docs, "text", "ids", round_trip="round_trip")
+    return found.select("doc_id", F.coalesce(F.size("ids"), F.lit(0)).cast("long").alias("n_tokens"),
+                        "ids", "round_trip")
+
+
 @_query
 def op2_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = repeats.repeated_passages(_table(spark, sf_dir, "documents"))
