@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskloom.llm import decontaminate, near_dedup, pieces, repeats
+from riskloom.llm import decontaminate, language, near_dedup, pieces, repeats
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -66,6 +66,11 @@ FROM spans JOIN total USING (doc_id) GROUP BY doc_id
 """
 
 
+@_query
+def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.identify(_table(spark, sf_dir, "documents"))
+
+
 @_query
 def op8_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(_table(spark, sf_dir, "documents"), shingle=4)
