@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskloom.llm import decontaminate, language, near_dedup, pieces, repeats
+from riskloom.llm import (
+    decontaminate, language, near_dedup, neighbours, pieces, repeats, sharding,
+)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -66,6 +68,23 @@ FROM spans JOIN total USING (doc_id) GROUP BY doc_id
 """
 
 
+@_query
+def op3_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = _table(spark, sf_dir, "embeddings")
+    return neighbours.nearest(vectors, F.pmod("vec_id", F.lit(20)) == 0)
+
+
+@_query
+def op4_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select(
+        F.col("doc_id").cast("long").alias("doc_id"),
+        (F.coalesce(F.octet_length("text"), F.lit(0)) + 1).cast("long").alias("size"),
+        F.crc32(F.coalesce("text", F.lit(""))).alias("text_crc32"))
+    found = sharding.shards(docs, ["doc_id", "size", "text_crc32"], 8)
+    return found.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot",
+                        F.lit(None).cast("int").alias("grown_shard"))
+
+
 @_query
 def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.identify(_table(spark, sf_dir, "documents"))
