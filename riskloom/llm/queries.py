@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskloom.llm import (
-    chat, decontaminate, language, near_dedup, neighbours, pieces, repeats, sharding,
+    chat, decontaminate, language, licenses, near_dedup, neighbours, pieces, repeats, sharding,
 )
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -152,6 +152,37 @@ FROM documents d LEFT JOIN n ON n.doc_id = d.doc_id LEFT JOIN root ON root.v = d
 """
 
 
+@_query
+def op9_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.find(_table(spark, sf_dir, "documents"))
+
+
+ORACLE["op9_licenses"] = """
+WITH t AS (
+  SELECT template, list_filter(string_split_regex(lower(text), '[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+'),
+    lambda x: x <> '') AS w FROM (VALUES """ + ", ".join(
+    "('{}', '{}')".format(k, v.replace("'", "''")) for k, v in licenses.TEMPLATES.items()) + """) AS v(template, text)),
+ts AS (
+  SELECT template, len(w) - 4 AS n, list_distinct(list_transform(range(1, len(w) - 3),
+    lambda i: array_to_string(w[i:i + 4], ' '))) AS s FROM t),
+tp AS (SELECT *, n + (n + 5) // 2 AS width, (n + 5) // 2 + 1 AS stride, len(s) AS size FROM ts),
+d AS (
+  SELECT doc_id, list_filter(string_split_regex(lower(text), '[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+'),
+    lambda x: x <> '') AS w FROM (SELECT DISTINCT doc_id, text FROM documents)),
+r AS (
+  SELECT doc_id, p - 1 AS p, array_to_string(w[p:p + 4], ' ') AS s
+  FROM (SELECT doc_id, w, unnest(range(1, len(w) - 3)) AS p FROM d)),
+h AS (SELECT doc_id, p, r.s, template, width, stride, size FROM r JOIN (
+  SELECT template, width, stride, size, unnest(s) AS s FROM tp) x ON r.s = x.s),
+k AS (
+  SELECT doc_id, template, stride, size, k, count(DISTINCT s) AS c FROM (
+    SELECT *, unnest(range(greatest(0, CAST(floor((p - width) / stride) AS BIGINT) + 1), p // stride + 1)) AS k FROM h)
+  GROUP BY doc_id, template, stride, size, k)
+SELECT doc_id, template, max(c / size) AS containment, min(k * stride) AS first_word, count(*) AS n_windows
+FROM k WHERE c / size >= 0.8 GROUP BY doc_id, template
+"""
+
+
 @_query
 def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.contaminated(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
