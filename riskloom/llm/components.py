@@ -29,6 +29,10 @@ def _stars(edges: DataFrame, large: bool) -> DataFrame:
     return new.where("u != v").distinct()
 
 
+def _state(edges: DataFrame) -> tuple:
+    return tuple(edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
+
+
 def components(links: DataFrame, a: str, b: str, scratch: Scratch) -> DataFrame:
     """(vertex, root) for every vertex of ``links``; the root is the smallest vertex reachable.
 
@@ -38,15 +42,14 @@ def components(links: DataFrame, a: str, b: str, scratch: Scratch) -> DataFrame:
     edges = links.where(F.col(a).isNotNull() & F.col(b).isNotNull() & (F.col(a) != F.col(b))).select(
         F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).distinct()
     edges = scratch.save(edges)
-    state = None
+    state = _state(edges)
     while True:
         new = scratch.save(_stars(_stars(edges, True), False))
         scratch.drop(edges)
         edges = new
-        total = edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        if tuple(total) == state:
+        before, state = state, _state(edges)
+        if state == before:
             break
-        state = tuple(total)
     roots = edges.select(F.col("u").alias("vertex"), F.col("v").alias("root"))
     return roots.unionAll(edges.select(F.col("v").alias("vertex"), F.col("v").alias("root"))
                           .distinct())

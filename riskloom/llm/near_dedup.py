@@ -4,9 +4,10 @@ Every text becomes the set of its word shingles, and every distinct set a sketch
 minwise values. A tree starts with all sets in one node. A node picks each sketch coordinate with
 probability 1 / (threshold * WIDTH), from a hash of the node itself, and sends every set to one
 child per picked coordinate, named by the set's value there. Two sets above the threshold meet in
-one child on average, others die out. Nodes that became small are compared exhaustively, all
-others against their smallest member, and only nodes that still hold different groups branch
-again. Independent trees bring the recall at the threshold to 1 - 1e-6 for pairs that part from
+one child on average, others die out. Nodes that became small are compared exhaustively, larger ones
+against one of their members. Large nodes that then hold one group are done; where most sets are much
+alike branching would not part them, so each set outside the largest group is compared with all, in
+blocks; all other nodes branch again. Independent trees bring the recall at the threshold to 1 - 1e-6 for pairs that part from
 the crowd in the first level. Pairs are confirmed on the full sets.
 """
 
@@ -27,9 +28,9 @@ from riskloom.llm.store import Scratch
 WIDTH = 64          # minwise values of a sketch
 TREES = 20          # independent trees
 SMALL = 16          # a node of so many sets is compared exhaustively
-LEVELS = 6          # branchings; what is still large and mixed then is compared in blocks
+LEVELS = 8          # levels of a tree; what is still large and mixed then is compared in blocks
 BLOCK = 256         # sets of a block
-SLACK = 0.25        # a pair whose sketches agree this much less than the threshold is dropped
+SLACK = 0.2         # a pair whose sketches agree this much less than the threshold is dropped
 
 _RNG = np.random.Generator(np.random.PCG64(20240801))
 _MASK = _RNG.integers(0, 2**63, WIDTH, dtype=np.uint64)
@@ -127,32 +128,44 @@ def _confirm(threshold_pct: int):
     def run(batches):
         for batch in batches:
             x, y = batch.column(2).to_pylist(), batch.column(3).to_pylist()
-            good = np.zeros(batch.num_rows, bool)
-            for k, (p, q) in enumerate(zip(x, y)):
-                p, q = np.frombuffer(p, np.uint64), np.frombuffer(q, np.uint64)
-                both = np.concatenate([p, q])
-                both.sort()
-                shared = int((both[1:] == both[:-1]).sum())
-                good[k] = 100 * shared >= threshold_pct * (len(both) - shared)
-            yield batch.select([0, 1]).filter(pa.array(good))
+            good = [_linked(np.frombuffer(p, np.uint64), np.frombuffer(q, np.uint64), threshold_pct)
+                    for p, q in zip(x, y)]
+            yield batch.select([0, 1]).filter(pa.array(good, pa.bool_()))
     return run
 
 
-def _in_blocks(least: float):
-    """Pairs of different groups in one pair of blocks, by their sketches."""
+def _in_blocks(threshold_pct: int, least: float):
+    """Confirmed links between one block of a node's minor groups and one block of all its sets.
+
+    A pair that meets in several nodes is compared in the first of them only.
+    """
     def run(pdf):
         import pandas as pd
         left, right = pdf[pdf.side == 0], pdf[pdf.side == 1]
         if left.empty or right.empty:
             return pd.DataFrame({"a": [], "b": []})
         x, y = (np.frombuffer(b"".join(s.sketch), np.uint32).reshape(-1, WIDTH) for s in (left, right))
-        low = np.array([(y == v).mean(axis=1) >= least for v in x])
-        low &= left.grp.to_numpy()[:, None] != right.grp.to_numpy()[None, :]
-        i, j = np.nonzero(low)
-        return pd.DataFrame({"a": left.cls.to_numpy()[i], "b": right.cls.to_numpy()[j]})
+        near = np.array([(y == v).mean(axis=1) >= least for v in x])
+        near &= left.grp.to_numpy()[:, None] != right.grp.to_numpy()[None, :]
+        node, out = pdf.node.iloc[0], []
+        ours, theirs = ([frozenset(v.tolist()) for v in s.nodes] for s in (left, right))
+        p, q = ([np.frombuffer(m, np.uint64) for m in s.members] for s in (left, right))
+        for i, j in zip(*(k.tolist() for k in np.nonzero(near))):
+            if min(ours[i] & theirs[j]) == node and _linked(p[i], q[j], threshold_pct):
+                out.append((left.cls.iat[i], right.cls.iat[j]))
+        return pd.DataFrame(out, columns=["a", "b"])
     return run
 
 
+def _linked(p: np.ndarray, q: np.ndarray, threshold_pct: int) -> bool:
+    if 100 * min(len(p), len(q)) < threshold_pct * max(len(p), len(q)):
+        return False
+    both = np.concatenate([p, q])
+    both.sort()
+    shared = int((both[1:] == both[:-1]).sum())
+    return 100 * shared >= threshold_pct * (len(both) - shared)
+
+
 def _ordered(pairs: DataFrame) -> DataFrame:
     return pairs.where("a != b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
@@ -176,33 +189,51 @@ def near_duplicates(documents: DataFrame, shingle: int = 5, threshold_pct: int =
         F.min("doc_id").alias("low"), F.first("sketch").alias("sketch")))
     sketches = classes.select("cls", "sketch")
 
+    store = _Sets(docs, classes, shingle, scratch)
+    least = threshold - SLACK
     links, old, groups = None, [], None
     rows = sketches.mapInArrow(_branch(threshold, trees), "node long, cls binary")
-    for level in range(LEVELS + 1):
-        sized = rows.groupBy("node").agg(F.count("*").alias("n"), F.min("cls").alias("pivot"))
-        live = scratch.save(rows.join(sized.where("n > 1"), "node"))
+    for level in range(LEVELS):
+        # Of four orders a node takes one, so that a group meets several of its members.
+        order = F.struct(F.xxhash64("cls", F.pmod("node", F.lit(4))), "cls")
+        sized = rows.groupBy("node").agg(F.count("*").alias("n"), F.min(order).alias("first"))
+        live = rows.join(sized.where("n > 1"), "node").select("node", "cls", "n", F.col("first.cls").alias("pivot"))
+        live = scratch.save(live)
         star = live.where("cls != pivot").select(F.col("pivot").alias("a"), F.col("cls").alias("b"))
         small = live.where(f"n between 3 and {SMALL}").select("node", "cls")
         pairs = star.unionAll(
             small.withColumnRenamed("cls", "a").join(small.withColumnRenamed("cls", "b"), "node")
             .where("a < b").select("a", "b"))
-        if level == LEVELS:
-            pairs = pairs.unionAll(_leftover(live, groups, sketches, threshold - SLACK))
-        links, done = _links(pairs, links, classes, sketches, docs, shingle, threshold_pct, scratch)
-        groups = scratch.save(components(links, "a", "b", scratch)) if done or groups is None else groups
-        if level == LEVELS:
-            break
-        big = live.where(f"n > {SMALL}").select("node", "cls")
-        named = big.join(groups, big.cls == groups.vertex, "left").select(
-            "node", "cls", F.coalesce("root", "cls").alias("grp"))
-        mixed = named.groupBy("node").agg(F.min("grp").alias("x"), F.max("grp").alias("y")).where("x != y")
-        wide = scratch.save(big.join(mixed.select("node"), "node"))
+        pairs = _ordered(pairs)
+        if links is not None:
+            pairs = pairs.join(links, ["a", "b"], "left_anti")
+        close = scratch.save(_with(pairs, sketches, "sketch").mapInArrow(_alike(least), "a binary, b binary"))
+        if groups is None or not close.isEmpty():
+            store.want(close.select(F.explode(F.array("a", "b")).alias("cls")))
+            new = _with(close, store.sets, "members").mapInArrow(_confirm(threshold_pct), "a binary, b binary")
+            links = scratch.save(new if links is None else links.unionAll(new))
+            groups = scratch.save(components(links, "a", "b", scratch))
+
+        mixed = _mixed(live.where(f"n > {SMALL}"), groups)
+        wide = scratch.save(mixed)
         scratch.drop(*old)
-        old = [live, wide]
+        old = [live, wide, close]
         if wide.isEmpty():
             break
-        rows = wide.join(sketches, "cls").select("cls", "sketch", "node").mapInArrow(
-            _branch(threshold), "node long, cls binary")
+        # A node most of whose sets are much alike will not fall apart: it is compared now.
+        ends = close.select("a", "b", F.lit(True).alias("alike"))
+        dense = wide.withColumns({"a": F.least("pivot", "cls"), "b": F.greatest("pivot", "cls")}).join(
+            ends, ["a", "b"], "left").groupBy("node").agg((F.count("alike") / F.count("*")).alias("share"))
+        limit = 0.5 if level + 1 < LEVELS else 0.0
+        dense = dense.where(F.col("share") >= limit).select("node")
+        packed = scratch.save(wide.join(dense, "node").select("node", "cls", "grp", "major"))
+        old.append(packed)
+        if not packed.isEmpty():
+            store.want(packed.select("cls"))
+            links = scratch.save(links.unionAll(_packed_links(packed, sketches, store.sets, threshold_pct, least)))
+            groups = scratch.save(components(links, "a", "b", scratch))
+        rows = wide.join(dense, "node", "left_anti").join(sketches, "cls").select(
+            "cls", "sketch", "node").mapInArrow(_branch(threshold), "node long, cls binary")
 
     roots = groups.join(classes.select("cls", "low"), groups.vertex == classes.cls).select(
         "vertex", "root", "low")
@@ -216,40 +247,56 @@ def near_duplicates(documents: DataFrame, shingle: int = 5, threshold_pct: int =
                       F.col("doc_id").eqNullSafe(component).alias("kept"))
 
 
-def _links(pairs, links, classes, sketches, docs, shingle, threshold_pct, scratch):
-    """All links confirmed so far and whether this level added any."""
-    pairs = _ordered(pairs)
-    if links is not None:
-        pairs = pairs.join(links, ["a", "b"], "left_anti")
-    both = pairs.join(sketches.select(F.col("cls").alias("a"), F.col("sketch").alias("x")), "a").join(
-        sketches.select(F.col("cls").alias("b"), F.col("sketch").alias("y")), "b")
-    close = scratch.save(both.select("a", "b", "x", "y").mapInArrow(
-        _alike(threshold_pct / 100 - SLACK), "a binary, b binary"))
-    ends = close.select(F.col("a").alias("cls")).unionAll(close.select(F.col("b").alias("cls"))).distinct()
-    ids = ends.join(classes, "cls").select("low").distinct()
-    texts = docs.join(ids, docs.doc_id.eqNullSafe(ids.low), "left_semi")
-    sets = scratch.save(texts.mapInArrow(_full_sets(shingle), "cls binary, members binary")
-                        .join(ends, "cls", "left_semi"))
-    full = close.join(sets.select(F.col("cls").alias("a"), F.col("members").alias("x")), "a").join(
-        sets.select(F.col("cls").alias("b"), F.col("members").alias("y")), "b")
-    new = full.select("a", "b", "x", "y").mapInArrow(_confirm(threshold_pct), "a binary, b binary").distinct()
-    new = scratch.save(new)
-    scratch.drop(close, sets)
-    if links is None:
-        return new, True
-    return scratch.save(links.unionAll(new)), not new.isEmpty()
-
-
-def _leftover(live: DataFrame, groups: DataFrame, sketches: DataFrame, least: float) -> DataFrame:
-    """Exhaustive comparison of the nodes that stayed large, block by block, across groups only."""
-    big = live.where(f"n > {SMALL}").select("node", "cls", "n")
-    big = big.join(groups, big.cls == groups.vertex, "left").select(
-        "node", "cls", "n", F.coalesce("root", "cls").alias("grp")).join(sketches, "cls")
-    count = F.ceil(F.col("n") / BLOCK).cast("int")
-    dealt = big.withColumn("k", count).withColumn("own", F.pmod(F.xxhash64("cls"), F.col("k")).cast("int"))
-    left = dealt.withColumn("other", F.explode(F.sequence("own", F.col("k") - 1))).select(
-        "node", F.col("own").alias("i"), F.col("other").alias("j"), F.lit(0).alias("side"), "cls", "grp", "sketch")
-    right = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), "own"))).select(
-        "node", F.col("other").alias("i"), F.col("own").alias("j"), F.lit(1).alias("side"), "cls", "grp", "sketch")
+def _with(pairs: DataFrame, values: DataFrame, name: str) -> DataFrame:
+    """Pairs (a, b) with the value of both ends."""
+    return pairs.join(values.select(F.col("cls").alias("a"), F.col(name).alias("x")), "a").join(
+        values.select(F.col("cls").alias("b"), F.col(name).alias("y")), "b").select("a", "b", "x", "y")
+
+
+class _Sets:
+    """Full sets of the classes that some comparison wanted, computed from the texts once."""
+
+    def __init__(self, docs: DataFrame, classes: DataFrame, shingle: int, scratch: Scratch):
+        self.docs, self.classes, self.shingle, self.scratch = docs, classes, shingle, scratch
+        self.sets = None
+
+    def want(self, keys: DataFrame) -> None:
+        keys = keys.distinct()
+        if self.sets is not None:
+            keys = keys.join(self.sets.select("cls"), "cls", "left_anti")
+        keys = self.scratch.save(keys.join(self.classes.select("cls", "low"), "cls"))
+        if self.sets is not None and keys.isEmpty():
+            return
+        ids = keys.select("low").distinct()
+        texts = self.docs.join(ids, self.docs.doc_id.eqNullSafe(ids.low), "left_semi")
+        found = texts.mapInArrow(_full_sets(self.shingle), "cls binary, members binary").join(
+            keys, "cls", "left_semi")
+        found = self.scratch.save(found)
+        self.scratch.drop(keys)
+        self.sets = found if self.sets is None else self.sets.unionAll(found)
+
+
+def _mixed(big: DataFrame, groups: DataFrame) -> DataFrame:
+    """Rows of the nodes that hold several groups, with their group and the node's largest one."""
+    named = big.join(groups, big.cls == groups.vertex, "left").select(
+        "node", "cls", "pivot", F.coalesce("root", "cls").alias("grp"))
+    sizes = named.groupBy("node", "grp").agg(F.count("*").alias("size")).groupBy("node").agg(
+        F.count("*").alias("kinds"), F.max(F.struct("size", "grp")).alias("largest"))
+    return named.join(sizes.where("kinds > 1").select("node", F.col("largest.grp").alias("major")), "node")
+
+
+def _packed_links(packed, sketches, sets, threshold_pct, least) -> DataFrame:
+    """Every link between groups inside the given nodes, found in blocks."""
+    count = lambda c: F.greatest(F.lit(1), F.ceil(F.col(c) / BLOCK).cast("int"))
+    sizes = packed.groupBy("node").agg(
+        F.count("*").alias("n"), F.sum((F.col("grp") != F.col("major")).cast("int")).alias("m"))
+    where = packed.groupBy("cls").agg(F.collect_set("node").alias("nodes"))
+    full = packed.join(sizes, "node").join(where, "cls").join(sketches, "cls").join(sets, "cls")
+    own = lambda c: F.pmod(F.xxhash64("cls"), count(c)).cast("int")
+    keep = ["side", "cls", "grp", "nodes", "sketch", "members"]
+    left = full.where("grp != major").withColumn("side", F.lit(0)).withColumn("i", own("m")).withColumn(
+        "j", F.explode(F.sequence(F.lit(0), count("n") - 1))).select("node", "i", "j", *keep)
+    right = full.withColumn("side", F.lit(1)).withColumn("j", own("n")).withColumn(
+        "i", F.explode(F.sequence(F.lit(0), count("m") - 1))).select("node", "i", "j", *keep)
     return left.unionAll(right).groupBy("node", "i", "j").applyInPandas(
-        _in_blocks(least), "a binary, b binary")
+        _in_blocks(threshold_pct, least), "a binary, b binary")
