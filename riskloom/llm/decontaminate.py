@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from riskloom.llm import words as W
-from riskloom.llm.store import Scratch
+from riskloom.llm.store import Scratch, fresh
 
 WINDOW = 13                # words of a window
 BLOCK_WORDS = 1 << 19      # postings of one index row cover about so many words, or one document
@@ -33,14 +33,11 @@ INDEX = ("doc_ids array<long>, base array<int>, n_words array<int>, terms array<
 
 def _index(vocabulary: np.ndarray):
     """Rows of the index; ``vocabulary`` is the sorted term codes to keep."""
-    def rows(ids, counts, codes):
+    def rows(ids, marks, counts, codes):
         counts = np.concatenate(counts)
         base = np.cumsum(counts + GAP) - counts - GAP
         code = np.concatenate(codes)
         place = np.arange(len(code)) + np.repeat(np.arange(len(counts)) * GAP, counts)
-        inner = np.arange(len(code)) - np.repeat(np.cumsum(counts) - counts, counts)
-        total = np.append(np.uint64(0), np.cumsum(W.mix(code + inner.astype(np.uint64))))
-        marks = np.diff(total[np.append(0, np.cumsum(counts))]).view(np.int64)
         at = np.minimum(np.searchsorted(vocabulary, code), max(len(vocabulary) - 1, 0))
         keep = vocabulary[at] == code if len(vocabulary) else np.zeros(len(code), bool)
         at, place = at[keep], place[keep]
@@ -54,23 +51,24 @@ def _index(vocabulary: np.ndarray):
             pa.array([vocabulary[terms].view(np.int64)], pa.list_(pa.int64())),
             pa.array([ends], pa.list_(pa.int32())),
             pa.array([place.astype(np.int32).tobytes()], pa.binary()),
-            pa.array([marks], pa.list_(pa.int64())),
+            pa.array([[i.as_py() for i in marks]], pa.list_(pa.int64())),
         ], names=["doc_ids", "base", "n_words", "terms", "ends", "places", "marks"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids, counts, codes, held = [], [], [], 0
+        ids, marks, counts, codes, held = [], [], [], [], 0
         for batch in batches:
             for part, raw, offsets in W.chunks(batch, "text"):
                 found = W.words(raw, offsets, W.LETTER_DIGIT)
                 ids.extend(part.column(0))
+                marks.extend(part.column(2))
                 counts.append(found.count)
                 codes.append(found.code)
                 held += len(found.code)
                 if held >= BLOCK_WORDS:
-                    yield rows(ids, counts, codes)
-                    ids, counts, codes, held = [], [], [], 0
+                    yield rows(ids, marks, counts, codes)
+                    ids, marks, counts, codes, held = [], [], [], [], 0
         if ids:
-            yield rows(ids, counts, codes)
+            yield rows(ids, marks, counts, codes)
     return run
 
 
@@ -192,7 +190,7 @@ def contaminated(documents: DataFrame, benchmark: DataFrame, window: int = WINDO
 
     Words are runs of ASCII letters, digits and characters beyond ASCII, lower-cased. An item gives
     all its windows of ``window`` words, or itself if shorter; items without words give none.
-    ``hit_words`` are the places of document words inside an exact occurrence, ``items`` the items
+    ``mark`` is the hash of the text, which tells rows of one doc_id apart, ``hit_words`` are the places of document words inside an exact occurrence, ``items`` the items
     that have one, ``near_items`` (with ``slop`` > 0, at most 16) those with a window whose terms all
     stand within ``slop`` of their places. Null or empty texts have no words; rows with a null or a
     repeated doc_id keep their own result rows; an item with a null item_id takes part under the
@@ -202,7 +200,7 @@ def contaminated(documents: DataFrame, benchmark: DataFrame, window: int = WINDO
         raise ValueError("slop must be 0 to 16")
     spark = documents.sparkSession
     scratch = Scratch(spark, "decontaminate")
-    docs = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    docs = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("text").alias("mark"))
     items = benchmark.select(F.coalesce(F.col("item_id").cast("string"), F.lit("")).alias("item_id"), "text")
     windows = scratch.save(items.mapInArrow(_item_windows(window), "item_id string, terms array<long>"))
     # Windows of one item block; the number of blocks follows the test set, their size does not.
@@ -226,7 +224,7 @@ def contaminated(documents: DataFrame, benchmark: DataFrame, window: int = WINDO
         plan = spark.sparkContext.broadcast(_Plan(terms, found.column(1).to_pylist(), frequency))
         parts.append(index.mapInArrow(_search(plan, slop), RESULT))
     if blocks == 1:
-        return parts[0].drop("mark")
+        return parts[0]
     return _merged(parts)
 
 
@@ -240,6 +238,15 @@ def _merged(parts: list[DataFrame]) -> DataFrame:
         F.array_sort(F.array_distinct(F.flatten(F.collect_list("hit_words")))).alias("hit_words"),
         F.sum(F.when(F.col("part") == 0, 1).otherwise(0)).cast("int").alias("copies"),
     ).withColumn("k", F.explode(F.sequence(F.lit(1), "copies"))).select(
-        "doc_id", "n_words", F.size("hit_words").cast("long").alias("n_hit"), "items", "near_items", "hit_words")
+        "doc_id", "n_words", F.size("hit_words").cast("long").alias("n_hit"), "items", "near_items", "hit_words",
+        "mark")
+
+
+def without(documents: DataFrame, found: DataFrame) -> DataFrame:
+    """``documents`` without the rows of ``found``, by doc_id and text."""
+    doc, mark = fresh(documents.columns, "doc"), fresh(documents.columns, "mark")
+    gone = found.select(F.col("doc_id").alias(doc), F.col("mark").alias(mark))
+    return documents.join(gone, F.col("doc_id").cast("long").eqNullSafe(F.col(doc)) & (
+        F.xxhash64("text") == F.col(mark)), "left_anti")
 
 

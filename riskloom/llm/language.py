@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from riskloom.llm import words as W
+from riskloom.llm.store import fresh
 
 ORDERS = 3            # longest n-gram, in bytes
 SLOTS = 1 << 16       # presence slots that n-grams are hashed to
@@ -50,8 +51,8 @@ def _presence(raw: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     return out.reshape(rows, SLOTS)
 
 
-def _rows(batch: pa.RecordBatch) -> Iterator[tuple[pa.RecordBatch, np.ndarray]]:
-    for part, raw, offsets in W.chunks(batch, "text", 1 << 20):
+def _rows(batch: pa.RecordBatch, column: str = "text") -> Iterator[tuple[pa.RecordBatch, np.ndarray]]:
+    for part, raw, offsets in W.chunks(batch, column, 1 << 20):
         for at in range(0, part.num_rows, ROWS):
             to = min(at + ROWS, part.num_rows)
             yield part.slice(at, to - at), _presence(
@@ -118,33 +119,38 @@ def fit(labelled: DataFrame, sample: int = SAMPLE, landmarks: int = LANDMARKS,
     return Classifier(present.astype(bool), found.lang.tolist(), landmarks, ridge)
 
 
-def predict(documents: DataFrame, classifier: Classifier | None) -> DataFrame:
-    """doc_id, lang_pred and score (0 to 1) of every row; only the text is looked at.
+def annotate(documents: DataFrame, classifier: Classifier | None, lang: str, score: str,
+             keep: list[str] | None = None) -> DataFrame:
+    """``documents`` (or its columns ``keep``) with the predicted language and its score, 0 to 1.
 
-    A text that is null or has no letter is ``und`` with score 0, and so is every text if nothing
-    could be learned. Of equal scores the first language in order wins. Every row gives one result
-    row; other columns are ignored; an empty table gives an empty result.
+    Only the text is looked at. A text that is null or has no letter is ``und`` with score 0, and so
+    is every text if nothing could be learned. Of equal scores the first language in order wins.
+    Every row stays, repeated or not; an empty table gives an empty result.
     """
     sent = documents.sparkSession.sparkContext.broadcast(classifier)
+    keep = documents.columns if keep is None else keep
+    own, known = fresh(keep, "own"), fresh(keep, "known")
 
     def run(batches):
         model = sent.value
         for batch in batches:
-            for part, present in _rows(batch):
-                known = part.column(1).to_numpy(zero_copy_only=False)
+            for part, present in _rows(batch, own):
+                letter = part.column(len(keep)).to_numpy(zero_copy_only=False)
                 if model is None:
                     best, name = np.zeros(part.num_rows), np.full(part.num_rows, UNKNOWN, object)
                 else:
                     scores = model.scores(present)
                     top = scores.argmax(axis=1)
                     best = np.clip((scores[np.arange(len(top)), top].astype(np.float64) + 1) / 2, 0, 1)
-                    name = np.where(known, np.array(model.languages, object)[top], UNKNOWN)
+                    best, name = np.where(letter, best, 0.0), np.array(model.languages, object)[top]
+                    name = np.where(letter, name, UNKNOWN)
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(0), pa.array(name, pa.string()), pa.array(np.where(known, best, 0.0))],
-                    names=["doc_id", "lang_pred", "score"])
+                    [*part.columns[:len(keep)], pa.array(name, pa.string()), pa.array(best)],
+                    names=[*keep, lang, score])
 
-    rows = documents.select(F.col("doc_id").cast("long").alias("doc_id"), has_letter().alias("known"), "text")
-    return rows.mapInArrow(run, "doc_id long, lang_pred string, score double")
+    rows = documents.select(*keep, has_letter().alias(known), F.col("text").alias(own))
+    kinds = documents.select(*keep).schema.add(lang, "string").add(score, "double")
+    return rows.mapInArrow(run, kinds)
 
 
 def fold(doc_id: str = "doc_id") -> Column:
@@ -158,5 +164,7 @@ def identify(documents: DataFrame) -> DataFrame:
     doc_id, held_out (false for a null doc_id), lang_pred, score.
     """
     model = fit(documents.select("doc_id", "text", "lang").where(fold() != 0))
-    return predict(documents, model).select(
+    found = annotate(documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), model,
+                     "lang_pred", "score", keep=["doc_id"])
+    return found.select(
         "doc_id", F.coalesce(fold() == 0, F.lit(False)).alias("held_out"), "lang_pred", "score")

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskloom.llm import (
-    chat, decontaminate, language, licenses, near_dedup, neighbours, pieces, repeats, sharding,
+    chat, decontaminate, language, licenses, near_dedup, neighbours, pages, pieces, repeats, sharding,
 )
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -123,6 +123,12 @@ FROM e GROUP BY conv_id
 """
 
 
+@_query
+def op7_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pages.main_text(_table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+    return found.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
 @_query
 def op8_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(_table(spark, sf_dir, "documents"), shingle=4)
