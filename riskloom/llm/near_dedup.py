@@ -5,9 +5,8 @@ minwise values. A tree starts with all sets in one node. A node picks each sketc
 probability 1 / (threshold * WIDTH), from a hash of the node itself, and sends every set to one
 child per picked coordinate, named by the set's value there. Two sets above the threshold meet in
 one child on average, others die out. Nodes that became small are compared exhaustively, larger ones
-against one of their members. Large nodes that then hold one group are done; where most sets are much
-alike branching would not part them, so each set outside the largest group is compared with all, in
-blocks; all other nodes branch again. Independent trees bring the recall at the threshold to 1 - 1e-6 for pairs that part from
+against one of their members, and branch again. Large nodes of the last level that hold one group of
+linked sets are done; in the others each set outside the largest group is compared with all, in blocks. Independent trees bring the recall at the threshold to 1 - 1e-6 for pairs that part from
 the crowd in the first level. Pairs are confirmed on the full sets.
 """
 
@@ -28,7 +27,7 @@ from riskloom.llm.store import Scratch
 WIDTH = 64          # minwise values of a sketch
 TREES = 20          # independent trees
 SMALL = 16          # a node of so many sets is compared exhaustively
-LEVELS = 8          # levels of a tree; what is still large and mixed then is compared in blocks
+LEVELS = 4          # levels of a tree; what is still large and mixed then is compared in blocks
 BLOCK = 256         # sets of a block
 SLACK = 0.2         # a pair whose sketches agree this much less than the threshold is dropped
 
@@ -189,51 +188,37 @@ def near_duplicates(documents: DataFrame, shingle: int = 5, threshold_pct: int =
         F.min("doc_id").alias("low"), F.first("sketch").alias("sketch")))
     sketches = classes.select("cls", "sketch")
 
-    store = _Sets(docs, classes, shingle, scratch)
-    least = threshold - SLACK
-    links, old, groups = None, [], None
-    rows = sketches.mapInArrow(_branch(threshold, trees), "node long, cls binary")
+    # The trees: every level's nodes of two sets or more, each with one member as its pivot.
+    rows, pairs, nodes = sketches.mapInArrow(_branch(threshold, trees), "node long, cls binary"), None, []
     for level in range(LEVELS):
         # Of four orders a node takes one, so that a group meets several of its members.
         order = F.struct(F.xxhash64("cls", F.pmod("node", F.lit(4))), "cls")
         sized = rows.groupBy("node").agg(F.count("*").alias("n"), F.min(order).alias("first"))
         live = rows.join(sized.where("n > 1"), "node").select("node", "cls", "n", F.col("first.cls").alias("pivot"))
         live = scratch.save(live)
+        nodes.append(live)
         star = live.where("cls != pivot").select(F.col("pivot").alias("a"), F.col("cls").alias("b"))
         small = live.where(f"n between 3 and {SMALL}").select("node", "cls")
-        pairs = star.unionAll(
+        near = star.unionAll(
             small.withColumnRenamed("cls", "a").join(small.withColumnRenamed("cls", "b"), "node")
             .where("a < b").select("a", "b"))
-        pairs = _ordered(pairs)
-        if links is not None:
-            pairs = pairs.join(links, ["a", "b"], "left_anti")
-        close = scratch.save(_with(pairs, sketches, "sketch").mapInArrow(_alike(least), "a binary, b binary"))
-        if groups is None or not close.isEmpty():
-            store.want(close.select(F.explode(F.array("a", "b")).alias("cls")))
-            new = _with(close, store.sets, "members").mapInArrow(_confirm(threshold_pct), "a binary, b binary")
-            links = scratch.save(new if links is None else links.unionAll(new))
-            groups = scratch.save(components(links, "a", "b", scratch))
-
-        mixed = _mixed(live.where(f"n > {SMALL}"), groups)
-        wide = scratch.save(mixed)
-        scratch.drop(*old)
-        old = [live, wide, close]
-        if wide.isEmpty():
-            break
-        # A node most of whose sets are much alike will not fall apart: it is compared now.
-        ends = close.select("a", "b", F.lit(True).alias("alike"))
-        dense = wide.withColumns({"a": F.least("pivot", "cls"), "b": F.greatest("pivot", "cls")}).join(
-            ends, ["a", "b"], "left").groupBy("node").agg((F.count("alike") / F.count("*")).alias("share"))
-        limit = 0.5 if level + 1 < LEVELS else 0.0
-        dense = dense.where(F.col("share") >= limit).select("node")
-        packed = scratch.save(wide.join(dense, "node").select("node", "cls", "grp", "major"))
-        old.append(packed)
-        if not packed.isEmpty():
-            store.want(packed.select("cls"))
-            links = scratch.save(links.unionAll(_packed_links(packed, sketches, store.sets, threshold_pct, least)))
-            groups = scratch.save(components(links, "a", "b", scratch))
-        rows = wide.join(dense, "node", "left_anti").join(sketches, "cls").select(
-            "cls", "sketch", "node").mapInArrow(_branch(threshold), "node long, cls binary")
+        pairs = near if pairs is None else pairs.unionAll(near)
+        big = live.where(f"n > {SMALL}").select("node", "cls")
+        rows = big.join(sketches, "cls").select("cls", "sketch", "node").mapInArrow(
+            _branch(threshold), "node long, cls binary")
+
+    store, least = _Sets(docs, classes, shingle, scratch), threshold - SLACK
+    close = scratch.save(_with(_ordered(pairs), sketches, "sketch").mapInArrow(_alike(least), "a binary, b binary"))
+    store.want(close.select(F.explode(F.array("a", "b")).alias("cls")))
+    links = scratch.save(_with(close, store.sets, "members").mapInArrow(_confirm(threshold_pct), "a binary, b binary"))
+    groups = scratch.save(components(links, "a", "b", scratch))
+
+    # Large nodes of the last level that hold several groups.
+    packed = scratch.save(_mixed(nodes[-1].where(f"n > {SMALL}"), groups))
+    scratch.drop(close, *nodes)
+    store.want(packed.select("cls"))
+    links = scratch.save(links.unionAll(_packed_links(packed, sketches, store.sets, threshold_pct, least)))
+    groups = scratch.save(components(links, "a", "b", scratch))
 
     roots = groups.join(classes.select("cls", "low"), groups.vertex == classes.cls).select(
         "vertex", "root", "low")
@@ -265,8 +250,6 @@ class _Sets:
         if self.sets is not None:
             keys = keys.join(self.sets.select("cls"), "cls", "left_anti")
         keys = self.scratch.save(keys.join(self.classes.select("cls", "low"), "cls"))
-        if self.sets is not None and keys.isEmpty():
-            return
         ids = keys.select("low").distinct()
         texts = self.docs.join(ids, self.docs.doc_id.eqNullSafe(ids.low), "left_semi")
         found = texts.mapInArrow(_full_sets(self.shingle), "cls binary, members binary").join(
@@ -279,7 +262,7 @@ class _Sets:
 def _mixed(big: DataFrame, groups: DataFrame) -> DataFrame:
     """Rows of the nodes that hold several groups, with their group and the node's largest one."""
     named = big.join(groups, big.cls == groups.vertex, "left").select(
-        "node", "cls", "pivot", F.coalesce("root", "cls").alias("grp"))
+        "node", "cls", F.coalesce("root", "cls").alias("grp"))
     sizes = named.groupBy("node", "grp").agg(F.count("*").alias("size")).groupBy("node").agg(
         F.count("*").alias("kinds"), F.max(F.struct("size", "grp")).alias("largest"))
     return named.join(sizes.where("kinds > 1").select("node", F.col("largest.grp").alias("major")), "node")
