@@ -27,7 +27,7 @@ from riskloom.llm.store import Scratch
 WIDTH = 64          # minwise values of a sketch
 TREES = 20          # independent trees
 SMALL = 16          # a node of so many sets is compared exhaustively
-LEVELS = 4          # levels of a tree; what is still large and mixed then is compared in blocks
+LEVELS = 3          # levels of a tree; what is still large and mixed then is compared in blocks
 BLOCK = 256         # sets of a block
 SLACK = 0.2         # a pair whose sketches agree this much less than the threshold is dropped
 
