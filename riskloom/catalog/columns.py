@@ -86,7 +86,7 @@ def _(spark, d):
   TRY_CAST(CAST(c_nationkey AS VARCHAR) AS DOUBLE) AS from_int FROM customer""")
 def _(spark, d):
     return v.table(spark, d, "customer").select(
-        "c_custkey", clean.to_number(F.substring("c_name", 10, 20)).alias("from_name"),
+        "c_custkey", clean.to_number(F.expr("substr(c_name, 10)")).alias("from_name"),
         clean.to_number("c_mktsegment").alias("from_text"),
         clean.to_number(F.col("c_nationkey").cast("string")).alias("from_int"),
     )
@@ -175,21 +175,23 @@ def _(spark, d):
 
 
 PROFILE = f"""{v.MISSING}, long AS (
-  SELECT variable, value FROM (SELECT CAST(quality AS VARCHAR) AS quality,
-    CAST(toxic AS VARCHAR) AS toxic, lang, source, CAST(n_chars AS VARCHAR) AS n_chars
-    FROM missing) UNPIVOT INCLUDE NULLS
-  (value FOR variable IN (quality, toxic, lang, source, n_chars))),
+  SELECT variable, value FROM (SELECT CAST(d.doc_id AS VARCHAR) AS doc_id, text,
+    CAST(quality AS VARCHAR) AS quality, CAST(toxic AS VARCHAR) AS toxic, lang, source,
+    CAST(n_chars AS VARCHAR) AS n_chars FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id)
+  UNPIVOT INCLUDE NULLS
+  (value FOR variable IN (doc_id, text, quality, toxic, lang, source, n_chars))),
 profile AS (SELECT variable,
   CASE variable WHEN 'quality' THEN 'int' WHEN 'toxic' THEN 'int' WHEN 'n_chars' THEN 'bigint'
-    ELSE 'string' END AS dtype,
+    WHEN 'doc_id' THEN 'bigint' ELSE 'string' END AS dtype,
   count(*) - count(value) AS n_missing,
   round((count(*) - count(value)) / count(*)::DOUBLE * 100, 2) AS pct_missing,
   count(DISTINCT value) AS n_unique FROM long GROUP BY variable)"""
-PROFILED = ["quality", "toxic", "lang", "source", "n_chars"]
 
 
 def profiled(spark, d):
-    return profile.column_profile(v.missing_view(spark, d), PROFILED)
+    """Every column of the documents and of their labels."""
+    return profile.column_profile(
+        v.table(spark, d, "documents").join(v.table(spark, d, "labels"), "doc_id", "left"))
 
 
 @query("p10_profile_range_filter", f"""WITH {PROFILE} SELECT variable, pct_missing FROM profile
@@ -299,8 +301,7 @@ def _(spark, d):
   GROUP BY split, y""")
 def _(spark, d):
     df = v.loan(spark, d)
-    split = sampling.stratified_split(df, "id", "y")
-    return df.join(split, "id").groupBy("split", "y").agg(F.count("*").alias("n"))
+    return sampling.with_split(df, "id", "y").groupBy("split", "y").agg(F.count("*").alias("n"))
 
 
 @query("j02_aligned_scores", f"""WITH {v.SCORES} SELECT id, y, a_mix, b_mix FROM scores""",
@@ -413,8 +414,7 @@ def _(spark, d):
   FROM split GROUP BY split""", "rate")
 def _(spark, d):
     df = v.loan(spark, d)
-    split = sampling.stratified_split(df, "id", "y")
-    return quality.split_rates(df.join(split, "id"), "split", "y")
+    return quality.split_rates(sampling.with_split(df, "id", "y"), "split", "y")
 
 
 @query("q07_varying_indicators", f"""WITH {v.MISSING}, f AS (SELECT variable, m FROM (

@@ -41,22 +41,31 @@ COMPARISONS = f"""{NAMES}, comparisons AS (
   WHERE a.model[1] = b.model[1] OR substr(a.model, 3) = substr(b.model, 3))"""
 
 
-@query("j06_unordered_pairs", f"""WITH {NAMES} SELECT a.model AS model_a, b.model AS model_b
-  FROM names a JOIN names b ON a.model < b.model JOIN (SELECT count(*) AS n FROM orders) ON n > 0
-  WHERE a.model[1] = b.model[1]""")
+CATEGORY_PAIRS = """kinds AS (SELECT DISTINCT o_orderstatus || '/' || o_orderpriority AS model,
+    o_orderstatus AS run, o_orderpriority AS kind FROM orders),
+  pairs AS (SELECT a.model AS model_a, b.model AS model_b, a.run = b.run AS within,
+    a.kind = b.kind AND a.run < b.run AS across FROM kinds a JOIN kinds b ON a.model < b.model
+    OR a.kind = b.kind AND a.run < b.run)"""
+
+
+def found_kinds(spark, d):
+    """Which status and priority classes of orders there are, as runs and kinds to be compared."""
+    rows = v.table(spark, d, "orders").select("o_orderstatus", "o_orderpriority").distinct()
+    return rows.select(F.concat_ws("/", "o_orderstatus", "o_orderpriority").alias("model"),
+                       F.col("o_orderstatus").alias("run"), F.col("o_orderpriority").alias("kind"))
+
+
+@query("j06_unordered_pairs", f"""WITH {CATEGORY_PAIRS} SELECT model_a, model_b FROM pairs
+  WHERE within AND model_a < model_b""")
 def _(spark, d):
-    seen = v.scores_tall(spark, d).groupBy("model").agg(F.count("*").alias("n"))
-    models = seen.join(F.broadcast(model_table(spark)), "model").drop("n")
-    table = delong.comparison_table(models)
+    table = delong.comparison_table(found_kinds(spark, d))
     return table.where(F.col("family") != "across").select("model_a", "model_b")
 
 
-@query("j07_cross_run_pairs", f"""WITH {COMPARISONS} SELECT model_a, model_b FROM comparisons
-  JOIN (SELECT count(*) AS n FROM orders) ON n > 0 WHERE family = 'across'""")
+@query("j07_cross_run_pairs", f"""WITH {CATEGORY_PAIRS} SELECT model_a, model_b FROM pairs
+  WHERE across""")
 def _(spark, d):
-    seen = v.scores_tall(spark, d).groupBy("model").agg(F.count("*").alias("n"))
-    models = seen.join(F.broadcast(model_table(spark)), "model").drop("n")
-    table = delong.comparison_table(models)
+    table = delong.comparison_table(found_kinds(spark, d))
     return table.where(F.col("family") == "across").select("model_a", "model_b")
 
 
@@ -152,7 +161,7 @@ def _(spark, d):
   FROM t4 WHERE family = 'across'""", "delta_auc delta_ci_low delta_ci_high")
 def _(spark, d):
     return families(spark, d).where(F.col("family") == "across").select(
-        F.substring("model_a", 3, 10).alias("kind"), "delta_auc", "delta_ci_low",
+        F.expr("substr(model_a, 3)").alias("kind"), "delta_auc", "delta_ci_low",
         "delta_ci_high", "practical",
     )
 

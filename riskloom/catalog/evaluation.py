@@ -96,7 +96,7 @@ def _(spark, d):
     areas = metrics.auc(v.scores_tall(spark, d), ["model"])
     rates = metrics.classification_metrics(metrics.confusion(predicted(spark, d), ["model"]))
     return areas.join(rates, "model").select(
-        F.substring("model", 1, 1).alias("run"), F.substring("model", 3, 10).alias("kind"),
+        F.substring("model", 1, 1).alias("run"), F.expr("substr(model, 3)").alias("kind"),
         "auc", "f1",
     ).orderBy(F.desc("auc"))
 
@@ -108,7 +108,7 @@ def _(spark, d):
        "auc_a auc_b ratio", 9)
 def _(spark, d):
     areas = metrics.auc(v.scores_tall(spark, d), ["model"]).select(
-        F.substring("model", 1, 1).alias("run"), F.substring("model", 3, 10).alias("kind"), "auc"
+        F.substring("model", 1, 1).alias("run"), F.expr("substr(model, 3)").alias("kind"), "auc"
     )
     wide = areas.groupBy("kind").pivot("run", ["a", "b"]).agg(F.first("auc"))
     return wide.select(
@@ -124,7 +124,7 @@ def _(spark, d):
 def _(spark, d):
     cuts = metrics.youden_thresholds(v.scores_tall(spark, d), ["model"])
     return cuts.select(
-        F.substring("model", 1, 1).alias("run"), F.substring("model", 3, 10).alias("kind"),
+        F.substring("model", 1, 1).alias("run"), F.expr("substr(model, 3)").alias("kind"),
         "threshold",
     ).groupBy("kind").pivot("run", ["a", "b"]).agg(F.first("threshold"))
 

@@ -21,7 +21,7 @@ TRAIN = f"""{SPLIT}, train AS (SELECT loan.* FROM loan JOIN split USING (id)
 
 def split_loan(spark, d):
     df = v.loan(spark, d)
-    return df.join(sampling.stratified_split(df, "id", "y"), "id")
+    return sampling.with_split(df, "id", "y")
 
 
 def fitted(spark, d):
@@ -95,7 +95,7 @@ def _(spark, d):
     a = vector_to_array("features")
     return features.prepared(model, rows, v.LOAN_ROLES).select(
         "id", F.size(a).alias("n_slots"),
-        F.size(F.filter(F.slice(a, 3, 10000), lambda x: x == 1.0)).cast("long").alias("n_hot"),
+        F.size(F.filter(F.slice(a, F.lit(3), F.size(a) - 2), lambda x: x == 1.0)).cast("long").alias("n_hot"),
     )
 
 
@@ -159,7 +159,7 @@ def _(spark, d):
 def vector_sets(spark, d):
     """Embeddings split into train and test, written to the checkpoint folder once."""
     df = v.vectors(spark, d)
-    both = materialize(df.join(sampling.stratified_split(df, "id", "y"), "id"))
+    both = materialize(sampling.with_split(df, "id", "y"))
     train = both.where(F.col("split") == "train").drop("split")
     return train, both.where(F.col("split") == "test").drop("split")
 

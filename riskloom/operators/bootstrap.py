@@ -15,9 +15,7 @@ from pyspark.sql import functions as F
 
 from riskloom.functions.hashing import hash_key, poisson_one, uniform_from_key
 from riskloom.operators.metrics import ratio_or_zero
-from riskloom.operators.ranks import (
-    Buckets, cumulative_counts, pair_sum, small_group_counts,
-)
+from riskloom.operators.ranks import Buckets, cumulative_counts, pair_sum
 
 DRAWS_PER_KEY = 4
 OBSERVED = -1
@@ -51,28 +49,20 @@ def resampled(wide: DataFrame, id_col: str, label: str, models: Sequence[str], r
 
 
 def replicate_metrics(wide: DataFrame, id_col: str, label: str, thresholds: Mapping[str, float],
-                      replicates: int = 2000, seed: int = 42,
-                      bounded: bool = False) -> DataFrame:
+                      replicates: int = 2000, seed: int = 42) -> DataFrame:
     """``rep, model, auc, average_precision, f1``. ``thresholds`` has a cut per model column.
-    Replicates with one class only are left out.
-
-    ``bounded`` says that ``wide`` is a sample of fixed size, so that one task may order one
-    replicate of one model; otherwise replicates are ordered in buckets.
-    """
+    Replicates with one class only are left out. Replicates are ordered in buckets."""
     models = list(thresholds)
     rows = resampled(wide, id_col, label, models, replicates, seed).select(
         "rep", "w", label, *[F.col(m).cast("double").alias(m) for m in models]
     ).unpivot(["rep", "w", label], models, "model", "score")
     y, w = F.col(label), F.col("w")
     keys, counters = ["rep", "model"], {"n_pos": w * y, "n_neg": w * (1 - y)}
-    if bounded:
-        points = small_group_counts(rows, keys, "score", counters)
-    else:
-        values = wide.select(*[F.col(m).cast("double").alias(m) for m in models]).unpivot(
-            [], models, "model", "score"
-        )
-        buckets = Buckets.fit(values, ["model"], "score")
-        points = cumulative_counts(rows, keys, "score", counters, buckets=buckets)
+    values = wide.select(*[F.col(m).cast("double").alias(m) for m in models]).unpivot(
+        [], models, "model", "score"
+    )
+    buckets = Buckets.fit(values, ["model"], "score")
+    points = cumulative_counts(rows, keys, "score", counters, buckets=buckets)
     points = points.where((F.col("n_pos_total") > 0) & (F.col("n_neg_total") > 0))
     cut = F.element_at(
         F.create_map(*[F.lit(x) for m in models for x in (m, float(thresholds[m]))]),

@@ -9,13 +9,15 @@ from pyspark.sql import functions as F
 
 from riskloom.functions.clean import missing_flag
 from riskloom.operators.profile import fences, tall_numeric
+from riskloom.operators.ranks import same_keys
 from riskloom.operators.sampling import fixed_sample
+from riskloom.session import checked
 
 
 def _with_range(long: DataFrame, by: Sequence[str]) -> DataFrame:
     known = long.where(F.col("value").isNotNull())
     ranges = known.groupBy(*by).agg(F.min("value").alias("_lo"), F.max("value").alias("_hi"))
-    return known.join(F.broadcast(ranges), list(by))
+    return same_keys(known, checked(ranges), list(by))
 
 
 def histogram(df: DataFrame, columns: Sequence[str], bins: int = 60) -> DataFrame:
@@ -37,7 +39,7 @@ def box_stats(long: DataFrame, by: Sequence[str]) -> DataFrame:
     value = F.col("value")
     inside = (value >= F.col("low_fence")) & (value <= F.col("high_fence"))
     return (
-        long.where(value.isNotNull()).join(F.broadcast(fences(long, by)), by)
+        same_keys(long.where(value.isNotNull()), checked(fences(long, by)), by)
         .groupBy(*by)
         .agg(
             F.first("q1").alias("q1"), F.first("median").alias("median"),
@@ -61,12 +63,15 @@ def density(long: DataFrame, by: Sequence[str], points: int = 100, bins: int = 2
         F.min("value").alias("_lo"), F.max("value").alias("_hi"),
         F.stddev_samp("value").alias("_sd"), F.count("*").alias("_n"),
     ).where((F.col("_hi") > F.col("_lo")) & (F.col("_sd") > 0))
+    shape = checked(shape)
     width = (F.col("_hi") - F.col("_lo")) / bins
     at = F.least(F.floor((F.col("value") - F.col("_lo")) / width), F.lit(bins - 1))
     counts = (
-        known.join(F.broadcast(shape), by).withColumn("_bin", at)
+        same_keys(known, shape, by).withColumn("_bin", at)
         .groupBy(*by, "_bin").agg(F.count("*").alias("_c"))
-        .join(F.broadcast(shape), by)
+    )
+    counts = (
+        same_keys(counts, shape, by)
         .withColumn("_mid", F.col("_lo") + (F.col("_bin") + 0.5) * width)
         .withColumn("_h", F.col("_sd") * F.pow(F.col("_n").cast("double"), F.lit(-0.2)))
     )

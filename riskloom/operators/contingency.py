@@ -10,11 +10,12 @@ from __future__ import annotations
 from collections.abc import Sequence
 from itertools import combinations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from riskloom.functions.tails import chi2_p
 from riskloom.operators.profile import tall_text
+from riskloom.operators.ranks import same_keys
 
 
 def crosstab(df: DataFrame, a: str, b: str) -> DataFrame:
@@ -29,15 +30,13 @@ def chi2_independence(counts: DataFrame, by: Sequence[str], a: str = "a", b: str
                       n: str = "n") -> DataFrame:
     """``by, n, r, c, dof, chi2`` per table; continuity correction where there is one degree."""
     by = list(by)
-    marginal_a = F.sum(n).over(Window.partitionBy(*by, a))
-    marginal_b = F.sum(n).over(Window.partitionBy(*by, b))
-    per_a = F.count("*").over(Window.partitionBy(*by, a))
-    per_b = F.count("*").over(Window.partitionBy(*by, b))
-    totals = counts.groupBy(*by).agg(F.sum(n).alias("_total"))
+    table = counts.select(*by, F.col(a).alias("_a"), F.col(b).alias("_b"), F.col(n).alias("_n"))
+    # Marginals are combined before the shuffle, so a value with very many partners is no one task.
+    per_a = table.groupBy(*by, "_a").agg(F.sum("_n").alias("_ra"), F.count("*").alias("_ka"))
+    per_b = table.groupBy(*by, "_b").agg(F.sum("_n").alias("_cb"), F.count("*").alias("_kb"))
+    totals = table.groupBy(*by).agg(F.sum("_n").alias("_total"))
     cells = (
-        counts.select(*by, F.col(n).alias("_n"), marginal_a.alias("_ra"), marginal_b.alias("_cb"),
-                      per_a.alias("_ka"), per_b.alias("_kb"))
-        .join(totals, by)
+        same_keys(same_keys(same_keys(table, per_a, [*by, "_a"]), per_b, [*by, "_b"]), totals, by)
         .withColumn("_e", F.col("_ra").cast("double") * F.col("_cb") / F.col("_total"))
     )
     stats = cells.groupBy(*by).agg(
@@ -89,18 +88,19 @@ def rate_extremes(rates: DataFrame) -> DataFrame:
 
 
 def cramers_v(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """``var_a, var_b, cramers_v`` of all column pairs, in one job: each row contributes once per
-    pair to counts that are combined before the shuffle."""
+    """``var_a, var_b, cramers_v`` of all column pairs, in one job: rows are first combined to the
+    distinct combinations of all columns, and only those are taken apart into pairs."""
     names = sorted(columns)
+    combined = df.groupBy(*[F.col(c).cast("string").alias(c) for c in names]).agg(F.count("*").alias("_rows"))
     pairs = F.array(*[
         F.struct(F.lit(a).alias("var_a"), F.lit(b).alias("var_b"),
-                 F.col(a).cast("string").alias("a"), F.col(b).cast("string").alias("b"))
+                 F.col(a).alias("a"), F.col(b).alias("b"))
         for a, b in combinations(names, 2)
     ])
     counts = (
-        df.select(F.explode(pairs).alias("_p")).select("_p.*")
+        combined.select("_rows", F.explode(pairs).alias("_p")).select("_rows", "_p.*")
         .where(F.col("a").isNotNull() & F.col("b").isNotNull())
-        .groupBy("var_a", "var_b", "a", "b").agg(F.count("*").alias("n"))
+        .groupBy("var_a", "var_b", "a", "b").agg(F.sum("_rows").alias("n"))
     )
     table = chi2_independence(counts, ["var_a", "var_b"])
     smaller = F.least(F.col("r"), F.col("c")) - 1

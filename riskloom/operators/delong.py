@@ -63,10 +63,12 @@ def covariance(long: DataFrame, models: Sequence[str]) -> DataFrame:
         for i, j in pairs
     ])))
     positive = F.col("y") == 1
+    # A class of one row has no variance, so neither has the area.
+    total = lambda c: F.when(F.count(c) == 2, F.sum(F.col(c) / F.col("_n")))
     return tall.groupBy("model_a", "model_b").agg(
-        F.sum(F.col("_c") / F.col("_n")).alias("cov"),
-        F.sum(F.col("_va") / F.col("_n")).alias("var_a"),
-        F.sum(F.col("_vb") / F.col("_n")).alias("var_b"),
+        total("_c").alias("cov"),
+        total("_va").alias("var_a"),
+        total("_vb").alias("var_b"),
         F.max(F.when(positive, F.col("_ma"))).alias("auc_a"),
         F.max(F.when(positive, F.col("_mb"))).alias("auc_b"),
     )

@@ -57,15 +57,24 @@ def column_profile(df: DataFrame, columns: Sequence[str] | None = None,
             F.approx_count_distinct("value").alias("n_unique"),
         )
     else:
-        table = value_counts(df, columns).groupBy("variable").agg(
+        # A long text is counted by its digest, so that its values need not be shuffled whole.
+        short = tall_text(df, columns).withColumn("value", F.when(
+            F.length("value") > 40, F.concat(F.lit("#"), F.md5("value"), F.length("value").cast("string")))
+            .otherwise(F.col("value")))
+        counted = short.groupBy("variable", "value").agg(F.count("*").alias("n"))
+        table = counted.groupBy("variable").agg(
             F.sum("n").alias("_n"),
             F.coalesce(F.sum(F.when(F.col("value").isNull(), F.col("n"))), F.lit(0))
             .alias("n_missing"),
             F.count("value").alias("n_unique"),
         )
+    # A table without rows has a profile row per column too.
+    every = df.sparkSession.createDataFrame([(c,) for c in columns], "variable string")
+    table = every.join(F.broadcast(table), "variable", "left").na.fill(0, ["_n", "n_missing", "n_unique"])
     return table.select(
         "variable", F.element_at(dtype, F.col("variable")).alias("dtype"), "n_missing",
-        F.round(F.col("n_missing") / F.col("_n") * 100, 2).alias("pct_missing"), "n_unique",
+        F.round(F.when(F.col("_n") > 0, F.col("n_missing") / F.col("_n") * 100), 2).alias("pct_missing"),
+        "n_unique",
     )
 
 
@@ -113,14 +122,15 @@ def numeric_summary(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     value = F.col("value")
     outside = (value < F.col("low_fence")) | (value > F.col("high_fence"))
     return (
-        long.join(F.broadcast(fence), "variable")
+        # As many fences as columns; a variable without values has none but keeps its row.
+        long.join(F.broadcast(fence), "variable", "left")
         .groupBy("variable")
         .agg(
             F.avg("value").alias("mean"), F.first("median").alias("median"),
             F.stddev_samp("value").alias("sd"), F.min("value").alias("min"),
             F.first("q1").alias("q1"), F.first("q3").alias("q3"), F.max("value").alias("max"),
             F.first("iqr").alias("iqr"), F.count_if(outside).alias("n_outliers"),
-            (F.count_if(outside) / F.count("value") * 100).alias("pct_outliers"),
+            (F.try_divide(F.count_if(outside), F.count("value")) * 100).alias("pct_outliers"),
             adjusted_skewness("value").alias("skewness"),
             (F.count_if(value.isNull()) / F.count("*") * 100).alias("pct_missing"),
         )
@@ -140,11 +150,11 @@ def describe_all(df: DataFrame, numeric: Sequence[str], categorical: Sequence[st
              F.max("value").alias("max"))
         .join(F.broadcast(quart), "variable", "left")
     )
+    known = F.col("value").isNotNull()
     texts = (
-        value_counts(df, categorical).where(F.col("value").isNotNull())
-        .groupBy("variable")
-        .agg(F.sum("n").alias("count"), F.count("*").alias("unique"),
-             F.max(F.struct(F.col("n"), F.col("value"))).alias("_top"))
+        value_counts(df, categorical).groupBy("variable")
+        .agg(F.coalesce(F.sum(F.when(known, F.col("n"))), F.lit(0)).alias("count"), F.count_if(known).alias("unique"),
+             F.max(F.when(known, F.struct(F.col("n"), F.col("value")))).alias("_top"))
         .select("variable", "count", "unique", F.col("_top.value").alias("top"),
                 F.col("_top.n").alias("freq"))
     )

@@ -17,7 +17,7 @@ from pyspark.sql.types import (
     DoubleType, IntegerType, LongType, StructField, StructType,
 )
 
-from riskloom.operators.ranks import Buckets
+from riskloom.operators.ranks import Buckets, same_keys
 from riskloom.session import shuffle_width, small_table
 
 MIN_BUCKETS = 256
@@ -54,7 +54,7 @@ def _in_buckets(by: Sequence[str], found: list[tuple]) -> Column:
     for group, numbers in buckets.items():
         mine = F.col("_bucket").isin(sorted(numbers))
         for column, level in zip(by, group):
-            mine = mine & (F.col(column) == F.lit(level))
+            mine = mine & F.col(column).eqNullSafe(F.lit(level))
         keep = keep | mine
     return keep
 
@@ -93,7 +93,7 @@ def exact_quantiles(long: DataFrame, by: Sequence[str], value: str, probs: Seque
         .withColumn("_start", F.coalesce(F.sum("_n").over(below), F.lit(0)))
     )
     ends = (
-        kept.join(F.broadcast(wanted), keys)
+        same_keys(kept, F.broadcast(wanted), keys)
         .where((F.col("_at") >= F.col("_start")) & (F.col("_at") < F.col("_start") + F.col("_n")))
         .groupBy(*by, "prob", "_part")
         .agg(F.max(F.when(F.col("_side") == 0, F.col("_v"))).alias("_lo"),

@@ -19,66 +19,89 @@ from dataclasses import dataclass
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, IntegerType, StructField, StructType
 
 from riskloom.session import shuffle_width, small_table
 
-SAMPLE_SHARE = 0.05
+SAMPLE_PER_BUCKET = 64
+ROWS_PER_BUCKET = 4_000_000
+LOG_RANGE = 1424.0
 INF = float("inf")
 
 
+def same_keys(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
+    """Join on equal keys where null equals null; the keys of ``left`` stay."""
+    names = {k: f"_right_{k}" for k in keys}
+    other = right.withColumnsRenamed(names)
+    condition = F.lit(True)
+    for k, name in names.items():
+        condition = condition & F.col(k).eqNullSafe(F.col(name))
+    return left.join(other, condition, how).drop(*names.values())
+
+
 @dataclass(frozen=True)
 class Buckets:
-    """Cut points per group; the bucket of a value is the number of cut points at or below it."""
+    """Cut points of all groups on one axis: group number plus a monotone squeeze of the value.
+
+    The bucket of a row is the number of cut points at or below its place on the axis, so it costs
+    one search whatever the number of groups. Buckets of different groups have different numbers.
+    """
 
     by: tuple[str, ...]
     value: str
-    cuts: Mapping[tuple, tuple[float, ...]]
+    groups: DataFrame | None
+    cuts: tuple[float, ...]
 
     @staticmethod
     def fit(df: DataFrame, by: Sequence[str], value: str,
             n_buckets: int | None = None) -> Buckets:
-        """Cut points from a row sample. The result on the driver is groups x buckets numbers."""
-        n = n_buckets or shuffle_width(df)
+        """Cut points from a sample of about ``SAMPLE_PER_BUCKET`` rows per bucket, whatever the
+        number of rows; the number of buckets follows the rows of the largest group. Groups are of
+        a bounded number; a null group counts as one of them."""
+        spark = df.sparkSession
+        by = list(by)
+        rows = df.select(*by, F.col(value).cast("double").alias("_v")).where(
+            F.col("_v").isNotNull() & ~F.isnan("_v") & (F.abs("_v") < INF))
+        counts = rows.groupBy(*by).agg(F.count("*").alias("_n")).collect()
+        if not counts:
+            return Buckets(tuple(by), value, None, ())
+        largest = max(r["_n"] for r in counts)
+        n = n_buckets or max(shuffle_width(df), -(-largest // ROWS_PER_BUCKET))
+        numbered = [(*r[:-1], i, min(1.0, SAMPLE_PER_BUCKET * n / r["_n"])) for i, r in enumerate(
+            sorted(counts, key=lambda r: str(r[:-1])))]
+        schema = StructType([df.schema[c] for c in by] + [
+            StructField("_group", IntegerType()), StructField("_share", DoubleType())])
+        groups = small_table(spark, numbered, schema)
         probs = [i / n for i in range(1, n)]
-        rows = (
-            df.select(*by, F.col(value).cast("double").alias("_v"))
-            .where(F.col("_v").isNotNull() & ~F.isnan("_v"))
-            .sample(SAMPLE_SHARE, seed=11)
-            .groupBy(*by)
-            .agg(F.percentile_approx("_v", probs, 10 * n + 1000).alias("_cuts"))
-            .collect()
+        fitted = (
+            same_keys(rows, F.broadcast(groups), by).where(F.rand(11) < F.col("_share"))
+            .groupBy("_group").agg(F.percentile_approx("_v", probs, 10 * n + 1000).alias("_cuts"))
+            .select("_group", F.explode("_cuts").alias("_v"))
+            .select(_axis(F.col("_group"), F.col("_v")).alias("_at")).distinct().collect()
         )
-        cuts = {
-            tuple(r[c] for c in by): tuple(sorted({v + 0.0 for v in r["_cuts"] if abs(v) < INF}))
-            for r in rows
-        }
-        return Buckets(tuple(by), value, {g: c for g, c in cuts.items() if c})
+        edges = {r["_at"] for r in fitted} | {float(i) for i in range(1, len(numbered))}
+        return Buckets(tuple(by), value, groups.drop("_share"), tuple(sorted(edges)))
 
     def place(self, df: DataFrame) -> DataFrame:
-        """``df`` with an int column ``_bucket``."""
+        """``df`` with an int column ``_bucket``; buckets rise with the value inside a group."""
         if not self.cuts:
             return df.withColumn("_bucket", F.lit(0))
-        groups = list(self.cuts)
-        inputs = [f"_in{i}" for i in range(len(groups))]
-        outputs = [f"_out{i}" for i in range(len(groups))]
-        # Grouping takes -0.0 and 0.0 as one value, so their bucket must be the same too.
-        value = F.when(F.col(self.value) == 0, 0.0).otherwise(F.col(self.value).cast("double"))
-        wide = df.withColumns({
-            name: F.when(self._is(group), value)
-            for name, group in zip(inputs, groups)
-        })
+        at = _axis(F.col("_group"), F.col(self.value).cast("double"))
+        wide = same_keys(df, F.broadcast(self.groups), self.by, "left").withColumn("_at", at)
         placed = Bucketizer(
-            inputCols=inputs, outputCols=outputs, handleInvalid="keep",
-            splitsArray=[[-INF, *self.cuts[g], INF] for g in groups],
+            inputCol="_at", outputCol="_place", handleInvalid="keep", splits=[-INF, *self.cuts, INF],
         ).transform(wide)
-        bucket = F.coalesce(*[F.col(c) for c in outputs], F.lit(0.0)).cast("int")
-        return placed.select(*df.columns, bucket.alias("_bucket"))
+        return placed.select(*df.columns, F.coalesce("_place", F.lit(0.0)).cast("int").alias("_bucket"))
 
-    def _is(self, group: tuple) -> Column:
-        mine = F.lit(True)
-        for column, level in zip(self.by, group):
-            mine = mine & (F.col(column) == F.lit(level))
-        return mine
+
+def _axis(group: Column, value: Column) -> Column:
+    """Place of a value inside [group, group + 1); -0.0 and 0.0 are one value, NaN is the largest.
+    Equal values share a place and larger ones never come before, which is all a result needs."""
+    squeezed = F.signum(value) * F.log1p(F.abs(value)) / LOG_RANGE
+    inside = (F.when(value.isNull() | F.isnan(value), 0.9999)
+              .when(value == INF, 0.9998).when(value == -INF, 0.0001).when(value == 0, 0.5)
+              .otherwise(0.5 + squeezed * 0.999))
+    return group + inside
 
 
 def bucket_offsets(placed: DataFrame, by: Sequence[str], counters: Sequence[str]) -> DataFrame:
@@ -127,7 +150,7 @@ def cumulative_counts(df: DataFrame, by: Sequence[str], value: str,
         Window.partitionBy(*by, "_bucket").orderBy(value)
         .rowsBetween(Window.unboundedPreceding, -1)
     )
-    return points.join(offsets, [*by, "_bucket"]).select(
+    return same_keys(points, offsets, [*by, "_bucket"]).select(
         *by, value, *names,
         *[
             (F.col(f"{c}_before") + F.coalesce(F.sum(c).over(below), F.lit(0)))
@@ -138,24 +161,6 @@ def cumulative_counts(df: DataFrame, by: Sequence[str], value: str,
     )
 
 
-def small_group_counts(df: DataFrame, by: Sequence[str], value: str,
-                       counters: Mapping[str, Column]) -> DataFrame:
-    """The same table for many groups of bounded size (replicates of a fixed-size sample): rows
-    are shuffled once, by group, and each group is ordered where it lies."""
-    by, names = list(by), list(counters)
-    rows = df.where(F.col(value).isNotNull()).select(
-        *by, F.col(value).cast("double").alias(value), *[counters[c].alias(c) for c in names]
-    )
-    points = rows.repartition(*by).groupBy(*by, value).agg(*[F.sum(c).alias(c) for c in names])
-    whole = Window.partitionBy(*by)
-    below = whole.orderBy(value).rowsBetween(Window.unboundedPreceding, -1)
-    return points.select(
-        *by, value, *names,
-        *[F.coalesce(F.sum(c).over(below), F.lit(0)).alias(f"{c}_below") for c in names],
-        *[F.sum(c).over(whole).alias(f"{c}_total") for c in names],
-    )
-
-
 def label_counts(long: DataFrame, by: Sequence[str], score: str = "score", label: str = "y",
                  n_buckets: int | None = None) -> DataFrame:
     """Positives and negatives at, below and in total, per distinct score of each group."""
@@ -194,15 +199,14 @@ def attach_by_value(rows: DataFrame, points: DataFrame, by: Sequence[str], value
     hot = sized.where(F.col("_salts") > 1).select(*keys, "_salts")
     spread = sized.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.col("_salts") - 1)))
     salted = (
-        rows.withColumn(value, F.col(value).cast("double"))
-        .join(F.broadcast(hot), keys, "left")
+        same_keys(rows.withColumn(value, F.col(value).cast("double")), F.broadcast(hot), keys, "left")
         .withColumn(
             "_salt",
             F.pmod(F.xxhash64(row_key), F.coalesce(F.col("_salts"), F.lit(1))).cast("int"),
         )
         .drop("_salts")
     )
-    return salted.join(spread.drop("_salts"), [*keys, "_salt"]).drop("_salt")
+    return same_keys(salted, spread.drop("_salts"), [*keys, "_salt"]).drop("_salt")
 
 
 def midranks(rows: DataFrame, by: Sequence[str], value: str, row_key: str) -> DataFrame:

@@ -14,13 +14,16 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from riskloom.functions.hashing import hash_key, hash_uniform
+from riskloom.operators.ranks import same_keys
+from riskloom.session import checked
 
 BIN_DIGITS = 4
 
 
 def cut_keys(df: DataFrame, strata: Sequence[str], key: Column,
              quota: Callable[[Column, Column], Column]) -> DataFrame:
-    """Largest key inside the quota, per stratum: ``strata, cut_key``.
+    """Largest key inside the quota, per stratum: ``strata, cut_key, ties``, where ``ties`` is how
+    many rows of that very key the quota takes. A null stratum is one like the others.
 
     ``quota(n, n_all)`` gives the wanted rows from the size of the stratum and of the table.
     """
@@ -42,24 +45,31 @@ def cut_keys(df: DataFrame, strata: Sequence[str], key: Column,
                 (F.col("_quota") - (F.col("_upto") - F.col("_n"))).alias("_rank"))
     )
     order = Window.partitionBy(*strata).orderBy("_key")
+    binned = keyed.withColumn("_bin", F.substring("_key", 1, BIN_DIGITS))
     return (
-        keyed.withColumn("_bin", F.substring("_key", 1, BIN_DIGITS))
-        .join(F.broadcast(boundary), [*strata, "_bin"])
-        .withColumn("_at", F.row_number().over(order))
+        same_keys(binned, checked(boundary), [*strata, "_bin"])
+        .withColumns({"_at": F.row_number().over(order), "_first": F.rank().over(order)})
         .where(F.col("_at") == F.col("_rank"))
-        .select(*strata, F.col("_key").alias("cut_key"))
+        .select(*strata, F.col("_key").alias("cut_key"), (F.col("_rank") - F.col("_first") + 1).alias("ties"))
     )
 
 
+def with_split(df: DataFrame, id_col: str, target: str, test_share: float = 0.2, seed: int = 42,
+               split: str = "split") -> DataFrame:
+    """``df`` with a column ``split``: in every class, a null one included, exactly
+    ceil(test_share * n) rows are ``test`` (ids being unique). Whether a row is in the test set is a
+    comparison of its own key, so no row moves."""
+    key = hash_key(seed, id_col)
+    cuts = cut_keys(df, [target], key, lambda n, _: F.ceil(n * F.lit(test_share))).drop("ties")
+    value = F.when(key <= F.col("cut_key"), "test").otherwise("train")
+    return same_keys(df, checked(cuts), [target], "left").select(*df.columns, value.alias(split))
+
+
 def stratified_split(df: DataFrame, id_col: str, target: str, test_share: float = 0.2,
                      seed: int = 42) -> DataFrame:
     """``id, split``: in every class exactly ceil(test_share * n) rows are ``test``."""
-    key = hash_key(seed, id_col)
-    cuts = cut_keys(df, [target], key, lambda n, _: F.ceil(n * F.lit(test_share)))
-    return df.join(F.broadcast(cuts), target, "left").select(
-        F.col(id_col).cast("string").alias("id"),
-        F.when(key <= F.col("cut_key"), "test").otherwise("train").alias("split"),
-    )
+    return with_split(df, id_col, target, test_share, seed, "_split").select(
+        F.col(id_col).cast("string").alias("id"), F.col("_split").alias("split"))
 
 
 def stratified_sample(df: DataFrame, id_col: str, target: str, n: int,
@@ -72,24 +82,22 @@ def stratified_sample(df: DataFrame, id_col: str, target: str, n: int,
             size, F.bround(size * F.least(F.lit(1.0), F.lit(float(n)) / n_all), 0)
         ),
     )
-    return (
-        df.join(F.broadcast(cuts), target)
-        .where(key <= F.col("cut_key"))
-        .select(*df.columns)
-    )
+    return same_keys(df, checked(cuts), [target]).where(key <= F.col("cut_key")).select(*df.columns)
 
 
 def fixed_sample(df: DataFrame, id_col: str, n: int, seed: int = 42,
                  by: Sequence[str] = ()) -> DataFrame:
-    """Exactly ``n`` rows (per group of ``by`` if given); all rows where there are fewer."""
+    """Exactly ``n`` rows (per group of ``by`` if given, a null group included); all rows where
+    there are fewer. Of rows that share the last id taken, as many as fit are kept."""
     key = hash_key(seed, id_col)
-    by = list(by)
-    if by:
-        cuts = cut_keys(df, by, key, lambda size, _: F.least(size, F.lit(n)))
-        return df.join(F.broadcast(cuts), by).where(key <= F.col("cut_key")).select(*df.columns)
-    cuts = cut_keys(df.withColumn("_all", F.lit(0)), ["_all"], key,
-                    lambda size, _: F.least(size, F.lit(n)))
-    return df.where(key <= cuts.select("cut_key").scalar())
+    strata = list(by) or ["_all"]
+    rows = df if by else df.withColumn("_all", F.lit(0))
+    cuts = cut_keys(rows, strata, key, lambda size, _: F.least(size, F.lit(n)))
+    near = same_keys(rows.withColumn("_key", key), checked(cuts), strata).where(F.col("_key") <= F.col("cut_key"))
+    tied = near.where(F.col("_key") == F.col("cut_key")).withColumn(
+        "_at", F.row_number().over(Window.partitionBy(*strata).orderBy("_key")))
+    tied = tied.where(F.col("_at") <= F.col("ties"))
+    return near.where(F.col("_key") < F.col("cut_key")).select(*df.columns).unionByName(tied.select(*df.columns))
 
 
 def bernoulli_sample(df: DataFrame, id_col: str, fraction: float, seed: int = 42) -> DataFrame:
@@ -109,14 +117,29 @@ def pick_per_class(df: DataFrame, id_col: str, classes: str, k: int = 1,
 
 def stratified_folds(df: DataFrame, id_col: str, target: str, folds: int = 3,
                      seed: int = 42) -> DataFrame:
-    """``df`` with a ``fold`` column 0..folds-1; class shares are equal across folds to one row."""
+    """``df`` with a ``fold`` column 0..folds-1; class shares, the null class included, are equal
+    across folds to one row. All cuts come from one count of the keys."""
     key = hash_key(f"fold{seed}", id_col)
+    keyed = df.select(F.col(target), key.alias("_key"), F.substring(key, 1, BIN_DIGITS).alias("_bin"))
+    counts = keyed.groupBy(target, "_bin").agg(F.count("*").alias("_n"))
+    running = Window.partitionBy(target).orderBy("_bin")
+    bins = (
+        counts.withColumn("_upto", F.sum("_n").over(running))
+        .withColumn("_size", F.sum("_n").over(Window.partitionBy(target)))
+        .withColumn("_i", F.explode(F.sequence(F.lit(1), F.lit(folds - 1))))
+        .withColumn("_quota", F.floor(F.col("_size") * F.col("_i") / F.lit(folds)))
+        .where((F.col("_quota") > F.col("_upto") - F.col("_n")) & (F.col("_quota") <= F.col("_upto")))
+        .select(target, "_bin", "_i", (F.col("_quota") - (F.col("_upto") - F.col("_n"))).alias("_rank"))
+    )
+    if folds < 2:
+        return df.withColumn("fold", F.lit(0))
+    order = Window.partitionBy(target, "_i").orderBy("_key")
+    cuts = (
+        same_keys(keyed, checked(bins), [target, "_bin"]).withColumn("_at", F.row_number().over(order))
+        .where(F.col("_at") == F.col("_rank"))
+        .groupBy(target).agg(*[F.max(F.when(F.col("_i") == i, F.col("_key"))).alias(f"_cut{i}") for i in range(1, folds)])
+    )
     fold = F.lit(0)
-    out = df
-    for i in range(1, folds):
-        cut = cut_keys(
-            df, [target], key, lambda n, _, i=i: F.floor(n * F.lit(i) / F.lit(folds))
-        ).withColumnRenamed("cut_key", f"_cut{i}")
-        out = out.join(F.broadcast(cut), target, "left")
+    for i in range(1, folds):  # a class too small for a cut has its rows after it
         fold = fold + F.coalesce((key > F.col(f"_cut{i}")).cast("int"), F.lit(1))
-    return out.withColumn("fold", fold).select(*df.columns, "fold")
+    return same_keys(df, checked(cuts), [target], "left").select(*df.columns, fold.alias("fold"))

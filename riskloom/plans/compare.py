@@ -14,9 +14,6 @@ from riskloom.operators import (
 from riskloom.session import materialize, small_table
 
 
-ONE_TASK_ROWS = 1_000_000
-
-
 @dataclass(frozen=True)
 class ScoreSet:
     """A stored run: wide score tables of both sets, and column name by model family."""
@@ -42,9 +39,10 @@ def _aligned(runs: list[ScoreSet], part: str, id_col: str, label: str) -> DataFr
 
 
 def compare_runs(a: ScoreSet, b: ScoreSet, id_col: str, label: str, replicates: int = 2000,
-                 bootstrap_rows: int = 50000, seed: int = 42) -> dict[str, DataFrame]:
-    """DeLong families, McNemar at training-set thresholds, paired bootstrap on a stratified
-    sample, and the table of all three.
+                 bootstrap_rows: int | None = None, seed: int = 42) -> dict[str, DataFrame]:
+    """DeLong families, McNemar at training-set thresholds, paired bootstrap, and the table of all
+    three. The bootstrap takes all rows; a caller may ask for a stratified sample of
+    ``bootstrap_rows``.
 
     The aligned tables are written once: every test below reads them again.
     """
@@ -84,10 +82,10 @@ def compare_runs(a: ScoreSet, b: ScoreSet, id_col: str, label: str, replicates:
         ["family"], "p_value", ["model_a", "model_b"],
     ).drop("family")
 
-    sample = materialize(sampling.stratified_sample(test, "id", "y", bootstrap_rows, seed))
-    reps = bootstrap.replicate_metrics(
-        sample, "id", "y", thresholds, replicates, seed, bounded=bootstrap_rows <= ONE_TASK_ROWS
-    )
+    sample = test
+    if bootstrap_rows is not None:
+        sample = materialize(sampling.stratified_sample(test, "id", "y", bootstrap_rows, seed))
+    reps = bootstrap.replicate_metrics(sample, "id", "y", thresholds, replicates, seed)
     intervals = materialize(bootstrap.paired_intervals(reps, pairs))
     return {
         "checks": checks,

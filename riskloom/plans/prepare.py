@@ -32,12 +32,9 @@ def prepare(df: DataFrame, roles: Roles, folder: str, rare_columns: Sequence[str
 
     The joined rows are written once; every fit then reads that table and not the raw source.
     """
-    split = write_table(
-        sampling.stratified_split(df, roles.id, roles.target, test_share, seed),
-        f"{folder}/split",
-    )
     keyed = df.withColumn(roles.id, F.col(roles.id).cast("string"))
-    rows = keyed.join(split.withColumnRenamed("id", roles.id), roles.id)
+    rows = sampling.with_split(keyed, roles.id, roles.target, test_share, seed)
+    split = write_table(rows.select(F.col(roles.id).alias("id"), "split"), f"{folder}/split")
     keep = profile.frequent_values(
         rows.where(F.col("split") == "train"), list(rare_columns), rare_threshold
     ) if rare_columns else None

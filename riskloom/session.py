@@ -8,6 +8,7 @@ from collections.abc import Sequence
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 
@@ -66,7 +67,18 @@ def small_table(spark: SparkSession, rows: Sequence[tuple], schema: str | Struct
     return spark.createDataFrame(pa.table(columns, names=names), schema)
 
 
+BROADCAST_ROWS = 10_000
+
+
+def checked(df: DataFrame) -> DataFrame:
+    """``df`` as a broadcast table if it has at most ``BROADCAST_ROWS`` rows, which is looked up;
+    else as it is, for the planner to join."""
+    rows = df.limit(BROADCAST_ROWS + 1).collect()
+    if len(rows) > BROADCAST_ROWS:
+        return df
+    return F.broadcast(small_table(df.sparkSession, rows, df.schema))
+
+
 def shuffle_width(df: DataFrame) -> int:
-    """Number of buckets for range-split work: the session's shuffle width, within bounds."""
-    width = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return max(4, min(width, 4096))
+    """Least number of buckets for range-split work: the session's shuffle width."""
+    return max(4, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
