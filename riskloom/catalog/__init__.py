@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from riskloom.catalog.registry import ORACLE, QUERIES
 from riskloom.catalog import (  # noqa: F401
-    columns, comparisons, describing, evaluation, explaining, modelling, ordering, testing,
+    columns, comparisons, describing, evaluation, explaining, modelling, ordering, storing, testing,
 )
 
 __all__ = ["ORACLE", "QUERIES"]

@@ -23,17 +23,6 @@ def _(spark, d):
     return sources.read_table(spark, f"{d}/customer.parquet")
 
 
-@query("s06_json_params", """SELECT event_id, event_type,
-  CAST(json_extract_string(props, '$.k') AS DOUBLE) AS k FROM events""")
-def _(spark, d):
-    parsed = v.table(spark, d, "events").withColumn(
-        "props", F.from_json("props", "map<string,string>")
-    )
-    return parsed.select(
-        "event_id", "event_type", F.element_at("props", F.lit("k")).try_cast("double").alias("k")
-    )
-
-
 @query("s10_small_lookup_table", """SELECT o_orderkey,
   CASE o_orderstatus WHEN 'F' THEN 'filled' WHEN 'O' THEN 'open' WHEN 'P' THEN 'pending' END
   AS state FROM orders""")

@@ -47,7 +47,11 @@ def write_table(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> D
 
 
 def write_result_csv(df: DataFrame, path: str) -> None:
-    df.write.mode("overwrite").option("header", True).option("escape", '"').csv(path)
+    """CSV that ``read_csv_text`` reads back as it was: white space stays, an empty text is no null."""
+    (
+        df.write.mode("overwrite").option("header", True).option("escape", '"')
+        .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path)
+    )
 
 
 def write_json(df: DataFrame, path: str) -> None:
