@@ -11,18 +11,19 @@ from riskloom.catalog.registry import query
 from riskloom.operators import explain, metrics, models, sampling
 from riskloom.session import materialize, small_table
 
+BACKGROUND_ROWS = 30000
 VEC = """vec AS (SELECT CAST(vec_id AS VARCHAR) AS id, CASE WHEN label = 0 THEN 1 ELSE 0 END AS y,
   embedding FROM embeddings)"""
 BACKGROUND = f"""{VEC}, ranked AS (SELECT *, row_number() OVER (PARTITION BY y
     ORDER BY md5('42:' || id)) AS pos, count(*) OVER (PARTITION BY y) AS n_class,
     count(*) OVER () AS n_all FROM vec),
   bg AS (SELECT id, y, embedding FROM ranked
-    WHERE pos <= round_even(n_class * least(1.0::DOUBLE, 300.0::DOUBLE / n_all), 0))"""
+    WHERE pos <= round_even(n_class * least(1.0::DOUBLE, 30000.0::DOUBLE / n_all), 0))"""
 
 
 @query("x01_background_sample", f"WITH {BACKGROUND} SELECT id, y FROM bg")
 def _(spark, d):
-    return explain.background(v.vectors(spark, d), "id", "y", 300).select("id", "y")
+    return explain.background(v.vectors(spark, d), "id", "y", BACKGROUND_ROWS).select("id", "y")
 
 
 def slots(spark, d, n=64):
@@ -43,7 +44,7 @@ def slots(spark, d, n=64):
     count(*) / (SELECT count(*) FROM bg)::DOUBLE AS freq
   FROM binned GROUP BY idx, q1, q2, q3, bin""", "q1 q2 q3 mean sd low high freq")
 def _(spark, d):
-    sample = explain.background(v.vectors(spark, d), "id", "y", 300)
+    sample = explain.background(v.vectors(spark, d), "id", "y", BACKGROUND_ROWS)
     return explain.slot_statistics(sample, slots(spark, d))
 
 
@@ -58,7 +59,7 @@ def _(spark, d):
     return explain.choose_instances(wide, "id", "y", "a_mix", 420.0, per_class=5)
 
 
-def explained(spark, d, samples=1000):
+def explained(spark, d, samples=5000):
     """Instances, statistics, scored copies and fits for one misclassified row of each kind."""
     tuned, train, test = refitted(spark, d, ("LogisticRegression",))
     model = tuned["LogisticRegression"]
@@ -131,7 +132,7 @@ def _(spark, d):
 @query("x09_sampled_slots", f"""WITH {BACKGROUND} SELECT y, count(*) AS n,
   sum(len(embedding))::BIGINT AS n_values FROM bg GROUP BY y""")
 def _(spark, d):
-    sample = sampling.stratified_sample(v.vectors(spark, d), "id", "y", 300)
+    sample = sampling.stratified_sample(v.vectors(spark, d), "id", "y", BACKGROUND_ROWS)
     return sample.select("y", F.size(vector_to_array("features")).alias("k")).groupBy("y").agg(
         F.count("*").alias("n"), F.sum("k").alias("n_values")
     )

@@ -190,9 +190,11 @@ for number, family in enumerate(models.FAMILIES, start=1):
     )
 
 
-def refitted(spark, d, names=("LogisticRegression", "DecisionTree", "NaiveBayes")):
+def refitted(spark, d, names=tuple(models.FAMILIES)):
+    """All six families, or some, fitted once with known parameters."""
     params = {"LogisticRegression": {"regParam": 1e-4}, "DecisionTree": {"maxDepth": 5},
-              "NaiveBayes": {}}
+              "RandomForest": {"numTrees": 10, "maxDepth": 5}, "GBT": {"maxIter": 10, "maxDepth": 3},
+              "LinearSVC": {"regParam": 1e-4}, "NaiveBayes": {}}
     train, test = vector_sets(spark, d)
     return {
         n: models.refit(models.FAMILIES[n], train, "y", params[n]) for n in names

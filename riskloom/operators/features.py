@@ -73,8 +73,21 @@ def impute_exact(train: DataFrame, df: DataFrame, columns: Sequence[str]) -> Dat
     })
 
 
+MAX_LABELS = 10_000
+
+
+def check_labels(train: DataFrame, columns: Sequence[str]) -> None:
+    """Labels of an indexed column are kept on the driver, so their number has a bound; columns with
+    more go through ``profile.group_rare`` first."""
+    found = train.agg(*[F.approx_count_distinct(c).alias(c) for c in columns]).first()
+    wide = [c for c in columns if found[c] > MAX_LABELS]
+    if wide:
+        raise ValueError(f"more than {MAX_LABELS} labels in {', '.join(wide)}")
+
+
 def category_index(train: DataFrame, columns: Sequence[str]) -> DataFrame:
     """``variable, value, idx`` as fitted by the indexer: most frequent first, ties by name."""
+    check_labels(train, columns)
     fitted = StringIndexer(
         inputCols=list(columns), outputCols=[f"{c}_idx" for c in columns], handleInvalid="keep"
     ).fit(train)

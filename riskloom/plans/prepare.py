@@ -42,6 +42,8 @@ def prepare(df: DataFrame, roles: Roles, folder: str, rare_columns: Sequence[str
         rows = profile.group_rare(rows, materialize(keep), list(rare_columns))
     rows = write_table(rows.select(*roles.all(), "split"), f"{folder}/rows", ["split"])
     train_rows = rows.where(F.col("split") == "train")
+    if roles.categorical:
+        features.check_labels(train_rows, roles.categorical)
     model = features.feature_pipeline(roles).fit(train_rows)
     save_pipeline(model, f"{folder}/pipeline")
     transformed = features.prepared(model, rows, roles, ["split"])
