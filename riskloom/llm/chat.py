@@ -68,23 +68,27 @@ def branches(messages: DataFrame, best: int, scratch: Scratch) -> DataFrame:
     # up: the ancestor 2^k steps above; depth and total: steps and scores up to there.
     state = links.select("tree", "node", F.col("parent").alias("up"), F.lit(1).alias("depth"),
                          F.col("score").alias("total"))
-    jumps, most, level = [], links.count(), 0
+    # Messages that have reached their root are only looked up from then on.
+    jumps, most, level, done = [], links.count(), 0, None
     while True:
         state = scratch.save(state)
         jumps.append(state)
-        if 2**level > most or state.where("up IS NOT NULL").isEmpty():
+        known = state if done is None else state.unionAll(done)
+        ended = state.where("up IS NULL")
+        done = ended if done is None else done.unionAll(ended)
+        going = state.where("up IS NOT NULL")
+        if 2**level > most or going.isEmpty():
             break
-        above = state.select(F.col("tree").alias("t"), F.col("node").alias("a"), F.col("up").alias("up2"),
+        above = known.select(F.col("tree").alias("t"), F.col("node").alias("a"), F.col("up").alias("up2"),
                              F.col("depth").alias("depth2"), F.col("total").alias("total2"))
-        state = state.join(above, same("tree", "t") & (F.col("up") == F.col("a")), "left").select(
-            "tree", "node", F.col("up2").alias("up"),
-            (F.col("depth") + F.coalesce("depth2", F.lit(0))).alias("depth"),
-            (F.col("total") + F.coalesce("total2", F.lit(0.0))).alias("total"))
+        state = going.join(above, same("tree", "t") & (F.col("up") == F.col("a"))).select(
+            "tree", "node", F.col("up2").alias("up"), (F.col("depth") + F.col("depth2")).alias("depth"),
+            (F.col("total") + F.col("total2")).alias("total"))
         level += 1
 
     place = F.row_number().over(Window.partitionBy("tree").orderBy(F.desc("total"), "node"))
     path = leaves.withColumnRenamed("tree", "t").withColumnRenamed("node", "l").join(
-        jumps[-1], same("tree", "t") & (F.col("node") == F.col("l"))).where("up IS NULL")
+        done, same("tree", "t") & (F.col("node") == F.col("l")))
     path = path.withColumn("place", place).where(F.col("place") <= best)
     path = path.select("tree", F.col("node").alias("leaf"), "depth", "node")
     for jump in reversed(jumps[:-1]):
