@@ -13,17 +13,13 @@ from riskloom.llm import decontaminate, language, near_dedup, pieces, repeats
 from riskloom.llm.queries import is_contaminated
 from riskloom.llm.store import Scratch, fresh
 
-#: A text that the best language's machine rates lower is claimed by no language.
-LEAST_SCORE = 0.25
-
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Rejects texts without a letter and texts that every language's machine clearly refuses."""
+    """Rejects texts without a letter and texts in no language that the labelled ones are in."""
     names = docs.columns
     model = language.fit(docs.select("doc_id", "text", "lang").where(language.fold() != 0))
-    pred, score = fresh(names, "lang_pred"), fresh(names, "score")
-    found = language.annotate(docs, model, pred, score)
-    return found.where((F.col(pred) != language.UNKNOWN) & (F.col(score) >= LEAST_SCORE)).select(*names)
+    pred, score, refused = (fresh(names, n) for n in ("lang_pred", "score", "refused"))
+    return language.annotate(docs, model, pred, score, refused=refused).where(~F.col(refused)).select(*names)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

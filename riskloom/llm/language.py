@@ -26,6 +26,9 @@ SAMPLE = 1600         # labelled rows to learn from, all languages together
 LANDMARKS = 256       # of these, landmarks
 RIDGE = 1e-3
 UNKNOWN = "und"
+# A text is refused if its best language leads by less than MARGIN (of about 2) and its n-grams are less
+# than FAMILIAR (about 1 for texts like the learned ones). Texts of under SHORT characters cannot be judged.
+MARGIN, FAMILIAR, SHORT = 0.45, 0.85, 8
 
 # ASCII letters in lower case, bytes of other characters as they are, all else one space.
 FOLD = np.where(((W.LOWER >= 97) & (W.LOWER <= 122)) | (W.BYTES >= 128), W.LOWER, 32).astype(np.uint8)
@@ -68,7 +71,10 @@ def _bitmaps(batches):
 
 
 class Classifier:
-    """Folded weights: slots that count, their weight per language, and the languages in order."""
+    """Folded weights: slots that count, their weight per language, and the languages in order.
+
+    A last column is fitted to the constant 1: near 1 for texts like the learned ones, near 0 for others.
+    """
 
     def __init__(self, present: np.ndarray, labels: list[str], landmarks: int, ridge: float):
         self.languages = sorted(set(labels))
@@ -79,12 +85,15 @@ class Classifier:
         z = x[np.unique(np.linspace(0, len(x) - 1, min(landmarks, len(x))).astype(int))]
         cross, own = (x @ z.T).astype(np.float64), (z @ z.T).astype(np.float64)
         y = np.where(np.array(labels)[:, None] == np.array(self.languages)[None, :], 1.0, -1.0)
+        y = np.hstack([y, np.ones((len(x), 1))])
         system = cross.T @ cross + ridge * len(x) * own + 1e-8 * np.eye(len(own))
         self.weights = (z.T @ np.linalg.lstsq(system, cross.T @ y, rcond=None)[0]).astype(np.float32)
 
-    def scores(self, present: np.ndarray) -> np.ndarray:
+    def scores(self, present: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Raw value of every language, and how familiar the text is."""
         size = np.sqrt(np.maximum(np.count_nonzero(present, axis=1), 1)).astype(np.float32)
-        return (present[:, self.slots].astype(np.float32) @ self.weights) / size[:, None]
+        raw = (present[:, self.slots].astype(np.float32) @ self.weights) / size[:, None]
+        return raw[:, :-1], raw[:, -1]
 
 
 def has_letter(text: str = "text") -> Column:
@@ -120,16 +129,20 @@ def fit(labelled: DataFrame, sample: int = SAMPLE, landmarks: int = LANDMARKS,
 
 
 def annotate(documents: DataFrame, classifier: Classifier | None, lang: str, score: str,
-             keep: list[str] | None = None) -> DataFrame:
+             keep: list[str] | None = None, refused: str | None = None) -> DataFrame:
     """``documents`` (or its columns ``keep``) with the predicted language and its score, 0 to 1.
 
+    With ``refused`` a boolean column of that name says that the text is in no learned language: it is
+    ``und``, or neither its language is clear nor its n-grams are familiar. The score cannot tell, as
+    the values of all machines have a fixed sum on familiar texts.
+
     Only the text is looked at. A text that is null or has no letter is ``und`` with score 0, and so
     is every text if nothing could be learned. Of equal scores the first language in order wins.
     Every row stays, repeated or not; an empty table gives an empty result.
     """
     sent = documents.sparkSession.sparkContext.broadcast(classifier)
     keep = documents.columns if keep is None else keep
-    own, known = fresh(keep, "own"), fresh(keep, "known")
+    own, known, short = (fresh(keep, n) for n in ("own", "known", "short"))
 
     def run(batches):
         model = sent.value
@@ -138,18 +151,25 @@ def annotate(documents: DataFrame, classifier: Classifier | None, lang: str, sco
                 letter = part.column(len(keep)).to_numpy(zero_copy_only=False)
                 if model is None:
                     best, name = np.zeros(part.num_rows), np.full(part.num_rows, UNKNOWN, object)
+                    alien = np.ones(part.num_rows, bool)
                 else:
-                    scores = model.scores(present)
+                    scores, familiar = model.scores(present)
                     top = scores.argmax(axis=1)
                     best = np.clip((scores[np.arange(len(top)), top].astype(np.float64) + 1) / 2, 0, 1)
+                    second = np.sort(scores, axis=1)[:, -2] if scores.shape[1] > 1 else 0.0
+                    alien = (scores.max(axis=1) - second < MARGIN) & (familiar < FAMILIAR)
+                    alien = ~letter | (alien & ~part.column(len(keep) + 2).to_numpy(zero_copy_only=False))
                     best, name = np.where(letter, best, 0.0), np.array(model.languages, object)[top]
                     name = np.where(letter, name, UNKNOWN)
-                yield pa.RecordBatch.from_arrays(
-                    [*part.columns[:len(keep)], pa.array(name, pa.string()), pa.array(best)],
-                    names=[*keep, lang, score])
+                columns = [*part.columns[:len(keep)], pa.array(name, pa.string()), pa.array(best)]
+                columns += [pa.array(alien, pa.bool_())] if refused else []
+                yield pa.RecordBatch.from_arrays(columns, names=kinds.names)
 
-    rows = documents.select(*keep, has_letter().alias(known), F.col("text").alias(own))
+    few = F.coalesce(F.length(F.trim("text")) < SHORT, F.lit(True))
+    rows = documents.select(*keep, has_letter().alias(known), F.col("text").alias(own), few.alias(short))
     kinds = documents.select(*keep).schema.add(lang, "string").add(score, "double")
+    if refused:
+        kinds = kinds.add(refused, "boolean")
     return rows.mapInArrow(run, kinds)
 
 

@@ -156,3 +156,18 @@ def test_pipeline_stages(spark):
     assert all(r.round_trip for r in seen[5].collect())
     if corpus_pipeline.ORACLE_SQL is None:
         assert "pipeline" not in entry.oracle_sql()
+
+
+def test_language_stage_rejects_other_texts(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    rng = np.random.Generator(np.random.PCG64(5))
+    random_text = lambda letters, n: "".join(rng.choice(list(letters), n))
+    latin = "abcdefghijklmnopqrstuvwxyz   "
+    alien = [random_text(latin, n) for n in (40, 200, 2000)] + [random_text("абвгдежзиклмнопрсту  ", 300), "日本語の文章です" * 9,
+             "Wszyscy ludzie rodzą się wolni i równi pod względem swej godności i swych praw. Są oni obdarzeni rozumem."]
+    short = ["A.", "This.", "Die tz."]
+    more = spark.createDataFrame([(920000 + k, t, None, "src0", len(t)) for k, t in enumerate(alien + short)], docs.schema)
+    got = {r.doc_id for r in corpus_pipeline.language_id(spark, docs.unionAll(more), SF).select("doc_id").collect()}
+    lettered = {r.doc_id for r in docs.where(r"text rlike '\\p{L}'").select("doc_id").collect()}
+    assert not got & set(range(920000, 920000 + len(alien)))
+    assert {920000 + k for k in range(len(alien), len(alien + short))} <= got and lettered <= got
