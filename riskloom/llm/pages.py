@@ -31,6 +31,7 @@ CLIP = 6.0            # bound of one node's log odds
 # Fixed values of HTML.
 VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
 RAW = frozenset("script style noscript template svg iframe textarea select object canvas math".split())
+HEAD = frozenset("html base basefont bgsound link meta title script style noscript template noframes".split())
 INLINE = frozenset(("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q s samp "
                     "small span strike strong sub sup time tt u var br wbr img").split())
 CLOSES_P = frozenset(("address article aside blockquote details div dl fieldset figcaption figure footer form h1 h2 "
@@ -42,6 +43,8 @@ SCOPES = {"li": ("ul", "ol"), "dt": ("dl",), "dd": ("dl",), "tr": ("table",), "t
 
 _TAG = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"'<]|"[^"<]*"|'[^'<]*')*+)>"""
                   r"""|<(/?)([a-zA-Z][^\s/>]*)([^>]*)(?:>|\Z)""", re.S)
+# The end of an element whose content is passed over; nothing else counts as a tag up to there.
+_END = {tag: re.compile(rf"</{tag}(?=[\s/>]|\Z)[^>]*(?:>|\Z)", re.I) for tag in RAW | {"title"}}
 _ATTRIBUTE = re.compile(r"""\b(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 _TOKEN = re.compile(r"[a-z]+")
 _STOP = re.compile(r"[.!?;:,]")
@@ -65,10 +68,11 @@ class Tree:
 
     def _read(self, page: str) -> None:
         stack: list[tuple[str, int]] = [("#page", 0)]  # open tags and their nodes
-        block, run, links, at, skip = 0, None, 0, 0, None
-        for m in _TAG.finditer(page):
-            if skip is None and m.start() > at:
-                text = page[at:m.start()]
+        block, run, links, at, head = 0, None, 0, 0, False
+        while (m := _TAG.search(page, at)) is not None:
+            text = page[at:m.start()]
+            head = head and (not text or text.isspace())
+            if text and not head:
                 if not text.isspace():
                     if run is None or run[0] != stack[-1][1]:
                         run = (stack[-1][1], self._node(stack[-1][1], "#text", ("#text",)))
@@ -80,16 +84,20 @@ class Tree:
             if tag is None:
                 continue
             tag = tag.lower()
-            if skip is not None:
-                if close and tag == skip:
-                    skip = None
+            if tag == "head":
+                head = not close
                 continue
-            if tag in RAW or tag == "head":
+            # A head without its end tag goes to the first thing that cannot stand in one.
+            head = head and (tag not in ("body", "html", "br") if close else tag in HEAD)
+            if tag in RAW or (head and tag == "title"):
                 if not close and not rest.endswith("/"):
-                    skip = tag
+                    end = _END[tag].search(page, at)
+                    at = end.end() if end else len(page)
                 if tag in ("select", "textarea"):
                     self.controls[stack[-1][1]] += 1
                 continue
+            if head:
+                continue
             if close:
                 if tag in ("html", "body") or all(t != tag for t, _ in stack):
                     continue
@@ -124,7 +132,7 @@ class Tree:
                 stack.append((tag, stack[-1][1]))
             links = sum(t == "a" for t, _ in stack)
             self.controls[stack[-1][1]] += tag == "button"
-        if skip is None and at < len(page) and not page[at:].isspace():
+        if at < len(page) and not page[at:].isspace():
             node = self._node(stack[-1][1], "#text", ("#text",))
             self.segments.append((node, block, html.unescape(page[at:]), links > 0))
 

@@ -408,6 +408,19 @@ def test_page_reading():
     assert read("<p>" * 3000 + "deep") == "deep" and read("<div>" * 3000 + "deep") == "deep"
 
 
+def test_scripts_and_open_heads_do_not_take_the_page():
+    def read(page):
+        tree = pages.Tree(page)
+        return tree.text(np.ones(len(tree.parent), bool))
+    assert read("<script>for(i=0;i<n;i++){x()}</script><article>a</article>") == "a"
+    assert read("<script><!-- if(a<b) x='</b>'</SCRIPT ><p>a</p><script>y</script>") == "a"
+    assert read("<style>a<b{}</style x><p>a</p><textarea><!-- </textarea>b") == "a\n\nb"
+    assert read("<head><title>T <p> x</title><meta a=b><script>i<n</script><body><p>a</p>") == "a"
+    assert read("<html><head><title>T</title><link><p>a</p>") == "a"
+    assert read("<head><style>x</style>a <b>b</b>") == "a b" and read("<head> <title>T</title> </head>a") == "a"
+    assert read("<head><base></title><title>T</title></body>a") == "a" and read("<p>a</p><script>x<p>b</p>") == "a"
+
+
 def test_pages_edges(spark):
     rows = [(1, "u", None), (2, "u", ""), (3, "u", "<html>"), (4, None, "<article><p>" + "word " * 60000 + "</article><footer>f</footer>"),
             (4, None, "<nav><a>m</a></nav><article><h1>T</h1><p>One sentence, here.</p></article><div class=comments><p>No, not me.</div>")]
