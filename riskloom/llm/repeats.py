@@ -45,7 +45,7 @@ def _minimisers(code: np.ndarray, span: int) -> np.ndarray:
 
 
 def _anchors(seed: int, span: int):
-    """(key, doc, place) of the retained suffixes of every document."""
+    """(key, doc, mark, place) of the retained suffixes of every document."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part, raw, offsets in W.chunks(batch, "text"):
@@ -60,11 +60,12 @@ def _anchors(seed: int, span: int):
                     places.append(at)
                     rows.append(np.full(len(at), r))
                 if keys:
+                    at = pa.array(np.concatenate(rows))
                     yield pa.RecordBatch.from_arrays([
                         pa.array(np.concatenate(keys).view(np.int64)),
-                        part.column(0).take(pa.array(np.concatenate(rows))),
+                        part.column(0).take(at), part.column(1).take(at),
                         pa.array(np.concatenate(places).astype(np.int32)),
-                    ], names=["key", "doc", "place"])
+                    ], names=["key", "doc", "mark", "place"])
     return run
 
 
@@ -80,7 +81,7 @@ def _extended(least: int, span: int):
                     last = found.count[r] - least
                     if last < 0:
                         continue
-                    at = part.column(2)[r].values.to_numpy().astype(np.int64)
+                    at = part.column(3)[r].values.to_numpy().astype(np.int64)
                     mark = np.zeros(last + 2, np.int64)
                     np.add.at(mark, np.clip(at - span + 1, 0, last + 1), 1)
                     np.add.at(mark, np.clip(at + 1, 0, last + 1), -1)
@@ -89,11 +90,12 @@ def _extended(least: int, span: int):
                     starts.append(start)
                     rows.append(np.full(len(start), r))
                 if keys:
+                    at = pa.array(np.concatenate(rows))
                     yield pa.RecordBatch.from_arrays([
                         pa.array(np.concatenate(keys).view(np.int64)),
-                        part.column(0).take(pa.array(np.concatenate(rows))),
+                        part.column(0).take(at), part.column(1).take(at),
                         pa.array(np.concatenate(starts).astype(np.int32)),
-                    ], names=["key", "doc", "start"])
+                    ], names=["key", "doc", "mark", "start"])
     return run
 
 
@@ -110,13 +112,13 @@ def _spans(least: int):
         for batch in batches:
             every, later = [], []
             for k in range(batch.num_rows):
-                x = batch.column(1)[k].values.to_numpy().astype(np.int64)
+                x = batch.column(2)[k].values.to_numpy().astype(np.int64)
                 every.append(merged(x >> 1).tolist())
                 later.append(merged(x[(x & 1) == 1] >> 1).tolist())
             kind = pa.list_(pa.list_(pa.int64()))
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(every, kind), pa.array(later, kind)],
-                names=["doc", "spans", "later"])
+                [batch.column(0), batch.column(1), pa.array(every, kind), pa.array(later, kind)],
+                names=["doc", "mark", "spans", "later"])
     return run
 
 
@@ -135,24 +137,34 @@ def repeated_passages(documents: DataFrame, least: int = LEAST, seed: int = SEED
     in both is not shared by two); rows with a null doc_id are documents of their own per text, under
     a negative id made from it. An empty table gives an empty result; other columns are ignored.
     """
+    docs = documents.select(_own_key().alias("doc"), F.lit(0).cast("long").alias("mark"), "text")
+    return _passages(docs, least, seed).select("doc", "spans", "later")
+
+
+def _passages(docs: DataFrame, least: int, seed: int) -> DataFrame:
+    """doc, mark, spans, later of ``docs`` (doc, mark, text): spans are places in the text of that mark.
+
+    Passages are shared by two if their doc differs, and come first by doc, mark and place.
+    """
     if not 1 <= seed <= least:
         raise ValueError("seed must be 1 to least words")
     span = least - seed + 1
-    scratch = Scratch(documents.sparkSession, "repeats")
-    docs = documents.select(_own_key().alias("doc"), "text")
-    anchors = scratch.save(docs.mapInArrow(_anchors(seed, span), "key long, doc long, place int"))
+    scratch = Scratch(docs.sparkSession, "repeats")
+    anchors = scratch.save(docs.mapInArrow(_anchors(seed, span), "key long, doc long, mark long, place int"))
     alike = anchors.groupBy("key").agg(F.min("doc").alias("x"), F.max("doc").alias("y")).where("x != y")
-    alive = anchors.join(alike.select("key"), "key").groupBy("doc").agg(F.collect_set("place").alias("places"))
-    around = docs.join(alive, "doc").select("doc", "text", "places")
-    longer = scratch.save(around.mapInArrow(_extended(least, span), "key long, doc long, start int"))
+    alive = anchors.join(alike.select("key"), "key").groupBy("doc", "mark").agg(
+        F.collect_set("place").alias("places"))
+    around = docs.join(alive, ["doc", "mark"]).select("doc", "mark", "text", "places")
+    longer = scratch.save(around.mapInArrow(_extended(least, span), "key long, doc long, mark long, start int"))
     scratch.drop(anchors)
     first = longer.groupBy("key").agg(
         F.min("doc").alias("x"), F.max("doc").alias("y"),
-        F.min(F.struct("doc", "start")).alias("first")).where("x != y").select("key", "first")
-    seen = longer.join(first, "key").select("doc", (
-        F.col("start").cast("long") * 2 + F.when(F.struct("doc", "start") == F.col("first"), 0).otherwise(1)).alias("x"))
-    found = seen.groupBy("doc").agg(F.collect_list("x").alias("x"))
-    return found.mapInArrow(_spans(least), "doc long, spans array<array<long>>, later array<array<long>>")
+        F.min(F.struct("doc", "mark", "start")).alias("first")).where("x != y").select("key", "first")
+    is_first = F.struct("doc", "mark", "start") == F.col("first")
+    seen = longer.join(first, "key").select("doc", "mark", (
+        F.col("start").cast("long") * 2 + F.when(is_first, 0).otherwise(1)).alias("x"))
+    found = seen.groupBy("doc", "mark").agg(F.collect_list("x").alias("x"))
+    return found.mapInArrow(_spans(least), "doc long, mark long, spans array<array<long>>, later array<array<long>>")
 
 
 def _cut(later: str):
@@ -173,8 +185,6 @@ def _cut(later: str):
                     data, at, kept = raw[offsets[r]:offsets[r + 1]].tobytes(), 0, []
                     f, n = found.first[r], found.count[r]
                     for a, b in spans:
-                        if b > n:  # another text under the same doc_id
-                            continue
                         kept.append(data[at:found.start[f + a]])
                         at = found.start[f + b] if b < n else len(data)
                     texts.append(b"".join([*kept, data[at:]]).decode())
@@ -189,13 +199,16 @@ def _cut(later: str):
 def without_repeats(documents: DataFrame, least: int = LEAST, seed: int = SEED) -> DataFrame:
     """``documents`` with every repeated passage kept only where it occurs first.
 
-    Documents that lose all their words go; all other rows and columns stay as they are.
+    Documents that lose all their words go; all other rows and columns stay as they are. Rows of one
+    doc_id with different texts are cut each by its own text.
     """
     names = documents.columns
-    own, later, changed = (fresh(names, n) for n in ("own", "later", "changed"))
-    found = repeated_passages(documents, least, seed).where("size(later) > 0").select(
-        F.col("doc").alias(own), F.col("later").alias(later))
-    rows = documents.withColumn(own, _own_key()).join(found, own, "left").select(
+    own, mark, later, changed = (fresh(names, n) for n in ("own", "mark", "later", "changed"))
+    docs = documents.select(_own_key().alias("doc"), F.xxhash64("text").alias("mark"), "text")
+    found = _passages(docs, least, seed).where("size(later) > 0").select(
+        F.col("doc").alias(own), F.col("mark").alias(mark), F.col("later").alias(later))
+    keyed = documents.withColumn(own, _own_key()).withColumn(mark, F.xxhash64("text"))
+    rows = keyed.join(found, [own, mark], "left").select(
         *names, later, F.col(later).isNotNull().alias(changed))
     kinds = StructType([*documents.schema, StructField(changed, BooleanType())])
     cut = rows.mapInArrow(_cut(later), kinds)

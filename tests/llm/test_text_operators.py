@@ -181,6 +181,19 @@ def test_without_repeats(spark):
     assert repeats.without_repeats(df.limit(0)).collect() == []
 
 
+def test_without_repeats_of_two_texts_under_one_id(spark):
+    rng = random.Random(7)
+    shared, clean, other = rand_text(rng, 60), rand_text(rng, 90), rand_text(rng, 55)
+    texts = [(1, f"first {shared}"), (2, f"a b {shared} c"), (2, clean), (2, other), (3, f"x {shared}"), (3, f"y {shared}")]
+    got = sorted((r.doc_id, r.text) for r in repeats.without_repeats(docs_of(spark, texts)).collect())
+    assert got == sorted([(1, f"first {shared}"), (2, "a b c"), (2, clean), (2, other), (3, "x "), (3, "y ")])
+    spots = repeats.repeated_passages(docs_of(spark, texts)).collect()
+    assert sorted(r.doc for r in spots) == [1, 2, 3]
+    both = [(5, f"m n {shared}"), (5, f"o p {shared}"), (6, f"z {shared}")]
+    left = [r.text for r in repeats.without_repeats(docs_of(spark, both)).collect() if shared in r.text]
+    assert len(left) == 1
+
+
 def brute_contaminated(texts, items, window):
     pattern = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
     split = lambda t: re.findall(pattern, re.sub("[A-Z]", lambda m: m[0].lower(), t or ""))
