@@ -129,7 +129,8 @@ class Model:
 class Encoder:
     """Forward states over sorted words; what is kept between words has a fixed bound.
 
-    The state of a prefix is (its last piece, the packed ids of all its pieces, its score).
+    The state of a prefix is (its last piece, where that starts, its score); the ids of a word are read
+    back along the starts.
     """
 
     def __init__(self, model: Model):
@@ -161,7 +162,7 @@ class Encoder:
     def learn(self, words: set[str]) -> None:
         """Pieces of all the words."""
         extend = self._extend_bpe if self.model.kind == BPE else self._extend_unigram
-        before, states = "", [(None, b"", 0.0)]
+        before, states = "", [(None, 0, 0.0)]
         for word in sorted(words):
             if self.model.kind == BPE and word.startswith(MARK * 2):
                 # Runs of spaces merge with equal scores, where the order of merging decides.
@@ -175,7 +176,14 @@ class Encoder:
             del states[shared + 1:]
             extend(word, shared + 1, states)
             before = word
-            self.known[word] = states[-1][1]
+            self.known[word] = self._read_back(states)
+
+    def _read_back(self, states: list) -> bytes:
+        found, at = [], len(states) - 1
+        while at > 0:
+            piece, at, _ = states[at]
+            found.append(self._code(piece))
+        return b"".join(reversed(found))
 
     def _extend_bpe(self, word: str, first: int, states: list) -> None:
         packed, pairs, reach = self.packed, self.pairs, self.reach
@@ -183,18 +191,15 @@ class Encoder:
             size = reach.get(word[to - 2:to], 1) if to > 1 else 1
             for at in range(to - size if size < to else 0, to):
                 piece = word[at:to]
-                code = packed.get(piece)
-                if code is None:
-                    if to - at > 1:
-                        continue
-                    code = self._code(piece)
-                left, done, _ = states[at]
+                if to - at > 1 and piece not in packed:
+                    continue
+                left = states[at][0]
                 if left is None:
                     break
                 apart = pairs.get((left, piece))
                 if apart if apart is not None else self._apart(left, piece):
                     break
-            states.append((piece, done + code, 0.0))
+            states.append((piece, at, 0.0))
 
     def _extend_unigram(self, word: str, first: int, states: list) -> None:
         for to in range(first, len(word) + 1):
@@ -203,7 +208,7 @@ class Encoder:
                 piece = word[to - size:to]
                 score = self.model.score.get(piece, self.model.penalty if size == 1 else None)
                 if score is not None and (best is None or score + states[to - size][2] > best[2]):
-                    best = piece, states[to - size][1] + self._code(piece), score + states[to - size][2]
+                    best = piece, to - size, score + states[to - size][2]
             states.append(best)
 
     def units(self, text: str) -> list[str]:

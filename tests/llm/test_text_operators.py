@@ -255,6 +255,18 @@ def test_pieces(spark):
     assert pieces.encode(df.limit(0)).collect() == []
 
 
+def test_pieces_of_very_long_runs():
+    import resource
+    rng = random.Random(8)
+    encoder = pieces.Encoder(pieces.Model(open(pieces.MODEL, "rb").read()))
+    before = resource.getrusage(resource.RUSAGE_SELF).ru_maxrss
+    for letters in ("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789+/", "日本語の文章です龘靐"):
+        text = "".join(rng.choice(letters) for _ in range(200_000))
+        ids = np.frombuffer(encoder.encode([text])[0], np.int32)
+        assert pieces.decoded(encoder.model, ids) == text
+    assert resource.getrusage(resource.RUSAGE_SELF).ru_maxrss - before < 500_000    # KB
+
+
 def test_unigram_segmentation_is_the_best_one():
     rng = random.Random(4)
 
