@@ -23,10 +23,13 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group stays: the one of smallest doc_id. Repeated rows stay once."""
+    """One document of each group stays: the one of smallest doc_id. Repeated rows stay once.
+
+    Near are documents that share four fifths of their runs of five words.
+    """
     names = docs.columns
     doc, mark = fresh(names, "doc"), fresh(names, "mark")
-    found = near_dedup.near_duplicates(docs, shingle=4)
+    found = near_dedup.near_duplicates(docs)
     keep = found.where("kept").select(F.col("doc_id").alias(doc)).distinct()
     kept = docs.join(keep, docs.doc_id.eqNullSafe(F.col(doc)), "left_semi")
     return kept.withColumn(mark, F.xxhash64("text")).dropDuplicates(["doc_id", mark]).select(*names)
