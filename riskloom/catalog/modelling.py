@@ -164,22 +164,9 @@ def vector_sets(spark, d):
     return train, both.where(F.col("split") == "test").drop("split")
 
 
-# Grids small enough to be run as a check; the full ones are the defaults of ``models.FAMILIES``.
-CHECK_GRIDS = {
-    "LogisticRegression": {"regParam": [1e-4, 1e-2]},
-    "DecisionTree": {"maxDepth": [3, 5]},
-    "RandomForest": {"numTrees": [10], "maxDepth": [3, 5]},
-    "GBT": {"maxIter": [5], "maxDepth": [2, 3]},
-    "LinearSVC": {"regParam": [1e-4, 1e-2]},
-    "NaiveBayes": {},
-}
-CHECK_PARAMS = {"LogisticRegression": {"maxIter": 20}, "LinearSVC": {"maxIter": 20}}
-
-
 def tuned_row(spark, d, name):
     train, test = vector_sets(spark, d)
-    tuned = {name: models.tune(models.FAMILIES[name], train, "id", "y", CHECK_GRIDS[name],
-                               parallelism=4, **CHECK_PARAMS.get(name, {}))}
+    tuned = {name: models.tune(models.FAMILIES[name], train, "id", "y", parallelism=4)}
     scored = models.score_all(test, tuned, ["id", "y"])
     return models.evaluate(scored, "id", "y", tuned)
 
@@ -190,14 +177,19 @@ for number, family in enumerate(models.FAMILIES, start=1):
     )
 
 
+# One point of the grid of every family.
+KNOWN_PARAMS = {
+    "LogisticRegression": {"regParam": 1e-4}, "DecisionTree": {"maxDepth": 5},
+    "RandomForest": {"numTrees": 10, "maxDepth": 5}, "GBT": {"maxIter": 50, "maxDepth": 3},
+    "LinearSVC": {"regParam": 1e-4}, "NaiveBayes": {},
+}
+
+
 def refitted(spark, d, names=tuple(models.FAMILIES)):
     """All six families, or some, fitted once with known parameters."""
-    params = {"LogisticRegression": {"regParam": 1e-4}, "DecisionTree": {"maxDepth": 5},
-              "RandomForest": {"numTrees": 10, "maxDepth": 5}, "GBT": {"maxIter": 10, "maxDepth": 3},
-              "LinearSVC": {"regParam": 1e-4}, "NaiveBayes": {}}
     train, test = vector_sets(spark, d)
     return {
-        n: models.refit(models.FAMILIES[n], train, "y", params[n]) for n in names
+        n: models.refit(models.FAMILIES[n], train, "y", KNOWN_PARAMS[n]) for n in names
     }, train, test
 
 
@@ -247,8 +239,7 @@ def _(spark, d):
 
     tuned, train, test = refitted(spark, d)
     stored = models.score_all(test, tuned, ["id", "y"])
-    new = {"DecisionTree": models.tune(models.FAMILIES["DecisionTree"], train, "id", "y",
-                                       CHECK_GRIDS["DecisionTree"], parallelism=4)}
+    new = {"DecisionTree": models.tune(models.FAMILIES["DecisionTree"], train, "id", "y", parallelism=4)}
     return replace_column(
         stored, models.score_all(test, new, ["id"]), "id", "score_DecisionTree"
     )

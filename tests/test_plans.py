@@ -116,3 +116,22 @@ def test_describe(spark, cleaned, tmp_path):
     assert back.count() == len(loan.ROLES.numeric)
     profile = {r["variable"]: r["plan"] for r in chosen["column_profile"].collect()}
     assert profile["annual_inc_log"] == "median+indicator" and profile["id"] == "none"
+
+
+def test_registered_families_take_the_full_grids(monkeypatch):
+    from riskloom.catalog import modelling
+    from riskloom.operators import models
+
+    taken = {}
+
+    def tune(family, train, id_col, target, grid=None, **params):
+        taken[family.name] = (grid or family.grid, set(params) - {"parallelism"})
+    monkeypatch.setattr(modelling, "vector_sets", lambda spark, d: (None, None))
+    monkeypatch.setattr(models, "tune", tune)
+    monkeypatch.setattr(models, "score_all", lambda *a: None)
+    monkeypatch.setattr(models, "evaluate", lambda *a: None)
+    for name, family in models.FAMILIES.items():
+        modelling.tuned_row(None, None, name)
+        assert taken[name] == (family.grid, set())
+        known = modelling.KNOWN_PARAMS[name]
+        assert set(known) == set(family.grid) and all(x in family.grid[p] for p, x in known.items())
