@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskloom.llm import (
-    chat, decontaminate, language, licenses, near_dedup, neighbours, pages, pieces, repeats, sharding,
+    chat, decontaminate, language, licenses, near_dedup, neighbours, pages, periodic, pieces, repeats, sharding,
 )
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -227,3 +228,72 @@ SELECT d.doc_id, CAST(len(d.w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hi
   coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(d.w) AS contaminated
 FROM d LEFT JOIN hit USING (doc_id) LEFT JOIN item USING (doc_id)
 """
+
+
+def every_tenth_repeats(h: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Of texts whose hash ends in 0 the words from some word on repeat a stretch 3 to 10 times."""
+    g = h // 10
+    a = np.where((h % 10 == 0) & (n > 0), g % np.maximum(n, 1), n)
+    return a, 1 + (n - a) // (3 + g % 8)
+
+
+@_query
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    h = F.coalesce(F.crc32(F.col("doc_id").cast("string")), F.lit(1))
+    found = periodic.periodic_runs(_table(spark, sf_dir, "documents"), h, every_tenth_repeats)
+    longest = F.expr("array_min(transform(runs, r -> struct(-r.length AS less, r.start AS start, r.period AS period)))")
+    listed = F.array_join(F.transform("runs", lambda r: F.concat(
+        F.concat_ws(",", *(r[c].cast("string") for c in ("start", "length", "period"))), F.lit("\n"))), "")
+    return found.select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), longest.alias("most"),
+        F.sha2(listed, 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    ).select(
+        "doc_id", "n_runs", F.col("most.start").alias("start"), (-F.col("most.less")).alias("length"),
+        F.col("most.period").alias("period"),
+        F.expr("-1000 * most.less div most.period").cast("long").alias("exponent_milli"),
+        "runs_sha256", "collapsed_sha256")
+
+
+#: A run of period q repeats its stretches of 5 words q words on, at 3 q places or more.
+ORACLE["op12_periodic_runs"] = """
+WITH RECURSIVE d AS (
+  SELECT doc_id, coalesce(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+'), []) AS w FROM documents),
+crc AS (
+  SELECT v::UBIGINT AS v, 0 AS k, v::UBIGINT AS c FROM range(256) t(v)
+  UNION ALL SELECT v, k + 1, CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384::UBIGINT) ELSE c // 2 END FROM crc WHERE k < 8),
+tab AS (SELECT list(c ORDER BY v) AS t FROM crc WHERE k = 8),
+h AS (
+  SELECT doc_id, w, len(w) AS n, CAST(xor(list_reduce(list_prepend(4294967295::UBIGINT,
+    list_transform(string_split(doc_id::VARCHAR, ''), lambda x: ascii(x)::UBIGINT)),
+    lambda c, x: xor(c // 256, t[CAST(xor(c, x) % 256 + 1 AS BIGINT)])), 4294967295::UBIGINT) AS BIGINT) AS h
+  FROM d, tab),
+s AS (
+  SELECT *, CASE WHEN h % 10 = 0 AND n > 0 THEN (h // 10) % n ELSE n END AS a FROM h),
+e AS (
+  SELECT doc_id, n, list_transform(range(0, n), lambda i:
+    w[CASE WHEN i >= a THEN a + (i - a) % (1 + (n - a) // (3 + (h // 10) % 8)) ELSE i END + 1]) AS w FROM s),
+g AS (
+  SELECT doc_id, n, p, hash(w[p + 1], w[p + 2], w[p + 3], w[p + 4], w[p + 5]) AS s
+  FROM (SELECT doc_id, n, w, unnest(range(0, n - 4)) AS p FROM e)),
+m AS (
+  SELECT x.doc_id, x.p, y.p - x.p AS q, x.p - row_number() OVER (PARTITION BY x.doc_id, y.p - x.p ORDER BY x.p) AS isle
+  FROM g x JOIN g y ON x.doc_id = y.doc_id AND x.s = y.s AND y.p > x.p AND 4 * (y.p - x.p) <= x.n),
+r AS (
+  SELECT doc_id, q, min(p) AS a, max(p) - min(p) + 5 + q AS l FROM m GROUP BY doc_id, q, isle
+  HAVING max(p) - min(p) + 5 + q >= greatest(6, 4 * q)),
+u AS (SELECT doc_id, a, l, min(q) AS q FROM r GROUP BY doc_id, a, l),
+told AS (
+  SELECT doc_id, count(*) AS n_runs, arg_min({'s': a, 'l': l, 'q': q}, {'x': -l, 'y': a, 'z': q}) AS most,
+    string_agg(a || ',' || l || ',' || q || chr(10), '' ORDER BY a, q) AS listed FROM u GROUP BY doc_id),
+gone AS (SELECT doc_id, list(DISTINCT i) AS gone FROM (
+  SELECT doc_id, unnest(range(a + q, a + l)) AS i FROM u) GROUP BY doc_id),
+kept AS (
+  SELECT v.doc_id, string_agg(v.w[v.j + 1], ' ' ORDER BY v.j) AS text FROM (
+    SELECT doc_id, w, unnest(range(0, n)) AS j FROM e) v
+  LEFT JOIN (SELECT doc_id, unnest(gone) AS k FROM gone) x ON x.doc_id = v.doc_id AND x.k = v.j
+  WHERE x.k IS NULL GROUP BY v.doc_id)
+SELECT d.doc_id, coalesce(n_runs, 0) AS n_runs, most.s AS start, most.l AS length, most.q AS period,
+  1000 * most.l // most.q AS exponent_milli, sha256(coalesce(listed, '')) AS runs_sha256,
+  sha256(coalesce(kept.text, '')) AS collapsed_sha256
+FROM d LEFT JOIN told USING (doc_id) LEFT JOIN kept USING (doc_id)
+"""
