@@ -9,7 +9,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskloom.llm import (
-    chat, decontaminate, language, licenses, near_dedup, neighbours, pages, periodic, pieces, repeats, sharding,
+    chat, decontaminate, hard_negatives, language, licenses, line_quality, near_dedup, neighbours, pages, periodic,
+    pieces, repeats, sharding,
 )
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -230,6 +231,11 @@ FROM d LEFT JOIN hit USING (doc_id) LEFT JOIN item USING (doc_id)
 """
 
 
+@_query
+def op11_line_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_quality.classify(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 def every_tenth_repeats(h: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Of texts whose hash ends in 0 the words from some word on repeat a stretch 3 to 10 times."""
     g = h // 10
@@ -297,3 +303,32 @@ SELECT d.doc_id, coalesce(n_runs, 0) AS n_runs, most.s AS start, most.l AS lengt
   sha256(coalesce(kept.text, '')) AS collapsed_sha256
 FROM d LEFT JOIN told USING (doc_id) LEFT JOIN kept USING (doc_id)
 """
+
+
+@_query
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _table(spark, sf_dir, "embeddings").where(
+        "NOT exists(embedding, x -> x IS NULL OR isnan(x) OR abs(x) = double('infinity'))")
+    rows = rows.select(
+        "vec_id", F.expr("CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END").alias("label"),
+        F.transform("embedding", lambda x: F.floor(256 * x.cast("double"))).alias("vector"))
+    return hard_negatives.mine(rows, F.col("vec_id") % 100 == 0)
+
+
+ORACLE["op13_hard_negatives"] = """
+WITH v AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v
+  FROM embeddings WHERE label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (
+  SELECT a.vec_id AS a, b.vec_id AS b, a.label = b.label AS own, list_dot_product(a.v, b.v)::BIGINT AS s
+  FROM v a JOIN v b ON a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id),
+p AS (
+  SELECT a, b, s FROM s WHERE own QUALIFY row_number() OVER (PARTITION BY a ORDER BY s DESC, b) <= 5)
+SELECT p.a AS anchor_id, p.b AS positive_id,
+  CAST(row_number() OVER (PARTITION BY p.a, p.b ORDER BY s.s DESC, s.b) AS INTEGER) AS rank,
+  s.b AS negative_id, p.s AS positive_score, s.s AS negative_score
+FROM p JOIN s ON p.a = s.a AND NOT s.own AND 80 * p.s <= 100 * s.s AND 100 * s.s <= 100 * p.s
+QUALIFY rank <= 5
+"""
