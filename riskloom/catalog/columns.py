@@ -218,7 +218,7 @@ def _(spark, d):
                 ("a_mix", 420.0), ("b_mix", 420.0)],
         "model string, threshold double",
     )
-    return metrics.apply_thresholds(v.scores_tall(spark, d), cuts, ["model"]).select(
+    return metrics.apply_thresholds(v.scores_tall(spark, d, passes=1), cuts, ["model"]).select(
         "id", "model", "pred"
     )
 
@@ -252,7 +252,7 @@ def _(spark, d):
   substr(model, 3) AS kind, score FROM tall""", "score")
 def _(spark, d):
     parts = F.split("model", "_", 2)
-    return v.scores_tall(spark, d).select(
+    return v.scores_tall(spark, d, passes=1).select(
         "id", F.get(parts, F.lit(0)).alias("run"), F.get(parts, F.lit(1)).alias("kind"), "score"
     )
 
@@ -266,7 +266,7 @@ def _(spark, d):
         "kind string, family string",
     )
     kind = F.regexp_replace("model", "^(a|b)_", "")
-    counts = v.scores_tall(spark, d).groupBy("model").agg(F.count("*").alias("n"))
+    counts = v.scores_tall(spark, d, passes=1).groupBy("model").agg(F.count("*").alias("n"))
     return counts.withColumn("kind", kind).join(F.broadcast(families), "kind").select(
         "model", "family", "n"
     )
@@ -304,7 +304,7 @@ def _(spark, d):
   max(score) FILTER (model = 'a_price') AS a_price, max(score) FILTER (model = 'a_bal') AS a_bal,
   max(score) FILTER (model = 'a_mix') AS a_mix FROM tall GROUP BY id""", "a_price a_bal a_mix")
 def _(spark, d):
-    long = v.scores_tall(spark, d)
+    long = v.scores_tall(spark, d, passes=1)
     return long.groupBy("id").agg(*[
         F.max(F.when(F.col("model") == m, F.col("score"))).alias(m)
         for m in ("a_price", "a_bal", "a_mix")

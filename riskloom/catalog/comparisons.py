@@ -11,18 +11,13 @@ from riskloom.catalog.testing import CHI, chi2_p_sql, normal_p_sql
 from riskloom.operators import (
     agreement, association, bootstrap, contingency, delong, mcnemar, metrics, multiple,
 )
-from riskloom.catalog.evaluation import YOUDEN
 
 MODELS = list(v.MODELS)
-PAIRS = (
-    [("across", f"a_{k}", f"b_{k}") for k in ("price", "bal", "mix")]
-    + [("within_a", "a_mix", "a_price"), ("within_b", "b_mix", "b_bal")]
-)
 
 
-def model_table(spark):
+def model_table(spark, models=MODELS):
     return sources.small_table(
-        spark, [(m, m[0], m[2:]) for m in MODELS], "model string, run string, kind string"
+        spark, [(m, m[0], m[2:]) for m in models], "model string, run string, kind string"
     )
 
 
@@ -34,13 +29,14 @@ def families(spark, d):
     return delong.compare_families(covariance(spark, d), delong.comparison_table(model_table(spark)))
 
 
-NAMES = f"names AS (SELECT unnest({MODELS}) AS model)"
-COMPARISONS = f"""{NAMES}, comparisons AS (
+def comparisons_sql(models) -> str:
+    return f"""names AS (SELECT unnest({list(models)}) AS model), comparisons AS (
   SELECT CASE WHEN a.model[1] = b.model[1] THEN 'within_' || a.model[1] ELSE 'across' END AS family,
     a.model AS model_a, b.model AS model_b FROM names a JOIN names b ON a.model < b.model
   WHERE a.model[1] = b.model[1] OR substr(a.model, 3) = substr(b.model, 3))"""
 
 
+COMPARISONS = comparisons_sql(MODELS)
 CATEGORY_PAIRS = """kinds AS (SELECT DISTINCT o_orderstatus || '/' || o_orderpriority AS model,
     o_orderstatus AS run, o_orderpriority AS kind FROM orders),
   pairs AS (SELECT a.model AS model_a, b.model AS model_b, a.run = b.run AS within,
@@ -97,7 +93,7 @@ def _(spark, d):
     return delong.auc_intervals(delong.covariance(one, ["a_mix"]))
 
 
-TESTS = f"""{v.DELONG}, {COMPARISONS}, t0 AS (SELECT family, c.model_a, c.model_b,
+TESTS_BODY = f"""t0 AS (SELECT family, c.model_a, c.model_b,
     va.auc_a AS auc_a, vb.auc_a AS auc_b, va.cov AS var_a, vb.cov AS var_b,
     va.auc_a - vb.auc_a AS delta_auc, sqrt(greatest(va.cov + vb.cov - 2 * ab.cov, 0)) AS se_delta
   FROM comparisons c JOIN cov ab ON ab.model_a = c.model_a AND ab.model_b = c.model_b
@@ -110,6 +106,7 @@ t3 AS (SELECT *, (count(*) OVER (PARTITION BY family) - row_number() OVER (PARTI
     ORDER BY p_value, abs(z) DESC) AS pos FROM t2),
 t4 AS (SELECT *, least(1.0::DOUBLE, max(step) OVER (PARTITION BY family ORDER BY pos)) AS p_holm
   FROM t3)"""
+TESTS = f"{v.DELONG}, {COMPARISONS}, {TESTS_BODY}"
 TEST_COLUMNS = """family, model_a, model_b, auc_a, auc_a - 1.96::DOUBLE * sqrt(var_a)
   AS auc_a_ci_low, auc_a + 1.96::DOUBLE * sqrt(var_a) AS auc_a_ci_high, auc_b,
   auc_b - 1.96::DOUBLE * sqrt(var_b) AS auc_b_ci_low,
@@ -199,171 +196,161 @@ def _(spark, d):
     return multiple.holm(tests, ["family"], "p_value", ["variable"]).select("variable", "p_holm")
 
 
-def youden(spark, d):
-    cuts = metrics.youden_thresholds(v.scores_tall(spark, d), ["model"])
-    return metrics.as_dict(cuts, "model", "threshold")
-
-
-def concordance_sql() -> str:
-    rows = []
-    for kind, a, b in PAIRS:
-        ra, rb = f"((s.{a} >= ca.threshold)::INTEGER = y)", f"((s.{b} >= cb.threshold)::INTEGER = y)"
-        rows.append(
-            f"SELECT '{kind}' AS kind, '{a}' AS model_a, '{b}' AS model_b, "
-            f"any_value(ca.threshold) AS threshold_a, any_value(cb.threshold) AS threshold_b, "
-            f"count(*) FILTER ({ra} AND {rb}) AS n11, count(*) FILTER ({ra} AND NOT {rb}) AS n10, "
-            f"count(*) FILTER (NOT {ra} AND {rb}) AS n01, "
-            f"count(*) FILTER (NOT {ra} AND NOT {rb}) AS n00 "
-            f"FROM scores s JOIN cuts ca ON ca.model = '{a}' JOIN cuts cb ON cb.model = '{b}'"
-        )
-    return " UNION ALL ".join(rows)
-
-
-STATISTIC = """mcn AS (SELECT *,
+class Study:
+    """The test set, the cuts fitted on the training set, and the comparisons: every kind across the runs,
+    and the two models of largest test area in each run."""
+
+    def __init__(self, spark, d):
+        rows, models = v.study(spark, d), list(v.STUDY_MODELS)
+        by_part = {p: rows.where(F.col("part") == p) for p in ("train", "test")}
+        tall = {p: metrics.long_scores(t, "id", "y", {m: m for m in models}) for p, t in by_part.items()}
+        self.test, self.tall = by_part["test"], tall["test"]
+        self.cuts = metrics.as_dict(metrics.youden_thresholds(tall["train"], ["model"]), "model", "threshold")
+        areas = metrics.as_dict(metrics.auc(self.tall, ["model"]), "model", "auc")
+        self.pairs = [("across", f"a_{k}", f"b_{k}") for k in v.STUDY_KINDS]
+        for run in "ab":
+            best = sorted((m for m in models if m[0] == run), key=lambda m: (-areas[m], m))
+            self.pairs.append((f"top2_{run}", *best[:2]))
+
+    def concordance(self):
+        return mcnemar.concordance(self.test, "y", self.cuts, self.pairs)
+
+    def mcnemar(self):
+        return mcnemar.with_mcnemar_p(mcnemar.mcnemar(self.concordance()))
+
+    def mcnemar_family(self):
+        tests = self.mcnemar().withColumn("family", F.lit("all"))
+        return multiple.holm(tests, ["family"], "p_value", ["model_a", "model_b"])
+
+    def replicates(self):
+        return bootstrap.replicate_metrics(self.test, "id", "y", self.cuts, REPLICATES)
+
+    def covariance(self):
+        return delong.covariance(self.tall, list(v.STUDY_MODELS))
+
+
+EXACT_P = """least(1.0::DOUBLE, 2 * list_sum(list_transform(range(0, CAST(statistic AS BIGINT) + 1), lambda i:
+  exp(lgamma(discordant + 1.0::DOUBLE) - lgamma(i + 1.0::DOUBLE) - lgamma(discordant - i + 1.0::DOUBLE) - discordant * ln(2.0::DOUBLE)))))"""
+MCN = f"""{v.STUDY}, verdicts AS (SELECT id, model, threshold, (score >= threshold)::INTEGER = y AS ok
+  FROM tall JOIN cuts USING (model)),
+t AS (SELECT kind, model_a, model_b, any_value(a.threshold) AS threshold_a, any_value(b.threshold) AS threshold_b,
+    count(*) FILTER (a.ok AND b.ok) AS n11, count(*) FILTER (a.ok AND NOT b.ok) AS n10,
+    count(*) FILTER (NOT a.ok AND b.ok) AS n01, count(*) FILTER (NOT a.ok AND NOT b.ok) AS n00
+  FROM pairs JOIN verdicts a ON a.model = model_a JOIN verdicts b ON b.model = model_b AND b.id = a.id
+  GROUP BY kind, model_a, model_b),
+mcn AS (SELECT *,
   (n01 + n00) / (n11 + n10 + n01 + n00)::DOUBLE AS error_a,
   (n10 + n00) / (n11 + n10 + n01 + n00)::DOUBLE AS error_b,
   n10 + n01 AS discordant, n10 + n01 < 25 AS exact,
   CASE WHEN n10 + n01 < 25 THEN least(n10, n01)::DOUBLE
-    ELSE pow(abs(n10 - n01) - 1, 2) / (n10 + n01)::DOUBLE END AS statistic FROM t)"""
-MCN = f"{YOUDEN}, t AS ({concordance_sql()}), {STATISTIC}"
+    ELSE pow(abs(n10 - n01) - 1, 2) / (n10 + n01)::DOUBLE END AS statistic FROM t),
+m1 AS (SELECT *, CASE WHEN exact THEN {EXACT_P} ELSE {chi2_p_sql("statistic", "1")} END AS p_value FROM mcn),
+m2 AS (SELECT *, row_number() OVER (ORDER BY p_value, model_a, model_b) AS pos, count(*) OVER () AS m FROM m1),
+m3 AS (SELECT *, least(1.0::DOUBLE, max((m - pos + 1) * p_value) OVER (ORDER BY pos)) AS p_holm FROM m2)"""
 
 
 @query("a22_concordance_table", f"""WITH {MCN} SELECT kind, model_a, model_b, threshold_a,
   threshold_b, n11, n10, n01, n00, error_a, error_b FROM mcn""",
        "threshold_a threshold_b error_a error_b")
 def _(spark, d):
-    return mcnemar.concordance(v.scores(spark, d), "y", youden(spark, d), PAIRS)
+    return Study(spark, d).concordance()
 
 
-@query("t16_mcnemar", f"""WITH {MCN} SELECT *, {chi2_p_sql("statistic", "1")} AS p_value
-  FROM mcn""", "threshold_a threshold_b error_a error_b statistic p_value")
+@query("t16_mcnemar", f"""WITH {MCN} SELECT * FROM m1""",
+       "threshold_a threshold_b error_a error_b statistic p_value")
 def _(spark, d):
-    table = mcnemar.concordance(v.scores(spark, d), "y", youden(spark, d), PAIRS)
-    return mcnemar.with_mcnemar_p(mcnemar.mcnemar(table))
+    return Study(spark, d).mcnemar()
 
 
-MCN_TAIL = f"""{STATISTIC}, m1 AS (SELECT *, {chi2_p_sql("statistic", "1")} AS p_value FROM mcn),
-m2 AS (SELECT *, row_number() OVER (ORDER BY p_value, model_a, model_b) AS pos FROM m1),
-m3 AS (SELECT *, least(1.0::DOUBLE, max((5 - pos + 1) * p_value) OVER (ORDER BY pos)) AS p_holm
-  FROM m2)"""
-MCN_HOLM = f"{YOUDEN}, t AS ({concordance_sql()}), {MCN_TAIL}"
-
-
-def mcnemar_family(spark, d):
-    table = mcnemar.concordance(v.scores(spark, d), "y", youden(spark, d), PAIRS)
-    tests = mcnemar.with_mcnemar_p(mcnemar.mcnemar(table)).withColumn("family", F.lit("all"))
-    return multiple.holm(tests, ["family"], "p_value", ["model_a", "model_b"])
-
-
-@query("t17_mcnemar_family", f"""WITH {MCN_HOLM} SELECT kind, model_a, model_b, discordant, exact,
+@query("t17_mcnemar_family", f"""WITH {MCN} SELECT kind, model_a, model_b, discordant, exact,
   statistic, p_value, p_holm, p_holm < 0.05 AS reject FROM m3""", "statistic p_value p_holm")
 def _(spark, d):
-    return mcnemar_family(spark, d).select(
+    return Study(spark, d).mcnemar_family().select(
         "kind", "model_a", "model_b", "discordant", "exact", "statistic", "p_value", "p_holm",
         "reject",
     )
 
 
-REPLICATES = 20
-BOOT_PAIRS = [("across", "a_bal", "b_bal"), ("within_a", "a_mix", "a_price")]
-BOOT_CUTS = {"a_bal": 8.0, "b_bal": 8.0, "a_mix": 420.0, "a_price": 250000.0}
-
+REPLICATES = 2000
 
-def replicates(spark, d):
-    return bootstrap.replicate_metrics(
-        v.stored_scores(spark, d), "id", "y", BOOT_CUTS, REPLICATES
-    )
-
-
-def poisson_sql(u: str) -> str:
-    from riskloom.functions.hashing import POISSON_STEPS
 
-    return " + ".join(f"CAST({u} >= {step!r}::DOUBLE AS INTEGER)" for step in POISSON_STEPS)
+def mix_sql(value: str, name: str) -> str:
+    """Columns ``name1`` to ``name5``: the steps of the finisher of 32-bit words; the last is its value."""
+    one, two = bootstrap.MIX
+    word = "4294967295::UBIGINT"
+    return (f"xor({value}, ({value}) // 65536) AS {name}1, ({name}1 * {one}::UBIGINT) & {word} AS {name}2, "
+            f"xor({name}2, {name}2 // 32768) AS {name}3, ({name}3 * {two}::UBIGINT) & {word} AS {name}4, "
+            f"xor({name}4, {name}4 // 65536) AS {name}5")
 
 
-def boot_sql(cuts: dict[str, float]) -> str:
-    """CTEs from ``scores`` to ``bm``: the metrics of every replicate and model."""
-    names = ", ".join(cuts)
-    cut = " ".join(f"WHEN '{m}' THEN {t}" for m, t in cuts.items())
-    return f"""reps AS (SELECT unnest(range({REPLICATES})) AS rep),
-drawn AS (SELECT rep, id, {v.uniform_sql("42", block="(rep // 4)", slot="(rep % 4)")} AS u
-  FROM scores, reps),
-weights AS (SELECT rep, id, {poisson_sql("u")} AS w FROM drawn
-  UNION ALL SELECT -1, id, 1 FROM scores),
+#: CTEs from the test set to ``bm``: the metrics of every replicate and model.
+BOOT = f"""{v.STUDY},
+reps AS (SELECT r AS rep, {mix_sql(f"((r * {bootstrap.GOLDEN} + 1) % 4294967296)::UBIGINT", "x")}
+  FROM (SELECT unnest(range({REPLICATES})) AS r)),
+words AS (SELECT id, y, CAST('0x' || substr(h, 1, 8) AS UBIGINT) AS a, CAST('0x' || substr(h, 9, 8) AS UBIGINT) AS b
+  FROM (SELECT id, y, md5('42:' || id) AS h FROM study WHERE part = 'test')),
+first AS (SELECT rep, id, b, {mix_sql("xor(a, x5)", "f")} FROM words, reps),
+draws AS (SELECT rep, id, {mix_sql("((f5 + b) & 4294967295::UBIGINT)", "g")} FROM first),
+weights AS (SELECT rep, id, CAST({" + ".join(f"(g5 >= {s})::INTEGER" for s in bootstrap.STEPS)} AS INTEGER) AS w FROM draws
+  UNION ALL SELECT -1, id, 1 FROM words),
 bt AS (SELECT rep, model, score, sum(w * y) AS n_pos, sum(w * (1 - y)) AS n_neg
-  FROM (UNPIVOT (SELECT id, y, {names} FROM scores) ON {names}
-        INTO NAME model VALUE score) JOIN weights USING (id) WHERE w > 0 GROUP BY rep, model, score),
-bp AS (SELECT *, sum(n_pos) OVER (PARTITION BY rep, model) AS p,
-    sum(n_neg) OVER (PARTITION BY rep, model) AS n,
+  FROM tall JOIN weights USING (id) WHERE w > 0 GROUP BY rep, model, score),
+bp AS (SELECT *, sum(n_pos) OVER (PARTITION BY rep, model) AS p, sum(n_neg) OVER (PARTITION BY rep, model) AS n,
     sum(n_pos) OVER w - n_pos AS pos_below, sum(n_neg) OVER w - n_neg AS neg_below
   FROM bt WINDOW w AS (PARTITION BY rep, model ORDER BY score)),
 bm AS (SELECT rep, model, CAST(sum(n_pos * (2 * neg_below + n_neg)) AS DOUBLE)
     / (2.0::DOUBLE * any_value(p) * any_value(n)) AS auc,
   sum(n_pos / p::DOUBLE * (p - pos_below)::DOUBLE / (p - pos_below + n - neg_below)::DOUBLE)
     AS average_precision,
-  2.0::DOUBLE * sum(CASE WHEN score >= cut THEN n_pos ELSE 0 END) / (any_value(p)
-    + sum(CASE WHEN score >= cut THEN n_pos + n_neg ELSE 0 END))::DOUBLE AS f1
-  FROM (SELECT *, CASE model {cut} END AS cut FROM bp) GROUP BY rep, model)"""
-
-
-BOOT = f"{v.SCORES}, {boot_sql(BOOT_CUTS)}"
+  2.0::DOUBLE * sum(CASE WHEN score >= threshold THEN n_pos ELSE 0 END) / (any_value(p)
+    + sum(CASE WHEN score >= threshold THEN n_pos + n_neg ELSE 0 END))::DOUBLE AS f1
+  FROM bp JOIN cuts USING (model) WHERE p > 0 AND n > 0 GROUP BY rep, model)"""
+
+
+def intervals_sql() -> str:
+    parts = []
+    for k in bootstrap.METRICS:
+        gap = f"(x.{k} - z.{k})"
+        parts.append(
+            f"max({gap}) FILTER (x.rep = -1) AS delta_{k}, "
+            f"quantile_cont({gap}, 0.025) FILTER (x.rep >= 0) AS {k}_ci_low, "
+            f"quantile_cont({gap}, 0.975) FILTER (x.rep >= 0) AS {k}_ci_high"
+        )
+    return (f"bi AS (SELECT kind, model_a, model_b, {', '.join(parts)}, count(*) FILTER (x.rep >= 0) AS n_replicates "
+            f"FROM pairs JOIN bm x ON x.model = model_a JOIN bm z ON z.model = model_b AND z.rep = x.rep "
+            f"GROUP BY kind, model_a, model_b)")
 
 
 @query("t18_bootstrap_replicates", f"""WITH {BOOT} SELECT CAST(rep AS INTEGER) AS rep, model, auc,
   average_precision, f1 FROM bm""", "auc average_precision f1", 8)
 def _(spark, d):
-    return replicates(spark, d)
-
-
-def boot_interval_sql(pairs) -> str:
-    rows = []
-    for kind, a, b in pairs:
-        parts = [f"'{kind}' AS kind, '{a}' AS model_a, '{b}' AS model_b"]
-        for k in bootstrap.METRICS:
-            gap = f"(x.{k} - z.{k})"
-            parts.append(
-                f"max({gap}) FILTER (x.rep = -1) AS delta_{k}, "
-                f"quantile_cont({gap}, 0.025) FILTER (x.rep >= 0) AS {k}_ci_low, "
-                f"quantile_cont({gap}, 0.975) FILTER (x.rep >= 0) AS {k}_ci_high"
-            )
-        parts.append("count(*) FILTER (x.rep >= 0) AS n_replicates")
-        rows.append(f"SELECT {', '.join(parts)} FROM bm x JOIN bm z USING (rep) "
-                    f"WHERE x.model = '{a}' AND z.model = '{b}'")
-    return " UNION ALL ".join(rows)
-
-
-@query("t18_paired_bootstrap", f"""WITH {BOOT}, bi AS ({boot_interval_sql(BOOT_PAIRS)}) SELECT *, {", ".join(
+    return Study(spark, d).replicates()
+
+
+@query("t18_paired_bootstrap", f"""WITH {BOOT}, {intervals_sql()} SELECT *, {", ".join(
     f"NOT ({k}_ci_low <= 0 AND {k}_ci_high >= 0) AS {k}_excludes_zero" for k in bootstrap.METRICS)}
   FROM bi""", " ".join(f"delta_{k} {k}_ci_low {k}_ci_high" for k in bootstrap.METRICS))
 def _(spark, d):
-    return bootstrap.paired_intervals(replicates(spark, d), BOOT_PAIRS)
-
+    study = Study(spark, d)
+    return bootstrap.paired_intervals(study.replicates(), study.pairs)
 
-RATIO_CUTS = {"a_bal": 8.0, "a_mix": 420.0}
 
-
-@query("t19_variance_ratio", f"""WITH {v.DELONG}, {boot_sql(RATIO_CUTS)}
+@query("t19_variance_ratio", f"""WITH {BOOT}, {v.DELONG_BODY}
   SELECT b.model, var_samp(b.auc) * 1e6 AS var_bootstrap, any_value(cov) * 1e6 AS var_analytic,
     var_samp(b.auc) / any_value(cov) AS ratio
   FROM bm b JOIN cov ON cov.model_a = b.model AND cov.model_b = b.model WHERE b.rep >= 0
   GROUP BY b.model""", "var_bootstrap var_analytic ratio")
 def _(spark, d):
-    wide = v.stored_scores(spark, d)
-    long = metrics.long_scores(wide, "id", "y", {m: m for m in RATIO_CUTS})
-    intervals = delong.auc_intervals(delong.covariance(long, list(RATIO_CUTS)))
-    reps = bootstrap.replicate_metrics(wide, "id", "y", RATIO_CUTS, REPLICATES)
-    return bootstrap.variance_check(reps, intervals).select(
+    study = Study(spark, d)
+    intervals = delong.auc_intervals(study.covariance())
+    return bootstrap.variance_check(study.replicates(), intervals).select(
         "model", (F.col("var_bootstrap") * 1e6).alias("var_bootstrap"),
         (F.col("var_analytic") * 1e6).alias("var_analytic"), "ratio",
     )
 
 
-FIXED_CUTS = {"a_price": 250000.0, "b_price": 250000.0, "a_bal": 8.0, "b_bal": 8.0,
-              "a_mix": 420.0, "b_mix": 420.0}
-THREE = f"""{TESTS}, {boot_sql(FIXED_CUTS)}, bi AS ({boot_interval_sql(PAIRS)}),
-cuts AS (SELECT * FROM (VALUES {", ".join(f"('{m}', {t}::DOUBLE)" for m, t in FIXED_CUTS.items())})
-  AS c(model, threshold)),
-t AS ({concordance_sql()}), {MCN_TAIL}"""
+THREE = f"""{BOOT}, {intervals_sql()}, {v.DELONG_BODY}, {comparisons_sql(v.STUDY_MODELS)}, {TESTS_BODY},
+{MCN[len(v.STUDY) + 2:]}"""
 
 
 @query("t20_three_tests", f"""WITH {THREE}
@@ -380,15 +367,9 @@ t AS ({concordance_sql()}), {MCN_TAIL}"""
     AND greatest(t4.model_a, t4.model_b) = greatest(m.model_a, m.model_b)""",
        "delong_delta_auc bootstrap_delta_auc")
 def _(spark, d):
-    wide = v.stored_scores(spark, d)
-    long = metrics.long_scores(wide, "id", "y", {m: m for m in MODELS})
+    study = Study(spark, d)
     tests = delong.compare_families(
-        delong.covariance(long, MODELS), delong.comparison_table(model_table(spark))
-    )
-    counted = mcnemar.mcnemar(mcnemar.concordance(wide, "y", FIXED_CUTS, PAIRS))
-    adjusted = multiple.holm(
-        mcnemar.with_mcnemar_p(counted).withColumn("family", F.lit("all")),
-        ["family"], "p_value", ["model_a", "model_b"],
+        study.covariance(), delong.comparison_table(model_table(spark, v.STUDY_MODELS))
     )
-    reps = bootstrap.replicate_metrics(wide, "id", "y", FIXED_CUTS, REPLICATES)
-    return agreement.three_test_table(tests, adjusted, bootstrap.paired_intervals(reps, PAIRS))
+    intervals = bootstrap.paired_intervals(study.replicates(), study.pairs)
+    return agreement.three_test_table(tests, study.mcnemar_family(), intervals)

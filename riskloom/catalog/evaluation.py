@@ -23,7 +23,7 @@ conf AS (SELECT model, count(*) FILTER (y = 0 AND pred = 0) AS tn,
 
 def predicted(spark, d):
     cuts = sources.small_table(spark, CUTS, "model string, threshold double")
-    return metrics.apply_thresholds(v.scores_tall(spark, d), cuts, ["model"])
+    return metrics.apply_thresholds(v.scores_tall(spark, d, passes=1), cuts, ["model"])
 
 
 @query("a15_confusion_counts", f"WITH {PRED} SELECT * FROM conf")

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from riskloom.functions.clean import sentinel_to_null, target_flag
 from riskloom.functions.hashing import hash_uniform
 from riskloom.operators.metrics import long_scores
+from riskloom.operators.sampling import with_split
 from riskloom.roles import Roles
 from riskloom.session import materialize
 
@@ -92,14 +93,16 @@ SCORES = f"""{LOAN}, scores AS (SELECT id, y,
   FROM loan)"""
 
 
-def scores_tall(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return long_scores(stored_scores(spark, sf_dir), "id", "y", {m: m for m in MODELS})
+def scores_tall(spark: SparkSession, sf_dir: str, passes: int = 2) -> DataFrame:
+    """All scores in long form; a table that is read once is not written first."""
+    wide = stored_scores(spark, sf_dir) if passes > 1 else scores(spark, sf_dir)
+    return long_scores(wide, "id", "y", {m: m for m in MODELS})
 
 
 TALL = f"""{SCORES}, tall AS (UNPIVOT scores ON {", ".join(MODELS)} INTO NAME model VALUE score)"""
 
 # Per distinct score: rows at the score and below it, and class totals.
-POINTS = f"""{TALL}, points AS (
+POINTS_BODY = """points AS (
   SELECT model, score, n_pos, n_neg,
     CAST(sum(n_pos) OVER w - n_pos AS BIGINT) AS pos_below,
     CAST(sum(n_neg) OVER w - n_neg AS BIGINT) AS neg_below,
@@ -108,9 +111,10 @@ POINTS = f"""{TALL}, points AS (
   FROM (SELECT model, score, count(*) FILTER (y = 1) AS n_pos, count(*) FILTER (y = 0) AS n_neg
         FROM tall GROUP BY model, score)
   WINDOW w AS (PARTITION BY model ORDER BY score))"""
+POINTS = f"{TALL}, {POINTS_BODY}"
 
 # Contribution of every row to the area of its model, and the covariance of the areas.
-DELONG = f"""{POINTS}, comp AS (
+DELONG_BODY = """comp AS (
   SELECT t.id, t.y, t.model, CASE WHEN t.y = 1 THEN (neg_below + n_neg / 2.0::DOUBLE) / n
     ELSE (p - pos_below - n_pos + n_pos / 2.0::DOUBLE) / p END AS v
   FROM tall t JOIN points USING (model, score)),
@@ -122,6 +126,66 @@ cov AS (
   SELECT model_a, model_b, sum(part) AS cov, max(mean_a) FILTER (y = 1) AS auc_a,
     max(mean_b) FILTER (y = 1) AS auc_b
   FROM per_class GROUP BY model_a, model_b)"""
+DELONG = f"{POINTS}, {DELONG_BODY}"
+
+STUDY_KINDS = ("price", "bal", "mix", "size", "net", "rank")
+STUDY_MODELS = tuple(f"{run}_{kind}" for run in "ab" for kind in STUDY_KINDS)
+
+
+def study(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two runs of six kinds of score each, with the set (``part``) that a row belongs to: a fifth of each
+    class is ``test``. Written once."""
+    rows = with_split(loan(spark, sf_dir), "id", "y", split="part")
+    price, bal, y = F.col("price"), F.col("bal"), F.col("y")
+    u = {k: hash_uniform(f"u{k}", "id") for k in range(1, 10)}
+    return materialize(rows.select(
+        "id", "y", "part",
+        price.alias("a_price"),
+        F.floor(bal / 500).cast("double").alias("a_bal"),
+        (price / 1000 + u[1] * 300 + y * 60).alias("a_mix"),
+        F.floor(price / 20000).cast("double").alias("a_size"),
+        (bal + u[5] * 4000 + y * 900).alias("a_net"),
+        (u[6] + y * 0.12).alias("a_rank"),
+        (price + u[2] * 40000).alias("b_price"),
+        F.floor((bal + u[3] * 1500) / 500).cast("double").alias("b_bal"),
+        (price / 1000 + u[4] * 300 + y * 45).alias("b_mix"),
+        F.floor((price + u[7] * 60000) / 20000).cast("double").alias("b_size"),
+        (bal + u[8] * 4000 + y * 700).alias("b_net"),
+        (u[9] + y * 0.11).alias("b_rank"),
+    ))
+
+
+STUDY = f"""{LOAN}, study AS (SELECT id, y, CASE WHEN row_number() OVER (PARTITION BY y ORDER BY md5('42:' || id))
+    <= ceil(count(*) OVER (PARTITION BY y) * 0.2::DOUBLE) THEN 'test' ELSE 'train' END AS part,
+  price AS a_price,
+  CAST(floor(bal / 500) AS DOUBLE) AS a_bal,
+  price / 1000 + {uniform_sql("u1")} * 300 + y * 60 AS a_mix,
+  CAST(floor(price / 20000) AS DOUBLE) AS a_size,
+  bal + {uniform_sql("u5")} * 4000 + y * 900 AS a_net,
+  {uniform_sql("u6")} + y * 0.12::DOUBLE AS a_rank,
+  price + {uniform_sql("u2")} * 40000 AS b_price,
+  CAST(floor((bal + {uniform_sql("u3")} * 1500) / 500) AS DOUBLE) AS b_bal,
+  price / 1000 + {uniform_sql("u4")} * 300 + y * 45 AS b_mix,
+  CAST(floor((price + {uniform_sql("u7")} * 60000) / 20000) AS DOUBLE) AS b_size,
+  bal + {uniform_sql("u8")} * 4000 + y * 700 AS b_net,
+  {uniform_sql("u9")} + y * 0.11::DOUBLE AS b_rank
+  FROM loan),
+study_tall AS (UNPIVOT study ON {", ".join(STUDY_MODELS)} INTO NAME model VALUE score),
+tall AS (SELECT id, y, model, score FROM study_tall WHERE part = 'test'), {POINTS_BODY},
+train_points AS (
+  SELECT model, score AS threshold, sum(n_pos) OVER w AS tp, sum(n_neg) OVER w AS fp,
+    sum(n_pos) OVER (PARTITION BY model) AS p, sum(n_neg) OVER (PARTITION BY model) AS n
+  FROM (SELECT model, score, count(*) FILTER (y = 1) AS n_pos, count(*) FILTER (y = 0) AS n_neg
+        FROM study_tall WHERE part = 'train' GROUP BY model, score)
+  WINDOW w AS (PARTITION BY model ORDER BY score DESC)),
+cuts AS (SELECT model, threshold FROM train_points QUALIFY row_number() OVER (
+  PARTITION BY model ORDER BY tp::HUGEINT * n::HUGEINT - fp::HUGEINT * p::HUGEINT DESC, threshold DESC) = 1),
+test_areas AS (SELECT model, sum(n_pos::HUGEINT * (2 * neg_below + n_neg)) / (2.0::DOUBLE * any_value(p) * any_value(n)) AS auc
+  FROM points GROUP BY model),
+pairs AS (SELECT 'across' AS kind, 'a_' || k AS model_a, 'b_' || k AS model_b FROM (SELECT unnest({list(STUDY_KINDS)}) AS k)
+  UNION ALL SELECT 'top2_' || run, max(model) FILTER (pos = 1), max(model) FILTER (pos = 2) FROM (
+    SELECT model[1] AS run, model, row_number() OVER (PARTITION BY model[1] ORDER BY auc DESC, model) AS pos
+    FROM test_areas) GROUP BY run)"""
 
 
 def missing_view(spark: SparkSession, sf_dir: str) -> DataFrame:

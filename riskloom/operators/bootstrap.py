@@ -1,90 +1,218 @@
 """Paired bootstrap of AUC, average precision and F1 differences.
 
-Row weights are Poisson(1) draws from a hash of (seed, replicate, id): the same row has the same
-weight for every model, which is the pairing, and no replicate needs the whole table at once. This
-replaces drawing exactly n rows with replacement; the two agree for large n. Replicate -1 is the
-data itself.
+Row weights are Poisson(1) draws from a hash of (seed, id, replicate): the same row has the same weight for
+every model, which is the pairing, and no replicate needs the whole table at once. This replaces drawing
+exactly n rows with replacement; the two agree for large n. Replicate -1 is the data itself.
+
+Rows are never multiplied by replicates in a shuffle. Every model's rows are dealt once to buckets of scores;
+the weights of all replicates are computed where a row is, as a vector. One pass sums the vectors per bucket,
+a running sum of these few vectors says what lies above each bucket, and a second pass takes every bucket's
+share of the areas. A bucket's smallest score is kept apart: its rows only matter by their sums, so a score
+held by very many rows is summed in pieces and never meets in one task.
 """
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterator, Mapping, Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskloom.functions.hashing import hash_key, poisson_one, uniform_from_key
-from riskloom.operators.metrics import ratio_or_zero
-from riskloom.operators.ranks import Buckets, cumulative_counts, pair_sum
+from riskloom.functions.hashing import POISSON_STEPS, hash_key
+from riskloom.operators.ranks import Buckets
+from riskloom.session import materialize
 
-DRAWS_PER_KEY = 4
 OBSERVED = -1
+SLICE = 64             # replicates whose sums travel together
+PIECE_ROWS = 200_000   # rows of a bucket summed in one task
+WEIGHTS = 1 << 20      # weights held at once
 
+# Multipliers of the 32-bit finisher, and the draws at which a Poisson(1) weight rises.
+MIX = (0x7FEB352D, 0x846CA68B)
+GOLDEN = 0x9E3779B9
+STEPS = [int(np.ceil(s * 2.0**32)) for s in POISSON_STEPS if s * 2.0**32 < 2**32 - 1]
+
+
+def _mix(x: np.ndarray) -> np.ndarray:
+    """Every bit of a 32-bit word moves every other."""
+    x ^= x >> np.uint32(16)
+    x *= np.uint32(MIX[0])
+    x ^= x >> np.uint32(15)
+    x *= np.uint32(MIX[1])
+    x ^= x >> np.uint32(16)
+    return x
+
+
+def weights(first: np.ndarray, second: np.ndarray, replicates: int) -> np.ndarray:
+    """Weights (rows x replicates + 1) of rows with these two hash words; the first column is the data itself."""
+    reps = _mix((np.arange(replicates, dtype=np.uint64) * np.uint64(GOLDEN) + np.uint64(1)).astype(np.uint32))
+    draw = _mix(_mix(first.astype(np.uint32)[:, None] ^ reps) + second.astype(np.uint32)[:, None])
+    out = np.ones((len(first), replicates + 1), np.uint8)
+    own = out[:, 1:]
+    own[:] = draw >= np.uint32(STEPS[0])
+    top = int(draw.max(initial=0))
+    for step in STEPS[1:]:
+        if step > top:
+            break
+        own += draw >= np.uint32(step)
+    return out
+
+
+def _slices(vectors: Sequence[np.ndarray]) -> Iterator[tuple[int, list[np.ndarray]]]:
+    for k, at in enumerate(range(0, len(vectors[0]), SLICE)):
+        yield k, [v[at:at + SLICE] for v in vectors]
+
+
+def _lists(values: list[np.ndarray]) -> pa.Array:
+    ends = np.append(0, np.cumsum([len(v) for v in values])).astype(np.int32)
+    flat = np.concatenate(values) if values else np.zeros(0)
+    return pa.ListArray.from_arrays(pa.array(ends), pa.array(flat.astype(np.float64)))
+
+
+def _sums(replicates: int):
+    """Summed weights of a piece of a bucket: positives, negatives, and both at or above the cut."""
+    def run(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
+        first, second = table["first"].to_numpy(), table["second"].to_numpy()
+        y, called = table["y"].to_numpy() == 1, table["called"].to_numpy()
+        kinds = np.stack([y, ~y, y & called, ~y & called]).astype(np.float32)
+        total, step = np.zeros((4, replicates + 1)), max(1, WEIGHTS // (replicates + 1))
+        for at in range(0, len(first), step):
+            part = slice(at, at + step)
+            total += kinds[:, part] @ weights(first[part], second[part], replicates).astype(np.float32)
+        cut = [x for _, x in _slices(list(total))]
+        n = len(cut)
+        return pa.table({
+            "model": pa.array([key[0].as_py()] * n), "bucket": pa.array([key[1].as_py()] * n, pa.int32()),
+            "inner": pa.array([key[2].as_py()] * n), "slice": pa.array(range(n), pa.int32()),
+            **{name: _lists([x[i] for x in cut]) for i, name in enumerate(("pos", "neg", "tp", "fp"))}})
+    return run
 
-def resampled(wide: DataFrame, id_col: str, label: str, models: Sequence[str], replicates: int,
-              seed: int) -> DataFrame:
-    """``rep, w, label, models``: rows drawn at least once, with how often. One MD5 gives the
-    weights of four replicates."""
-    columns = [F.col(label).cast("long").alias(label), *models]
-    blocks = (replicates + DRAWS_PER_KEY - 1) // DRAWS_PER_KEY
-    base = wide.select(
-        F.col(id_col), *columns,
-        F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("_block"),
-    )
-    keyed = base.withColumn("_key", hash_key(seed, "_block", id_col))
-    draws = F.explode(F.array(*[F.lit(i) for i in range(DRAWS_PER_KEY)])).alias("_slot")
-    weight = poisson_one(uniform_from_key(F.col("_key"), F.col("_slot")))
-    drawn = (
-        keyed.select("*", draws)
-        .withColumn("rep", (F.col("_block") * DRAWS_PER_KEY + F.col("_slot")).cast("int"))
-        .where(F.col("rep") < replicates)
-        .withColumn("w", weight.cast("long"))
-        .where(F.col("w") > 0)
-        .select("rep", "w", label, *models)
-    )
-    observed = wide.select(
-        F.lit(OBSERVED).alias("rep"), F.lit(1).cast("long").alias("w"), *columns
-    )
-    return observed.unionByName(drawn)
+
+SUMS = "model string, bucket int, inner boolean, slice int, pos array<double>, neg array<double>, tp array<double>, fp array<double>"
+ABOVE = "model string, bucket int, slice int, twice array<double>, area array<double>, pos array<double>, neg array<double>, tp array<double>, fp array<double>"
+
+
+def _share(a: np.ndarray, n: np.ndarray, tp: np.ndarray, fp: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Twice the pairs in the right order, and the positives times precision, of scores with ``a``
+    positives and ``n`` negatives, ``tp`` and ``fp`` being all at or above them."""
+    called = tp + fp
+    return n * (2 * tp - a), a * np.divide(tp, called, out=np.zeros_like(called), where=called > 0)
+
+
+def _running(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
+    """What lies above each bucket's inner rows, and a row without bucket: totals of the model with the
+    share of all smallest scores."""
+    size = len(table["pos"][0].as_py())
+    bucket, inner = table["bucket"].to_numpy(), table["inner"].to_numpy(zero_copy_only=False)
+    values = [table[c].combine_chunks().flatten().to_numpy().reshape(-1, size) for c in ("pos", "neg", "tp", "fp")]
+    # From the highest down; within a bucket the smallest score comes last.
+    order = np.lexsort((~inner, -bucket))
+    bucket, inner, values = bucket[order], inner[order], [v[order] for v in values]
+    start = np.flatnonzero(np.append(True, (bucket[1:] != bucket[:-1]) | (inner[1:] != inner[:-1])))
+    pos, neg, tp, fp = (np.add.reduceat(v, start, axis=0) for v in values)
+    bucket, inner = bucket[start], inner[start]
+    upto_pos, upto_neg = np.cumsum(pos, axis=0), np.cumsum(neg, axis=0)
+    low = ~inner
+    twice, area = _share(pos[low], neg[low], upto_pos[low], upto_neg[low])
+    none = [np.zeros(0)] * int(inner.sum())
+    column = lambda whole, rest: _lists([whole, *rest])
+    n = 1 + len(none)
+    return pa.table({
+        "model": pa.array([key[0].as_py()] * n), "bucket": pa.array([None, *bucket[inner].tolist()], pa.int32()),
+        "slice": pa.array([key[1].as_py()] * n, pa.int32()),
+        "twice": column(twice.sum(axis=0), none), "area": column(area.sum(axis=0), none),
+        "pos": column(pos.sum(axis=0), list(upto_pos[inner] - pos[inner])),
+        "neg": column(neg.sum(axis=0), list(upto_neg[inner] - neg[inner])),
+        "tp": column(tp.sum(axis=0), none), "fp": column(fp.sum(axis=0), none)})
+
+
+def _inner(replicates: int):
+    """A bucket's share of the areas, given what lies above it."""
+    def run(key: tuple[pa.Scalar, ...], rows: pa.Table, above: pa.Table) -> pa.Table:
+        width = replicates + 1
+        twice, area = np.zeros(width), np.zeros(width)
+        if rows.num_rows and above.num_rows:
+            above = above.sort_by("slice")
+            tp, fp = (above[c].combine_chunks().flatten().to_numpy() for c in ("pos", "neg"))
+            score = rows["score"].to_numpy()
+            order = np.argsort(-score, kind="stable")
+            score, y = score[order], rows["y"].to_numpy()[order] == 1
+            first, second = rows["first"].to_numpy()[order], rows["second"].to_numpy()[order]
+            start = np.flatnonzero(np.append(True, score[1:] != score[:-1]))
+            end = np.append(start[1:], len(score))
+            step, at = max(1, WEIGHTS // width), 0
+            while at < len(start):
+                to = max(int(np.searchsorted(end, start[at] + step, side="right")), at + 1)
+                lo, hi = start[at], end[to - 1]
+                a = n = 0
+                if to == at + 1:
+                    for k in range(lo, hi, step):
+                        part = slice(k, min(k + step, hi))
+                        w = weights(first[part], second[part], replicates).astype(np.float64)
+                        a, n = a + w[y[part]].sum(axis=0, keepdims=True), n + w[~y[part]].sum(axis=0, keepdims=True)
+                else:
+                    w = weights(first[lo:hi], second[lo:hi], replicates).astype(np.float64)
+                    a, n = w * y[lo:hi, None], w * ~y[lo:hi, None]
+                    if to - at < hi - lo:
+                        a, n = (np.add.reduceat(v, start[at:to] - lo, axis=0) for v in (a, n))
+                upto_tp, upto_fp = tp + np.cumsum(a, axis=0), fp + np.cumsum(n, axis=0)
+                x, z = _share(a, n, upto_tp, upto_fp)
+                twice += x.sum(axis=0)
+                area += z.sum(axis=0)
+                tp, fp = upto_tp[-1], upto_fp[-1]
+                at = to
+        cut = [x for _, x in _slices([twice, area])]
+        k = len(cut)
+        return pa.table({"model": pa.array([key[0].as_py()] * k), "slice": pa.array(range(k), pa.int32()),
+                         "twice": _lists([x[0] for x in cut]), "area": _lists([x[1] for x in cut])})
+    return run
+
+
+def _metrics(key: tuple[pa.Scalar, ...], parts: pa.Table, whole: pa.Table) -> pa.Table:
+    matrix = lambda t, c: t[c].combine_chunks().flatten().to_numpy().reshape(t.num_rows, -1)
+    twice, area, p, n, tp, fp = (matrix(whole, c)[0] for c in ("twice", "area", "pos", "neg", "tp", "fp"))
+    if parts.num_rows:
+        twice, area = twice + matrix(parts, "twice").sum(axis=0), area + matrix(parts, "area").sum(axis=0)
+    both = (p > 0) & (n > 0)
+    rep = key[1].as_py() * SLICE + np.arange(len(p)) - 1
+    twice, area, p, n, tp, fp, rep = (v[both] for v in (twice, area, p, n, tp, fp, rep))
+    called = tp + fp + p
+    return pa.table({
+        "rep": pa.array(rep, pa.int32()), "model": pa.array([key[0].as_py()] * len(rep), pa.string()),
+        "auc": pa.array(twice / (2 * p * n)), "average_precision": pa.array(area / p),
+        "f1": pa.array(np.divide(2 * tp, called, out=np.zeros_like(called), where=called > 0))})
 
 
 def replicate_metrics(wide: DataFrame, id_col: str, label: str, thresholds: Mapping[str, float],
                       replicates: int = 2000, seed: int = 42) -> DataFrame:
-    """``rep, model, auc, average_precision, f1``. ``thresholds`` has a cut per model column.
-    Replicates with one class only are left out. Replicates are ordered in buckets."""
+    """``rep, model, auc, average_precision, f1``. ``thresholds`` has a cut per model column. Rows without a
+    label or a score are left out, and so are replicates with one class only; NaN counts as infinity."""
     models = list(thresholds)
-    rows = resampled(wide, id_col, label, models, replicates, seed).select(
-        "rep", "w", label, *[F.col(m).cast("double").alias(m) for m in models]
-    ).unpivot(["rep", "w", label], models, "model", "score")
-    y, w = F.col(label), F.col("w")
-    keys, counters = ["rep", "model"], {"n_pos": w * y, "n_neg": w * (1 - y)}
-    values = wide.select(*[F.col(m).cast("double").alias(m) for m in models]).unpivot(
-        [], models, "model", "score"
-    )
-    buckets = Buckets.fit(values, ["model"], "score")
-    points = cumulative_counts(rows, keys, "score", counters, buckets=buckets)
-    points = points.where((F.col("n_pos_total") > 0) & (F.col("n_neg_total") > 0))
-    cut = F.element_at(
-        F.create_map(*[F.lit(x) for m in models for x in (m, float(thresholds[m]))]),
-        F.col("model"),
-    )
-    called = F.col("score") >= cut
-    tp_here = F.col("n_pos_total") - F.col("n_pos_below")
-    fp_here = F.col("n_neg_total") - F.col("n_neg_below")
-    sums = points.groupBy("rep", "model").agg(
-        F.first("n_pos_total").alias("_p"), F.first("n_neg_total").alias("_n"),
-        pair_sum(F.col("n_pos"), 2 * F.col("n_neg_below") + F.col("n_neg")).alias("_twice"),
-        F.sum(F.col("n_pos") / F.col("n_pos_total") * tp_here / (tp_here + fp_here))
-        .alias("average_precision"),
-        F.sum(F.when(called, F.col("n_pos")).otherwise(0)).alias("_tp"),
-        F.sum(F.when(called, F.col("n_neg")).otherwise(0)).alias("_fp"),
-    )
-    return sums.select(
-        "rep", "model",
-        (F.col("_twice") / (2.0 * F.col("_p") * F.col("_n"))).alias("auc"),
-        "average_precision",
-        ratio_or_zero(2 * F.col("_tp"), F.col("_tp") + F.col("_fp") + F.col("_p")).alias("f1"),
-    )
+    key = hash_key(seed, id_col)
+    word = lambda k: F.conv(F.substring(key, 8 * k + 1, 8), 16, 10).cast("long")
+    cut = F.element_at(F.create_map(*[F.lit(x) for m in models for x in (m, float(thresholds[m]))]), F.col("model"))
+    tall = wide.where(F.col(label).isNotNull()).select(
+        F.col(label).cast("int").alias("y"), word(0).alias("first"), word(1).alias("second"),
+        *[F.nanvl(F.col(m).cast("double"), F.lit(float("inf"))).alias(m) for m in models],
+    ).unpivot(["y", "first", "second"], models, "model", "score").where("score IS NOT NULL")
+    placed = Buckets.fit(tall.select("model", "score"), ["model"], "score").place(tall).withColumnRenamed("_bucket", "bucket")
+    # One table of models x buckets: the smallest score of each, and how many pieces it is summed in.
+    shape = placed.groupBy("model", "bucket").agg(F.min("score").alias("least"), F.count("*").alias("n"))
+    shape = materialize(shape.select("model", "bucket", "least", F.ceil(F.col("n") / PIECE_ROWS).cast("int").alias("pieces")))
+    rows = materialize(placed.join(shape, ["model", "bucket"]).select(
+        "model", "bucket", (F.col("score") > F.col("least")).alias("inner"), "score", "y", "first", "second",
+        (F.col("score") >= cut).alias("called"), F.pmod(F.col("second"), F.col("pieces")).cast("int").alias("piece")))
+    sums = rows.groupBy("model", "bucket", "inner", "piece").applyInArrow(_sums(replicates), SUMS)
+    above = materialize(sums.groupBy("model", "slice").applyInArrow(_running, ABOVE))
+    inner = rows.where("inner").select("model", "bucket", "score", "y", "first", "second")
+    parts = inner.groupBy("model", "bucket").cogroup(
+        above.where("bucket IS NOT NULL").select("model", "bucket", "slice", "pos", "neg").groupBy("model", "bucket")
+    ).applyInArrow(_inner(replicates), "model string, slice int, twice array<double>, area array<double>")
+    return parts.groupBy("model", "slice").cogroup(
+        above.where("bucket IS NULL").groupBy("model", "slice")
+    ).applyInArrow(_metrics, "rep int, model string, auc double, average_precision double, f1 double")
 
 
 METRICS = ("auc", "average_precision", "f1")
