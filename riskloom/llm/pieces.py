@@ -12,6 +12,8 @@ the same walk with another step, and both give what the SentencePiece library gi
 from __future__ import annotations
 
 import hashlib
+import heapq
+import math
 import re
 import struct
 from collections.abc import Iterator
@@ -26,9 +28,12 @@ from riskloom.llm.store import fresh
 MARK = "▁"
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 MODEL_BYTES = 64 << 20    # largest model file that is sent to the executors
-KNOWN_WORDS = 400_000     # words whose pieces a task keeps between batches
-KNOWN_PAIRS = 1_000_000   # pairs of pieces whose verdict a task keeps
-TEXT_PIECES = 2 << 20     # characters of text encoded at once, or one document
+KNOWN_WORDS = 250_000     # words whose pieces a task keeps between batches
+KNOWN_PAIRS = 300_000     # pairs of pieces whose verdict a worker keeps, some 50 MB
+KNOWN_ENDINGS = 200_000   # endings of words whose pieces a worker keeps
+REACH = 4                 # characters of an ending
+LONG = 64                 # words of more characters keep back pointers instead of ids
+TEXT_PIECES = 6 << 20     # characters of text encoded at once, or one document
 
 # Fixed values of the model file format: field numbers and piece types.
 PIECES, TRAINER, NORMALIZER = 1, 2, 3
@@ -113,45 +118,99 @@ class Model:
 
     def merged(self, text: str) -> list[str]:
         """Merge by score, the left one first among equals, until nothing merges."""
-        parts = list(text)
-        while len(parts) > 1:
-            best, where = None, -1
-            for k in range(len(parts) - 1):
-                s = self.score.get(parts[k] + parts[k + 1])
-                if s is not None and (best is None or s > best):
-                    best, where = s, k
-            if where < 0:
+        if len(text) > LONG:
+            return self._merged_long(text)
+        parts, find, none = list(text), self.score.get, -math.inf
+        scores = [find(x + y, none) for x, y in zip(parts, parts[1:])]
+        while scores:
+            best = max(scores)
+            if best == none:
                 break
-            parts[where:where + 2] = [parts[where] + parts[where + 1]]
+            k = scores.index(best)
+            parts[k:k + 2] = [parts[k] + parts[k + 1]]
+            del scores[k]
+            if k < len(scores):
+                scores[k] = find(parts[k] + parts[k + 1], none)
+            if k:
+                scores[k - 1] = find(parts[k - 1] + parts[k], none)
         return parts
 
+    def _merged_long(self, text: str) -> list[str]:
+        """The same with a heap over linked parts, in time near the length."""
+        n, find = len(text), self.score.get
+        parts: list[str | None] = list(text)
+        behind, ahead = list(range(-1, n - 1)), list(range(1, n + 1))
+        heap = [(-s, k, x + y) for k, (x, y) in enumerate(zip(text, text[1:])) if (s := find(x + y)) is not None]
+        heapq.heapify(heap)
+        while heap:
+            _, k, whole = heapq.heappop(heap)
+            to = ahead[k] if parts[k] is not None else n
+            if to >= n or len(parts[k]) + len(parts[to]) != len(whole) or parts[k] + parts[to] != whole:
+                continue                      # one of the two has been merged since
+            parts[k], parts[to], ahead[k] = whole, None, ahead[to]
+            if ahead[k] < n:
+                behind[ahead[k]] = k
+            for i in (behind[k], k):
+                if i >= 0 and ahead[i] < n and (s := find(parts[i] + parts[ahead[i]])) is not None:
+                    heapq.heappush(heap, (-s, i, parts[i] + parts[ahead[i]]))
+        return [p for p in parts if p is not None]
+
+
+class Endings(dict):
+    """Lengths of the pieces that a text can end with, longest first, by its last ``REACH`` characters (or all, if
+    fewer). Lengths up to ``REACH`` are sure; longer pieces are to be looked up. Filled as asked, up to a bound."""
+
+    def __init__(self, pieces):
+        super().__init__()
+        self.pieces, self.longer = pieces, {}
+        for p in pieces:
+            if len(p) > REACH:
+                self.longer.setdefault(p[-REACH:], set()).add(len(p))
+
+    def __missing__(self, end: str) -> tuple[int, ...]:
+        if len(self) >= KNOWN_ENDINGS:
+            self.clear()
+        sure = (n for n in range(len(end), 1, -1) if end[-n:] in self.pieces)
+        found = self[end] = (*sorted(self.longer.get(end, ()), reverse=True), *sure, 1)
+        return found
+
 
 class Encoder:
     """Forward states over sorted words; what is kept between words has a fixed bound.
 
-    The state of a prefix is (its last piece, where that starts, its score); the ids of a word are read
-    back along the starts.
+    The state of a prefix is its last piece and what reads its ids: for words of up to ``LONG`` characters
+    the packed ids themselves, for longer ones (where these would take quadratic space) where the last piece starts.
     """
 
     def __init__(self, model: Model):
         self.model = model
-        self.known: dict[str, bytes] = {}
-        self.older: dict[str, bytes] = {}
-        self.pairs: dict[tuple[str, str], bool] = {}
         whole = [p for p in model.ids if model.merged(p) == [p]] if model.kind == BPE else model.ids
         self.packed = {p: struct.pack("<i", model.ids[p]) for p in whole}
-        self.reach: dict[str, int] = {}  # longest piece by its last two characters
-        for p in self.packed:
-            self.reach[p[-2:]] = max(len(p), self.reach.get(p[-2:], 1))
-
-    def _apart(self, left: str, right: str) -> bool:
-        """Whether merging leaves the two pieces as they are."""
-        key = (left, right)
-        found = self.pairs.get(key)
+        self.sizes = Endings(self.packed)
+        self._near: dict[str, dict[str, bool]] = {}
+        self._n_near = 0
+        self.forget()
+
+    def forget(self) -> None:
+        """Let go all words that were met."""
+        self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
+
+    def _verdicts(self, left: str) -> dict[str, bool]:
+        """What is known of the pieces behind ``left``."""
+        found = self._near.get(left)
         if found is None:
-            if len(self.pairs) >= KNOWN_PAIRS:
-                self.pairs.clear()
-            found = self.pairs[key] = self.model.merged(left + right) == [left, right]
+            found = self._near[left] = {}
+        return found
+
+    def _apart(self, left: str, known: dict[str, bool], right: str) -> bool:
+        """Whether merging leaves the two pieces as they are; kept in ``known``."""
+        if self._n_near >= KNOWN_PAIRS:
+            for verdicts in self._near.values():
+                verdicts.clear()
+            self._n_near = 0
+        self._n_near += 1
+        found = known[right] = self.model.merged(left + right) == [left, right]
         return found
 
     def _code(self, piece: str) -> bytes:
@@ -161,55 +220,70 @@ class Encoder:
 
     def learn(self, words: set[str]) -> None:
         """Pieces of all the words."""
-        extend = self._extend_bpe if self.model.kind == BPE else self._extend_unigram
-        before, states = "", [(None, 0, 0.0)]
-        for word in sorted(words):
-            if self.model.kind == BPE and word.startswith(MARK * 2):
-                # Runs of spaces merge with equal scores, where the order of merging decides.
-                self.known[word] = b"".join(map(self._code, self.model.merged(word)))
-                continue
-            shared = 0
-            for x, y in zip(before, word):
-                if x != y:
-                    break
-                shared += 1
-            del states[shared + 1:]
-            extend(word, shared + 1, states)
-            before = word
-            self.known[word] = self._read_back(states)
-
-    def _read_back(self, states: list) -> bytes:
-        found, at = [], len(states) - 1
+        walk = self._walk_bpe if self.model.kind == BPE else self._walk_unigram
+        spaces = [w for w in words if w.startswith(MARK * 2)] if self.model.kind == BPE else []
+        for word in spaces:
+            # Runs of spaces merge with equal scores, where the order of merging decides.
+            self.known[word] = b"".join(map(self._code, self.model.merged(word)))
+        for some, long in (([w for w in words if len(w) <= LONG], False), ([w for w in words if len(w) > LONG], True)):
+            walk(sorted(set(some).difference(spaces)), long)
+
+    def _read_back(self, last: list, start: list, at: int) -> bytes:
+        found = []
         while at > 0:
-            piece, at, _ = states[at]
-            found.append(self._code(piece))
+            found.append(self._code(last[at]))
+            at = start[at]
         return b"".join(reversed(found))
 
-    def _extend_bpe(self, word: str, first: int, states: list) -> None:
-        packed, pairs, reach = self.packed, self.pairs, self.reach
-        for to in range(first, len(word) + 1):
-            size = reach.get(word[to - 2:to], 1) if to > 1 else 1
-            for at in range(to - size if size < to else 0, to):
-                piece = word[at:to]
-                if to - at > 1 and piece not in packed:
-                    continue
-                left = states[at][0]
-                if left is None:
-                    break
-                apart = pairs.get((left, piece))
-                if apart if apart is not None else self._apart(left, piece):
-                    break
-            states.append((piece, at, 0.0))
-
-    def _extend_unigram(self, word: str, first: int, states: list) -> None:
-        for to in range(first, len(word) + 1):
-            best = None
-            for size in range(1, min(self.model.longest, to) + 1):
-                piece = word[to - size:to]
-                score = self.model.score.get(piece, self.model.penalty if size == 1 else None)
-                if score is not None and (best is None or score + states[to - size][2] > best[2]):
-                    best = piece, to - size, score + states[to - size][2]
-            states.append(best)
+    def _walk_bpe(self, words: list[str], long: bool) -> None:
+        """The last piece of a prefix is the longest that merging keeps apart from the last before it."""
+        packed, sizes, known, near = self.packed, self.sizes, self.known, self._near
+        before, last, state, after = "", [None], [0 if long else b""], [None]
+        for word in words:
+            shared = _shared(before, word)
+            del last[shared + 1:], state[shared + 1:], after[shared + 1:]
+            before = word
+            for to in range(shared + 1, len(word) + 1):
+                for size in sizes[word[to - REACH:to] if to > REACH else word[:to]]:
+                    at = to - size
+                    if at > 0:
+                        piece = word[at:to]
+                        if size > REACH and piece not in packed:
+                            continue
+                        # Whether merging leaves it and the piece before as they are.
+                        apart = after[at].get(piece)
+                        if apart is None:
+                            apart = self._apart(last[at], after[at], piece)
+                        if apart:
+                            break
+                    elif at == 0:
+                        piece = word[:to]
+                        if size <= REACH or piece in packed:
+                            break
+                last.append(piece)
+                after.append(near.get(piece) or self._verdicts(piece))
+                state.append(at if long else state[at] + (packed.get(piece) or self._code(piece)))
+            known[word] = self._read_back(last, state, len(word)) if long else state[-1]
+
+    def _walk_unigram(self, words: list[str], long: bool) -> None:
+        """The best sum of scores of a prefix's segmentations."""
+        before, last, state, total = "", [None], [0 if long else b""], [0.0]
+        for word in words:
+            shared = _shared(before, word)
+            del last[shared + 1:], state[shared + 1:], total[shared + 1:]
+            before = word
+            for to in range(shared + 1, len(word) + 1):
+                best = None
+                for size in range(1, min(self.model.longest, to) + 1):
+                    piece = word[to - size:to]
+                    score = self.model.score.get(piece, self.model.penalty if size == 1 else None)
+                    if score is not None and (best is None or score + total[to - size] > best[1]):
+                        best = piece, score + total[to - size], to - size
+                piece, score, at = best
+                last.append(piece)
+                total.append(score)
+                state.append(at if long else state[at] + self._code(piece))
+            self.known[word] = self._read_back(last, state, len(word)) if long else state[-1]
 
     def units(self, text: str) -> list[str]:
         if self.model.squeeze:
@@ -230,15 +304,26 @@ class Encoder:
         return [None if units is None else b"".join(map(known, units)) for units in split]
 
 
+def _shared(a: str, b: str) -> int:
+    """Length of the common prefix."""
+    n = 0
+    for x, y in zip(a, b):
+        if x != y:
+            break
+        n += 1
+    return n
+
+
 _ENCODERS: dict[bytes, Encoder] = {}
 
 
 def _encoder(data: bytes) -> Encoder:
-    """The worker's encoder of a model; its words serve the next task too."""
+    """The worker's encoder of a model. What it knows of the model serves the next task too; words are a task's own."""
     key = hashlib.sha256(data).digest()
     if key not in _ENCODERS:
         _ENCODERS.clear()
         _ENCODERS[key] = Encoder(Model(data))
+    _ENCODERS[key].forget()
     return _ENCODERS[key]
 
 
@@ -306,6 +391,7 @@ def encode(df: DataFrame, column: str = "text", ids: str = "ids", model: str = M
                         t is None or decoded(m, flat[a:b]) == t.replace(MARK, " ")
                         for t, a, b in zip(texts, ends, ends[1:])], pa.bool_()))
                 yield pa.RecordBatch.from_arrays(columns, names=[*old, *new])
+        encoder.forget()
 
     return rows.mapInArrow(run, kinds)
 
