@@ -13,6 +13,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -27,8 +28,11 @@ LANDMARKS = 256       # of these, landmarks
 RIDGE = 1e-3
 UNKNOWN = "und"
 # A text is refused if its best language leads by less than MARGIN (of about 2) and its n-grams are less
-# than FAMILIAR (about 1 for texts like the learned ones). Texts of under SHORT characters cannot be judged.
+# than FAMILIAR (about 1 for texts like the learned ones). Short texts show less: of CHECKED labelled texts of each
+# language that are not learned from, the first LENGTHS bytes are looked at, and both cuts are lowered for texts of
+# that length until all but REFUSED of these would pass. Texts of under SHORT bytes cannot be judged.
 MARGIN, FAMILIAR, SHORT = 0.45, 0.85, 8
+LENGTHS, CHECKED, REFUSED = (8, 12, 16, 24, 36, 54, 80, 120), 60, 0.01
 
 # ASCII letters in lower case, bytes of other characters as they are, all else one space.
 FOLD = np.where(((W.LOWER >= 97) & (W.LOWER <= 122)) | (W.BYTES >= 128), W.LOWER, 32).astype(np.uint8)
@@ -66,8 +70,9 @@ def _bitmaps(batches):
     for batch in batches:
         for part, present in _rows(batch):
             yield pa.RecordBatch.from_arrays(
-                [part.column(0), part.column(1), pa.array([np.packbits(x).tobytes() for x in present])],
-                names=["lang", "rank", "slots"])
+                [part.column(0), part.column(1), pc.binary_length(part.column(2)).cast(pa.int64()),
+                 pa.array([np.packbits(x).tobytes() for x in present])],
+                names=["lang", "rank", "size", "slots"])
 
 
 class Classifier:
@@ -88,6 +93,26 @@ class Classifier:
         y = np.hstack([y, np.ones((len(x), 1))])
         system = cross.T @ cross + ridge * len(x) * own + 1e-8 * np.eye(len(own))
         self.weights = (z.T @ np.linalg.lstsq(system, cross.T @ y, rcond=None)[0]).astype(np.float32)
+        self.lengths, self.cuts = np.array([SHORT, SHORT + 1]), np.array([0.0, 1.0])
+
+    def calibrate(self, lengths: np.ndarray, present: np.ndarray) -> None:
+        """Lower the cuts for short texts, given labelled ones of known lengths. Without any, texts shorter than
+        the longest of ``LENGTHS`` are all kept."""
+        told = self.clearness(*self.scores(present)) if len(present) else np.zeros(0)
+        least = [min(1.0, float(np.quantile(told[lengths == n], REFUSED, method="lower"))) if (lengths == n).any() else 0.0
+                 for n in LENGTHS]
+        # A longer text is never judged more mildly.
+        self.lengths, self.cuts = np.array([*LENGTHS, 2 * LENGTHS[-1]]), np.maximum.accumulate([*least, 1.0])
+
+    def clearness(self, scores: np.ndarray, familiar: np.ndarray) -> np.ndarray:
+        """How far a text reaches the better of its two cuts; 1 is just enough for a long one."""
+        second = np.sort(scores, axis=1)[:, -2] if scores.shape[1] > 1 else 0.0
+        return np.maximum((scores.max(axis=1) - second) / MARGIN, familiar / FAMILIAR)
+
+    def refuses(self, scores: np.ndarray, familiar: np.ndarray, size: np.ndarray) -> np.ndarray:
+        """Texts (of ``size`` bytes without white space around) that are in no learned language."""
+        cut = np.interp(size, self.lengths, self.cuts)
+        return (size >= SHORT) & (self.clearness(scores, familiar) < cut)
 
     def scores(self, present: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Raw value of every language, and how familiar the text is."""
@@ -101,9 +126,10 @@ def has_letter(text: str = "text") -> Column:
 
 
 def fit(labelled: DataFrame, sample: int = SAMPLE, landmarks: int = LANDMARKS,
-        ridge: float = RIDGE) -> Classifier | None:
+        ridge: float = RIDGE, checked: int = 0) -> Classifier | None:
     """Learn from ``labelled`` (doc_id, text, lang): the rows of smallest hash of every language,
-    ``sample`` rows in all. Rows without a language or a letter are not used; None if none is left.
+    ``sample`` rows in all. Rows without a language or a letter are not used; None if none is left. The
+    ``checked`` next rows of every language (a tenth of its rows at most) set the cuts by which short texts are refused.
     """
     rows = labelled.where("lang IS NOT NULL AND text IS NOT NULL")
     counts = dict(rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(sample + 1).toArrow()
@@ -114,18 +140,35 @@ def fit(labelled: DataFrame, sample: int = SAMPLE, landmarks: int = LANDMARKS,
         return None
     each = sample // len(counts)
     shares = F.create_map(*[F.lit(x) for k, n in counts.items() for x in (k, min(1.0, 4.0 * each / n))])
+    learn = F.create_map(*[F.lit(x) for k, n in counts.items() for x in (k, min(each, n - min(checked, n // 10)))])[F.col("lang")]
     order = F.xxhash64(F.col("doc_id").cast("string"), F.lit("sample"))
     near = rows.withColumn("order", order).where(
         F.pmod("order", F.lit(1 << 20)) < shares[F.col("lang")] * (1 << 20)).where(has_letter())
     ranked = near.withColumn("rank", F.row_number().over(
-        Window.partitionBy("lang").orderBy("order", "doc_id", "text"))).where(F.col("rank") <= each)
-    found = ranked.select("lang", "rank", "text").mapInArrow(
-        _bitmaps, "lang string, rank int, slots binary").toArrow().to_pandas()
+        Window.partitionBy("lang").orderBy("order", "doc_id", "text"))).where(F.col("rank") <= learn + checked)
+    heads = F.array(*[F.substring("text", 1, n) for n in LENGTHS])
+    # Heads of the checked rows have a rank below 0; a language of few rows is checked by some that it also learns.
+    whole = F.when(F.col("rank") <= each, F.array(F.struct("rank", "text"))).otherwise(F.array().cast("array<struct<rank: int, text: string>>"))
+    parts = F.when(F.col("rank") > learn, F.transform(heads, lambda h: F.struct((-F.col("rank")).alias("rank"), h.alias("text"))))
+    sent = ranked.select("lang", F.inline(F.concat(whole, F.coalesce(parts, F.array().cast("array<struct<rank: int, text: string>>")))))
+    found = sent.mapInArrow(
+        _bitmaps, "lang string, rank int, size long, slots binary").toArrow().to_pandas()
     if found.empty:
         return None
-    found = found.sort_values(["rank", "lang"], kind="stable")
-    present = np.unpackbits(np.frombuffer(b"".join(found.slots), np.uint8).reshape(len(found), -1), axis=1)
-    return Classifier(present.astype(bool), found.lang.tolist(), landmarks, ridge)
+    present = lambda rows: np.unpackbits(
+        np.frombuffer(b"".join(rows.slots), np.uint8).reshape(len(rows), -1), axis=1).astype(bool)
+    texts = found[found["rank"] > 0].sort_values(["rank", "lang"], kind="stable")
+    model = Classifier(present(texts), texts.lang.tolist(), landmarks, ridge)
+    if checked:
+        heads = found[found["rank"] < 0]
+        met = set(zip(heads.lang, -heads["rank"]))
+        others = texts[[k not in met for k in zip(texts.lang, texts["rank"])]]
+        judge = model if len(others) == len(texts) else Classifier(present(others), others.lang.tolist(), landmarks, ridge)
+        # Characters may have several bytes: a head counts for the largest of LENGTHS that it reaches.
+        reach = np.searchsorted(LENGTHS, heads["size"].to_numpy(), side="right") - 1
+        judge.calibrate(np.where(reach < 0, 0, np.array(LENGTHS)[reach]), present(heads))
+        model.lengths, model.cuts = judge.lengths, judge.cuts
+    return model
 
 
 def annotate(documents: DataFrame, classifier: Classifier | None, lang: str, score: str,
@@ -142,7 +185,8 @@ def annotate(documents: DataFrame, classifier: Classifier | None, lang: str, sco
     """
     sent = documents.sparkSession.sparkContext.broadcast(classifier)
     keep = documents.columns if keep is None else keep
-    own, known, short = (fresh(keep, n) for n in ("own", "known", "short"))
+    known, size = (fresh(keep, n) for n in ("known", "size"))
+    own = "text" if "text" in keep else fresh(keep, "text")
 
     def run(batches):
         model = sent.value
@@ -156,17 +200,17 @@ def annotate(documents: DataFrame, classifier: Classifier | None, lang: str, sco
                     scores, familiar = model.scores(present)
                     top = scores.argmax(axis=1)
                     best = np.clip((scores[np.arange(len(top)), top].astype(np.float64) + 1) / 2, 0, 1)
-                    second = np.sort(scores, axis=1)[:, -2] if scores.shape[1] > 1 else 0.0
-                    alien = (scores.max(axis=1) - second < MARGIN) & (familiar < FAMILIAR)
-                    alien = ~letter | (alien & ~part.column(len(keep) + 2).to_numpy(zero_copy_only=False))
+                    alien = ~letter | model.refuses(scores, familiar, part.column(len(keep) + 1).to_numpy())
                     best, name = np.where(letter, best, 0.0), np.array(model.languages, object)[top]
                     name = np.where(letter, name, UNKNOWN)
                 columns = [*part.columns[:len(keep)], pa.array(name, pa.string()), pa.array(best)]
                 columns += [pa.array(alien, pa.bool_())] if refused else []
                 yield pa.RecordBatch.from_arrays(columns, names=kinds.names)
 
-    few = F.coalesce(F.length(F.trim("text")) < SHORT, F.lit(True))
-    rows = documents.select(*keep, has_letter().alias(known), F.col("text").alias(own), few.alias(short))
+    # The text is sent once, under its own name where it is kept.
+    rows = documents.select(*keep, has_letter().alias(known),
+                            F.coalesce(F.octet_length(F.trim("text")), F.lit(0)).alias(size),
+                            *([] if own in keep else [F.col("text").alias(own)]))
     kinds = documents.select(*keep).schema.add(lang, "string").add(score, "double")
     if refused:
         kinds = kinds.add(refused, "boolean")

@@ -467,3 +467,17 @@ def test_decoding_is_the_best_consistent_choice():
                     if all(not s[k] or s[parent[k]] for k in range(1, n))),
                    key=lambda s: sum(o if x else -o for o, x in zip(odds, s)))
         assert pages.decode(parent, odds).astype(int).tolist() == list(best)
+
+
+def test_short_heads_of_clean_texts_are_not_refused(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    model = language.fit(docs.select("doc_id", "text", "lang").where(language.fold() != 0), checked=language.CHECKED)
+    held = docs.where(language.fold() == 0).where("lang IS NOT NULL")
+    heads = held.select(F.explode(F.array(*[F.substring("text", 1, n) for n in (8, 12, 20, 30, 50)])).alias("text"))
+    refused = language.annotate(heads, model, "l", "s", refused="r").where("r").count()
+    assert refused <= 0.03 * heads.count()
+    rng = random.Random(4)
+    junk = [("".join(rng.choice(a) for _ in range(n)),) for n in (40, 120, 400) for _ in range(30)
+            for a in ("абвгдежзиклмнопрст", "中文字漢語日本国人", "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/")]
+    kept = language.annotate(spark.createDataFrame(junk, "text string"), model, "l", "s", refused="r").where("NOT r").count()
+    assert kept <= 0.05 * len(junk)
