@@ -6,8 +6,10 @@ probability 1 / (threshold * WIDTH), from a hash of the node itself, and sends e
 child per picked coordinate, named by the set's value there. Two sets above the threshold meet in
 one child on average, others die out. Nodes that became small are compared exhaustively, larger ones
 against one of their members, and branch again. Large nodes of the last level that hold one group of
-linked sets are done; in the others each set outside the largest group is compared with all, in blocks. Independent trees bring the recall at the threshold to 1 - 1e-6 for pairs that part from
-the crowd in the first level. Pairs are confirmed on the full sets.
+linked sets are done; in the others each set outside the largest group is compared with all, in blocks. Before
+two full sets are compared their sketches must agree to the threshold less ``SLACK``, which a pair at the threshold
+fails with a probability of 2e-8. With that, and independent trees, the recall at the threshold is 1 - 1e-6 for
+pairs that part from the crowd in the first level. Pairs are confirmed on the full sets.
 """
 
 from __future__ import annotations
@@ -29,7 +31,7 @@ TREES = 20          # independent trees
 SMALL = 16          # a node of so many sets is compared exhaustively
 LEVELS = 3          # levels of a tree; what is still large and mixed then is compared in blocks
 BLOCK = 256         # sets of a block
-SLACK = 0.2         # a pair whose sketches agree this much less than the threshold is dropped
+SLACK = 0.3         # a pair whose sketches agree this much less than the threshold is dropped
 
 _RNG = np.random.Generator(np.random.PCG64(20240801))
 _MASK = _RNG.integers(0, 2**63, WIDTH, dtype=np.uint64)
@@ -63,7 +65,7 @@ def _signatures(length: int):
                     part.column(0), pa.array([len(s) for s in sets], pa.int64()),
                     pa.array([_digest(s) for s in sets], pa.binary()),
                     pa.array([_sketch(s).tobytes() if len(s) else None for s in sets], pa.binary()),
-                ], names=["doc_id", "n_shingles", "cls", "sketch"])
+                ], names=["doc_id", "n_shingles", "digest", "sketch"])
     return run
 
 
@@ -75,7 +77,7 @@ def _full_sets(length: int):
                 yield pa.RecordBatch.from_arrays([
                     pa.array([_digest(s) for s in sets], pa.binary()),
                     pa.array([s.tobytes() for s in sets], pa.binary()),
-                ], names=["cls", "members"])
+                ], names=["digest", "members"])
     return run
 
 
@@ -183,19 +185,27 @@ def near_duplicates(documents: DataFrame, shingle: int = 5, threshold_pct: int =
     scratch = Scratch(spark, "near-dedup")
     docs = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     signed = scratch.save(docs.mapInArrow(
-        _signatures(shingle), "doc_id long, n_shingles long, cls binary, sketch binary"))
-    classes = scratch.save(signed.where("cls is not null").groupBy("cls").agg(
-        F.min("doc_id").alias("low"), F.first("sketch").alias("sketch")))
+        _signatures(shingle), "doc_id long, n_shingles long, digest binary, sketch binary"))
+    # Classes get numbers, which are short; the table is written once, so they are settled.
+    classes = scratch.save(signed.where("digest is not null").groupBy("digest").agg(
+        F.min("doc_id").alias("low"), F.first("sketch").alias("sketch")).select(
+        F.monotonically_increasing_id().alias("cls"), "digest", "low", "sketch"))
     sketches = classes.select("cls", "sketch")
+    # From here on only a class has a sketch.
+    plain = scratch.save(signed.select("doc_id", "n_shingles", "digest"))
+    scratch.drop(signed)
+    signed = plain
+    scratch.let_go()
 
     # The trees: every level's nodes of two sets or more, each with one member as its pivot.
-    rows, pairs, nodes = sketches.mapInArrow(_branch(threshold, trees), "node long, cls binary"), None, []
+    rows, pairs, nodes = sketches.mapInArrow(_branch(threshold, trees), "node long, cls long"), None, []
     for level in range(LEVELS):
         # Of four orders a node takes one, so that a group meets several of its members.
         order = F.struct(F.xxhash64("cls", F.pmod("node", F.lit(4))), "cls")
         sized = rows.groupBy("node").agg(F.count("*").alias("n"), F.min(order).alias("first"))
         live = rows.join(sized.where("n > 1"), "node").select("node", "cls", "n", F.col("first.cls").alias("pivot"))
         live = scratch.save(live)
+        scratch.let_go()
         nodes.append(live)
         star = live.where("cls != pivot").select(F.col("pivot").alias("a"), F.col("cls").alias("b"))
         small = live.where(f"n between 3 and {SMALL}").select("node", "cls")
@@ -205,17 +215,20 @@ def near_duplicates(documents: DataFrame, shingle: int = 5, threshold_pct: int =
         pairs = near if pairs is None else pairs.unionAll(near)
         big = live.where(f"n > {SMALL}").select("node", "cls")
         rows = big.join(sketches, "cls").select("cls", "sketch", "node").mapInArrow(
-            _branch(threshold), "node long, cls binary")
+            _branch(threshold), "node long, cls long")
 
     store, least = _Sets(docs, classes, shingle, scratch), threshold - SLACK
-    close = scratch.save(_with(_ordered(pairs), sketches, "sketch").mapInArrow(_alike(least), "a binary, b binary"))
+    close = scratch.save(_with(_ordered(pairs), sketches, "sketch").mapInArrow(_alike(least), "a long, b long"))
+    scratch.drop(*nodes[:-1])
+    scratch.let_go()
     store.want(close.select(F.explode(F.array("a", "b")).alias("cls")))
-    links = scratch.save(_with(close, store.sets, "members").mapInArrow(_confirm(threshold_pct), "a binary, b binary"))
+    links = scratch.save(_with(close, store.sets, "members").mapInArrow(_confirm(threshold_pct), "a long, b long"))
     groups = scratch.save(components(links, "a", "b", scratch))
 
     # Large nodes of the last level that hold several groups.
     packed = scratch.save(_mixed(nodes[-1].where(f"n > {SMALL}"), groups))
-    scratch.drop(close, *nodes)
+    scratch.drop(close, nodes[-1])
+    scratch.let_go()
     store.want(packed.select("cls"))
     links = scratch.save(links.unionAll(_packed_links(packed, sketches, store.sets, threshold_pct, least)))
     groups = scratch.save(components(links, "a", "b", scratch))
@@ -226,8 +239,9 @@ def near_duplicates(documents: DataFrame, shingle: int = 5, threshold_pct: int =
     found = classes.select("cls", "low").join(
         groups.join(least, "root").select(F.col("vertex").alias("cls"), "component"), "cls", "left")
     found = found.select("cls", F.coalesce("component", "low").alias("component"))
-    out = signed.select("doc_id", "n_shingles", "cls").join(found, "cls", "left")
-    component = F.when(F.col("cls").isNull(), F.col("doc_id")).otherwise(F.col("component"))
+    found = found.join(classes.select("cls", "digest"), "cls").select("digest", "component")
+    out = signed.join(found, "digest", "left")
+    component = F.when(F.col("digest").isNull(), F.col("doc_id")).otherwise(F.col("component"))
     return out.select("doc_id", "n_shingles", component.alias("component_id"),
                       F.col("doc_id").eqNullSafe(component).alias("kept"))
 
@@ -249,13 +263,14 @@ class _Sets:
         keys = keys.distinct()
         if self.sets is not None:
             keys = keys.join(self.sets.select("cls"), "cls", "left_anti")
-        keys = self.scratch.save(keys.join(self.classes.select("cls", "low"), "cls"))
+        keys = self.scratch.save(keys.join(self.classes.select("cls", "digest", "low"), "cls"))
         ids = keys.select("low").distinct()
         texts = self.docs.join(ids, self.docs.doc_id.eqNullSafe(ids.low), "left_semi")
-        found = texts.mapInArrow(_full_sets(self.shingle), "cls binary, members binary").join(
-            keys, "cls", "left_semi")
+        found = texts.mapInArrow(_full_sets(self.shingle), "digest binary, members binary").join(
+            keys.select("cls", "digest"), "digest").select("cls", "members")
         found = self.scratch.save(found)
         self.scratch.drop(keys)
+        self.scratch.let_go()
         self.sets = found if self.sets is None else self.sets.unionAll(found)
 
 
@@ -282,4 +297,4 @@ def _packed_links(packed, sketches, sets, threshold_pct, least) -> DataFrame:
     right = full.withColumn("side", F.lit(1)).withColumn("j", own("n")).withColumn(
         "i", F.explode(F.sequence(F.lit(0), count("m") - 1))).select("node", "i", "j", *keep)
     return left.unionAll(right).groupBy("node", "i", "j").applyInPandas(
-        _in_blocks(threshold_pct, least), "a binary, b binary")
+        _in_blocks(threshold_pct, least), "a long, b long")

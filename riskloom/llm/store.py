@@ -32,6 +32,12 @@ class Scratch:
             path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+    def let_go(self) -> None:
+        """Let the driver collect finished plans, so that the shuffle files they hold are removed now and not
+        whenever the driver next runs short of memory."""
+        self.spark._jvm.System.gc()
+
+
 def fresh(names: list[str], wanted: str) -> str:
     """``wanted`` with as many leading underscores as it takes to differ from all ``names``."""
     taken = {n.lower() for n in names}
