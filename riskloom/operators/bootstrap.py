@@ -14,20 +14,28 @@ held by very many rows is summed in pieces and never meets in one task.
 from __future__ import annotations
 
 from collections.abc import Iterator, Mapping, Sequence
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.ml.feature import Bucketizer
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, IntegerType, StructField, StructType
 
 from riskloom.functions.hashing import POISSON_STEPS, hash_key
-from riskloom.operators.ranks import Buckets
-from riskloom.session import materialize
+from riskloom.operators.ranks import same_keys
+from riskloom.session import materialize, shuffle_width, small_table
 
 OBSERVED = -1
 SLICE = 64             # replicates whose sums travel together
 PIECE_ROWS = 200_000   # rows of a bucket summed in one task
 WEIGHTS = 1 << 20      # weights held at once
+SAMPLE_PER_BUCKET = 64
+ROWS_PER_BUCKET = 4_000_000
+CUTS = 100_000         # cut points of all models together
+LOG_RANGE = 1424.0
+INF = float("inf")
 
 # Multipliers of the 32-bit finisher, and the draws at which a Poisson(1) weight rises.
 MIX = (0x7FEB352D, 0x846CA68B)
@@ -35,6 +43,72 @@ GOLDEN = 0x9E3779B9
 STEPS = [int(np.ceil(s * 2.0**32)) for s in POISSON_STEPS if s * 2.0**32 < 2**32 - 1]
 
 
+@dataclass(frozen=True)
+class Buckets:
+    """Cut points of all groups on one axis: group number plus a monotone squeeze of the value.
+
+    The bucket of a row is the number of cut points at or below its place on the axis, so it costs
+    one search whatever the number of groups. Buckets of different groups have different numbers.
+    """
+
+    by: tuple[str, ...]
+    value: str
+    groups: DataFrame | None
+    cuts: tuple[float, ...]
+
+    @staticmethod
+    def fit(df: DataFrame, by: Sequence[str], value: str,
+            n_buckets: int | None = None) -> Buckets:
+        """Cut points from a sample of about ``SAMPLE_PER_BUCKET`` rows per bucket, whatever the
+        number of rows; the number of buckets follows the rows of the largest group. Groups are of
+        a bounded number; a null group counts as one of them."""
+        spark = df.sparkSession
+        by = list(by)
+        rows = df.select(*by, F.col(value).cast("double").alias("_v")).where(
+            F.col("_v").isNotNull() & ~F.isnan("_v") & (F.abs("_v") < INF))
+        counts = rows.groupBy(*by).agg(F.count("*").alias("_n")).collect()
+        if not counts:
+            return Buckets(tuple(by), value, None, ())
+        largest = max(r["_n"] for r in counts)
+        n = n_buckets or max(shuffle_width(df), -(-largest // ROWS_PER_BUCKET))
+        n = min(n, max(2, CUTS // len(counts)))
+        numbered = [(*r[:-1], i, min(1.0, SAMPLE_PER_BUCKET * n / r["_n"])) for i, r in enumerate(
+            sorted(counts, key=lambda r: str(r[:-1])))]
+        schema = StructType([df.schema[c] for c in by] + [
+            StructField("_group", IntegerType()), StructField("_share", DoubleType())])
+        groups = small_table(spark, numbered, schema)
+        probs = [i / n for i in range(1, n)]
+        fitted = (
+            same_keys(rows, F.broadcast(groups), by).where(F.rand(11) < F.col("_share"))
+            .groupBy("_group").agg(F.percentile_approx("_v", probs, 10 * n + 1000).alias("_cuts"))
+            .select("_group", F.explode("_cuts").alias("_v"))
+            .select(_axis(F.col("_group"), F.col("_v")).alias("_at")).distinct().collect()
+        )
+        edges = {r["_at"] for r in fitted} | {float(i) for i in range(1, len(numbered))}
+        return Buckets(tuple(by), value, groups.drop("_share"), tuple(sorted(edges)))
+
+    def place(self, df: DataFrame) -> DataFrame:
+        """``df`` with an int column ``_bucket``; buckets rise with the value inside a group."""
+        if not self.cuts:
+            return df.withColumn("_bucket", F.lit(0))
+        at = _axis(F.col("_group"), F.col(self.value).cast("double"))
+        wide = same_keys(df, F.broadcast(self.groups), self.by, "left").withColumn("_at", at)
+        placed = Bucketizer(
+            inputCol="_at", outputCol="_place", handleInvalid="keep", splits=[-INF, *self.cuts, INF],
+        ).transform(wide)
+        return placed.select(*df.columns, F.coalesce("_place", F.lit(0.0)).cast("int").alias("_bucket"))
+
+
+def _axis(group: Column, value: Column) -> Column:
+    """Place of a value inside [group, group + 1); -0.0 and 0.0 are one value, NaN is the largest.
+    Equal values share a place and larger ones never come before, which is all a result needs."""
+    squeezed = F.signum(value) * F.log1p(F.abs(value)) / LOG_RANGE
+    inside = (F.when(value.isNull() | F.isnan(value), 0.9999)
+              .when(value == INF, 0.9998).when(value == -INF, 0.0001).when(value == 0, 0.5)
+              .otherwise(0.5 + squeezed * 0.999))
+    return group + inside
+
+
 def _mix(x: np.ndarray) -> np.ndarray:
     """Every bit of a 32-bit word moves every other."""
     x ^= x >> np.uint32(16)

@@ -3,30 +3,25 @@
 Every rank-based statistic here needs, for each distinct value of a group, how many rows lie
 below it. The plan is:
 
-1. cut points of each group from a sample of the rows (a few thousand numbers, kept as a fitted
-   ``Buckets``); they only balance the work and never change a result;
-2. rows counted per bucket (map-side), with running totals over the buckets: a small table;
-3. rows reduced to distinct values with their counts (map-side combine, so a value held by a
-   third of all rows costs nothing), then summed by a window per (group, bucket) on top of the
-   running totals.
+1. rows reduced to distinct values with their counts (map-side combine, so a value held by a third of all
+   rows costs nothing), in one scan of the rows;
+2. these values dealt by range to as many partitions as the session shuffles to, which Spark balances, and
+   written once with the number of their partition, so that it stays what it is;
+3. a scan in three steps, all of them windows over a bounded number of rows: totals of partitions, totals of
+   blocks of partitions, and back. What lies before a partition enters its window as a first row, so nothing
+   is collected, broadcast or joined.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from dataclasses import dataclass
 
-from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, IntegerType, StructField, StructType
 
-from riskloom.session import shuffle_width, small_table
+from riskloom.session import materialize, shuffle_width
 
-SAMPLE_PER_BUCKET = 64
-ROWS_PER_BUCKET = 4_000_000
-LOG_RANGE = 1424.0
-INF = float("inf")
+SCAN_BLOCK = 1024      # partitions whose totals are summed in one window
 
 
 def same_keys(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
@@ -39,126 +34,62 @@ def same_keys(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str =
     return left.join(other, condition, how).drop(*names.values())
 
 
-@dataclass(frozen=True)
-class Buckets:
-    """Cut points of all groups on one axis: group number plus a monotone squeeze of the value.
-
-    The bucket of a row is the number of cut points at or below its place on the axis, so it costs
-    one search whatever the number of groups. Buckets of different groups have different numbers.
-    """
-
-    by: tuple[str, ...]
-    value: str
-    groups: DataFrame | None
-    cuts: tuple[float, ...]
-
-    @staticmethod
-    def fit(df: DataFrame, by: Sequence[str], value: str,
-            n_buckets: int | None = None) -> Buckets:
-        """Cut points from a sample of about ``SAMPLE_PER_BUCKET`` rows per bucket, whatever the
-        number of rows; the number of buckets follows the rows of the largest group. Groups are of
-        a bounded number; a null group counts as one of them."""
-        spark = df.sparkSession
-        by = list(by)
-        rows = df.select(*by, F.col(value).cast("double").alias("_v")).where(
-            F.col("_v").isNotNull() & ~F.isnan("_v") & (F.abs("_v") < INF))
-        counts = rows.groupBy(*by).agg(F.count("*").alias("_n")).collect()
-        if not counts:
-            return Buckets(tuple(by), value, None, ())
-        largest = max(r["_n"] for r in counts)
-        n = n_buckets or max(shuffle_width(df), -(-largest // ROWS_PER_BUCKET))
-        numbered = [(*r[:-1], i, min(1.0, SAMPLE_PER_BUCKET * n / r["_n"])) for i, r in enumerate(
-            sorted(counts, key=lambda r: str(r[:-1])))]
-        schema = StructType([df.schema[c] for c in by] + [
-            StructField("_group", IntegerType()), StructField("_share", DoubleType())])
-        groups = small_table(spark, numbered, schema)
-        probs = [i / n for i in range(1, n)]
-        fitted = (
-            same_keys(rows, F.broadcast(groups), by).where(F.rand(11) < F.col("_share"))
-            .groupBy("_group").agg(F.percentile_approx("_v", probs, 10 * n + 1000).alias("_cuts"))
-            .select("_group", F.explode("_cuts").alias("_v"))
-            .select(_axis(F.col("_group"), F.col("_v")).alias("_at")).distinct().collect()
-        )
-        edges = {r["_at"] for r in fitted} | {float(i) for i in range(1, len(numbered))}
-        return Buckets(tuple(by), value, groups.drop("_share"), tuple(sorted(edges)))
-
-    def place(self, df: DataFrame) -> DataFrame:
-        """``df`` with an int column ``_bucket``; buckets rise with the value inside a group."""
-        if not self.cuts:
-            return df.withColumn("_bucket", F.lit(0))
-        at = _axis(F.col("_group"), F.col(self.value).cast("double"))
-        wide = same_keys(df, F.broadcast(self.groups), self.by, "left").withColumn("_at", at)
-        placed = Bucketizer(
-            inputCol="_at", outputCol="_place", handleInvalid="keep", splits=[-INF, *self.cuts, INF],
-        ).transform(wide)
-        return placed.select(*df.columns, F.coalesce("_place", F.lit(0.0)).cast("int").alias("_bucket"))
-
-
-def _axis(group: Column, value: Column) -> Column:
-    """Place of a value inside [group, group + 1); -0.0 and 0.0 are one value, NaN is the largest.
-    Equal values share a place and larger ones never come before, which is all a result needs."""
-    squeezed = F.signum(value) * F.log1p(F.abs(value)) / LOG_RANGE
-    inside = (F.when(value.isNull() | F.isnan(value), 0.9999)
-              .when(value == INF, 0.9998).when(value == -INF, 0.0001).when(value == 0, 0.5)
-              .otherwise(0.5 + squeezed * 0.999))
-    return group + inside
-
-
-def bucket_offsets(placed: DataFrame, by: Sequence[str], counters: Sequence[str]) -> DataFrame:
-    """Per group and bucket: each counter before the bucket and in the whole group."""
+def _from_heads(rows: DataFrame, heads: DataFrame, keys: Sequence[str], order: str,
+                counters: Sequence[str]) -> DataFrame:
+    """``rows`` with, for each counter, its sum over the rows before in order of ``order`` on top of the key's
+    head (``c_below``), and the total that the head carries (``c_total``)."""
+    kind = {f.name: f.dataType for f in rows.schema.fields}
+    tall = rows.select(
+        *keys, order, *counters, F.lit(1).alias("_row"),
+        *[F.lit(None).cast(kind[c]).alias(f"{c}_total") for c in counters],
+    ).unionByName(heads.select(
+        *keys, F.lit(None).cast(kind[order]).alias(order),
+        *[F.col(f"{c}_below").cast(kind[c]).alias(c) for c in counters], F.lit(0).alias("_row"),
+        *[F.col(f"{c}_total").cast(kind[c]).alias(f"{c}_total") for c in counters],
+    ))
+    window = Window.partitionBy(*keys).orderBy("_row", order)
+    before = window.rowsBetween(Window.unboundedPreceding, -1)
+    upto = window.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    return tall.select(
+        *keys, order, *counters, "_row",
+        *[F.sum(c).over(before).alias(f"{c}_below") for c in counters],
+        *[F.first(f"{c}_total", ignorenulls=True).over(upto).alias(f"{c}_total") for c in counters],
+    ).where("_row = 1").drop("_row")
+
+
+def partition_heads(placed: DataFrame, by: Sequence[str], counters: Sequence[str]) -> DataFrame:
+    """Per group and ``_bucket``: each counter before the bucket (``c_below``) and in the group (``c_total``)."""
     by = list(by)
-    running = Window.partitionBy(*by).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    totals = placed.groupBy(*by, "_bucket").agg(*[F.sum(c).alias(c) for c in counters]).withColumn(
+        "_block", F.floor(F.col("_bucket") / SCAN_BLOCK).cast("int"))
+    blocks = totals.groupBy(*by, "_block").agg(*[F.sum(c).alias(c) for c in counters])
+    running = Window.partitionBy(*by).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
     whole = Window.partitionBy(*by)
-    totals = placed.groupBy(*by, "_bucket").agg(*[F.sum(c).alias(c) for c in counters])
-    return totals.select(
-        *by, "_bucket",
-        *[F.coalesce(F.sum(c).over(running), F.lit(0)).alias(f"{c}_before") for c in counters],
+    blocks = blocks.select(
+        *by, "_block",
+        *[F.coalesce(F.sum(c).over(running), F.lit(0)).alias(f"{c}_below") for c in counters],
         *[F.sum(c).over(whole).alias(f"{c}_total") for c in counters],
     )
+    return _from_heads(totals, blocks, [*by, "_block"], "_bucket", counters).drop("_block", *counters)
 
 
-def fitted_offsets(placed: DataFrame, by: Sequence[str], counters: Sequence[str]) -> DataFrame:
-    """The same table computed once and kept in the plan: groups x buckets rows, so that plans
-    which use the counts several times do not count again."""
-    offsets = bucket_offsets(placed, by, counters)
-    return small_table(placed.sparkSession, offsets.collect(), offsets.schema)
-
-
-def cumulative_counts(df: DataFrame, by: Sequence[str], value: str,
-                      counters: Mapping[str, Column], buckets: Buckets | None = None,
+def cumulative_counts(df: DataFrame, by: Sequence[str], value: str, counters: Mapping[str, Column],
                       n_buckets: int | None = None) -> DataFrame:
     """One row per group and distinct value, with for each counter its sum at the value
     (``c``), below the value (``c_below``) and over the group (``c_total``). Null values are
-    left out.
-
-    Without ``buckets`` they are fitted here, for groups of a bounded number (models, variables).
-    With them, groups may be many (replicates) and nothing is collected.
+    left out; a null group is one like the others. ``n_buckets`` never changes a result.
     """
     by = list(by)
     names = list(counters)
     rows = df.where(F.col(value).isNotNull()).select(
         *by, F.col(value).cast("double").alias(value), *[counters[c].alias(c) for c in names]
     )
-    if buckets is None:
-        placed = Buckets.fit(rows, by, value, n_buckets).place(rows)
-        offsets = F.broadcast(fitted_offsets(placed, by, names))
-    else:
-        placed = buckets.place(rows)
-        offsets = bucket_offsets(placed, by, names)
-    points = placed.groupBy(*by, "_bucket", value).agg(*[F.sum(c).alias(c) for c in names])
-    below = (
-        Window.partitionBy(*by, "_bucket").orderBy(value)
-        .rowsBetween(Window.unboundedPreceding, -1)
-    )
-    return same_keys(points, offsets, [*by, "_bucket"]).select(
-        *by, value, *names,
-        *[
-            (F.col(f"{c}_before") + F.coalesce(F.sum(c).over(below), F.lit(0)))
-            .alias(f"{c}_below")
-            for c in names
-        ],
-        *[f"{c}_total" for c in names],
-    )
+    points = rows.groupBy(*by, value).agg(*[F.sum(c).alias(c) for c in names])
+    placed = materialize(points.repartitionByRange(n_buckets or shuffle_width(df), *by, value)
+                         .withColumn("_bucket", F.spark_partition_id()))
+    heads = partition_heads(placed, by, names)
+    return _from_heads(placed, heads, [*by, "_bucket"], value, names).select(
+        *by, value, *names, *[f"{c}_below" for c in names], *[f"{c}_total" for c in names])
 
 
 def label_counts(long: DataFrame, by: Sequence[str], score: str = "score", label: str = "y",
