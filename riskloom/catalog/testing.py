@@ -203,6 +203,42 @@ def _(spark, d):
     )
 
 
-@query("t01_shapiro_wilk")
+def poly_sql(coefficients, x: str) -> str:
+    out = f"{coefficients[-1]!r}::DOUBLE"
+    for c in reversed(coefficients[:-1]):
+        out = f"({out} * ({x}) + ({c!r}::DOUBLE))"
+    return out
+
+
+def normal_quantile_sql(p: str) -> str:
+    """The same rational approximation from the same fixed values."""
+    q, far = f"(({p}) - 0.5::DOUBLE)", f"sqrt(-ln(least({p}, 1.0::DOUBLE - ({p}))))"
+    part = lambda pair, x: f"{poly_sql(pair[0], x)} / {poly_sql(pair[1], x)}"
+    return (f"CASE WHEN abs({q}) <= 0.425 THEN {q} * {part(normality.MIDDLE, f'(0.180625::DOUBLE - {q} * {q})')} "
+            f"ELSE sign({q}) * CASE WHEN {far} <= 5.0 THEN {part(normality.TAIL, f'({far} - 1.6::DOUBLE)')} "
+            f"ELSE {part(normality.FAR, f'({far} - 5.0::DOUBLE)')} END END")
+
+
+SHAPIRO = f"""{v.LOAN}, picked AS (SELECT variable, value FROM (SELECT id, price, bal FROM loan)
+    UNPIVOT (value FOR variable IN (price, bal)) WHERE value IS NOT NULL
+    QUALIFY row_number() OVER (PARTITION BY variable ORDER BY md5('42:' || id)) <= 5000),
+placed AS (SELECT variable, value, count(*) OVER (PARTITION BY variable) AS n,
+    row_number() OVER (PARTITION BY variable ORDER BY value) AS i FROM picked),
+quants AS (SELECT *, {normal_quantile_sql("(i - 0.375::DOUBLE) / (n + 0.25::DOUBLE)")} AS m FROM placed),
+sums AS (SELECT variable, any_value(n) AS n, 1.0::DOUBLE / sqrt(any_value(n)) AS u, sum(m * m) AS ssq,
+    max(m) AS m1, max(m) FILTER (i = n - 1) AS m2,
+    sum(m * value) FILTER (i > 2 AND i < n - 1) AS mx, max(value) - min(value) AS span,
+    max(value) FILTER (i = n - 1) - max(value) FILTER (i = 2) AS inner_span, var_pop(value) * count(*) AS ss
+  FROM quants GROUP BY variable),
+ends AS (SELECT *, m1 / sqrt(ssq) + {poly_sql(normality.LAST_WEIGHT, "u")} AS a1,
+    m2 / sqrt(ssq) + {poly_sql(normality.SECOND_WEIGHT, "u")} AS a2 FROM sums),
+stat AS (SELECT variable, n, ln(n) AS ln_n, least(1.0::DOUBLE, pow(mx / sqrt((ssq - 2 * m1 * m1 - 2 * m2 * m2)
+    / (1 - 2 * a1 * a1 - 2 * a2 * a2)) + a1 * span + a2 * inner_span, 2) / ss) AS w FROM ends),
+zs AS (SELECT variable, n, w, (ln(greatest(1 - w, 1e-19)) - {poly_sql(normality.LARGE_MEAN, "ln_n")})
+    / exp({poly_sql(normality.LARGE_LOG_SD, "ln_n")}) AS z FROM stat)"""
+
+
+@query("t01_shapiro_wilk", f"""WITH {SHAPIRO} SELECT variable, n, w, CASE WHEN z >= 0
+    THEN {normal_p_sql("abs(z)")} / 2 ELSE 1 - {normal_p_sql("abs(z)")} / 2 END AS p_value FROM zs""", "w p_value", 7)
 def _(spark, d):
     return normality.shapiro_wilk(v.loan(spark, d), "id", ["price", "bal"])

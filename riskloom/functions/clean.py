@@ -24,14 +24,12 @@ def to_number(column: Column | str) -> Column:
     return column.try_cast("double")
 
 
-def ordinal_text(column: Column | str) -> Column:
-    """``10+ years`` -> 10, ``< 1 year`` -> 0, ``n years`` -> n; null or no digits -> null."""
+def ordinal_text(column: Column | str, below: str = "<") -> Column:
+    """The number in a text such as ``10+ years`` or ``3 years``; behind the sign ``below`` (``< 1 year``) the number
+    before it. Null or no digits -> null."""
     column = F.col(column) if isinstance(column, str) else column
-    return (
-        F.when(column.contains("10+"), F.lit(10.0))
-        .when(column.contains("< 1"), F.lit(0.0))
-        .otherwise(F.regexp_extract(column, r"(\d+)", 1).try_cast("double"))
-    )
+    number = F.regexp_extract(column, r"(\d+)", 1).try_cast("double")
+    return F.when(column.rlike(rf"{below}\s*\d"), number - 1).otherwise(number)
 
 
 def sentinel_to_null(column: Column | str, equals: Sequence[float] = (),
@@ -78,8 +76,3 @@ def as_interval_text(low: Column | str, high: Column | str, digits: int = 4) ->
     low = F.col(low) if isinstance(low, str) else low
     high = F.col(high) if isinstance(high, str) else high
     return F.format_string(f"[%.{digits}f, %.{digits}f]", low, high)
-
-
-def as_scientific(column: Column | str, digits: int = 2) -> Column:
-    column = F.col(column) if isinstance(column, str) else column
-    return F.format_string(f"%.{digits}e", column)

@@ -80,9 +80,9 @@ def param_grid(estimator, grid: Mapping[str, Sequence]) -> list:
 
 def tune(family: Family, train: DataFrame, id_col: str, target: str,
          grid: Mapping[str, Sequence] | None = None, folds: int = 3, parallelism: int = 1,
-         num_bins: int = 1000, **params) -> Tuned:
-    """Grid search by cross-validated AUC on the family's own score column. Folds are stratified
-    by hash and written once; ``parallelism`` fits run at once."""
+         num_bins: int = 0, **params) -> Tuned:
+    """Grid search by cross-validated AUC on the family's own score column, over all distinct scores unless
+    ``num_bins`` says otherwise. Folds are stratified by hash and written once; ``parallelism`` fits run at once."""
     estimator = family.estimator(target, **params)
     evaluator = BinaryClassificationEvaluator(
         labelCol=target, rawPredictionCol=family.score_source, metricName="areaUnderROC",
@@ -187,14 +187,30 @@ def named_coefficients(tuned: Tuned, slots: DataFrame) -> DataFrame:
     return slots.join(table, "idx")
 
 
-def natural_cuts(tuned: Mapping[str, Tuned]) -> dict[str, float]:
-    return {name: t.family.cut for name, t in tuned.items()}
-
-
-def top_models(results: DataFrame, run: str, n: int = 2) -> list[str]:
-    """Names of the ``n`` best models of a run by test area."""
-    rows = (
-        results.where(F.col("run") == run).orderBy(F.desc("test_auc"), "model").limit(n).collect()
-    )
-    return [r["model"] for r in rows]
-
+def logistic_slope(tuned: Tuned, train: DataFrame, target: str, features: str = "features") -> DataFrame:
+    """``model, n, slope``: the largest slope of the penalised likelihood at the fitted coefficients of a logistic
+    regression, every slot in units of its spread, from one pass over the rows. At the optimum it is 0."""
+    model, k = tuned.model, len(tuned.model.coefficients)
+    x = vector_to_array(F.col(features))
+    w = F.array(*[F.lit(float(c)) for c in model.coefficients.toArray()])
+    margin = F.aggregate(F.zip_with(x, w, lambda a, b: a * b), F.lit(float(model.intercept)), lambda s, a: s + a)
+    rows = train.select(x.alias("_x"), (1.0 / (1.0 + F.exp(-margin)) - F.col(target)).alias("_r"))
+    sums = rows.agg(F.count("*").alias("n"), F.avg("_r").alias("_r0"), *[
+        e for j in range(k) for e in (
+            F.avg(F.col("_r") * F.col("_x")[j]).alias(f"_g{j}"), F.stddev_samp(F.col("_x")[j]).alias(f"_s{j}"))])
+    penalty = float(model.getRegParam())
+    slopes = [F.abs(F.col(f"_g{j}") / F.col(f"_s{j}") + penalty * F.col(f"_s{j}") * float(model.coefficients[j]))
+              for j in range(k)]
+    return sums.select(F.lit(tuned.family.name).alias("model"), "n", F.greatest(F.abs("_r0"), *slopes).alias("slope"))
+
+
+def predict_seconds(df: DataFrame, tuned: Mapping[str, Tuned], features: str = "features") -> DataFrame:
+    """``model, predict_seconds``: time to score all rows of ``df`` with each model alone; the rows are read by
+    all of them, so they should be stored."""
+    taken = []
+    for name, t in tuned.items():
+        start = time.perf_counter()
+        t.model.transform(df.select(features)).select(score_of(t.family).alias("score")).write.format("noop").mode(
+            "overwrite").save()
+        taken.append((name, time.perf_counter() - start))
+    return small_table(df.sparkSession, taken, "model string, predict_seconds double")

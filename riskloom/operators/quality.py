@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from riskloom.operators.ranks import same_keys as by_keys
+
 
 def _verdict(df: DataFrame, check: str) -> DataFrame:
     return df.select(F.lit(check).alias("check"), "n_bad", (F.col("n_bad") == 0).alias("passed"))
@@ -78,3 +80,16 @@ def varying_columns(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 def replace_column(stored: DataFrame, new: DataFrame, key: str, column: str) -> DataFrame:
     """``stored`` with one column taken from ``new`` (left join by key; unmatched rows get null)."""
     return stored.drop(column).join(new.select(key, column), key, "left").select(*stored.columns)
+
+
+def replace_rows(stored: DataFrame, new: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """``stored`` with the rows of ``new`` in place of those that have their keys (null equals null). Both need
+    unique keys that are in ``stored``; otherwise the job that reads the result fails, and nothing is lost."""
+    keys = list(keys)
+    counted = new.groupBy(*keys).agg(F.count("*").alias("_times"))
+    known = by_keys(counted, stored.groupBy(*keys).agg(F.count("*").alias("_held")), keys, "left")
+    good = (F.col("_times") == 1) & (F.coalesce(F.col("_held"), F.lit(0)) == 1)
+    checked_keys = known.where(F.when(good, F.lit(True)).otherwise(
+        F.raise_error(F.lit("replace_rows: a key is new or not unique")).cast("boolean"))).select(*keys, F.lit(True).alias("_new"))
+    rest = by_keys(stored, checked_keys, keys, "left").where("_new IS NULL").select(*stored.columns)
+    return rest.unionByName(new.select(*stored.columns))
