@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from riskloom.llm.store import fresh
 
-PAGES = 400           # pages that are built to learn from
+PAGES = 600           # pages that are built to learn from
 ROUNDS, DEPTH, RATE = 120, 4, 0.3
 COLUMNS = 40          # features that one tree chooses from
 BINS = 32
@@ -68,6 +68,7 @@ class Tree:
 
     def _read(self, page: str) -> None:
         stack: list[tuple[str, int]] = [("#page", 0)]  # open tags and their nodes
+        opened: dict[str, int] = {}                    # how many of each tag are open
         block, run, links, at, head = 0, None, 0, 0, False
         while (m := _TAG.search(page, at)) is not None:
             text = page[at:m.start()]
@@ -99,10 +100,11 @@ class Tree:
             if head:
                 continue
             if close:
-                if tag in ("html", "body") or all(t != tag for t, _ in stack):
+                if tag in ("html", "body") or not opened.get(tag):
                     continue
                 while True:
                     t, _ = stack.pop()
+                    opened[t] -= 1
                     links -= t == "a"
                     if t not in INLINE:
                         block, run = block + 1, None
@@ -119,9 +121,9 @@ class Tree:
                     block, run = block + 1, None
                 continue
             if tag in CLOSES_P:
-                self._pop(stack, ("p",), ())
+                self._pop(stack, opened, ("p",), ())
             if tag in CLOSES:
-                self._pop(stack, CLOSES[tag], SCOPES[tag])
+                self._pop(stack, opened, CLOSES[tag], SCOPES[tag])
             named = tuple(w for a in _ATTRIBUTE.finditer(rest) for w in _TOKEN.findall(
                 (a[2] or a[3] or a[4] or "").lower())) if rest else ()
             if tag not in INLINE:
@@ -130,17 +132,22 @@ class Tree:
                 stack.append((tag, self._node(stack[-1][1], tag, ("<" + tag, *named))))
             else:
                 stack.append((tag, stack[-1][1]))
-            links = sum(t == "a" for t, _ in stack)
+            opened[tag] = opened.get(tag, 0) + 1
+            links = opened.get("a", 0)
             self.controls[stack[-1][1]] += tag == "button"
         if at < len(page) and not page[at:].isspace():
             node = self._node(stack[-1][1], "#text", ("#text",))
             self.segments.append((node, block, html.unescape(page[at:]), links > 0))
 
     @staticmethod
-    def _pop(stack: list, tags: tuple, scopes: tuple) -> None:
+    def _pop(stack: list, opened: dict[str, int], tags: tuple, scopes: tuple) -> None:
         """Close the innermost open tag of ``tags`` with all inside it, within the scope."""
+        if not any(opened.get(t) for t in tags):
+            return
         for k in range(len(stack) - 1, 0, -1):
             if stack[k][0] in tags:
+                for t, _ in stack[k:]:
+                    opened[t] -= 1
                 del stack[k:]
                 return
             if stack[k][0] in scopes or (not scopes and stack[k][0] in ("table", "td", "button")):
@@ -279,7 +286,7 @@ def decode(parent: list[int], odds: np.ndarray) -> np.ndarray:
 
 # Names that page parts go by. Main parts, then parts that are none.
 _MAIN = [("article", ""), ("main", ""), ("article", "post entry"), ("div", "content"), ("div", "article body"),
-         ("div", "post content"), ("section", "story"), ("div", "entry content"), ("main", "main content")]
+         ("div", "post content"), ("section", "story"), ("div", "entry content"), ("main", "main content"), ("div", "main")]
 _PARTS = {
     "nav": [("nav", ""), ("ul", "menu"), ("div", "nav menu"), ("div", "breadcrumb"), ("nav", "navigation")],
     "header": [("header", ""), ("div", "header"), ("div", "masthead banner"), ("div", "topbar")],
@@ -353,7 +360,26 @@ def _training_page(rng: np.random.Generator) -> tuple[str, str]:
             body.append(f"<blockquote>{say(paragraph())}</blockquote>")
         else:
             body.append(part(pick(["advert", "social", "form", "side", "notice", "comments"])))
-    main = wrap(pick(_MAIN), "".join(body))
+    inside = "".join(body)
+    if rng.random() < 0.4:
+        main = wrap(pick(_MAIN), inside)
+    else:
+        # Names that say nothing, or none, and any layout: what tells is the text and what the parts are.
+        def invented() -> str:
+            kind = rng.random()
+            name = "".join(pick("bcdfghklmnprstvwxz") + pick("aeiou") for _ in range(int(rng.integers(1, 4))))
+            return f' {pick(["class", "id"])}="{pick(["", "", "x", "c"])}{name}{pick(["", "", "12", " row", " col", " wrap"])}"' if kind < 0.7 else ""
+
+        layout = int(rng.integers(7))
+        main = {
+            0: lambda: inside,
+            1: lambda: f"<div{invented()}>{inside}</div>",
+            2: lambda: f"<section{invented()}>{inside}</section>",
+            3: lambda: f"<div{invented()}><div{invented()}><div{invented()}>{inside}</div></div></div>",
+            4: lambda: f"<table{invented()}><tr><td{invented()}>{inside}</td></tr></table>",
+            5: lambda: f"<div{invented()}><div{invented()}>{inside}</div></div>",
+            6: lambda: "".join(f"<div{invented()}>{b}</div>" for b in body),
+        }[layout]()
     names = list(_PARTS)
     before = [part(pick(["nav", "header", "notice", "advert", "side", "form"])) for _ in range(int(rng.integers(0, 4)))]
     after = [part(pick(["comments", "comments", "side", "footer", "advert", "social", "form", "notice", pick(names)]))
