@@ -28,12 +28,12 @@ from riskloom.llm.store import fresh
 MARK = "▁"
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 MODEL_BYTES = 64 << 20    # largest model file that is sent to the executors
-KNOWN_WORDS = 250_000     # words whose pieces a task keeps between batches
-KNOWN_PAIRS = 300_000     # pairs of pieces whose verdict a worker keeps, some 50 MB
-KNOWN_ENDINGS = 200_000   # endings of words whose pieces a worker keeps
+KNOWN_WORDS = 150_000     # words whose pieces a task keeps between batches
+KNOWN_PAIRS = 300_000     # pairs of pieces whose verdict a task keeps, some 50 MB
+KNOWN_ENDINGS = 100_000   # endings of words whose pieces a task keeps
 REACH = 4                 # characters of an ending
 LONG = 64                 # words of more characters keep back pointers instead of ids
-TEXT_PIECES = 6 << 20     # characters of text encoded at once, or one document
+TEXT_PIECES = 3 << 20     # characters of text encoded at once, or one document
 
 # Fixed values of the model file format: field numbers and piece types.
 PIECES, TRAINER, NORMALIZER = 1, 2, 3
@@ -187,14 +187,15 @@ class Encoder:
         whole = [p for p in model.ids if model.merged(p) == [p]] if model.kind == BPE else model.ids
         self.packed = {p: struct.pack("<i", model.ids[p]) for p in whole}
         self.sizes = Endings(self.packed)
-        self._near: dict[str, dict[str, bool]] = {}
-        self._n_near = 0
         self.forget()
 
     def forget(self) -> None:
-        """Let go all words that were met."""
+        """Let go all that was met in texts; what is left is the model's, and was there before."""
         self.known: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
+        self._near: dict[str, dict[str, bool]] = {}
+        self._n_near = 0
+        self.sizes.clear()
 
     def _verdicts(self, left: str) -> dict[str, bool]:
         """What is known of the pieces behind ``left``."""
@@ -392,6 +393,7 @@ def encode(df: DataFrame, column: str = "text", ids: str = "ids", model: str = M
                         for t, a, b in zip(texts, ends, ends[1:])], pa.bool_()))
                 yield pa.RecordBatch.from_arrays(columns, names=[*old, *new])
         encoder.forget()
+        pa.default_memory_pool().release_unused()
 
     return rows.mapInArrow(run, kinds)
 
