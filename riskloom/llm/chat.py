@@ -103,15 +103,17 @@ def branches(messages: DataFrame, best: int, scratch: Scratch) -> DataFrame:
 def conversations(messages: DataFrame, best: int = 1) -> DataFrame:
     """Chosen branches of every reply tree as formatted text.
 
-    ``messages``: tree, node (unique in its tree), parent, role, text, score; others are ignored.
+    ``messages``: tree, node, parent, role, text, score; others are ignored. Of messages that share tree and
+    node, repeated rows among them, the one that sorts first by (parent, role, text, score), nulls first, counts.
     Result: tree, leaf, formatted, and loss, the [start, length) of every assistant text in
     characters of ``formatted``, as it stands there. Null roles and texts count as empty; messages
     with a null node are left out as nothing can refer to them. An empty table gives an empty result.
     """
     scratch = Scratch(messages.sparkSession, "chat")
-    messages = scratch.save(messages.where("node IS NOT NULL").select(
-        "tree", "node", "parent", F.coalesce("role", F.lit("")).alias("role"),
-        F.coalesce("text", F.lit("")).alias("text"), "score"))
+    first = F.min(F.struct("parent", F.coalesce("role", F.lit("")).alias("role"),
+                           F.coalesce("text", F.lit("")).alias("text"), "score")).alias("m")
+    messages = scratch.save(messages.where("node IS NOT NULL").groupBy("tree", "node").agg(first).select(
+        "tree", "node", "m.parent", "m.role", "m.text", "m.score"))
     path = branches(messages, best, scratch)
     words = messages.select(F.col("tree").alias("t"), F.col("node").alias("n"), "role", "text")
     rows = path.join(words, F.col("tree").eqNullSafe(F.col("t")) & (F.col("node") == F.col("n")))
