@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from riskloom.catalog import views as v
 from riskloom.catalog.modelling import refitted
 from riskloom.catalog.registry import query
-from riskloom.operators import explain, metrics, models, sampling
+from riskloom.operators import explain, metrics, models
 from riskloom.session import materialize, small_table
 
 BACKGROUND_ROWS = 30000
@@ -60,16 +60,16 @@ def _(spark, d):
 
 
 def explained(spark, d, samples=5000):
-    """Instances, statistics, scored copies and fits for one misclassified row of each kind."""
-    tuned, train, test = refitted(spark, d, ("LogisticRegression",))
-    model = tuned["LogisticRegression"]
+    """Model, statistics, instances and copies for one row of each kind that the boosted trees misclassify."""
+    tuned, train, test = refitted(spark, d, ("GBT",))
+    model = tuned["GBT"]
     sample = materialize(explain.background(train, "id", "y"))
     statistics = explain.slot_statistics(sample, slots(spark, d))
-    scored = models.score_all(test, tuned, ["id", "y"])
+    scored = materialize(models.score_all(test, tuned, ["id", "y"]))
     cut = metrics.youden_thresholds(
-        models.scores_long(scored, "id", "y", ["LogisticRegression"]), ["model"]
+        models.scores_long(scored, "id", "y", ["GBT"]), ["model"]
     ).select("threshold").first()[0]
-    chosen = explain.choose_instances(scored, "id", "y", "score_LogisticRegression", cut)
+    chosen = explain.choose_instances(scored, "id", "y", "score_GBT", cut)
     instances = materialize(
         chosen.join(test.select("id", vector_to_array("features").alias("values")), "id")
     )
@@ -122,17 +122,8 @@ def _(spark, d):
     """Explanations as one record per row, the shape of the JSON result."""
     model, _, instances, copies = explained(spark, d)
     few = instances.select("id", "y", "pred", "error_class",
-                           F.col("score_LogisticRegression").alias("score"))
+                           F.col("score_GBT").alias("score"))
     return few.join(fits_of(model, copies), "id").select(
         "id", "y", "pred", "error_class", "score", "intercept", "r2",
         F.to_json("slots").alias("explanation"),
     )
-
-
-@query("x09_sampled_slots", f"""WITH {BACKGROUND} SELECT y, count(*) AS n,
-  sum(len(embedding))::BIGINT AS n_values FROM bg GROUP BY y""")
-def _(spark, d):
-    sample = sampling.stratified_sample(v.vectors(spark, d), "id", "y", BACKGROUND_ROWS)
-    return sample.select("y", F.size(vector_to_array("features")).alias("k")).groupBy("y").agg(
-        F.count("*").alias("n"), F.sum("k").alias("n_values")
-    )

@@ -25,7 +25,8 @@ class ScoreSet:
 
 
 def _aligned(runs: list[ScoreSet], part: str, id_col: str, label: str) -> DataFrame:
-    """Both runs in one wide table, joined by id: ``id, y, <run>_<family>...``."""
+    """Both runs in one wide table, joined by id: ``id, y, <run>_<family>...``. An id that only one run has, or a
+    label that differs, fails the job that reads the table."""
     tables = [
         getattr(r, part).select(
             F.col(id_col).cast("string").alias("id"), F.col(label).cast("int").alias(f"_y{i}"),
@@ -34,8 +35,11 @@ def _aligned(runs: list[ScoreSet], part: str, id_col: str, label: str) -> DataFr
         )
         for i, r in enumerate(runs)
     ]
-    joined = tables[0].join(tables[1], "id")
-    return joined.withColumnRenamed("_y0", "y").drop("_y1")
+    joined = tables[0].join(tables[1], "id", "full")
+    # A run's row has a label, so a missing one means a missing row.
+    good = F.coalesce(F.col("_y0") == F.col("_y1"), F.lit(False))
+    return joined.where(F.when(good, F.lit(True)).otherwise(F.raise_error(
+        F.concat(F.lit("the runs do not agree on id "), "id")).cast("boolean"))).withColumnRenamed("_y0", "y").drop("_y1")
 
 
 def compare_runs(a: ScoreSet, b: ScoreSet, id_col: str, label: str, replicates: int = 2000,
