@@ -95,10 +95,13 @@ class Classifier:
         self.weights = (z.T @ np.linalg.lstsq(system, cross.T @ y, rcond=None)[0]).astype(np.float32)
         self.lengths, self.cuts = np.array([SHORT, SHORT + 1]), np.array([0.0, 1.0])
 
-    def calibrate(self, lengths: np.ndarray, present: np.ndarray) -> None:
-        """Lower the cuts for short texts, given labelled ones of known lengths. Without any, texts shorter than
+    def calibrate(self, lengths: np.ndarray, packed: np.ndarray) -> None:
+        """Lower the cuts for short texts, given labelled ones of known lengths, as bitmaps. Without any, texts shorter than
         the longest of ``LENGTHS`` are all kept."""
-        told = self.clearness(*self.scores(present)) if len(present) else np.zeros(0)
+        # A few rows at a time: spread out, a row takes ``SLOTS`` bytes, and four times as many to be scored.
+        told = np.concatenate([np.zeros(0)] + [
+            self.clearness(*self.scores(np.unpackbits(packed[at:at + ROWS], axis=1).view(bool)))
+            for at in range(0, len(packed), ROWS)])
         least = [min(1.0, float(np.quantile(told[lengths == n], REFUSED, method="lower"))) if (lengths == n).any() else 0.0
                  for n in LENGTHS]
         # A longer text is never judged more mildly.
@@ -155,8 +158,8 @@ def fit(labelled: DataFrame, sample: int = SAMPLE, landmarks: int = LANDMARKS,
         _bitmaps, "lang string, rank int, size long, slots binary").toArrow().to_pandas()
     if found.empty:
         return None
-    present = lambda rows: np.unpackbits(
-        np.frombuffer(b"".join(rows.slots), np.uint8).reshape(len(rows), -1), axis=1).astype(bool)
+    packed = lambda rows: np.frombuffer(b"".join(rows.slots), np.uint8).reshape(len(rows), SLOTS // 8)
+    present = lambda rows: np.unpackbits(packed(rows), axis=1).view(bool)
     texts = found[found["rank"] > 0].sort_values(["rank", "lang"], kind="stable")
     model = Classifier(present(texts), texts.lang.tolist(), landmarks, ridge)
     if checked:
@@ -166,7 +169,7 @@ def fit(labelled: DataFrame, sample: int = SAMPLE, landmarks: int = LANDMARKS,
         judge = model if len(others) == len(texts) else Classifier(present(others), others.lang.tolist(), landmarks, ridge)
         # Characters may have several bytes: a head counts for the largest of LENGTHS that it reaches.
         reach = np.searchsorted(LENGTHS, heads["size"].to_numpy(), side="right") - 1
-        judge.calibrate(np.where(reach < 0, 0, np.array(LENGTHS)[reach]), present(heads))
+        judge.calibrate(np.where(reach < 0, 0, np.array(LENGTHS)[reach]), packed(heads))
         model.lengths, model.cuts = judge.lengths, judge.cuts
     return model
 
