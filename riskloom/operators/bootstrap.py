@@ -5,10 +5,10 @@ every model, which is the pairing, and no replicate needs the whole table at onc
 exactly n rows with replacement; the two agree for large n. Replicate -1 is the data itself.
 
 Rows are never multiplied by replicates in a shuffle. Every model's rows are dealt once to buckets of scores;
-the weights of all replicates are computed where a row is, as a vector. One pass sums the vectors per bucket,
-a running sum of these few vectors says what lies above each bucket, and a second pass takes every bucket's
-share of the areas. A bucket's smallest score is kept apart: its rows only matter by their sums, so a score
-held by very many rows is summed in pieces and never meets in one task.
+the weights of all replicates are computed where a row is, as a vector. One pass over pieces of the rows, whatever
+their scores, draws a row's weights once and sums them per bucket for all models; a running sum of these few vectors
+says what lies above each bucket, and a second pass takes every bucket's share of the areas. A bucket's smallest
+score is kept apart: its rows only matter by their sums, so a score held by very many rows never meets in one task.
 """
 
 from __future__ import annotations
@@ -29,8 +29,10 @@ from riskloom.session import materialize, shuffle_width, small_table
 
 OBSERVED = -1
 SLICE = 64             # replicates whose sums travel together
-PIECE_ROWS = 200_000   # rows of a bucket summed in one task
+PIECE_ROWS = 100_000   # rows whose weights are summed in one task
 WEIGHTS = 1 << 20      # weights held at once
+DRAWS = 1 << 17        # of them, drawn at once
+BLOCK = 64             # rows of a bucket compared at once
 SAMPLE_PER_BUCKET = 64
 ROWS_PER_BUCKET = 4_000_000
 CUTS = 100_000         # cut points of all models together
@@ -99,6 +101,25 @@ class Buckets:
         return placed.select(*df.columns, F.coalesce("_place", F.lit(0.0)).cast("int").alias("_bucket"))
 
 
+    def place_wide(self, df: DataFrame, columns: Mapping[str, str], out: Sequence[str]) -> DataFrame:
+        """``df``, which has a column of values for each group (by its one name), with the int columns ``out``."""
+        if not self.cuts:
+            return df.withColumns({c: F.lit(0) for c in out})
+        numbers = {r[self.by[0]]: r["_group"] for r in self.groups.collect()}
+        at = [f"_at{i}" for i in range(len(out))]
+        wide = df.withColumns({a: _axis(F.lit(numbers.get(g)), F.col(c)) for a, (g, c) in zip(at, columns.items())})
+        place = [f"_place{i}" for i in range(len(out))]
+        placed = Bucketizer(inputCols=at, outputCols=place, handleInvalid="keep",
+                            splitsArray=[[-INF, *self.cuts, INF]] * len(out)).transform(wide)
+        return placed.select(*df.columns, *[
+            F.coalesce(p, F.lit(0.0)).cast("int").alias(o) for p, o in zip(place, out)])
+
+
+def _bucket_count(rows: DataFrame, groups: int) -> int:
+    """Buckets of a group: some tasks' worth of work for every slot of the shuffle, all groups together."""
+    return max(4, -(-2 * shuffle_width(rows) // groups), -(-rows.count() // ROWS_PER_BUCKET))
+
+
 def _axis(group: Column, value: Column) -> Column:
     """Place of a value inside [group, group + 1); -0.0 and 0.0 are one value, NaN is the largest.
     Equal values share a place and larger ones never come before, which is all a result needs."""
@@ -109,28 +130,37 @@ def _axis(group: Column, value: Column) -> Column:
     return group + inside
 
 
-def _mix(x: np.ndarray) -> np.ndarray:
+def _mix(x: np.ndarray, spare: np.ndarray | None = None) -> np.ndarray:
     """Every bit of a 32-bit word moves every other."""
-    x ^= x >> np.uint32(16)
-    x *= np.uint32(MIX[0])
-    x ^= x >> np.uint32(15)
-    x *= np.uint32(MIX[1])
-    x ^= x >> np.uint32(16)
+    spare = np.empty_like(x) if spare is None else spare
+    for shift, odd in ((16, MIX[0]), (15, MIX[1])):
+        x ^= np.right_shift(x, np.uint32(shift), out=spare)
+        x *= np.uint32(odd)
+    x ^= np.right_shift(x, np.uint32(16), out=spare)
     return x
 
 
 def weights(first: np.ndarray, second: np.ndarray, replicates: int) -> np.ndarray:
     """Weights (rows x replicates + 1) of rows with these two hash words; the first column is the data itself."""
     reps = _mix((np.arange(replicates, dtype=np.uint64) * np.uint64(GOLDEN) + np.uint64(1)).astype(np.uint32))
-    draw = _mix(_mix(first.astype(np.uint32)[:, None] ^ reps) + second.astype(np.uint32)[:, None])
+    first, second = (v.astype(np.uint32)[:, None] for v in (first, second))
     out = np.ones((len(first), replicates + 1), np.uint8)
-    own = out[:, 1:]
-    own[:] = draw >= np.uint32(STEPS[0])
-    top = int(draw.max(initial=0))
-    for step in STEPS[1:]:
-        if step > top:
-            break
-        own += draw >= np.uint32(step)
+    # A few rows at a time, so that the words stay near the processor.
+    step = max(1, DRAWS // max(1, replicates))
+    words, spare = (np.empty((min(step, len(first)), replicates), np.uint32) for _ in range(2))
+    over = np.empty(words.shape, bool)
+    for at in range(0, len(first), step):
+        n = min(step, len(first) - at)
+        draw, own = words[:n], out[at:at + n, 1:]
+        _mix(np.bitwise_xor(first[at:at + n], reps, out=draw), spare[:n])
+        draw += second[at:at + n]
+        _mix(draw, spare[:n])
+        np.greater_equal(draw, np.uint32(STEPS[0]), out=own.view(bool))
+        top = int(draw.max(initial=0))
+        for step_at in STEPS[1:]:
+            if step_at > top:
+                break
+            own += np.greater_equal(draw, np.uint32(step_at), out=over[:n]).view(np.uint8)
     return out
 
 
@@ -145,22 +175,54 @@ def _lists(values: list[np.ndarray]) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(ends), pa.array(flat.astype(np.float64)))
 
 
-def _sums(replicates: int):
-    """Summed weights of a piece of a bucket: positives, negatives, and both at or above the cut."""
-    def run(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
+def _sums(models: Sequence[str], cuts: Sequence[float], least: np.ndarray, replicates: int):
+    """Summed weights of a piece of the rows, by model, bucket and part of the bucket: positives, negatives, and
+    both at or above the cut. A row's weights are drawn once for all models."""
+    buckets = least.shape[1]
+
+    def run(table: pa.Table) -> pa.Table:
+        width = replicates + 1
         first, second = table["first"].to_numpy(), table["second"].to_numpy()
-        y, called = table["y"].to_numpy() == 1, table["called"].to_numpy()
-        kinds = np.stack([y, ~y, y & called, ~y & called]).astype(np.float32)
-        total, step = np.zeros((4, replicates + 1)), max(1, WEIGHTS // (replicates + 1))
+        kinds = []
+        y = table["y"].to_numpy() == 1
+        for i, cut in enumerate(cuts):
+            score, place = (table[f"{c}{i}"].to_numpy() for c in ("s", "b"))
+            known = np.flatnonzero(~np.isnan(score))
+            score, place = score[known], place[known].astype(np.int64)
+            # Eight kinds of row to a bucket: inner or not, positive or not, at or above the cut or not.
+            code = (place * 2 + (score > least[i, place])) * 4 + y[known] * 2 + (score >= cut)
+            kinds.append((known, (code + i * 8 * buckets)))
+        met = np.unique(np.concatenate([code for _, code in kinds]))
+        totals, step = np.zeros((len(met), width)), max(1, WEIGHTS // width)
+        kinds = [(known, np.searchsorted(met, code)) for known, code in kinds]
         for at in range(0, len(first), step):
-            part = slice(at, at + step)
-            total += kinds[:, part] @ weights(first[part], second[part], replicates).astype(np.float32)
-        cut = [x for _, x in _slices(list(total))]
-        n = len(cut)
+            w = weights(first[at:at + step], second[at:at + step], replicates).astype(np.float32)
+            for known, code in kinds:
+                lo, hi = np.searchsorted(known, (at, at + step))
+                if lo == hi:
+                    continue
+                order = np.argsort(code[lo:hi], kind="stable")
+                here, row = code[lo:hi][order], known[lo:hi][order] - at
+                start = np.flatnonzero(np.append(True, here[1:] != here[:-1]))
+                for a, b in zip(start, np.append(start[1:], len(here))):
+                    totals[here[a]] += w[row[a:b]].sum(axis=0)
+        out = []
+        group = met // 4
+        for g in np.unique(group):
+            pos, neg, tp, fp = np.zeros((4, width))
+            for k in np.flatnonzero(group == g):
+                total = totals[k]
+                if met[k] & 2:
+                    pos, tp = pos + total, tp + total * (met[k] & 1)
+                else:
+                    neg, fp = neg + total, fp + total * (met[k] & 1)
+            out += [(g, k, *x) for k, x in _slices((pos, neg, tp, fp))]
+        group = np.array([x[0] for x in out], np.int64)
         return pa.table({
-            "model": pa.array([key[0].as_py()] * n), "bucket": pa.array([key[1].as_py()] * n, pa.int32()),
-            "inner": pa.array([key[2].as_py()] * n), "slice": pa.array(range(n), pa.int32()),
-            **{name: _lists([x[i] for x in cut]) for i, name in enumerate(("pos", "neg", "tp", "fp"))}})
+            "model": pa.array([models[g // (2 * buckets)] for g in group], pa.string()),
+            "bucket": pa.array(group // 2 % buckets, pa.int32()), "inner": pa.array(group % 2 == 1),
+            "slice": pa.array([x[1] for x in out], pa.int32()),
+            **{name: _lists([x[2 + i] for x in out]) for i, name in enumerate(("pos", "neg", "tp", "fp"))}})
     return run
 
 
@@ -203,40 +265,58 @@ def _running(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
 
 
 def _inner(replicates: int):
-    """A bucket's share of the areas, given what lies above it."""
+    """A bucket's share of the areas, given what lies above it.
+
+    Only scores that some positive has make a difference: blocks of rows are cut to these by products with 0/1
+    matrices, which sum the weights of the rows at or above each.
+    """
     def run(key: tuple[pa.Scalar, ...], rows: pa.Table, above: pa.Table) -> pa.Table:
         width = replicates + 1
         twice, area = np.zeros(width), np.zeros(width)
         if rows.num_rows and above.num_rows:
             above = above.sort_by("slice")
-            tp, fp = (above[c].combine_chunks().flatten().to_numpy() for c in ("pos", "neg"))
+            over_tp, over_fp = (above[c].combine_chunks().flatten().to_numpy() for c in ("pos", "neg"))
             score = rows["score"].to_numpy()
             order = np.argsort(-score, kind="stable")
             score, y = score[order], rows["y"].to_numpy()[order] == 1
             first, second = rows["first"].to_numpy()[order], rows["second"].to_numpy()[order]
             start = np.flatnonzero(np.append(True, score[1:] != score[:-1]))
             end = np.append(start[1:], len(score))
-            step, at = max(1, WEIGHTS // width), 0
+            step, at = max(1, min(BLOCK, WEIGHTS // width)), 0
+            tp, fp, wrong = over_tp.copy(), np.zeros(width), np.zeros(width)
             while at < len(start):
                 to = max(int(np.searchsorted(end, start[at] + step, side="right")), at + 1)
                 lo, hi = start[at], end[to - 1]
-                a = n = 0
                 if to == at + 1:
+                    a, n = np.zeros((1, width)), np.zeros((1, width))
                     for k in range(lo, hi, step):
                         part = slice(k, min(k + step, hi))
-                        w = weights(first[part], second[part], replicates).astype(np.float64)
-                        a, n = a + w[y[part]].sum(axis=0, keepdims=True), n + w[~y[part]].sum(axis=0, keepdims=True)
+                        w = weights(first[part], second[part], replicates).astype(np.float32)
+                        a += np.stack([y[part]]).astype(np.float32) @ w
+                        n += np.stack([~y[part]]).astype(np.float32) @ w
+                    with_fp, tied, rest = n, n, n[0]
                 else:
-                    w = weights(first[lo:hi], second[lo:hi], replicates).astype(np.float64)
-                    a, n = w * y[lo:hi, None], w * ~y[lo:hi, None]
-                    if to - at < hi - lo:
-                        a, n = (np.add.reduceat(v, start[at:to] - lo, axis=0) for v in (a, n))
-                upto_tp, upto_fp = tp + np.cumsum(a, axis=0), fp + np.cumsum(n, axis=0)
-                x, z = _share(a, n, upto_tp, upto_fp)
-                twice += x.sum(axis=0)
-                area += z.sum(axis=0)
-                tp, fp = upto_tp[-1], upto_fp[-1]
+                    w = weights(first[lo:hi], second[lo:hi], replicates).astype(np.float32)
+                    part, group = y[lo:hi], np.repeat(np.arange(to - at), end[at:to] - start[at:to])
+                    held = np.unique(group[part])
+                    same = held[:, None] == group
+                    a = w[part] if len(held) == part.sum() else (same & part).astype(np.float32) @ w
+                    upto = np.concatenate([(group <= held[:, None]) & ~part, ~part[None]]).astype(np.float32) @ w
+                    with_fp, rest = upto[:-1], upto[-1]
+                    mixed = same & ~part
+                    tied = mixed.astype(np.float32) @ w if mixed.any() else None
+                if len(a):
+                    upto_tp = tp + (np.tri(len(a), dtype=np.float32) @ a.astype(np.float32) if len(a) > 1 else a)
+                    wrong += 2 * fp * a.sum(axis=0) + (a * (2 * with_fp - (0 if tied is None else tied))).sum(axis=0, dtype=float)
+                    called = upto_tp + with_fp
+                    called += fp + over_fp
+                    np.maximum(called, 1, out=called)
+                    area += (a * np.divide(upto_tp, called, out=called)).sum(axis=0)
+                    tp = upto_tp[-1]
+                fp = fp + rest
                 at = to
+            # Pairs in the wrong order, and half of the ties, are what all pairs with the bucket's negatives lack.
+            twice = 2 * fp * tp - wrong
         cut = [x for _, x in _slices([twice, area])]
         k = len(cut)
         return pa.table({"model": pa.array([key[0].as_py()] * k), "slice": pa.array(range(k), pa.int32()),
@@ -266,21 +346,31 @@ def replicate_metrics(wide: DataFrame, id_col: str, label: str, thresholds: Mapp
     models = list(thresholds)
     key = hash_key(seed, id_col)
     word = lambda k: F.conv(F.substring(key, 8 * k + 1, 8), 16, 10).cast("long")
-    cut = F.element_at(F.create_map(*[F.lit(x) for m in models for x in (m, float(thresholds[m]))]), F.col("model"))
-    tall = wide.where(F.col(label).isNotNull()).select(
+    known = wide.where(F.col(label).isNotNull()).select(
         F.col(label).cast("int").alias("y"), word(0).alias("first"), word(1).alias("second"),
-        *[F.nanvl(F.col(m).cast("double"), F.lit(float("inf"))).alias(m) for m in models],
-    ).unpivot(["y", "first", "second"], models, "model", "score").where("score IS NOT NULL")
-    placed = Buckets.fit(tall.select("model", "score"), ["model"], "score").place(tall).withColumnRenamed("_bucket", "bucket")
-    # One table of models x buckets: the smallest score of each, and how many pieces it is summed in.
-    shape = placed.groupBy("model", "bucket").agg(F.min("score").alias("least"), F.count("*").alias("n"))
-    shape = materialize(shape.select("model", "bucket", "least", F.ceil(F.col("n") / PIECE_ROWS).cast("int").alias("pieces")))
-    rows = materialize(placed.join(shape, ["model", "bucket"]).select(
-        "model", "bucket", (F.col("score") > F.col("least")).alias("inner"), "score", "y", "first", "second",
-        (F.col("score") >= cut).alias("called"), F.pmod(F.col("second"), F.col("pieces")).cast("int").alias("piece")))
-    sums = rows.groupBy("model", "bucket", "inner", "piece").applyInArrow(_sums(replicates), SUMS)
+        *[F.nanvl(F.col(m).cast("double"), F.lit(INF)).alias(f"s{i}") for i, m in enumerate(models)])
+    names = [F.struct(F.lit(m).alias("model"), F.col(f"s{i}").alias("score")) for i, m in enumerate(models)]
+    tall = known.select(F.inline(F.array(*names))).where("score IS NOT NULL")
+    buckets = Buckets.fit(tall, ["model"], "score", _bucket_count(known, len(models)))
+    placed = materialize(buckets.place_wide(known, {m: f"s{i}" for i, m in enumerate(models)},
+                                            [f"b{i}" for i in range(len(models))]))
+    tall = placed.select("y", "first", "second", F.inline(F.array(*[
+        F.struct(F.lit(m).alias("model"), F.col(f"s{i}").alias("score"), F.col(f"b{i}").alias("bucket"))
+        for i, m in enumerate(models)]))).where("score IS NOT NULL")
+    # The smallest score of each model and bucket; there are fewer of them than cut points.
+    shape = materialize(tall.groupBy("model", "bucket").agg(F.min("score").alias("least")))
+    least = np.full((len(models), len(buckets.cuts) + 2), np.inf)
+    for r in shape.collect():
+        least[models.index(r["model"]), r["bucket"]] = r["least"]
+    pieces = -(-placed.count() // PIECE_ROWS)
+    mark = F.xxhash64("first", *[f"s{i}" for i in range(len(models))])
+    # Dealt by number here and below, since a few bytes are much work.
+    pieced = placed.withColumn("piece", F.pmod(mark, F.lit(max(1, pieces)))).repartition(shuffle_width(wide), "piece")
+    sums = pieced.groupBy("piece").applyInArrow(
+        _sums(models, [float(t) for t in thresholds.values()], least, replicates), SUMS)
     above = materialize(sums.groupBy("model", "slice").applyInArrow(_running, ABOVE))
-    inner = rows.where("inner").select("model", "bucket", "score", "y", "first", "second")
+    inner = tall.join(F.broadcast(shape), ["model", "bucket"]).where("score > least").select(
+        "model", "bucket", "score", "y", "first", "second").repartition(shuffle_width(wide), "model", "bucket")
     parts = inner.groupBy("model", "bucket").cogroup(
         above.where("bucket IS NOT NULL").select("model", "bucket", "slice", "pos", "neg").groupBy("model", "bucket")
     ).applyInArrow(_inner(replicates), "model string, slice int, twice array<double>, area array<double>")

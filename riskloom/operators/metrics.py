@@ -137,16 +137,17 @@ def average_precision(long: DataFrame, by: Sequence[str]) -> DataFrame:
 def youden_thresholds(long: DataFrame, by: Sequence[str]) -> DataFrame:
     """Cut with the largest TPR - FPR per model, ties to the highest cut. ``degenerate`` marks a
     model for which no cut is better than none."""
-    gain = (
-        _wide_int(F.col("tp")) * _wide_int(F.col("n_neg_total"))
-        - _wide_int(F.col("fp")) * _wide_int(F.col("n_pos_total"))
-    )
+    # In 64 bits where all pairs of a model can be counted in them, else in decimals.
+    tp, fp, n_pos, n_neg = (F.col(c) for c in ("tp", "fp", "n_pos_total", "n_neg_total"))
+    short = F.try_multiply(n_pos, n_neg).isNotNull()
+    gain = F.when(short, F.try_multiply(tp, n_neg) - F.try_multiply(fp, n_pos))
+    wide = F.when(~short, _wide_int(tp) * _wide_int(n_neg) - _wide_int(fp) * _wide_int(n_pos))
     best = roc_points(long, by).groupBy(*by).agg(
-        F.max(F.struct(gain.alias("gain"), "threshold", "tpr", "fpr")).alias("_b")
+        F.max(F.struct(gain.alias("gain"), wide.alias("wide"), "threshold", "tpr", "fpr")).alias("_b")
     )
     return best.select(
         *by, "_b.threshold", (F.col("_b.tpr") - F.col("_b.fpr")).alias("youden_j"),
-        (F.col("_b.gain") <= 0).alias("degenerate"),
+        F.coalesce(F.col("_b.gain") <= 0, F.col("_b.wide") <= 0).alias("degenerate"),
     )
 
 
