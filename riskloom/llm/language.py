@@ -85,13 +85,19 @@ class Classifier:
         self.languages = sorted(set(labels))
         used = present.any(axis=0)
         self.slots = np.flatnonzero(used)
-        x = present[:, self.slots].astype(np.float32)
-        x /= np.sqrt(np.maximum(present.sum(axis=1), 1)).astype(np.float32)[:, None]
-        z = x[np.unique(np.linspace(0, len(x) - 1, min(landmarks, len(x))).astype(int))]
-        cross, own = (x @ z.T).astype(np.float64), (z @ z.T).astype(np.float64)
+
+        def rows(at):
+            """Normed presence of some rows: as numbers, a row takes four times the bytes of its bitmap."""
+            size = np.sqrt(np.maximum(np.count_nonzero(present[at], axis=1), 1)).astype(np.float32)
+            return present[at][:, self.slots].astype(np.float32) / size[:, None]
+
+        n = len(present)
+        z = rows(np.unique(np.linspace(0, n - 1, min(landmarks, n)).astype(int)))
+        cross = np.concatenate([rows(slice(at, at + ROWS)) @ z.T for at in range(0, n, ROWS)]).astype(np.float64)
+        own = (z @ z.T).astype(np.float64)
         y = np.where(np.array(labels)[:, None] == np.array(self.languages)[None, :], 1.0, -1.0)
-        y = np.hstack([y, np.ones((len(x), 1))])
-        system = cross.T @ cross + ridge * len(x) * own + 1e-8 * np.eye(len(own))
+        y = np.hstack([y, np.ones((n, 1))])
+        system = cross.T @ cross + ridge * n * own + 1e-8 * np.eye(len(own))
         self.weights = (z.T @ np.linalg.lstsq(system, cross.T @ y, rcond=None)[0]).astype(np.float32)
         self.lengths, self.cuts = np.array([SHORT, SHORT + 1]), np.array([0.0, 1.0])
 
