@@ -150,16 +150,12 @@ def _passages(docs: DataFrame, least: int, seed: int) -> DataFrame:
         raise ValueError("seed must be 1 to least words")
     span = least - seed + 1
     scratch = Scratch(docs.sparkSession, "repeats")
-    anchors = scratch.save(docs.mapInArrow(_anchors(seed, span), "key long, doc long, mark long, place int"))
-    alike = anchors.groupBy("key").agg(F.min("doc").alias("x"), F.max("doc").alias("y")).where("x != y")
-    alive = anchors.join(alike.select("key"), "key").groupBy("doc", "mark").agg(
-        F.collect_set("place").alias("places"))
-    around = docs.join(alive, ["doc", "mark"]).select("doc", "mark", "text", "places")
-    longer = scratch.save(around.mapInArrow(_extended(least, span), "key long, doc long, mark long, start int"))
-    scratch.drop(anchors)
+    longer = _around(docs, least, seed, span, scratch)
+    # What the finished steps wrote for their shuffles is as large as the input and goes before the next one writes.
+    scratch.let_go()
     first = longer.groupBy("key").agg(
-        F.min("doc").alias("x"), F.max("doc").alias("y"),
-        F.min(F.struct("doc", "mark", "start")).alias("first")).where("x != y").select("key", "first")
+        F.max("doc").alias("y"), F.min(F.struct("doc", "mark", "start")).alias("first")).where(
+        "first.doc != y").select("key", "first")
     is_first = F.struct("doc", "mark", "start") == F.col("first")
     seen = longer.join(first, "key").select("doc", "mark", (
         F.col("start").cast("long") * 2 + F.when(is_first, 0).otherwise(1)).alias("x"))
@@ -167,6 +163,22 @@ def _passages(docs: DataFrame, least: int, seed: int) -> DataFrame:
     return found.mapInArrow(_spans(least), "doc long, mark long, spans array<array<long>>, later array<array<long>>")
 
 
+def _around(docs: DataFrame, least: int, seed: int, span: int, scratch: Scratch) -> DataFrame:
+    """key, doc, mark, start of the passages around suffixes that another document has too. Its plans end with it, so
+    that nothing holds their shuffle files."""
+    anchors = scratch.save(docs.mapInArrow(_anchors(seed, span), "key long, doc long, mark long, place int"))
+    alike = anchors.groupBy("key").agg(F.min("doc").alias("x"), F.max("doc").alias("y")).where("x != y")
+    alive = scratch.save(anchors.join(alike.select("key"), "key").groupBy("doc", "mark").agg(
+        F.collect_set("place").alias("places")))
+    scratch.drop(anchors)
+    del anchors, alike
+    scratch.let_go()
+    around = docs.join(alive, ["doc", "mark"]).select("doc", "mark", "text", "places")
+    longer = scratch.save(around.mapInArrow(_extended(least, span), "key long, doc long, mark long, start int"))
+    scratch.drop(alive)
+    return longer
+
+
 def _cut(later: str):
     """Texts without the words in the column ``later``, which goes."""
     def run(batches):

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -35,6 +36,7 @@ class Scratch:
     def let_go(self) -> None:
         """Let the driver collect finished plans, so that the shuffle files they hold are removed now and not
         whenever the driver next runs short of memory."""
+        gc.collect()    # plans that only a finished cycle of Python objects still names
         self.spark._jvm.System.gc()
 
 
