@@ -11,6 +11,7 @@ from riskloom.catalog.testing import CHI, chi2_p_sql, normal_p_sql
 from riskloom.operators import (
     agreement, association, bootstrap, contingency, delong, mcnemar, metrics, multiple,
 )
+from riskloom.session import materialize
 
 MODELS = list(v.MODELS)
 
@@ -166,7 +167,8 @@ def _(spark, d):
 @query("j09_oriented_lookup", f"""WITH {TESTS} SELECT model_b AS model_a, model_a AS model_b,
   -delta_auc AS delta_auc, p_holm, p_holm < 0.05 AS reject FROM t4""", "delta_auc p_holm")
 def _(spark, d):
-    tests = families(spark, d)
+    # The tests are read twice here: a few rows, but all contributions to the areas behind them.
+    tests = materialize(families(spark, d))
     asked = tests.select(F.col("model_b").alias("model_a"), F.col("model_a").alias("model_b"))
     return agreement.oriented(tests, asked)
 

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from riskloom.functions.tails import normal_p
 from riskloom.operators.multiple import holm
-from riskloom.operators.ranks import attach_by_value, label_counts
+from riskloom.operators.ranks import attach_by_value, classes, counts_below, placed_points, point_sizes
 
 Z95 = 1.96
 PRACTICAL = 0.005
@@ -23,7 +23,9 @@ PRACTICAL = 0.005
 
 def components(long: DataFrame) -> DataFrame:
     """``id, y, model, score, v``: the contribution of every row to its model's area."""
-    points = label_counts(long, ["model"])
+    counters = classes()
+    placed = placed_points(long, ["model"], "score", counters)
+    points = counts_below(placed, ["model"], "score", list(counters))
     pos_above = F.col("n_pos_total") - F.col("n_pos_below") - F.col("n_pos")
     shares = points.select(
         "model", "score",
@@ -32,7 +34,8 @@ def components(long: DataFrame) -> DataFrame:
         (F.col("n_pos") + F.col("n_neg")).alias("_size"),
         (F.col("n_pos_total") + F.col("n_neg_total")).alias("_total"),
     )
-    rows = attach_by_value(long, shares, ["model"], "score", F.col("_size"), F.col("_total"), "id")
+    rows = attach_by_value(long, shares, ["model"], "score", F.col("_size"), F.col("_total"), "id",
+                           point_sizes(placed, ["model"], "score", list(counters)))
     return rows.select(
         "id", "y", "model", "score",
         F.when(F.col("y") == 1, F.col("_v_pos")).otherwise(F.col("_v_neg")).alias("v"),

@@ -79,14 +79,25 @@ def cumulative_counts(df: DataFrame, by: Sequence[str], value: str, counters: Ma
     (``c``), below the value (``c_below``) and over the group (``c_total``). Null values are
     left out; a null group is one like the others. ``n_buckets`` never changes a result.
     """
+    return counts_below(placed_points(df, by, value, counters, n_buckets), by, value, list(counters))
+
+
+def placed_points(df: DataFrame, by: Sequence[str], value: str, counters: Mapping[str, Column],
+                  n_buckets: int | None = None) -> DataFrame:
+    """The distinct values of each group with their counters, in order over numbered partitions, written once."""
     by = list(by)
     names = list(counters)
     rows = df.where(F.col(value).isNotNull()).select(
         *by, F.col(value).cast("double").alias(value), *[counters[c].alias(c) for c in names]
     )
     points = rows.groupBy(*by, value).agg(*[F.sum(c).alias(c) for c in names])
-    placed = materialize(points.repartitionByRange(n_buckets or shuffle_width(df), *by, value)
-                         .withColumn("_bucket", F.spark_partition_id()))
+    return materialize(points.repartitionByRange(n_buckets or shuffle_width(df), *by, value)
+                       .withColumn("_bucket", F.spark_partition_id()))
+
+
+def counts_below(placed: DataFrame, by: Sequence[str], value: str, names: Sequence[str]) -> DataFrame:
+    """``cumulative_counts`` of placed points."""
+    by = list(by)
     heads = partition_heads(placed, by, names)
     return _from_heads(placed, heads, [*by, "_bucket"], value, names).select(
         *by, value, *names, *[f"{c}_below" for c in names], *[f"{c}_total" for c in names])
@@ -95,8 +106,13 @@ def cumulative_counts(df: DataFrame, by: Sequence[str], value: str, counters: Ma
 def label_counts(long: DataFrame, by: Sequence[str], score: str = "score", label: str = "y",
                  n_buckets: int | None = None) -> DataFrame:
     """Positives and negatives at, below and in total, per distinct score of each group."""
+    return cumulative_counts(long, by, score, classes(label), n_buckets=n_buckets)
+
+
+def classes(label: str = "y") -> dict[str, Column]:
+    """Counters of the positives and negatives."""
     y = F.col(label).cast("long")
-    return cumulative_counts(long, by, score, {"n_pos": y, "n_neg": 1 - y}, n_buckets=n_buckets)
+    return {"n_pos": y, "n_neg": 1 - y}
 
 
 LOW_BITS = 20
@@ -117,17 +133,19 @@ HOT_SHARE = 256
 
 
 def attach_by_value(rows: DataFrame, points: DataFrame, by: Sequence[str], value: str,
-                    size: Column, total: Column, row_key: str) -> DataFrame:
+                    size: Column, total: Column, row_key: str, sizes: DataFrame | None = None) -> DataFrame:
     """Join per-value results back to rows.
 
     A value that holds more than 1/256 of its group is split: its rows get a salt from their id
     and its single result row is repeated once per salt. The list of such values has at most 256
-    entries per group, so it is broadcast. ``size`` and ``total`` are exact counts.
+    entries per group, so it is broadcast. ``size`` and ``total`` are exact counts; ``sizes`` is a stored table
+    of ``by``, ``value``, ``_size`` and ``_total``, if there is one, so that ``points`` need not be computed twice.
     """
     keys = [*by, value]
-    salts = F.greatest(F.ceil(size * HOT_SHARE / total), F.lit(1)).cast("int")
-    sized = points.withColumn("_salts", salts)
-    hot = sized.where(F.col("_salts") > 1).select(*keys, "_salts")
+    salts = lambda n, of: F.greatest(F.ceil(n * HOT_SHARE / of), F.lit(1)).cast("int")
+    sized = points.withColumn("_salts", salts(size, total))
+    listed = sized if sizes is None else sizes.withColumn("_salts", salts(F.col("_size"), F.col("_total")))
+    hot = listed.where(F.col("_salts") > 1).select(*keys, "_salts")
     spread = sized.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.col("_salts") - 1)))
     salted = (
         same_keys(rows.withColumn(value, F.col(value).cast("double")), F.broadcast(hot), keys, "left")
@@ -140,12 +158,21 @@ def attach_by_value(rows: DataFrame, points: DataFrame, by: Sequence[str], value
     return same_keys(salted, spread.drop("_salts"), [*keys, "_salt"]).drop("_salt")
 
 
+def point_sizes(placed: DataFrame, by: Sequence[str], value: str, counters: Sequence[str]) -> DataFrame:
+    """``by, value, _size, _total`` of placed points: a scan and one row per group, with no order."""
+    added = lambda names: sum((F.col(n) for n in names[1:]), F.col(names[0]))
+    sums = [f"_sum_{c}" for c in counters]
+    totals = placed.groupBy(*by).agg(*[F.sum(c).alias(s) for c, s in zip(counters, sums)])
+    return same_keys(placed, F.broadcast(totals), by).select(
+        *by, value, added(list(counters)).alias("_size"), added(sums).alias("_total"))
+
+
 def midranks(rows: DataFrame, by: Sequence[str], value: str, row_key: str) -> DataFrame:
     """Every row with its 1-based rank inside the group; tied rows share their average rank."""
-    points = cumulative_counts(rows, by, value, {"n": F.lit(1).cast("long")})
+    placed = placed_points(rows, by, value, {"n": F.lit(1).cast("long")})
     ranked = attach_by_value(
-        rows.where(F.col(value).isNotNull()), points, by, value,
-        F.col("n"), F.col("n_total"), row_key,
+        rows.where(F.col(value).isNotNull()), counts_below(placed, by, value, ["n"]), by, value,
+        F.col("n"), F.col("n_total"), row_key, point_sizes(placed, by, value, ["n"]),
     )
     return ranked.withColumn(
         "midrank", F.col("n_below") + (F.col("n") + 1) / F.lit(2.0)

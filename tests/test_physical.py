@@ -48,3 +48,15 @@ def test_split_assignment_moves_no_rows(spark):
 
 def test_profile_uses_map_side_counts(spark):
     assert "partial_count" in plan_of(spark, "a05_column_profile")
+
+
+def test_oriented_lookup_computes_the_tests_once(spark):
+    """Both sides of the lookup read nine stored rows, not the contributions of all rows."""
+    plan = plan_of(spark, "j09_oriented_lookup").split("== Initial Plan ==")[-1]
+    assert "covar_samp" not in plan and "Window [" not in plan
+
+
+def test_split_values_are_found_without_a_second_ordering(spark):
+    """The list of frequent scores comes from the stored points; it ordered all points once more."""
+    plan = plan_of(spark, "t11_delong_covariance")
+    assert plan.split("== Initial Plan ==")[-1].count("Window [") <= 4
