@@ -93,7 +93,11 @@ class Classifier:
 
         n = len(present)
         z = rows(np.unique(np.linspace(0, n - 1, min(landmarks, n)).astype(int)))
-        cross = np.concatenate([rows(slice(at, at + ROWS)) @ z.T for at in range(0, n, ROWS)]).astype(np.float64)
+        # What is left over goes with the last block: a product with few rows is summed in another order.
+        cuts = [*range(0, n - ROWS, ROWS)] or [0]
+        if n - cuts[-1] > 2 * ROWS - 1:
+            cuts.append(cuts[-1] + ROWS)
+        cross = np.concatenate([rows(slice(a, b)) @ z.T for a, b in zip(cuts, [*cuts[1:], n])]).astype(np.float64)
         own = (z @ z.T).astype(np.float64)
         y = np.where(np.array(labels)[:, None] == np.array(self.languages)[None, :], 1.0, -1.0)
         y = np.hstack([y, np.ones((n, 1))])
