@@ -153,9 +153,10 @@ def _passages(docs: DataFrame, least: int, seed: int) -> DataFrame:
     longer = _around(docs, least, seed, span, scratch)
     # What the finished steps wrote for their shuffles is as large as the input and goes before the next one writes.
     scratch.let_go()
-    first = longer.groupBy("key").agg(
+    first = scratch.save(longer.groupBy("key").agg(
         F.max("doc").alias("y"), F.min(F.struct("doc", "mark", "start")).alias("first")).where(
-        "first.doc != y").select("key", "first")
+        "first.doc != y").select("key", "first"))
+    scratch.let_go()
     is_first = F.struct("doc", "mark", "start") == F.col("first")
     seen = longer.join(first, "key").select("doc", "mark", (
         F.col("start").cast("long") * 2 + F.when(is_first, 0).otherwise(1)).alias("x"))
