@@ -9,7 +9,8 @@ against one of their members, and branch again. Large nodes of the last level th
 linked sets are done; in the others each set outside the largest group is compared with all, in blocks. Before
 two full sets are compared their sketches must agree to the threshold less ``SLACK``, which a pair at the threshold
 fails with a probability of 2e-8. With that, and independent trees, the recall at the threshold is 1 - 1e-6 for
-pairs that part from the crowd in the first level. Pairs are confirmed on the full sets.
+pairs that part from the crowd in the first level. Pairs are confirmed on the full sets; only groups are asked for,
+so one pair of every set goes first, and a pair that then lies within one group adds nothing and is not confirmed.
 """
 
 from __future__ import annotations
@@ -135,25 +136,41 @@ def _confirm(threshold_pct: int):
     return run
 
 
-def _in_blocks(threshold_pct: int, least: float):
-    """Confirmed links between one block of a node's minor groups and one block of all its sets.
+def _candidates(left, right, threshold_pct: int, least: float) -> list[tuple[int, int]]:
+    """Places of the pairs of a block of minor groups and a block of all sets that sketches and sizes do not rule out.
 
     A pair that meets in several nodes is compared in the first of them only.
     """
+    if left.empty or right.empty:
+        return []
+    x, y = (np.frombuffer(b"".join(s.sketch), np.uint32).reshape(-1, WIDTH) for s in (left, right))
+    near = np.array([(y == v).mean(axis=1) >= least for v in x])
+    near &= left.grp.to_numpy()[:, None] != right.grp.to_numpy()[None, :]
+    n, m = left.n_shingles.to_numpy()[:, None], right.n_shingles.to_numpy()[None, :]
+    near &= 100 * np.minimum(n, m) >= threshold_pct * np.maximum(n, m)
+    node = left.node.iloc[0]
+    ours, theirs = ([frozenset(v.tolist()) for v in s.nodes] for s in (left, right))
+    return [(i, j) for i, j in zip(*(k.tolist() for k in np.nonzero(near))) if min(ours[i] & theirs[j]) == node]
+
+
+def _wanted_in_blocks(threshold_pct: int, least: float):
+    """The rows of a block that are in any candidate pair; only they need their full sets."""
+    def run(pdf):
+        import pandas as pd
+        left, right = pdf[pdf.side == 0], pdf[pdf.side == 1]
+        pairs = _candidates(left, right, threshold_pct, least)
+        return pd.concat([left.iloc[sorted({i for i, _ in pairs})], right.iloc[sorted({j for _, j in pairs})]])
+    return run
+
+
+def _in_blocks(threshold_pct: int, least: float):
+    """Confirmed links between one block of a node's minor groups and one block of all its sets."""
     def run(pdf):
         import pandas as pd
         left, right = pdf[pdf.side == 0], pdf[pdf.side == 1]
-        if left.empty or right.empty:
-            return pd.DataFrame({"a": [], "b": []})
-        x, y = (np.frombuffer(b"".join(s.sketch), np.uint32).reshape(-1, WIDTH) for s in (left, right))
-        near = np.array([(y == v).mean(axis=1) >= least for v in x])
-        near &= left.grp.to_numpy()[:, None] != right.grp.to_numpy()[None, :]
-        node, out = pdf.node.iloc[0], []
-        ours, theirs = ([frozenset(v.tolist()) for v in s.nodes] for s in (left, right))
         p, q = ([np.frombuffer(m, np.uint64) for m in s.members] for s in (left, right))
-        for i, j in zip(*(k.tolist() for k in np.nonzero(near))):
-            if min(ours[i] & theirs[j]) == node and _linked(p[i], q[j], threshold_pct):
-                out.append((left.cls.iat[i], right.cls.iat[j]))
+        out = [(left.cls.iat[i], right.cls.iat[j]) for i, j in _candidates(left, right, threshold_pct, least)
+               if _linked(p[i], q[j], threshold_pct)]
         return pd.DataFrame(out, columns=["a", "b"])
     return run
 
@@ -188,8 +205,8 @@ def near_duplicates(documents: DataFrame, shingle: int = 5, threshold_pct: int =
         _signatures(shingle), "doc_id long, n_shingles long, digest binary, sketch binary"))
     # Classes get numbers, which are short; the table is written once, so they are settled.
     classes = scratch.save(signed.where("digest is not null").groupBy("digest").agg(
-        F.min("doc_id").alias("low"), F.first("sketch").alias("sketch")).select(
-        F.monotonically_increasing_id().alias("cls"), "digest", "low", "sketch"))
+        F.min("doc_id").alias("low"), F.first("n_shingles").alias("n_shingles"), F.first("sketch").alias("sketch"))
+        .select(F.monotonically_increasing_id().alias("cls"), "digest", "low", "n_shingles", "sketch"))
     sketches = classes.select("cls", "sketch")
     # From here on only a class has a sketch.
     plain = scratch.save(signed.select("doc_id", "n_shingles", "digest"))
@@ -218,20 +235,35 @@ def near_duplicates(documents: DataFrame, shingle: int = 5, threshold_pct: int =
             _branch(threshold), "node long, cls long")
 
     store, least = _Sets(docs, classes, shingle, scratch), threshold - SLACK
-    close = scratch.save(_with(_ordered(pairs), sketches, "sketch").mapInArrow(_alike(least), "a long, b long"))
+    sized = _with(_ordered(pairs), classes, "sketch", "n_shingles").where(
+        F.least("a_n_shingles", "b_n_shingles") * 100 >= F.greatest("a_n_shingles", "b_n_shingles") * threshold_pct)
+    close = scratch.save(sized.select("a", "b", "a_sketch", "b_sketch").mapInArrow(_alike(least), "a long, b long"))
     scratch.drop(*nodes[:-1])
     scratch.let_go()
     store.want(close.select(F.explode(F.array("a", "b")).alias("cls")))
-    links = scratch.save(_with(close, store.sets, "members").mapInArrow(_confirm(threshold_pct), "a long, b long"))
-    groups = scratch.save(components(links, "a", "b", scratch))
+    groups = None
+    for late in (False, True):
+        chosen = _across(close, groups) if late else close.groupBy("b").agg(F.min("a").alias("a")).select("a", "b")
+        chosen = scratch.save(chosen)
+        scratch.let_go()
+        links = scratch.save(_with(chosen, store.sets, "members").mapInArrow(_confirm(threshold_pct), "a long, b long"))
+        scratch.drop(chosen)
+        scratch.let_go()
+        groups = _merged(groups, links, scratch)
 
     # Large nodes of the last level that hold several groups.
     packed = scratch.save(_mixed(nodes[-1].where(f"n > {SMALL}"), groups))
     scratch.drop(close, nodes[-1])
     scratch.let_go()
-    store.want(packed.select("cls"))
-    links = scratch.save(links.unionAll(_packed_links(packed, sketches, store.sets, threshold_pct, least)))
-    groups = scratch.save(components(links, "a", "b", scratch))
+    blocks = scratch.save(_blocks(packed, classes).applyInPandas(_wanted_in_blocks(threshold_pct, least), _BLOCK_ROW))
+    scratch.drop(packed)
+    scratch.let_go()
+    store.want(blocks.select("cls"))
+    links = scratch.save(blocks.join(store.sets, "cls").groupBy("node", "i", "j").applyInPandas(
+        _in_blocks(threshold_pct, least), "a long, b long"))
+    scratch.drop(blocks)
+    scratch.let_go()
+    groups = _merged(groups, links, scratch)
 
     roots = groups.join(classes.select("cls", "low"), groups.vertex == classes.cls).select(
         "vertex", "root", "low")
@@ -246,10 +278,26 @@ def near_duplicates(documents: DataFrame, shingle: int = 5, threshold_pct: int =
                       F.col("doc_id").eqNullSafe(component).alias("kept"))
 
 
-def _with(pairs: DataFrame, values: DataFrame, name: str) -> DataFrame:
-    """Pairs (a, b) with the value of both ends."""
-    return pairs.join(values.select(F.col("cls").alias("a"), F.col(name).alias("x")), "a").join(
-        values.select(F.col("cls").alias("b"), F.col(name).alias("y")), "b").select("a", "b", "x", "y")
+def _with(pairs: DataFrame, values: DataFrame, *names: str) -> DataFrame:
+    """Pairs (a, b) with the values of both ends, as a_<name> and b_<name>."""
+    for end in ("a", "b"):
+        own = values.select(F.col("cls").alias(end), *[F.col(n).alias(f"{end}_{n}") for n in names])
+        pairs = pairs.join(own, end)
+    return pairs.select("a", "b", *[f"{end}_{n}" for n in names for end in ("a", "b")])
+
+
+def _across(pairs: DataFrame, groups: DataFrame) -> DataFrame:
+    """The pairs whose ends are not in one group."""
+    a, b = (groups.select(F.col("vertex").alias(end), F.col("root").alias(f"{end}_root")) for end in ("a", "b"))
+    return pairs.join(a, "a", "left").join(b, "b", "left").where(
+        F.coalesce("a_root", "a") != F.coalesce("b_root", "b")).select("a", "b")
+
+
+def _merged(groups: DataFrame | None, links: DataFrame, scratch: Scratch) -> DataFrame:
+    """Groups over all links so far; a group enters with one link of each member to its root."""
+    if groups is not None:
+        links = links.unionAll(groups.select(F.col("root").alias("a"), F.col("vertex").alias("b")))
+    return scratch.save(components(links, "a", "b", scratch))
 
 
 class _Sets:
@@ -283,18 +331,21 @@ def _mixed(big: DataFrame, groups: DataFrame) -> DataFrame:
     return named.join(sizes.where("kinds > 1").select("node", F.col("largest.grp").alias("major")), "node")
 
 
-def _packed_links(packed, sketches, sets, threshold_pct, least) -> DataFrame:
-    """Every link between groups inside the given nodes, found in blocks."""
+_BLOCK_ROW = ("node long, i int, j int, side int, cls long, grp long, nodes array<long>, n_shingles long, "
+              "sketch binary")
+
+
+def _blocks(packed: DataFrame, classes: DataFrame):
+    """Blocks of the minor groups of every node against blocks of all its sets, with sketches but without full sets."""
     count = lambda c: F.greatest(F.lit(1), F.ceil(F.col(c) / BLOCK).cast("int"))
     sizes = packed.groupBy("node").agg(
         F.count("*").alias("n"), F.sum((F.col("grp") != F.col("major")).cast("int")).alias("m"))
     where = packed.groupBy("cls").agg(F.collect_set("node").alias("nodes"))
-    full = packed.join(sizes, "node").join(where, "cls").join(sketches, "cls").join(sets, "cls")
+    full = packed.join(sizes, "node").join(where, "cls").join(classes.select("cls", "n_shingles", "sketch"), "cls")
     own = lambda c: F.pmod(F.xxhash64("cls"), count(c)).cast("int")
-    keep = ["side", "cls", "grp", "nodes", "sketch", "members"]
+    keep = ["node", "i", "j", "side", "cls", "grp", "nodes", "n_shingles", "sketch"]
     left = full.where("grp != major").withColumn("side", F.lit(0)).withColumn("i", own("m")).withColumn(
-        "j", F.explode(F.sequence(F.lit(0), count("n") - 1))).select("node", "i", "j", *keep)
+        "j", F.explode(F.sequence(F.lit(0), count("n") - 1))).select(*keep)
     right = full.withColumn("side", F.lit(1)).withColumn("j", own("n")).withColumn(
-        "i", F.explode(F.sequence(F.lit(0), count("m") - 1))).select("node", "i", "j", *keep)
-    return left.unionAll(right).groupBy("node", "i", "j").applyInPandas(
-        _in_blocks(threshold_pct, least), "a long, b long")
+        "i", F.explode(F.sequence(F.lit(0), count("m") - 1))).select(*keep)
+    return left.unionAll(right).groupBy("node", "i", "j")

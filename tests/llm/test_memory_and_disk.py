@@ -6,7 +6,7 @@ import tracemalloc
 
 import numpy as np
 
-from riskloom.llm import language, repeats
+from riskloom.llm import language, near_dedup, repeats
 from riskloom.llm.store import Scratch
 
 
@@ -31,3 +31,23 @@ def test_finished_steps_go_before_passages_are_written(spark, monkeypatch):
     assert {r["doc"]: r["spans"] for r in found} == {1: [[0, 60]], 2: [[2, 62]]}
     # Suffixes, survivors, passages, first places: before the next is written, what it replaces has gone.
     assert calls == ["save", "save", "drop", "let_go", "save", "drop", "let_go", "save", "let_go"]
+
+
+def test_a_group_of_copies_has_few_links_and_only_candidates_need_full_sets(spark, monkeypatch):
+    links, wanted = [], []
+    find, want = near_dedup.components, near_dedup._Sets.want
+    monkeypatch.setattr(near_dedup, "components", lambda t, *a: (links.append(t.count()), find(t, *a))[1])
+    monkeypatch.setattr(near_dedup._Sets, "want", lambda self, keys: (
+        wanted.append(keys.distinct().count()), want(self, keys))[1])
+    words = lambda p, n: [f"{p}{i}" for i in range(n)]
+    rows = []
+    for k in range(120):  # copies with a word of their own
+        copy = words("w", 200)
+        copy[k + 20] = f"own{k}"
+        rows.append((k, " ".join(copy)))
+    # Texts that share a fifth, so that they meet in nodes, but are never alike.
+    rows += [(1000 + k, " ".join(words("c", 40) + words(f"t{k}x", 160))) for k in range(120)]
+    found = near_dedup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), shingle=4).collect()
+    assert {r.doc_id: r.component_id for r in found} == {i: 0 if i < 1000 else i for i, _ in rows}
+    assert max(links) < 3 * 120
+    assert wanted[-1] < 20
