@@ -135,3 +135,17 @@ def test_registered_families_take_the_full_grids(monkeypatch):
         assert taken[name] == (family.grid, set())
         known = modelling.KNOWN_PARAMS[name]
         assert set(known) == set(family.grid) and all(x in family.grid[p] for p, x in known.items())
+
+
+def test_forest_keeps_node_ids_and_its_trees(spark):
+    from pyspark.ml.feature import VectorAssembler
+
+    rng = np.random.default_rng(3)
+    rows = [(*map(float, x), int(x[0] + rng.normal() > 0)) for x in rng.normal(size=(300, 4))]
+    df = VectorAssembler(inputCols=list("abcd"), outputCol="features").transform(
+        spark.createDataFrame(rows, "a double, b double, c double, d double, y int")).cache()
+    own = models.FAMILIES["RandomForest"].estimator("y", numTrees=4, maxDepth=8)
+    walked = own.copy({own.cacheNodeIds: False})
+    assert own.getCacheNodeIds() and not walked.getCacheNodeIds()
+    a, b = ([t.toDebugString.split("\n", 1)[1] for t in e.fit(df).trees] for e in (own, walked))
+    assert a == b
