@@ -286,18 +286,29 @@ def _with(pairs: DataFrame, values: DataFrame, *names: str) -> DataFrame:
     return pairs.select("a", "b", *[f"{end}_{n}" for n in names for end in ("a", "b")])
 
 
+def _rooted(pairs: DataFrame, groups: DataFrame) -> DataFrame:
+    """Pairs (a, b) with the roots of the groups of their ends; an end without a group is its own root."""
+    for end in ("a", "b"):
+        own = groups.select(F.col("vertex").alias(end), F.col("root").alias(f"{end}_root"))
+        pairs = pairs.join(own, end, "left").withColumn(f"{end}_root", F.coalesce(f"{end}_root", end))
+    return pairs
+
+
 def _across(pairs: DataFrame, groups: DataFrame) -> DataFrame:
     """The pairs whose ends are not in one group."""
-    a, b = (groups.select(F.col("vertex").alias(end), F.col("root").alias(f"{end}_root")) for end in ("a", "b"))
-    return pairs.join(a, "a", "left").join(b, "b", "left").where(
-        F.coalesce("a_root", "a") != F.coalesce("b_root", "b")).select("a", "b")
+    return _rooted(pairs, groups).where("a_root != b_root").select("a", "b")
 
 
 def _merged(groups: DataFrame | None, links: DataFrame, scratch: Scratch) -> DataFrame:
-    """Groups over all links so far; a group enters with one link of each member to its root."""
-    if groups is not None:
-        links = links.unionAll(groups.select(F.col("root").alias("a"), F.col("vertex").alias("b")))
-    return scratch.save(components(links, "a", "b", scratch))
+    """Groups over all links so far. Later links are merged as links between roots, of which two groups have one at
+    most, however many of their members are linked; members follow their root."""
+    if groups is None:
+        return scratch.save(components(links, "a", "b", scratch))
+    found = scratch.save(components(_rooted(links, groups), "a_root", "b_root", scratch))
+    moved = groups.join(found.select(F.col("vertex").alias("root"), F.col("root").alias("to")), "root", "left")
+    alone = found.join(groups.select("vertex"), "vertex", "left_anti")
+    return scratch.save(moved.select("vertex", F.coalesce("to", "root").alias("root")).unionAll(
+        alone.select("vertex", "root")))
 
 
 class _Sets:

@@ -6,7 +6,7 @@ import tracemalloc
 
 import numpy as np
 
-from riskloom.llm import language, near_dedup, repeats
+from riskloom.llm import components, language, near_dedup, repeats
 from riskloom.llm.store import Scratch
 
 
@@ -51,3 +51,14 @@ def test_a_group_of_copies_has_few_links_and_only_candidates_need_full_sets(spar
     assert {r.doc_id: r.component_id for r in found} == {i: 0 if i < 1000 else i for i, _ in rows}
     assert max(links) < 3 * 120
     assert wanted[-1] < 20
+
+
+def test_links_between_two_groups_are_merged_as_one(spark, monkeypatch):
+    seen, stars = [], components._stars
+    monkeypatch.setattr(components, "_stars", lambda edges, large: (seen.append(edges.count()), stars(edges, large))[1])
+    groups = spark.createDataFrame([(i, i // 20 * 20) for i in range(60)], "vertex long, root long")
+    # All pairs of the first two groups, and a set that is in no group yet.
+    links = spark.createDataFrame([(i, j) for i in range(20) for j in range(20, 40)] + [(99, 45)], "a long, b long")
+    found = near_dedup._merged(groups, links, Scratch(spark, "t")).collect()
+    assert sorted(map(tuple, found)) == [(i, 0 if i < 40 else 40) for i in [*range(60), 99]]
+    assert max(seen) < 10
