@@ -9,7 +9,7 @@ scored by one product of its presence matrix with it.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -23,6 +23,7 @@ from riskloom.llm.store import fresh
 ORDERS = 3            # longest n-gram, in bytes
 SLOTS = 1 << 16       # presence slots that n-grams are hashed to
 ROWS = 64             # texts of one presence matrix
+PART = 1 << 13        # slots whose weights are computed at once
 SAMPLE = 1600         # labelled rows to learn from, all languages together
 LANDMARKS = 256       # of these, landmarks
 RIDGE = 1e-3
@@ -66,12 +67,38 @@ def _rows(batch: pa.RecordBatch, column: str = "text") -> Iterator[tuple[pa.Reco
                 raw[offsets[at]:offsets[to]], offsets[at:to + 1] - offsets[at])
 
 
-def _bitmaps(batches):
+def _packed(present: np.ndarray) -> bytes:
+    """A row's presence as slot numbers or as a bitmap, whichever is shorter: a short text has few slots."""
+    slots = np.flatnonzero(present).astype("<u2")
+    return slots.tobytes() if slots.nbytes < SLOTS // 8 else np.packbits(present).tobytes()
+
+
+class Packed:
+    """Presence of every slot in rows that are held packed. Only the rows asked for are spread out, to ``SLOTS`` bytes each."""
+
+    def __init__(self, rows: Sequence[bytes]):
+        self.rows = rows
+
+    def __len__(self) -> int:
+        return len(self.rows)
+
+    def __getitem__(self, at: slice | np.ndarray) -> np.ndarray:
+        rows = self.rows[at] if isinstance(at, slice) else [self.rows[i] for i in at]
+        out = np.zeros((len(rows), SLOTS), bool)
+        for line, row in zip(out, rows):
+            if len(row) == SLOTS // 8:
+                line[:] = np.unpackbits(np.frombuffer(row, np.uint8))
+            else:
+                line[np.frombuffer(row, "<u2")] = True
+        return out
+
+
+def _sent(batches):
     for batch in batches:
         for part, present in _rows(batch):
             yield pa.RecordBatch.from_arrays(
                 [part.column(0), part.column(1), pc.binary_length(part.column(2)).cast(pa.int64()),
-                 pa.array([np.packbits(x).tobytes() for x in present])],
+                 pa.array([_packed(x) for x in present], pa.binary())],
                 names=["lang", "rank", "size", "slots"])
 
 
@@ -81,18 +108,26 @@ class Classifier:
     A last column is fitted to the constant 1: near 1 for texts like the learned ones, near 0 for others.
     """
 
-    def __init__(self, present: np.ndarray, labels: list[str], landmarks: int, ridge: float):
+    def __init__(self, present: np.ndarray | Packed, labels: list[str], landmarks: int, ridge: float):
         self.languages = sorted(set(labels))
-        used = present.any(axis=0)
+        n = len(present)
+        used = np.zeros(SLOTS, bool)
+        for at in range(0, n, ROWS):
+            used |= present[at:at + ROWS].any(axis=0)
         self.slots = np.flatnonzero(used)
 
         def rows(at):
-            """Normed presence of some rows: as numbers, a row takes four times the bytes of its bitmap."""
-            size = np.sqrt(np.maximum(np.count_nonzero(present[at], axis=1), 1)).astype(np.float32)
-            return present[at][:, self.slots].astype(np.float32) / size[:, None]
-
-        n = len(present)
-        z = rows(np.unique(np.linspace(0, n - 1, min(landmarks, n)).astype(int)))
+            """Normed presence of some rows: as numbers, a row takes four times the bytes of its spread out presence."""
+            block = present[at]
+            size = np.sqrt(np.maximum(np.count_nonzero(block, axis=1), 1)).astype(np.float32)
+            block = block[:, self.slots].astype(np.float32)
+            block /= size[:, None]
+            return block
+
+        chosen = np.unique(np.linspace(0, n - 1, min(landmarks, n)).astype(int))
+        z = np.empty((len(chosen), len(self.slots)), np.float32)
+        for at in range(0, len(chosen), ROWS):
+            z[at:at + ROWS] = rows(chosen[at:at + ROWS])
         # What is left over goes with the last block: a product with few rows is summed in another order.
         cuts = [*range(0, n - ROWS, ROWS)] or [0]
         if n - cuts[-1] > 2 * ROWS - 1:
@@ -102,16 +137,19 @@ class Classifier:
         y = np.where(np.array(labels)[:, None] == np.array(self.languages)[None, :], 1.0, -1.0)
         y = np.hstack([y, np.ones((n, 1))])
         system = cross.T @ cross + ridge * n * own + 1e-8 * np.eye(len(own))
-        self.weights = (z.T @ np.linalg.lstsq(system, cross.T @ y, rcond=None)[0]).astype(np.float32)
+        shares = np.linalg.lstsq(system, cross.T @ y, rcond=None)[0]
+        # The product takes its part of z as doubles.
+        self.weights = np.concatenate([
+            (z[:, at:at + PART].T @ shares).astype(np.float32) for at in range(0, len(self.slots), PART)] or [
+            np.zeros((0, y.shape[1]), np.float32)])
         self.lengths, self.cuts = np.array([SHORT, SHORT + 1]), np.array([0.0, 1.0])
 
-    def calibrate(self, lengths: np.ndarray, packed: np.ndarray) -> None:
-        """Lower the cuts for short texts, given labelled ones of known lengths, as bitmaps. Without any, texts shorter than
+    def calibrate(self, lengths: np.ndarray, present: np.ndarray | Packed) -> None:
+        """Lower the cuts for short texts, given labelled ones of known lengths. Without any, texts shorter than
         the longest of ``LENGTHS`` are all kept."""
         # A few rows at a time: spread out, a row takes ``SLOTS`` bytes, and four times as many to be scored.
         told = np.concatenate([np.zeros(0)] + [
-            self.clearness(*self.scores(np.unpackbits(packed[at:at + ROWS], axis=1).view(bool)))
-            for at in range(0, len(packed), ROWS)])
+            self.clearness(*self.scores(present[at:at + ROWS])) for at in range(0, len(present), ROWS)])
         least = [min(1.0, float(np.quantile(told[lengths == n], REFUSED, method="lower"))) if (lengths == n).any() else 0.0
                  for n in LENGTHS]
         # A longer text is never judged more mildly.
@@ -165,11 +203,10 @@ def fit(labelled: DataFrame, sample: int = SAMPLE, landmarks: int = LANDMARKS,
     parts = F.when(F.col("rank") > learn, F.transform(heads, lambda h: F.struct((-F.col("rank")).alias("rank"), h.alias("text"))))
     sent = ranked.select("lang", F.inline(F.concat(whole, F.coalesce(parts, F.array().cast("array<struct<rank: int, text: string>>")))))
     found = sent.mapInArrow(
-        _bitmaps, "lang string, rank int, size long, slots binary").toArrow().to_pandas()
+        _sent, "lang string, rank int, size long, slots binary").toArrow().to_pandas()
     if found.empty:
         return None
-    packed = lambda rows: np.frombuffer(b"".join(rows.slots), np.uint8).reshape(len(rows), SLOTS // 8)
-    present = lambda rows: np.unpackbits(packed(rows), axis=1).view(bool)
+    present = lambda rows: Packed(rows.slots.tolist())
     texts = found[found["rank"] > 0].sort_values(["rank", "lang"], kind="stable")
     model = Classifier(present(texts), texts.lang.tolist(), landmarks, ridge)
     if checked:
@@ -179,7 +216,7 @@ def fit(labelled: DataFrame, sample: int = SAMPLE, landmarks: int = LANDMARKS,
         judge = model if len(others) == len(texts) else Classifier(present(others), others.lang.tolist(), landmarks, ridge)
         # Characters may have several bytes: a head counts for the largest of LENGTHS that it reaches.
         reach = np.searchsorted(LENGTHS, heads["size"].to_numpy(), side="right") - 1
-        judge.calibrate(np.where(reach < 0, 0, np.array(LENGTHS)[reach]), packed(heads))
+        judge.calibrate(np.where(reach < 0, 0, np.array(LENGTHS)[reach]), present(heads))
         model.lengths, model.cuts = judge.lengths, judge.cuts
     return model
 

@@ -62,3 +62,20 @@ def test_links_between_two_groups_are_merged_as_one(spark, monkeypatch):
     found = near_dedup._merged(groups, links, Scratch(spark, "t")).collect()
     assert sorted(map(tuple, found)) == [(i, 0 if i < 40 else 40) for i in [*range(60), 99]]
     assert max(seen) < 10
+
+
+def test_language_fit_spreads_out_a_few_rows_at_a_time():
+    rng = np.random.default_rng(0)
+    present = rng.random((640, language.SLOTS)) < 0.02
+    present[:5] = rng.random((5, language.SLOTS)) < 0.5  # bitmaps
+    labels, rows = [f"l{i % 4}" for i in range(640)], [language._packed(x) for x in present]
+    assert max(map(len, rows)) <= language.SLOTS // 8
+    whole = language.Classifier(present, labels, 32, 1e-3)
+    tracemalloc.start()
+    model = language.Classifier(language.Packed(rows), labels, 32, 1e-3)
+    model.calibrate(np.resize(language.LENGTHS, 640), language.Packed(rows))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 1.2 * present.nbytes
+    assert np.array_equal(model.slots, whole.slots) and np.array_equal(model.weights, whole.weights)
+    assert np.array_equal(language.Packed(rows)[np.array([0, 639])], present[[0, 639]])
